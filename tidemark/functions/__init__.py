@@ -3,7 +3,7 @@
 from tidemark.functions.html import decode_entities, link_array
 from tidemark.functions.names import dataset_name, dataset_of_file, with_suffix
 from tidemark.functions.numbers import as_measure
-from tidemark.functions.tokens import token_array
+from tidemark.functions.tokens import word_array
 
 __all__ = [
     "as_measure",
@@ -11,6 +11,6 @@ __all__ = [
     "dataset_of_file",
     "decode_entities",
     "link_array",
-    "token_array",
+    "word_array",
     "with_suffix",
 ]

@@ -20,7 +20,8 @@ ANCHOR = r"""(?is)<a(?=[\s/])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
 ATTRIBUTE = r"""(?s)([^\s/=>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?+"""
 ENTITY_PIECES = r"(&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&)"
 
-ENTITIES = {name: text for name, text in html5.items() if name.endswith(";")}
+# All named references as one text, which Spark folds into one map literal.
+ENTITY_TABLE = "\x01".join(f"&{name}\x02{text}" for name, text in html5.items() if name[-1] == ";")
 MAX_CODE_POINT = 0x10FFFF
 
 
@@ -32,9 +33,7 @@ def _code_point(number: Column) -> Column:
 
 
 def _decode_piece(piece: Column) -> Column:
-    named = F.map_from_arrays(
-        F.lit([f"&{name}" for name in ENTITIES]), F.lit(list(ENTITIES.values()))
-    )
+    named = F.str_to_map(F.lit(ENTITY_TABLE), F.lit("\x01"), F.lit("\x02"))
     digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
     decimal = F.coalesce(digits.try_cast("bigint"), F.lit(0))
     hexadecimal = F.coalesce(F.conv(digits, 16, 10).try_cast("bigint"), F.lit(0))
@@ -55,16 +54,14 @@ def decode_entities(text: Column) -> Column:
 def _href(attributes: Column) -> Column:
     names = F.regexp_extract_all(attributes, F.lit(ATTRIBUTE), 1)
     values = F.regexp_extract_all(attributes, F.lit(ATTRIBUTE), 2)
-    pairs = F.zip_with(
-        names, values, lambda name, value: F.struct(F.lower(name).alias("name"), value.alias("value"))
-    )
+    hrefs = F.zip_with(names, values, lambda name, value: F.when(F.lower(name) == "href", value))
     # A repeated attribute overrides the earlier one.
-    raw = F.get(F.reverse(F.filter(pairs, lambda pair: pair["name"] == "href")), F.lit(0))["value"]
-    return decode_entities(F.regexp_replace(raw, r"""(?s)^(["'])(.*)\1$""", "$2"))
+    last = F.try_element_at(F.filter(hrefs, lambda value: value.isNotNull()), F.lit(-1))
+    return F.regexp_replace(last, r"""(?s)^(["'])(.*)\1$""", "$2")
 
 
 def link_array(html: Column) -> Column:
-    """The ``href`` of every anchor of a page, in page order."""
+    """For every anchor of a page, in page order, its ``href`` or null."""
     visible = F.regexp_replace(html, OPAQUE_REGIONS, "")
     anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), 1)
-    return F.filter(F.transform(anchors, _href), lambda link: link.isNotNull())
+    return F.transform(F.transform(anchors, _href), decode_entities)

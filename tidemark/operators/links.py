@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions import link_array, token_array
+from tidemark.functions import link_array, word_array
+
+
+def _unroll(df: DataFrame, values: Column, name: str, *keep: str) -> DataFrame:
+    """One row per value that is not null.
+
+    A plain explode makes Spark filter on the size of the array first, which computes
+    the array twice; the outer form leaves that out, and the filter behind it drops
+    the rows of empty arrays.
+    """
+    rows = df.select(*keep, F.explode_outer(values).alias(name))
+    return rows.filter(F.col(name).isNotNull())
 
 
 def extract_links(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row ``page_id, link`` per anchor with an ``href``."""
-    return pages.select("page_id", F.explode(link_array(F.col(html))).alias("link"))
+    return _unroll(pages, link_array(F.col(html)), "link", "page_id")
 
 
 def filter_links(
@@ -25,7 +36,7 @@ def filter_links(
 
 def tokens(text: DataFrame, column: str = "value", name: str = "link") -> DataFrame:
     """One row per whitespace-separated word."""
-    return text.select(F.explode(token_array(F.col(column))).alias(name))
+    return _unroll(text, word_array(F.col(column)), name).filter(F.col(name) != "")
 
 
 def sorted_distinct(df: DataFrame, column: str = "link") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import small_side
+from tidemark.session import small_side, written_side
 
 FILE, BLOCK = "scan_file", "scan_block"
 
@@ -57,7 +57,7 @@ def with_row_index(
         (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
     )
     return (
-        rows.join(small_side(offsets), [FILE, BLOCK])
+        rows.join(written_side(offsets, "splits"), [FILE, BLOCK])
         .withColumn(name, F.col("__id") + F.col("__shift"))
         .drop("__id", "__shift", FILE, BLOCK)
     )

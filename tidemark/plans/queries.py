@@ -66,6 +66,13 @@ def timings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def written_timings(spark: SparkSession, folder: str) -> DataFrame:
+    """The timing records by way of their CSV file, so that they are made only once."""
+    path = src.write_timings(timings(spark, folder), scratch_dir(spark, "timings"), "events")
+    schema = "scale bigint, partitions int, create_s double, avg_s double"
+    return src.read_timings(spark, path, schema)
+
+
 def digits(measure: str) -> int:
     return FEWER_DIGITS.get(measure, DIGITS)
 
@@ -202,7 +209,7 @@ def csv_prefix_rows(spark, folder):
     years = years_of(lines_by_year(spark, folder))
     rows = op.with_row_index(scan, years)
     return (
-        rows.filter(F.col("row_index") < op.prefix_size(rows.count(), 1, 2))
+        rows.filter(F.col("row_index") < op.prefix_size(scan.count(), 1, 2))
         .groupBy("dataset")
         .agg(F.count("*").alias("rows"))
     )
@@ -350,16 +357,14 @@ def sweep(spark: SparkSession, folder: str, mode: str, skipped=None) -> DataFram
     """Every prefix of the ship years at 1, 2 and 4 times the partitions its rows need."""
     lines = lines_by_year(spark, folder)
     years = years_of(lines)
-    lines = op.assign_file_ord(lines, years)
-    prefixes = op.file_prefixes(years.count())
-    rows = {
-        row.fraction_ord: row.rows
-        for row in op.prefix_averages(lines, "file_ord", prefixes, []).collect()
-    }
+    names = [row.dataset for row in years.orderBy("file_ord").collect()]
+    prefixes = op.file_prefixes(len(names))
+    counted = op.prefix_averages(op.assign_file_ord(lines, years), "file_ord", prefixes, [])
+    rows = {row.fraction_ord: row.rows for row in counted.collect()}
     cases = []
     for i, prefix in enumerate(prefixes):
         needed = max(1, ceil(rows[i] / ROWS_PER_PARTITION))
-        build = partial(lines.filter, F.col("file_ord") < prefix.size)
+        build = partial(lines.filter, F.col("dataset").isin(names[: prefix.size]))
         cases.append(Case(prefix.size, build, [needed * step for step in SWEEP_STEPS]))
     return rounded(partition_sweep(spark, cases, mode, LINE_MEASURES, skipped=skipped))
 
@@ -427,7 +432,7 @@ def distinct_scales(spark, folder):
     FROM grid LEFT JOIN timings USING (scale, partitions)"""
 )
 def complete_grid(spark, folder):
-    return op.complete_grid(timings(spark, folder))
+    return op.complete_grid(written_timings(spark, folder))
 
 
 DAYS = range(1, 32)
@@ -447,7 +452,7 @@ def pivot_create(spark, folder):
 
 @query(pivot_sql("avg_s"))
 def pivot_average(spark, folder):
-    return op.pivot_series(op.complete_grid(timings(spark, folder)), "avg_s", DAYS)
+    return op.pivot_series(op.complete_grid(written_timings(spark, folder)), "avg_s", DAYS)
 
 
 @query(
@@ -458,11 +463,10 @@ def timing_report(spark, folder):
     return op.report_lines(timings(spark, folder))
 
 
-@query(f"WITH {TIMINGS_SQL} SELECT scale, partitions, create_s, avg_s FROM timings")
+@query(f"WITH {TIMINGS_SQL} SELECT scale, CAST(partitions AS INT) AS partitions, "
+       "create_s, avg_s FROM timings")
 def timings_roundtrip(spark, folder):
-    path = src.write_timings(timings(spark, folder), scratch_dir(spark, "timings"), "events")
-    schema = "scale bigint, partitions bigint, create_s double, avg_s double"
-    return src.read_timings(spark, path, schema)
+    return written_timings(spark, folder)
 
 
 # Grids

@@ -35,15 +35,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 SMALL_SIDE_ROWS = 100_000
+BROADCAST_ROWS = 2_000_000
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """``df`` as a broadcast table if it has at most ``max_rows`` rows.
+    """``df`` as a local broadcast table if it has at most ``max_rows`` rows.
 
-    Metadata tables (one row per file or per split) nearly always do. A larger
-    one is given back as it is, and Spark joins it by shuffle.
+    Tables with one row per dataset nearly always do. A larger one is given back as it
+    is, and Spark joins it by shuffle.
     """
     rows = df.take(max_rows + 1)
     if len(rows) > max_rows:
         return df
     return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
+def written_side(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` written to the shared folder, and broadcast if its row count allows it.
+
+    For tables that cost a scan to make and may have a row per split of a large scan:
+    they are computed once, and their size is known before the join is planned.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    return F.broadcast(table) if table.count() <= max_rows else table

@@ -13,6 +13,7 @@ from tidemark.sources.measurements import (
     read_measurements,
     read_row_budget,
     rows_to_table,
+    write_columnar,
     write_measurements,
 )
 from tidemark.sources.pages import read_pages
@@ -30,6 +31,7 @@ __all__ = [
     "read_row_budget",
     "read_timings",
     "rows_to_table",
+    "write_columnar",
     "write_measurements",
     "write_sorted_links",
     "write_timings",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions import dataset_of_file
+from tidemark.functions import as_measure, dataset_of_file
 from tidemark.operators.ordering import with_scan_position
 
 HEADER_READERS = 16
@@ -61,15 +61,18 @@ def read_measurements(
     ``with_position`` adds the scan position that ``with_row_index`` needs.
     """
 
-    def scan(columns: Sequence[str], group: list[str]) -> DataFrame:
+    def scan(columns: Sequence[str] | None, group: list[str]) -> DataFrame:
         reader = spark.read.option("header", True).option("enforceSchema", not check_headers)
-        fields = [T.StructField(name, T.StringType()) for name in columns]
         if base_path is not None:
             reader = reader.option("basePath", base_path)
-            fields.append(T.StructField("dataset", T.StringType()))
         else:
             reader = reader.option("recursiveFileLookup", True)
-        df = reader.schema(T.StructType(fields)).csv(group)
+        if columns is not None:
+            names = [*columns, "dataset"] if base_path is not None else columns
+            reader = reader.schema(
+                T.StructType([T.StructField(name, T.StringType()) for name in names])
+            )
+        df = reader.csv(group)
         if with_position:
             df = with_scan_position(df)
         if with_dataset and base_path is None:
@@ -79,6 +82,8 @@ def read_measurements(
     paths = list(paths)
     if not paths:
         raise ValueError("no paths to read")
+    if len(paths) == 1 and base_path is None:
+        return scan(None, paths)
     groups = header_groups(spark, paths)
     if not groups:
         raise ValueError("none of the files has a header line")
@@ -118,6 +123,16 @@ def write_measurements(
     out.write.partitionBy("dataset").option("header", True).mode("overwrite").csv(path)
 
 
+def write_columnar(df: DataFrame, path: str, measures: Sequence[str]) -> None:
+    """The table as Parquet with the measures as doubles.
+
+    Text is parsed on every scan; a study that scans the same data for every partition
+    count parses it once this way.
+    """
+    numbers = {m: as_measure(m) for m in measures}
+    df.withColumns(numbers).write.mode("overwrite").parquet(path)
+
+
 def rows_to_table(
     spark: SparkSession, rows: Iterable[Sequence], columns: Sequence[str] | T.StructType | str
 ) -> DataFrame:

@@ -35,8 +35,8 @@ def test_ingest_then_read(spark, tmp_path):
     }
 
 
-@pytest.mark.parametrize("mode", ["repartition", "coalesce"])
-def test_study(spark, tmp_path, mode):
+def stage_piers(tmp_path):
+    """13 files of 5 rows, the columns of every other file in reverse."""
     names = [f"pier-{2005 + i}" for i in range(13)]
     (tmp_path / "list.txt").write_text("".join(f"{HOST}/{n}.nc\n" for n in names))
     for i, name in enumerate(names):
@@ -45,6 +45,11 @@ def test_study(spark, tmp_path, mode):
             ",".join(str(MEASURES.index(m) * 100 + i * 10 + j) for m in order) for j in range(5)
         ]
         (tmp_path / f"{name}.csv").write_text("\n".join(lines) + "\n")
+
+
+@pytest.mark.parametrize("mode", ["repartition", "coalesce"])
+def test_study(spark, tmp_path, mode):
+    stage_piers(tmp_path)
     study = partition_study(
         spark, str(tmp_path / "list.txt"), str(tmp_path), str(tmp_path / "out"), mode=mode,
         fractions=((1, 5), (1, 2), (1, 1)), counts=(1, 2),
@@ -64,6 +69,21 @@ def test_study(spark, tmp_path, mode):
     assert study.avg_series.count() == 3 and study.create_series.columns[1:] == ["create_s_1", "create_s_2"]
 
 
+@pytest.mark.parametrize("mode", ["repartition", "coalesce"])
+def test_study_by_rows(spark, tmp_path, mode):
+    stage_piers(tmp_path)
+    study = partition_study(
+        spark, str(tmp_path / "list.txt"), str(tmp_path), str(tmp_path / "out"),
+        mode=mode, row_budget=11, fractions=((1, 5), (1, 2), (1, 1)), counts=(2,),
+    )
+    rows = study.timings.orderBy("fraction_ord").collect()
+    # Three files of five rows pass the budget of eleven; 7.5 rounds to 8.
+    assert [(r.scale, r.rows) for r in rows] == [(3, 3), (8, 8), (15, 15)]
+    values = [i * 10 + j for i in range(3) for j in range(5)]
+    for r in rows:
+        assert r.avg_temperature == pytest.approx(sum(values[: r.scale]) / r.scale)
+
+
 def test_sweep_tries_every_count_up_to_the_scan(spark):
     wide = spark.range(0, 90, 1, 3).select((F.col("id") * 1.0).alias("v"))
     narrow = spark.range(0, 10, 1, 1).select((F.col("id") * 1.0).alias("v"))

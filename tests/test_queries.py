@@ -9,6 +9,7 @@ import __spark_entry__ as contract
 from tests.conftest import DATA
 
 FOLDER = DATA / "sf0.01"
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
 
 
 @pytest.fixture(scope="module")
@@ -36,6 +37,7 @@ def test_query_equals_sql(spark, db, name):
     result = db.execute(contract.oracle_sql()[name])
     columns = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(columns)
+    assert dict(df.dtypes) == {d[0]: TYPES[str(d[1])] for d in result.description}
     expected = normal(result.fetchall(), columns)
     actual = normal([tuple(row) for row in df.collect()], df.columns)
     assert len(actual) == len(expected)

@@ -7,6 +7,7 @@ columns for the measures; ``events`` by user and day for timing records.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 from functools import partial
 from math import ceil
 
@@ -353,30 +354,41 @@ def row_budget_files(spark, folder):
 # Partition counts
 
 
+def sized(prefix: op.Prefix, rows: int, build: Callable[[], DataFrame]) -> Case:
+    """The prefix at 1, 2 and 4 times the partitions its rows need."""
+    needed = max(1, ceil(rows / ROWS_PER_PARTITION))
+    return Case(prefix.size, build, [needed * step for step in SWEEP_STEPS])
+
+
 def sweep(spark: SparkSession, folder: str, mode: str, skipped=None) -> DataFrame:
-    """Every prefix of the ship years at 1, 2 and 4 times the partitions its rows need."""
+    """Every prefix of the ship years at a few partition counts."""
     lines = lines_by_year(spark, folder)
     years = years_of(lines)
     names = [row.dataset for row in years.orderBy("file_ord").collect()]
     prefixes = op.file_prefixes(len(names))
     counted = op.prefix_averages(op.assign_file_ord(lines, years), "file_ord", prefixes, [])
     rows = {row.fraction_ord: row.rows for row in counted.collect()}
-    cases = []
-    for i, prefix in enumerate(prefixes):
-        needed = max(1, ceil(rows[i] / ROWS_PER_PARTITION))
-        build = partial(lines.filter, F.col("dataset").isin(names[: prefix.size]))
-        cases.append(Case(prefix.size, build, [needed * step for step in SWEEP_STEPS]))
+
+    def build(prefix: op.Prefix) -> DataFrame:
+        # The years ascend, so a prefix ends at a date, and that filter reaches the scan.
+        end = int(names[prefix.last]) + 1 if prefix.size else int(names[0])
+        lineitem = table(spark, folder, "lineitem")
+        return lineitem.filter(F.col("l_shipdate") < F.lit(datetime(end, 1, 1)).cast("timestamp_ntz"))
+
+    cases = [sized(p, rows[i], partial(build, p)) for i, p in enumerate(prefixes)]
     return rounded(partition_sweep(spark, cases, mode, LINE_MEASURES, skipped=skipped))
 
 
+STEPS_SQL = f"CAST(greatest(ceil(rows / {ROWS_PER_PARTITION}.0), 1) * step AS INT)"
+STEP_ROWS = f"steps(step) AS (VALUES {', '.join(f'({s})' for s in SWEEP_STEPS)})"
+
+
 def sweep_sql(mode: str, where: str = "TRUE") -> str:
-    steps = ", ".join(f"({s})" for s in SWEEP_STEPS)
-    return f"""WITH {YEARS_SQL}, {LADDER_SQL}, sizes AS (
+    return f"""WITH {YEARS_SQL}, {LADDER_SQL}, {STEP_ROWS}, sizes AS (
       SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM years)")} AS scale FROM ladder),
     averaged AS (SELECT fraction_ord, scale, count(lines.file_ord) AS rows, {avg_sql()}
       FROM sizes LEFT JOIN lines ON lines.file_ord < scale GROUP BY fraction_ord, scale),
-    cells AS (SELECT *, CAST(greatest(ceil(rows / {ROWS_PER_PARTITION}.0), 1) * step AS INT)
-                AS partitions FROM averaged CROSS JOIN (VALUES {steps}) steps(step))
+    cells AS (SELECT *, {STEPS_SQL} AS partitions FROM averaged CROSS JOIN steps)
     SELECT '{mode}' AS mode, fraction_ord, scale, partitions, rows,
            {", ".join(f"avg_{m}" for m in LINE_MEASURES)} FROM cells WHERE {where}"""
 
@@ -397,6 +409,26 @@ def sweep_skip_cells(spark, folder):
     return sweep(spark, folder, "coalesce", skipped).drop("create_s", "avg_s")
 
 
+@query(
+    f"""WITH {LADDER_SQL}, {STEP_ROWS}, numbered AS (
+      SELECT value, row_number() OVER (ORDER BY event_id) AS n FROM events), sizes AS (
+      SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM events)")} AS scale FROM ladder),
+    averaged AS (SELECT fraction_ord, scale, count(n) AS rows, {avg_sql(["value"])}
+      FROM sizes LEFT JOIN numbered ON n <= scale GROUP BY fraction_ord, scale)
+    SELECT 'repartition' AS mode, fraction_ord, scale, {STEPS_SQL} AS partitions, rows, avg_value
+    FROM averaged CROSS JOIN steps"""
+)
+def sweep_rows(spark, folder):
+    # The same study with rows instead of files as the unit.
+    events = table(spark, folder, "events")
+    cases = [
+        sized(p, p.size, partial(events.filter, F.col("event_id") <= p.last))
+        for p in op.row_prefixes(events, "event_id")
+    ]
+    timed = partition_sweep(spark, cases, "repartition", ["value"])
+    return rounded(timed).drop("create_s", "avg_s")
+
+
 @query(
     f"""SELECT 8 * greatest(CAST(ceil(count(*) / {ROWS_PER_PARTITION}.0) AS BIGINT), 1)
     AS partitions, count(*) AS rows FROM events"""

@@ -11,14 +11,16 @@ from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.operators.measures import MEASURES
+from tidemark.operators.ordering import with_row_index
 from tidemark.operators.prefix import FRACTIONS, first_n_files, prefix_size
 from tidemark.operators.reports import complete_grid, pivot_series, report_lines
 from tidemark.plans.sweep import MODES, Case, partition_sweep
 from tidemark.session import get_session
 from tidemark.sources.datasets import read_dataset_list
-from tidemark.sources.measurements import dataset_paths, read_measurements
+from tidemark.sources.measurements import dataset_paths, read_measurements, read_row_budget
 from tidemark.sources.timings import write_timings
 
 
@@ -30,6 +32,33 @@ class Study(NamedTuple):
     avg_series: DataFrame
 
 
+def file_cases(
+    spark: SparkSession, paths: Sequence[str], fractions: Sequence[tuple[int, int]]
+) -> list[Case]:
+    """Prefixes of the file list, each read by itself."""
+    sizes = [prefix_size(len(paths), num, den) for num, den in fractions]
+    return [
+        Case(size, partial(read_measurements, spark, paths[:size])) for size in sizes if size
+    ]
+
+
+def row_cases(
+    spark: SparkSession,
+    datasets: DataFrame,
+    paths: Sequence[str],
+    fractions: Sequence[tuple[int, int]],
+    budget: int,
+) -> list[Case]:
+    """Prefixes of the rows, in list order, of the files within the row budget."""
+    scan = read_row_budget(spark, paths, budget, with_dataset=True, with_position=True)
+    rows = with_row_index(scan, datasets)
+    entries = scan.count()
+    sizes = [prefix_size(entries, num, den) for num, den in fractions]
+    return [
+        Case(size, partial(rows.filter, F.col("row_index") < size)) for size in sizes if size
+    ]
+
+
 def partition_study(
     spark: SparkSession,
     list_path: str,
@@ -38,26 +67,27 @@ def partition_study(
     *,
     mode: str,
     files: int | None = 12,
+    row_budget: int | None = None,
     fractions: Sequence[tuple[int, int]] = FRACTIONS,
     measures: Sequence[str] = MEASURES,
     counts: Sequence[int] | None = None,
 ) -> Study:
-    """Average the measures over growing file prefixes and partition counts.
+    """Average the measures over growing prefixes and partition counts.
 
-    ``files`` limits the study to the head of the dataset list; None takes all of it.
+    The prefixes count files, of the first ``files`` of the dataset list (None: of all).
+    With ``row_budget`` they count rows, of the first files that exceed that many rows.
     ``counts`` are the partition counts to try, by default 1 up to those of each scan.
-    Prefixes without a file (of a very short list) have nothing to scan and are left out.
+    Empty prefixes (of a very short list) have nothing to scan and are left out.
     """
     datasets = read_dataset_list(spark, list_path)
     if files is not None:
         datasets = first_n_files(datasets, files)
     paths = dataset_paths(datasets, data_folder)
-    sizes = [prefix_size(len(paths), num, den) for num, den in fractions]
-    cases = [
-        Case(size, partial(read_measurements, spark, paths[:size]), counts)
-        for size in sizes
-        if size
-    ]
+    if row_budget is None:
+        cases = file_cases(spark, paths, fractions)
+    else:
+        cases = row_cases(spark, datasets, paths, fractions, row_budget)
+    cases = [case._replace(counts=counts) for case in cases]
     timings = partition_sweep(spark, cases, mode, measures)
     record = ["scale", "partitions", "create_s", "avg_s"]
     path = write_timings(timings.select(record), out_folder, mode)
@@ -79,10 +109,19 @@ def main() -> None:
     parser.add_argument("out", help="folder for the timing table")
     parser.add_argument("--mode", choices=sorted(MODES), default="repartition")
     parser.add_argument("--files", type=int, default=12, help="0 for the whole list")
+    parser.add_argument("--row-budget", type=int, help="prefixes of rows, of about this many")
+    parser.add_argument("--counts", type=int, nargs="+", help="partition counts to try")
     args = parser.parse_args()
     spark = get_session()
     study = partition_study(
-        spark, args.list, args.data, args.out, mode=args.mode, files=args.files or None
+        spark,
+        args.list,
+        args.data,
+        args.out,
+        mode=args.mode,
+        files=args.files or None,
+        row_budget=args.row_budget,
+        counts=args.counts,
     )
     for row in report_lines(study.timings).toLocalIterator():
         print(row.line)

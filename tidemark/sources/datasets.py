@@ -44,6 +44,5 @@ def list_datasets(df: DataFrame, column: str = "dataset") -> DataFrame:
     The window runs over one row per dataset, never over the measurements.
     """
     distinct = df.select(column).distinct()
-    return distinct.select(
-        (F.row_number().over(Window.orderBy(column)) - 1).alias("file_ord"), column
-    )
+    position = F.row_number().over(Window.orderBy(column)) - 1
+    return distinct.select(position.cast("bigint").alias("file_ord"), column)

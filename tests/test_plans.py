@@ -22,13 +22,14 @@ def test_catalog_to_dataset_list(spark, tmp_path):
     ]
 
 
-def test_ingest_then_read(spark, tmp_path):
+@pytest.mark.parametrize("rebalance", [True, False])
+def test_ingest_then_read(spark, tmp_path, rebalance):
     grids = spark.createDataFrame(
         [("a", [1, 2], [1.0, None]), ("b", [1, 2, 3], [4.0, 5.0, 6.0])],
         "dataset string, at array<int>, temperature array<double>",
     )
     root = str(tmp_path / "csv")
-    ingest_grids(grids, {"time": "at"}, {"temperature": ("time",)}, root)
+    ingest_grids(grids, {"time": "at"}, {"temperature": ("time",)}, root, rebalance=rebalance)
     df = read_measurements(spark, [root], base_path=root)
     assert {(r.dataset, r.time, r.temperature) for r in df.collect()} == {
         ("a", "1", "1.0"), ("a", "2", None), ("b", "1", "4.0"), ("b", "2", "5.0"), ("b", "3", "6.0"),

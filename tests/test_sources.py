@@ -165,6 +165,26 @@ def test_row_index_over_many_splits(spark, tmp_path):
     assert sorted(rows) == list(enumerate(expected))
 
 
+def test_row_index_leaves_out_unlisted_datasets(spark, tmp_path):
+    paths = [write(tmp_path / f"{n}.csv", "key", n + "1", n + "2") for n in "abc"]
+    listed = spark.createDataFrame([(0, "c"), (1, "a")], "file_ord int, dataset string")
+    scan = read_measurements(spark, paths, with_dataset=True, with_position=True)
+    rows = with_row_index(scan, listed).select("row_index", "key").collect()
+    assert sorted(map(tuple, rows)) == [(0, "c1"), (1, "c2"), (2, "a1"), (3, "a2")]
+
+
+def test_row_index_fails_if_the_files_are_split_differently(spark, tmp_path):
+    path = write(tmp_path / "a.csv", "key", *[str(i) for i in range(5000)])
+    rows = with_row_index(read_measurements(spark, [path], with_position=True))
+    assert rows.agg(F.sum("row_index")).first()[0] == 5000 * 4999 // 2
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        with pytest.raises(Exception, match="split differently"):
+            rows.select("row_index", "key").filter("row_index >= 0").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_row_budget_reads_whole_files_in_order(spark, tmp_path):
     sizes = [10, 5, 5, 3]
     paths = [

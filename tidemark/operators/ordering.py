@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,33 +39,56 @@ def with_row_index(
 
     The rows of a split sit next to each other in one task, so their number is an offset
     per split plus their distance from the first row of the split. Only the table of
-    splits is sorted; no row is shuffled.
+    splits is sorted; no row is shuffled. It comes from an earlier pass over the same
+    files, so both passes must cut them alike: the cut, which otherwise follows the number
+    of cores of the moment, is pinned, and a row that does not fit its split is an error.
     """
+    pin_splits(scan.sparkSession)
     rows = scan.withColumn("__id", F.monotonically_increasing_id())
-    order = [FILE, BLOCK]
     sizes = [F.min("__id").alias("__first"), F.count("*").alias("__rows")]
     if datasets is None:
-        splits = rows.groupBy(FILE, BLOCK).agg(*sizes)
+        splits = rows.groupBy(FILE, BLOCK).agg(*sizes).withColumn("file_ord", F.lit(0))
     else:
-        splits = rows.groupBy(FILE, BLOCK).agg(*sizes, F.min("dataset").alias("dataset"))
-        splits = assign_file_ord(splits, datasets)
-        order = ["file_ord", *order]
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        named = rows.groupBy(FILE, BLOCK).agg(*sizes, F.min("dataset").alias("dataset"))
+        splits = assign_file_ord(named, datasets, how="left")
+    listed = F.col("file_ord").isNotNull()
+    before = (
+        Window.partitionBy(listed)
+        .orderBy("file_ord", FILE, BLOCK)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
     offsets = splits.select(
         FILE,
         BLOCK,
-        (F.coalesce(F.sum("__rows").over(before), F.lit(0)) - F.col("__first")).alias("__shift"),
+        "__first",
+        "__rows",
+        listed.alias("__listed"),
+        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
+    )
+    known = rows.join(written_side(offsets, "splits"), [FILE, BLOCK], "left")
+    place = F.col("__id") - F.col("__first")
+    index = F.when(place.between(0, F.col("__rows") - 1), F.col("__before") + place).otherwise(
+        F.raise_error(F.lit("the files were split differently when their rows were counted"))
     )
     return (
-        rows.join(written_side(offsets, "splits"), [FILE, BLOCK])
-        .withColumn(name, F.col("__id") + F.col("__shift"))
-        .drop("__id", "__shift", FILE, BLOCK)
+        known.filter(F.coalesce("__listed", F.lit(True)))
+        .withColumn(name, index.cast("bigint"))
+        .drop("__id", "__first", "__rows", "__listed", "__before", FILE, BLOCK)
     )
 
 
-def assign_file_ord(df: DataFrame, datasets: DataFrame, column: str = "dataset") -> DataFrame:
+def pin_splits(spark: SparkSession) -> None:
+    """Keep the size of file splits from following the cluster size in this session."""
+    setting = "spark.sql.files.minPartitionNum"
+    if spark.conf.get(setting, None) is None:
+        spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
+
+
+def assign_file_ord(
+    df: DataFrame, datasets: DataFrame, column: str = "dataset", how: str = "inner"
+) -> DataFrame:
     """Add ``file_ord`` of the dataset list to the rows of its datasets."""
-    return df.join(small_side(datasets.select("file_ord", column)), column)
+    return df.join(small_side(datasets.select("file_ord", column)), column, how)
 
 
 INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

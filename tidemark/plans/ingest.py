@@ -17,7 +17,12 @@ def ingest_grids(
     path: str,
     *,
     dataset: str = "dataset",
+    rebalance: bool = True,
 ) -> None:
-    """Flatten every dataset of ``grids`` and write its rows, in grid order, as CSV."""
+    """Flatten every dataset of ``grids`` and write its rows, in grid order, as CSV.
+
+    With one row of ``grids`` per dataset, its points are together already, and
+    ``rebalance=False`` spares the shuffle.
+    """
     flat = flatten_grid(grids, dims, variables, keep=[dataset])
-    write_measurements(flat, path, dataset=dataset, sort_by=list(dims))
+    write_measurements(flat, path, dataset=dataset, sort_by=list(dims), rebalance=rebalance)

@@ -49,7 +49,7 @@ def with_row_index(
     if datasets is None:
         splits = rows.groupBy(FILE, BLOCK).agg(*sizes).withColumn("file_ord", F.lit(0))
     else:
-        named = rows.groupBy(FILE, BLOCK).agg(*sizes, F.min("dataset").alias("dataset"))
+        named = rows.groupBy(FILE, BLOCK, "dataset").agg(*sizes)
         splits = assign_file_ord(named, datasets, how="left")
     listed = F.col("file_ord").isNotNull()
     before = (

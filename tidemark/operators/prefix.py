@@ -147,10 +147,14 @@ def prefix_averages(
     last = len(prefixes) - 1
     inside = df.filter(_within(F.col(key), prefixes[-1].last))
     smallest = sum(((~_within(F.col(key), p.last)).cast("int") for p in prefixes), F.lit(0))
-    sums = [F.sum(as_measure(m)).alias(f"sum_{m}") for m in measures]
-    filled = [F.count(as_measure(m)).alias(f"n_{m}") for m in measures]
-    groups = inside.groupBy(smallest.alias("fraction_ord")).agg(
-        F.count("*").alias("rows"), *sums, *filled
+    # Cast once, for the sum and the count of the filled cells.
+    numbers = inside.select(
+        smallest.alias("fraction_ord"), *[as_measure(m).alias(m) for m in measures]
+    )
+    groups = numbers.groupBy("fraction_ord").agg(
+        F.count("*").alias("rows"),
+        *[F.sum(m).alias(f"sum_{m}") for m in measures],
+        *[F.count(m).alias(f"n_{m}") for m in measures],
     )
     spread = groups.withColumn(
         "fraction_ord", F.explode(F.sequence("fraction_ord", F.lit(last)))

@@ -1,6 +1,7 @@
 """Every registered query against its SQL in DuckDB, on the same tables."""
 
 import math
+import os
 
 import duckdb
 import pytest
@@ -8,7 +9,7 @@ import pytest
 import __spark_entry__ as contract
 from tests.conftest import DATA
 
-FOLDER = DATA / "sf0.01"
+FOLDER = DATA / os.environ.get("TIDEMARK_SF", "sf0.01")
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
 
 

@@ -45,6 +45,17 @@ def links_of(spark, html):
         ('<a href="&amp;lt;">', ["&lt;"]),
         ('<a href="1"><a href="2"><a href="1">', ["1", "2", "1"]),
         ("<a href=\"it's\">", ["it's"]),
+        ("<a href=it's><a href='y'>", ["it's", "y"]),
+        ('<a title=5" href="x"><a href="y">', ["x", "y"]),
+        ('<a href="a=b>c" id=x>', ["a=b>c"]),
+        ("<a href=x/>", ["x/"]),
+        ('<a/href="x">', ["x"]),
+        ('<a title="unclosed href=x><a href="y">', []),
+        ('<a class = "b" href = "x" >', ["x"]),
+        ("<a href=x?a=1&amp;b=2#c>", ["x?a=1&b=2#c"]),
+        ("<a " + "= b" * 50_000 + ' ><a href="x">', ["x"]),
+        ("<a " + 'x="y" ' * 20_000 + 'href="z">', ["z"]),
+        ("<!--" + "- >" * 50_000 + '<a href="x">--><a href="y">', ["y"]),
     ],
 )
 def test_anchors(spark, html, links):

@@ -1,10 +1,13 @@
 import csv
 import math
+import re
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import MEASURES, avg_measures, with_row_index
+from tidemark.session import scratch_dir
 from tidemark.sources import (
     append_links,
     dataset_paths,
@@ -122,6 +125,16 @@ def test_measurements_roundtrip_by_dataset(spark, tmp_path):
         assert ids == sorted(ids)
 
 
+def test_dataset_folders_with_different_headers(spark, tmp_path):
+    for name, header, line in (("a", "t,temperature", "1,2.0"), ("b", "temperature,t", "4.0,3")):
+        (tmp_path / f"dataset={name}").mkdir()
+        write(tmp_path / f"dataset={name}" / "part-0.csv", header, line)
+    folders = [str(tmp_path / f"dataset={name}") for name in "ab"]
+    df = read_measurements(spark, folders, base_path=str(tmp_path))
+    got = {(r.dataset, r.t, r.temperature) for r in df.collect()}
+    assert got == {("a", "1", "2.0"), ("b", "3", "4.0")}
+
+
 def test_a_dataset_with_most_rows_is_written_by_several_tasks(spark, tmp_path):
     data = spark.range(0, 200_000, 1, 16).select(
         F.when(F.col("id") % 10 == 0, F.col("id") % 7).otherwise(99).alias("dataset"),
@@ -230,9 +243,21 @@ def test_dataset_list_is_in_line_order(spark, tmp_path):
     assert sorted(map(tuple, rows)) == list(enumerate(lines))
 
 
+def test_scratch_folder_is_the_shared_one():
+    def session(folder, master):
+        conf = SimpleNamespace(get=lambda key, default: folder)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master))
+
+    assert scratch_dir(session("s3a://b/c/", "yarn"), "x").startswith("s3a://b/c/x-")
+    assert scratch_dir(session(None, "local[2]"), "x") != scratch_dir(session(None, "local[2]"), "x")
+    with pytest.raises(ValueError):
+        scratch_dir(session(None, "yarn"), "x")
+
+
 def test_timing_file_name_and_header(spark, tmp_path):
-    df = spark.createDataFrame([(2, 1, 0.5, None)], "scale int, partitions int, create_s double, avg_s double")
+    schema = "scale int, partitions int, create_s double, avg_s double"
+    df = spark.createDataFrame([(2, 1, 0.5, None)], schema)
     path = write_timings(df, str(tmp_path), "coalesce")
-    assert __import__("re").fullmatch(r".*/coalesce_raw\d{8}-\d{6}\.csv", path)
+    assert re.fullmatch(r".*/coalesce_raw\d{8}-\d{6}\.csv", path)
     back = spark.read.option("header", True).csv(path)
     assert back.columns == df.columns and back.first().avg_s is None

@@ -14,10 +14,12 @@ OPAQUE_REGIONS = (
     r"|<script\b.*?(?:</script\s*>|\z)"
     r"|<style\b.*?(?:</style\s*>|\z)"
 )
-# The attribute text of an opening <a ...> tag; ">" inside quotes does not end it.
-ANCHOR = r"""(?is)<a(?=[\s/])((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
-# One attribute: name, then its value in double quotes, single quotes or bare.
-ATTRIBUTE = r"""(?s)([^\s/=>"']++)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>"']++))?+"""
+# The attribute text of an opening <a ...> tag. A value in quotes may hold ">", and quotes
+# count only where a value starts. Possessive repeats run in constant stack space.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
+ANCHOR = rf"(?is)<a(?=[\s/])((?:[^>=]++|=\s*+{VALUE}?+)*+)>"
+# One attribute: its name, and its value if it has one.
+ATTRIBUTE = rf"(?s)([^\s/=]++)(?:\s*+=\s*+({VALUE}))?+"
 ENTITY_PIECES = r"(&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&)"
 
 # All named references as one text, which Spark folds into one map literal.

@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.functions import as_measure
 from tidemark.operators.measures import MEASURES, avg_measures

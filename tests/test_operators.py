@@ -45,6 +45,15 @@ def links_of(spark, html):
         ('<a href="&amp;lt;">', ["&lt;"]),
         ('<a href="1"><a href="2"><a href="1">', ["1", "2", "1"]),
         ("<a href=\"it's\">", ["it's"]),
+        ('<p title="<a href=x>"><a href="y">', ["y"]),
+        ('<p title="<!-- "><a href="y">', ["y"]),
+        ('<script src="s"/><a href="y">', ["y"]),
+        ('<SCRIPT type=x>"<a href=x>"</SCRIPT ><a href="y">', ["y"]),
+        ('<scripted><a href="y"></scripted>', ["y"]),
+        ('<!--><a href="y">', ["y"]),
+        ('<!DOCTYPE html><?xml a="b"?></p><a href="y">', ["y"]),
+        ('1 < 2 <b<a href="x"> and <a href="y"', []),
+        ("a<b " * 50_000 + '<a href="x"', []),
         ("<a href=it's><a href='y'>", ["it's", "y"]),
         ('<a title=5" href="x"><a href="y">', ["x", "y"]),
         ('<a href="a=b>c" id=x>', ["a=b>c"]),

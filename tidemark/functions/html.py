@@ -7,17 +7,22 @@ from html.entities import html5
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text in which a tag is not a tag. One pattern, so that whichever region opens
-# first also hides the openings of the others; a region never closed runs to the end.
-OPAQUE_REGIONS = (
-    r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script\b.*?(?:</script\s*>|\z)"
-    r"|<style\b.*?(?:</style\s*>|\z)"
-)
-# The attribute text of an opening <a ...> tag. A value in quotes may hold ">", and quotes
-# count only where a value starts. Possessive repeats run in constant stack space.
+# A value in quotes may hold ">", and quotes count only where a value starts. Possessive
+# repeats keep the matcher from recursing.
 VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)"""
-ANCHOR = rf"(?is)<a(?=[\s/])((?:[^>=]++|=\s*+{VALUE}?+)*+)>"
+ATTRIBUTES = rf"(?:[^>=]++|=\s*+{VALUE}?+)*+"
+# The tokens of a page; group 2 is the attribute text of an anchor. A comment, script,
+# style or tag is one token, so what looks like an anchor inside it is none. One that is
+# never closed runs to the end.
+TOKENS = "|".join(
+    [
+        r"(?is)<!--(?:-?>|.*?(?:--!?>|\z))",
+        rf"<(script|style)(?=[\s/>]){ATTRIBUTES}(?<!/)>.*?(?:</\1(?=[\s/>])|\z)",
+        rf"<a(?=[\s/])({ATTRIBUTES})>",
+        rf"<[a-z]{ATTRIBUTES}(?:>|\z)",
+        r"<[!?/][^>]*+>",
+    ]
+)
 # One attribute: its name, and its value if it has one.
 ATTRIBUTE = rf"(?s)([^\s/=]++)(?:\s*+=\s*+({VALUE}))?+"
 ENTITY_PIECES = r"(&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&)"
@@ -64,6 +69,5 @@ def _href(attributes: Column) -> Column:
 
 def link_array(html: Column) -> Column:
     """For every anchor of a page, in page order, its ``href`` or null."""
-    visible = F.regexp_replace(html, OPAQUE_REGIONS, "")
-    anchors = F.regexp_extract_all(visible, F.lit(ANCHOR), 1)
+    anchors = F.filter(F.regexp_extract_all(html, F.lit(TOKENS), 2), lambda text: text != "")
     return F.transform(F.transform(anchors, _href), decode_entities)

@@ -94,6 +94,18 @@ def test_a_folder_of_mixed_headers_fails_instead_of_mixing_columns(spark, two_or
         avg_measures(df).collect()
 
 
+def test_one_header_for_all_files(spark, tmp_path, two_orders):
+    same = [write(tmp_path / f"s{i}.csv", HEADER_A, f"t,{i}.0,1,2,3") for i in range(3)]
+    df = read_measurements(spark, same, one_header=True)
+    assert avg_measures(df).first() == pytest.approx((1.0, 1.0, 2.0, 3.0))
+    with pytest.raises(Exception, match="(?i)failed_read_file|header"):
+        avg_measures(read_measurements(spark, two_orders, one_header=True)).collect()
+    loose = read_measurements(spark, two_orders, one_header=True, check_headers=False)
+    # The header of the first file for both, by position: the mean of 15, 9 and NaN.
+    assert math.isnan(avg_measures(loose).first().avg_temperature)
+    assert avg_measures(loose, nan_as_null=True).first().avg_temperature == pytest.approx(12.0)
+
+
 def test_dataset_from_odd_file_names(spark, tmp_path):
     folder = tmp_path / "x y%20"
     folder.mkdir()

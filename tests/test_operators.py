@@ -272,6 +272,28 @@ def test_grid_with_two_dimensions(spark):
     assert sorted(map(tuple, one.collect())) == [(10, 7.0), (20, 8.0)]
 
 
+def test_grid_keeps_points_that_only_some_variables_have(spark):
+    df = spark.createDataFrame(
+        [("d", [1, 2], [[1.0, 2.0], None], None), ("e", None, None, [5.0])],
+        "name string, t array<int>, v array<array<double>>, w array<double>",
+    )
+    flat = op.flatten_grid(df, {"t": "t"}, {"w": ("t",)}, keep=["name"])
+    assert sorted(map(tuple, flat.collect()), key=repr) == [
+        ("d", 1, None), ("d", 2, None), ("e", None, 5.0)
+    ]
+    nested = op.flatten_grid(df, {"t": "t", "z": None}, {"v": ("t", "z")}, keep=["name"])
+    assert sorted(map(tuple, nested.collect())) == [("d", 1, 0, 1.0), ("d", 1, 1, 2.0)]
+
+
+def test_grid_with_three_dimensions(spark):
+    cube = [[[1.0, 2.0]], [[3.0, 4.0]], [[5.0, 6.0]]]
+    df = spark.createDataFrame([(cube, [7, 8])], "v array<array<array<double>>>, last array<int>")
+    flat = op.flatten_grid(df, {"a": None, "b": None, "c": "last"}, {"v": ("a", "b", "c")})
+    assert sorted(map(tuple, flat.collect())) == [
+        (a, 0, 7 + c, cube[a][0][c]) for a in range(3) for c in range(2)
+    ]
+
+
 def test_grid_rejects_unordered_or_unknown_dimensions(spark):
     df = spark.createDataFrame([([[1.0]],)], "v array<array<double>>")
     for own in (("z", "t"), ("t", "q")):

@@ -48,7 +48,10 @@ def flatten_grid(
         if not zipped:
             raise ValueError(f"no coordinates and no variable start with dimension {dim}")
         others = [c for c in grid.columns if c not in zipped]
-        grid = grid.select(
+        # A zip with a null is null as a whole; an empty array leaves the others' points.
+        grid = grid.withColumns(
+            {c: F.coalesce(c, F.array().cast(grid.schema[c].dataType)) for c in zipped}
+        ).select(
             *others, F.posexplode(F.arrays_zip(*zipped)).alias(f"__pos_{dim}", "__point")
         )
         where = F.col(f"__point.__at_{dim}") if dim in coordinates else F.col(f"__pos_{dim}")

@@ -35,7 +35,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 SMALL_SIDE_ROWS = 100_000
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 
 
 def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:

@@ -7,7 +7,6 @@ columns for the measures; ``events`` by user and day for timing records.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 from functools import partial
 from math import ceil
 
@@ -373,7 +372,7 @@ def sweep(spark: SparkSession, folder: str, mode: str, skipped=None) -> DataFram
         # The years ascend, so a prefix ends at a date, and that filter reaches the scan.
         end = int(names[prefix.last]) + 1 if prefix.size else int(names[0])
         lineitem = table(spark, folder, "lineitem")
-        return lineitem.filter(F.col("l_shipdate") < F.lit(datetime(end, 1, 1)).cast("timestamp_ntz"))
+        return lineitem.filter(F.col("l_shipdate") < F.lit(f"{end}-01-01").cast("timestamp_ntz"))
 
     cases = [sized(p, rows[i], partial(build, p)) for i, p in enumerate(prefixes)]
     return rounded(partition_sweep(spark, cases, mode, LINE_MEASURES, skipped=skipped))

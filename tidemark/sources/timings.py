@@ -13,7 +13,7 @@ STAMP_FORMAT = "%Y%m%d-%H%M%S"
 def write_timings(df: DataFrame, folder: str, mode: str) -> str:
     """Write ``df`` with a header below ``folder`` and give back the path."""
     path = f"{folder.rstrip('/')}/{mode}_raw{datetime.now().strftime(STAMP_FORMAT)}.csv"
-    df.write.option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).csv(path)
     return path
 
 

@@ -38,10 +38,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def bounded_sample(df: DataFrame, size: int, key: Column) -> DataFrame:
-    """The ``size`` rows with the smallest hash of ``key``: fixed, whatever the partitioning."""
-    ordered = df.withColumn("__order", F.xxhash64(key.cast("string")))
-    return ordered.orderBy("__order", key).limit(size).drop("__order")
+def label_sample(df: DataFrame, label: str, per_label: int) -> DataFrame:
+    """Rows of ``df`` by the hash of doc_id: about ``per_label`` for each label, or all of them.
+
+    The hash decides alone, so the sample does not depend on partitions or on other columns,
+    and its size is bounded by ``per_label`` times the number of labels, but for chance.
+    """
+    counts = df.groupBy(label).count().collect()
+    part = (F.xxhash64("doc_id", F.lit(17)) / F.lit(2.0**64) + 0.5).cast("double")
+    keep = F.lit(False)
+    for row in counts:
+        if row[label] is not None:
+            keep = keep | ((F.col(label) == F.lit(row[label])) & (part < per_label / row["count"]))
+    return df.where(keep)
 
 
 # --- byte slices ---------------------------------------------------------------------------
@@ -160,3 +169,23 @@ def shingles_of(words: np.ndarray, counts: np.ndarray, k: int = 5) -> tuple[np.n
     place = np.arange(n) - np.repeat(first, counts)
     keep = (place == 0) | (place + k <= np.repeat(counts, counts))
     return mix(h[keep]), np.where(counts >= k, counts - k + 1, np.minimum(counts, 1))
+
+
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def lower_bytes(data: np.ndarray) -> np.ndarray:
+    """ASCII and Latin-1 capitals of UTF-8 bytes in lower case; the length stays."""
+    out = LOWER[data]
+    second = np.zeros(len(data), bool)
+    second[1:] = data[:-1] == 0xC3
+    out[second & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 0x20
+    return out
+
+
+def sums_by_row(flags: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """The sum of ``flags`` between each two offsets."""
+    total = np.zeros(len(flags) + 1, np.int64)
+    np.cumsum(flags, out=total[1:])
+    return np.diff(total[offsets])

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.decontaminate import op3_simhash_decontaminate
 from tidemark.llm.fingerprints import op1_threshold_sketch
 from tidemark.llm.language import op2_string_kernel_language
 from tidemark.llm.mixing import op10_entropy_mix
@@ -12,6 +13,7 @@ from tidemark.llm.toxicity import op7_noisy_channel_toxicity
 QUERIES = {
     "op1_threshold_sketch": op1_threshold_sketch,
     "op2_string_kernel_language": op2_string_kernel_language,
+    "op3_simhash_decontaminate": op3_simhash_decontaminate,
     "op5_order_minhash": op5_order_minhash,
     "op6_fourier_quality": op6_fourier_quality,
     "op7_noisy_channel_toxicity": op7_noisy_channel_toxicity,

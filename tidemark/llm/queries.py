@@ -8,6 +8,7 @@ from tidemark.llm.language import op2_string_kernel_language
 from tidemark.llm.mixing import op10_entropy_mix
 from tidemark.llm.neardup import op5_order_minhash
 from tidemark.llm.quality import op6_fourier_quality
+from tidemark.llm.suffix import op9_difference_cover
 from tidemark.llm.toxicity import op7_noisy_channel_toxicity
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op5_order_minhash": op5_order_minhash,
     "op6_fourier_quality": op6_fourier_quality,
     "op7_noisy_channel_toxicity": op7_noisy_channel_toxicity,
+    "op9_difference_cover": op9_difference_cover,
     "op10_entropy_mix": op10_entropy_mix,
 }
 SQL: dict[str, str] = {}

@@ -32,6 +32,8 @@ SAMPLE_PER_LANG = 600
 LANDMARKS = 192
 RIDGE = 1e-3
 PLACES = (256, 2048, 8192)
+#: Texts below this score have no known language.
+LEAST_SCORE = 0.2
 LETTER = re.compile(r"[^\W\d_]")
 
 _FOLD = np.full(256, 32, np.uint8)
@@ -59,6 +61,15 @@ def presence(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out / np.maximum(norm, 1)
 
 
+def has_letter(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Whether each text has a letter; texts with an ASCII letter are not searched further."""
+    low = lower_bytes(data)
+    has = sums_by_row((low >= 97) & (low <= 122), offsets) > 0
+    for i in np.flatnonzero(~has):
+        has[i] = bool(LETTER.search(bytes(data[offsets[i] : offsets[i + 1]]).decode("utf-8", "ignore")))
+    return has
+
+
 @dataclass(frozen=True)
 class LanguageModel:
     langs: tuple[str, ...]
@@ -109,10 +120,7 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
             score = np.zeros(len(column))
             for first, last, data, offsets in text_slices(column) if model else ():
                 out = model.scores(data, offsets)
-                folded = lower_bytes(data)
-                has = sums_by_row((folded >= 97) & (folded <= 122), offsets) > 0
-                for i in np.flatnonzero(~has):
-                    has[i] = bool(LETTER.search(bytes(data[offsets[i] : offsets[i + 1]]).decode()))
+                has = has_letter(data, offsets)
                 best = out.argmax(axis=1)
                 names[first:last] = np.where(has, np.array(model.langs, object)[best], "und")
                 score[first:last] = np.where(has, np.clip((out.max(axis=1) + 1) / 2, 0, 1), 0)
@@ -124,6 +132,29 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
     return given.mapInArrow(predict, "doc_id bigint, held_out boolean, lang_pred string, score double")
 
 
+def with_language(docs: DataFrame, model: LanguageModel | None, least: float = LEAST_SCORE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known with ``least`` score.
+
+    Texts that are ``und`` go; without a model nothing can be told and only texts without a
+    letter go.
+    """
+    place = docs.columns.index("text")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            good = np.zeros(batch.num_rows, bool)
+            for first, last, data, offsets in text_slices(batch.column(place)):
+                known = has_letter(data, offsets)
+                if model:
+                    known &= (model.scores(data, offsets).max(axis=1) + 1) / 2 >= least
+                good[first:last] = known
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def op2_string_kernel_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     docs = table(spark, sf_dir, "documents")

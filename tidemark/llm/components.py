@@ -20,6 +20,13 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("hi", F.col("m").alias("lo"))).distinct()
 
 
+def _settled(links: DataFrame) -> bool:
+    """Whether every node has one link at most and none leads on."""
+    nodes = links.select("hi", F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(links.select(F.col("lo").alias("hi"), F.lit(0).alias("up"), F.lit(1).alias("down")))
+    seen = nodes.groupBy("hi").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not seen.where("up > 1 or (up > 0 and down > 0)").take(1)
+
+
 def components(links: DataFrame, name: str = "components") -> DataFrame:
     """(node, root) for every node of ``links`` (a, b) but the roots themselves.
 
@@ -27,10 +34,6 @@ def components(links: DataFrame, name: str = "components") -> DataFrame:
     number of rounds grows with the logarithm of the longest chain.
     """
     now = stored(links.where("a != b").select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo")).distinct(), name)
-    state = None
-    while True:
+    while not _settled(now):
         now = stored(_small_star(stored(_large_star(now), name)), name)
-        new = now.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
-        if new == state:
-            return now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))
-        state = new
+    return now.select(F.col("hi").alias("node"), F.col("lo").alias("root"))

@@ -8,9 +8,10 @@ of a band, and texts that share the key of one of ``BANDS`` bands are candidates
 threshold a pair shares no band with a chance of about 6e-5.
 
 Texts with equal words are one node from the start. In a band, small groups give all pairs;
-a larger group gives a link of each member to its first member, and after that all pairs of
-the classes still found in it, so no group is expanded into pairs of its members. Candidates
-are verified by alignment: the longest chain of equal labelled k-mers in the same order,
+a larger group gives a link of each member to its first member. Where that leaves several
+classes in a group, as a passage in very many texts does, one text of each class goes through
+an exact prefix filter (``prefix_pairs``), so no large group is expanded into its pairs.
+Candidates are verified by alignment: the longest chain of equal labelled k-mers in the same order,
 inside a band about the diagonal as wide as the threshold allows. Similarity is the chain's
 length over all k-mers of the two texts together; 0.8 and more is a link. Classes are
 connected components.
@@ -38,6 +39,8 @@ K = 5
 SIMILARITY = 0.8
 MINIMA, ROWS, BANDS = 2, 3, 32
 SMALL_GROUP = 8
+#: Texts looked at, and k-mers kept, to find a good order for the exact filter.
+ORDER_TEXTS, ORDER_KMERS = 500, 200_000
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -185,6 +188,58 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     return members.select("key", F.col("id").alias("a")).join(other, "key").where("a > b").select("a", "b").distinct()
 
 
+def frequent_kmers(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """(k-mer, texts) of those found most often in some of the texts, by k-mer; bounded."""
+    part = min(1.0, ORDER_TEXTS / max(1, texts.count()))
+    some = texts.where(F.xxhash64("id", F.lit(5)) / F.lit(2.0**64) + 0.5 < part)
+    counts = some.select(F.explode(F.array_distinct("kmers")).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
+    found = counts.where("n > 1").orderBy(F.desc("n"), "kmer").limit(ORDER_KMERS).toArrow()
+    order = np.argsort(found.column("kmer").to_numpy())
+    return found.column("kmer").to_numpy()[order], found.column("n").to_numpy()[order]
+
+
+def prefix_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """Every pair (a, b) of the texts (id, kmers) that can be as similar as ``least``: an exact filter.
+
+    All texts sort their labelled k-mers in one order. Let x be the smaller text of a pair, with
+    n k-mers, and y the larger one, with m. If they share so many k-mers that the similarity is t,
+    one of the first n - ceil(2t / (1 + t) n) + 1 of x is one of the first m - ceil(t m) + 1 of y.
+    Any order is right; this one puts k-mers known to be frequent last, so that texts which
+    differ in their own ways from a common one make no pair.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(frequent_kmers(texts))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, times = shared.value
+        for batch in batches:
+            ids, sizes, keys, own = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+            for i in range(batch.num_rows):
+                raw = batch.column(1)[i].values.to_numpy()
+                n = len(raw)
+                if not n:
+                    continue
+                h = labelled(raw.astype(np.uint64), np.array([n]))
+                often = np.zeros(n, np.int64)
+                if len(known):
+                    at = np.minimum(np.searchsorted(known, raw), len(known) - 1)
+                    often = np.where(known[at] == raw, times[at], 0)
+                long = n - int(np.ceil(least * n - 1e-9)) + 1
+                keys.append(h[np.lexsort((h, often))[:long]])
+                own.append(np.arange(long) < n - int(np.ceil(2 * least / (1 + least) * n - 1e-9)) + 1)
+                ids.append(np.full(long, batch.column(0)[i].as_py(), np.int64))
+                sizes.append(np.full(long, n, np.int64))
+            columns = [np.concatenate(keys).view(np.int64), np.concatenate(ids), np.concatenate(sizes), np.concatenate(own)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "id", "n", "own"])
+
+    firsts = stored(texts.select("id", "kmers").mapInArrow(prefixes, "key bigint, id bigint, n bigint, own boolean"), "neardup-prefixes")
+    smaller = firsts.where("own").select("key", F.col("id").alias("i"), F.col("n").alias("ni"))
+    larger = firsts.select("key", F.col("id").alias("j"), F.col("n").alias("nj"))
+    ordered = (F.col("ni") < F.col("nj")) | ((F.col("ni") == F.col("nj")) & (F.col("i") < F.col("j")))
+    fits = F.col("ni") >= F.col("nj") * (least - 1e-9)
+    met = smaller.join(larger, (smaller["key"] == larger["key"]) & ordered & fits)
+    return met.select(F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")).distinct()
+
+
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """doc_id, class_id (the smallest doc_id of the class), class_size; a row for each row of ``docs``."""
     signed = stored(signatures(docs), "neardup-signed")
@@ -205,14 +260,13 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     # Larger groups: what is still in different classes, one member for each class.
     large = members.where(F.col("n") > SMALL_GROUP).select("key", "id")
     classed = large.join(roots, large["id"] == roots["node"], "left").select("key", F.coalesce("root", "id").alias("class"), "id")
-    left = classed.groupBy("key", "class").agg(F.min("id").alias("id"))
+    left = stored(classed.groupBy("key", "class").agg(F.min("id").alias("id")), "neardup-left")
     several = left.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1")
-    rest = stored(_all_pairs(left.join(several, "key", "left_semi").select("key", "id")), "neardup-rest")
+    rest = stored(left.join(several, "key", "left_semi").select("id").distinct(), "neardup-rest")
     if rest.take(1):
-        more = stored(verified(rest, cut, least), "neardup-more")
+        more = stored(verified(prefix_pairs(cut.join(rest, "id"), least), cut, least), "neardup-more")
         if more.take(1):
-            links = stored(links.unionByName(more), "neardup-links")
-            roots = components(links)
+            roots = components(links.unionByName(more))
 
     by_text = stored(
         texts.join(roots, texts["rep"] == roots["node"], "left").select("t1", "t2", F.coalesce("root", "rep").alias("class_id")), "neardup-classes"

@@ -1,0 +1,342 @@
+"""Fingerprints, near duplicates, repeated strings and benchmark items against brute force."""
+
+import hashlib
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tidemark.llm import decontaminate, fingerprints, neardup, suffix
+from tidemark.llm.common import shingles_of, text_slices, words_of
+from tidemark.llm.components import components
+
+random.seed(4)
+WORDS = ["".join(random.choices("abcdefgé", k=random.randint(2, 7))) for _ in range(400)]
+
+
+def prose(rng, n):
+    return " ".join(rng.choice(WORDS) for _ in range(n))
+
+
+def edited(rng, text, n):
+    words = text.split()
+    for _ in range(n):
+        words[rng.randrange(len(words))] = rng.choice(WORDS) + "x"
+    return " ".join(words)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(1)
+    base, other, passage = prose(rng, 120), prose(rng, 300), prose(rng, 60)
+    out = [(7, base), (3, base), (12, edited(rng, base, 1)), (15, base.upper()), (20, None), (21, ""), (22, "..."), (23, "a"), (24, "a b")]
+    out += [(30 + i, prose(rng, 40) + " " + passage + " " + prose(rng, 30)) for i in range(14)]
+    out += [(60 + i, edited(rng, other, i)) for i in range(14)]
+    out += [(80, other + " " + other), (81, prose(rng, 4000)), (None, base), (90, base), (90, base), (91, "é" * 300), (92, "ab" * 200)]
+    return out
+
+
+# --- fingerprints ---
+
+
+def test_fingerprints(spark, make_docs, folder, rows):
+    given_rows = [r for r in rows if r[0] is not None]
+    docs = [r for i, r in enumerate(given_rows) if r[0] not in [x[0] for x in given_rows[:i]]]
+    got = fingerprints.op1_threshold_sketch(spark, folder(documents=make_docs(docs))).collect()
+    assert len(got) == len(docs)
+    by_id = {r.doc_id: r for r in got}
+    order = sorted(((i, t or "") for i, t in docs), reverse=True)
+    for k, (i, text) in enumerate(order):
+        n = len(text) // 3
+        after = order[(k + 1) % len(order)][1]
+        assert by_id[i].n_chars == len(text)
+        assert by_id[i].edited_sha256 == hashlib.sha256((text[: len(text) - n] + after[:n]).encode()).hexdigest()
+        assert 0 <= by_id[i].near_edited <= 1 and 0 <= by_id[i].near_next <= 1
+    assert by_id[7].fingerprint == by_id[3].fingerprint != by_id[12].fingerprint
+    assert by_id[20].fingerprint == by_id[21].fingerprint == ""
+    assert by_id[23].fingerprint and by_id[81].near_edited == pytest.approx(0.5, abs=0.15)
+
+
+def test_fingerprints_of_repeated_and_missing_ids(spark, make_docs, folder):
+    docs = make_docs([(None, "a b c"), (5, "x y z"), (5, "x y z"), (None, None)])
+    assert fingerprints.op1_threshold_sketch(spark, folder(documents=docs)).count() == 4
+    empty = make_docs([])
+    assert fingerprints.op1_threshold_sketch(spark, folder(documents=empty)).collect() == []
+
+
+def test_ranges_do_not_change_fingerprints(spark, make_docs, monkeypatch):
+    docs = make_docs([(i * i, f"w{i} " * (i + 1)) for i in range(40)])
+    whole = sorted(fingerprints.with_next(docs).select("doc_id", "nx_text").collect())
+    monkeypatch.setattr(fingerprints.id_ranges, "__defaults__", (3, 20))
+    assert sorted(fingerprints.with_next(docs).select("doc_id", "nx_text").collect()) == whole
+
+
+def test_containment_of_unequal_texts(spark):
+    rng = random.Random(5)
+    small = prose(rng, 400)
+    large = prose(rng, 3000) + " " + small + " " + prose(rng, 3000)
+    df = spark.createDataFrame([(small, large)], "small string, large string")
+    a, b = fingerprints.sketch_of(df["small"]), fingerprints.sketch_of(df["large"])
+    got = df.select(fingerprints.containment(a, b).alias("c"), fingerprints.likeness(a, b).alias("l")).first()
+    assert got.c > 0.95 and got.l < 0.2
+
+
+def test_fingerprint_plan_is_native(spark, make_docs, folder):
+    df = fingerprints.op1_threshold_sketch(spark, folder(documents=make_docs([(1, "a")])))
+    plan = df._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas", plan)
+
+
+# --- near duplicates ---
+
+
+def kmer_counter(text):
+    words = re.findall(r"[^\W_]+", text.lower())
+    return Counter(tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))) if words else Counter()
+
+
+def brute_classes(rows, least=0.8):
+    ids = sorted({i for i, _ in rows if i is not None})
+    parent = {i: i for i in ids}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    known = [(i, t or "", kmer_counter(t or "")) for i, t in rows if i is not None]
+    for x, (i, s, a) in enumerate(known):
+        for j, t, b in known[:x]:
+            both = sum((a & b).values())
+            alike = both / (sum(a.values()) + sum(b.values()) - both) >= least if a and b else s == t
+            if alike and find(i) != find(j):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return {i: find(i) for i in ids}
+
+
+def test_near_duplicate_classes(make_docs, rows):
+    got = neardup.near_duplicates(make_docs(rows)).collect()
+    assert len(got) == len(rows)
+    expected = brute_classes(rows)
+    assert {r.doc_id: r.class_id for r in got if r.doc_id is not None} == expected
+    assert [r.class_id for r in got if r.doc_id is None] == [None]
+    sizes = Counter(r.class_id for r in got if r.doc_id is not None)
+    assert all(r.class_size == sizes[r.class_id] for r in got if r.doc_id is not None)
+
+
+def test_large_groups_lose_no_link(make_docs):
+    """A group beyond SMALL_GROUP whose members are alike to one another, not to the first."""
+    rng = random.Random(9)
+    base = prose(rng, 150)
+    far = [edited(rng, base, 4) for _ in range(12)]
+    rows = [(i, base) for i in range(2)] + [(10 + i, t) for i, t in enumerate(far)] + [(40 + i, edited(rng, t, 1)) for i, t in enumerate(far)]
+    got = neardup.near_duplicates(make_docs(rows))
+    assert {r.doc_id: r.class_id for r in got.collect()} == brute_classes(rows)
+
+
+def test_near_duplicates_of_nothing(make_docs):
+    assert neardup.near_duplicates(make_docs([])).collect() == []
+
+
+def test_prefix_filter_is_exact(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(-(2**31), 2**31, 60)
+    texts = []
+    for i in range(40):
+        t = base.copy()
+        t[rng.integers(0, 60, rng.integers(0, 14))] = rng.integers(-(2**31), 2**31)
+        texts.append((i, [int(x) for x in t[: rng.integers(40, 61)]]))
+    df = spark.createDataFrame(texts, "id long, kmers array<int>")
+    got = {tuple(r) for r in neardup.prefix_pairs(df).collect()}
+    for i, a in texts:
+        for j, b in texts[:i]:
+            both = sum((Counter(a) & Counter(b)).values())
+            if both / (len(a) + len(b) - both) >= 0.8:
+                assert (i, j) in got
+
+
+@given(st.lists(st.integers(0, 6), min_size=1, max_size=30), st.lists(st.integers(0, 6), min_size=1, max_size=30))
+@settings(max_examples=60, deadline=None)
+def test_alignment_is_bounded_by_the_sets(a, b):
+    got = neardup.aligned_similarity(np.array(a, np.uint64), np.array(b, np.uint64), 0.3)
+    both = sum((Counter(a) & Counter(b)).values())
+    assert got <= both / (len(a) + len(b) - both) + 1e-9
+    assert neardup.aligned_similarity(np.array(a, np.uint64), np.array(a, np.uint64)) == 1.0
+
+
+def test_alignment_needs_order():
+    a = np.arange(100, dtype=np.uint64)
+    assert neardup.aligned_similarity(a, np.concatenate([a[50:], a[:50]])) == 0.0
+    assert neardup.aligned_similarity(a, np.delete(a, [3, 40, 80])) == pytest.approx(0.97)
+
+
+def test_components(spark):
+    links = [(i, i + 1) for i in range(20)] + [(50, 60), (60, 55), (70, 70), (90, 80), (80, 90)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    assert got == {i: 0 for i in range(1, 21)} | {55: 50, 60: 50, 90: 80}
+    assert components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
+# --- repeated strings ---
+
+
+def brute_removal(rows, window=suffix.WINDOW):
+    seen, out = set(), {}
+    for i, text in sorted(((i, t or "") for i, t in rows), key=lambda r: r[0]):
+        data = text.encode()
+        gone = np.zeros(len(data), bool)
+        for p in range(len(data) - window + 1):
+            if data[p : p + window] in seen:
+                gone[p : p + window] = True
+            seen.add(data[p : p + window])
+        kept = bytes(np.frombuffer(data, np.uint8)[~gone])
+        spans = int((np.diff(np.concatenate([[0], gone.astype(int)])) == 1).sum())
+        out[i] = (len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+@pytest.mark.parametrize("large", [suffix.LARGE, 1])
+def test_repeated_strings(spark, make_docs, folder, rows, large, monkeypatch):
+    monkeypatch.setattr(suffix, "LARGE", large)
+    ids = Counter(r[0] for r in rows)
+    some = [r for r in rows if r[0] is not None and ids[r[0]] == 1]
+    got = suffix.op9_difference_cover(spark, folder(documents=make_docs(some))).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_removal(some)
+
+
+def test_rows_of_one_id_do_not_cover_each_other(make_docs):
+    rng = random.Random(2)
+    text, other = prose(rng, 60), prose(rng, 60)
+    kept = suffix.without_repeats(make_docs([(5, text), (5, text), (None, other), (9, other), (11, text), (12, "short"), (13, None)])).collect()
+    texts = sorted((r.doc_id if r.doc_id is not None else -1, r.text) for r in kept if r.doc_id != 13)
+    assert texts == [(-1, other), (5, text), (5, text), (9, ""), (11, ""), (12, "short")]
+    assert [r.text for r in kept if r.doc_id == 13] == [None]
+    assert all(r.n_chars == len(r.text) for r in kept if r.text is not None)
+
+
+def test_cut_characters_go(make_docs):
+    text = "é" * 120
+    kept = {r.doc_id: r.text for r in suffix.without_repeats(make_docs([(1, text), (2, "a" + text + "b")])).collect()}
+    assert kept[2] == "ab" and set(kept[1]) <= {"é"}
+
+
+def test_no_documents(make_docs):
+    assert suffix.without_repeats(make_docs([])).collect() == []
+
+
+@given(st.binary(min_size=0, max_size=900), st.integers(1, 40))
+@settings(max_examples=40, deadline=None)
+def test_first_equal_finds_the_first(data, spread):
+    data = bytes(b % spread for b in data) * 2 + bytes(b % 2 for b in data)
+    n = len(data) - suffix.WINDOW + 1
+    if n < 1:
+        return
+    flat = np.frombuffer(data, np.uint8)
+    bucket = np.zeros(n, np.int64)
+    got = suffix.first_equal(flat, np.arange(n), bucket, np.arange(n))
+    first = {}
+    assert got.tolist() == [first.setdefault(data[i : i + suffix.WINDOW], i) for i in range(n)]
+
+
+def test_cover_has_a_shift_for_every_two_places():
+    cover = set(suffix.difference_cover().tolist())
+    for i in range(suffix.PERIOD):
+        for j in range(suffix.PERIOD):
+            assert any((i + d) % suffix.PERIOD in cover and (j + d) % suffix.PERIOD in cover for d in range(suffix.PERIOD))
+
+
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 30), st.integers(1, 9)), max_size=20))
+@settings(max_examples=50, deadline=None)
+def test_merged_ranges(parts):
+    ids, a, n = (np.array([p[k] for p in parts], np.int64) for k in range(3))
+    got = list(zip(*(x.tolist() for x in suffix.merge_ranges(ids, a, a + n)), strict=True))
+    cells = {(i, x) for i, s, m in parts for x in range(s, s + m)}
+    assert {(i, x) for i, s, e in got for x in range(s, e)} == cells
+    assert all(p[0] != q[0] or p[2] < q[1] for p, q in zip(got, got[1:]))
+
+
+# --- benchmark items ---
+
+
+def test_benchmark_items(spark, make_docs):
+    rng = random.Random(8)
+    items = [prose(rng, n) for n in (3, 5, 20, 40, 60, 41)] + [None, "", "..."]
+    bench = spark.createDataFrame([(i, t) for i, t in enumerate(items)] + [(99, items[3])], "item_id long, text string")
+    docs = [
+        (1, prose(rng, 30) + " " + items[3] + " " + prose(rng, 20)),
+        (2, "X. " + items[4].upper().replace(" ", "!! ") + "?"),
+        (3, prose(rng, 200)),
+        (4, items[0]),
+        (5, prose(rng, 10) + " " + items[1] + " end"),
+        (6, None),
+        (7, ""),
+        (8, " ".join(items[5].split()[:-3]) + " " + prose(rng, 50)),
+        (9, " ".join(items[5].split()[:15]) + " " + prose(rng, 50)),
+        (10, (prose(rng, 25) + " " + items[2] + " ") * 3),
+        (None, items[2]),
+    ]
+    table = make_docs(docs)
+    got = decontaminate.contaminated(table, bench)
+    pairs = sorted((r.doc_id or 0, r.item_id) for r in got.collect())
+    assert pairs == [(0, 2), (1, 3), (1, 99), (2, 4), (4, 0), (5, 1), (8, 5), (10, 2)]
+    clean = decontaminate.clean_documents(table, bench)
+    assert sorted(r.doc_id for r in clean.collect()) == [3, 6, 7, 9] and clean.columns == table.columns
+    assert decontaminate.contaminated(make_docs([]), bench).collect() == []
+    assert decontaminate.contaminated(table, bench.limit(0)).collect() == []
+    assert decontaminate.clean_documents(table, bench.limit(0)).count() == len(docs)
+
+
+def test_items_in_parts_give_the_same(spark, make_docs):
+    rng = random.Random(8)
+    items = [prose(rng, 30) for _ in range(12)]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    indexes = list(decontaminate.item_indexes(bench, part_bytes=500))
+    assert len(indexes) > 2 and sorted(i for x in indexes for i in x.ids) == list(range(12))
+
+
+def test_every_mark_within_the_radius_is_found():
+    rng = np.random.default_rng(1)
+    index = decontaminate.build_index(list(range(30)), [prose(random.Random(i), 30) for i in range(30)])
+    for item, mark in enumerate(index.marks):
+        for bits in range(decontaminate.RADIUS + 1):
+            other = mark
+            for b in rng.choice(64, bits, replace=False):
+                other ^= 1 << int(b)
+            assert item in index.near(other)
+
+
+# --- byte helpers ---
+
+
+@given(st.lists(st.text(alphabet="ab é.\n9_", max_size=12), max_size=8))
+@settings(max_examples=60, deadline=None)
+def test_words_of_rows(texts):
+    import pyarrow as pa
+
+    found = []
+    for _, _, data, offsets in text_slices(pa.array(texts, pa.string()), 10):
+        start, stop, counts = words_of(data, offsets)
+        words = [bytes(data[s:e]).decode() for s, e in zip(start, stop)]
+        for n in counts:
+            found.append(words[:n])
+            words = words[n:]
+    assert found == [re.findall(r"[ab9é]+", t) for t in texts]
+
+
+@given(st.lists(st.lists(st.integers(0, 3), max_size=9), max_size=6))
+@settings(max_examples=60, deadline=None)
+def test_shingles_of_rows(rows):
+    counts = np.array([len(r) for r in rows], np.int64)
+    words = np.array([w for r in rows for w in r], np.uint64)
+    h, n = shingles_of(words, counts, 5)
+    expected = [tuple(r[i : i + 5]) for r in rows for i in range(max(1, len(r) - 4) if r else 0)]
+    assert n.tolist() == [max(1, len(r) - 4) if r else 0 for r in rows]
+    assert len(h) == len(expected)
+    names = {}
+    for value, shingle in zip(h.tolist(), expected, strict=True):
+        assert names.setdefault(value, shingle) == shingle
+    assert len(names) == len(set(expected))

@@ -159,12 +159,10 @@ def shingles_of(words: np.ndarray, counts: np.ndarray, k: int = 5) -> tuple[np.n
     for j in range(k):
         h *= np.uint64(0xC2B2AE3D27D4EB4F)
         part = np.zeros(n, np.uint64)
-        part[: n - j] = words[j:]
-        if j:
-            same = np.zeros(n, bool)
-            same[: n - j] = owner[: n - j] == owner[j:]
-            part[~same] = 0
-        h += mix(part)
+        here = max(0, n - j)
+        # Nothing adds nothing, which no word does but by chance.
+        part[:here] = np.where(owner[:here] == owner[j:], mix(words[j:] + np.uint64(0x632BE59BD9B4E019)), 0)
+        h += part
     first = np.concatenate([[0], np.cumsum(counts)])[:-1]
     place = np.arange(n) - np.repeat(first, counts)
     keep = (place == 0) | (place + k <= np.repeat(counts, counts))

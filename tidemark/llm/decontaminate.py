@@ -109,7 +109,7 @@ def build_index(ids: list, texts: list[str | None], radius: int = RADIUS) -> Ite
         index.tables.append(dict(rows))
     for k in sorted({min(K, n) for n in lengths}):
         some = [i for i, n in enumerate(lengths) if min(K, n) == k]
-        flat = np.concatenate([counts[i] for i in some])
+        flat = np.concatenate([shingles_of(words[i], np.array([lengths[i]]), k)[0] for i in some])
         item = np.repeat(some, [len(counts[i]) for i in some])
         place = np.concatenate([np.arange(len(counts[i])) for i in some])
         order = np.argsort(flat, kind="stable")

@@ -73,7 +73,9 @@ def merged(a: Column, b: Column) -> Column:
 def id_ranges(df: DataFrame, rows: int = RANGE_ROWS, most: int = MOST_RANGES) -> list[int]:
     """Ids that cut the table into ranges of about equal size; their number is bounded."""
     n = min(most, df.count() // rows + 1)
-    cuts = df.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * most) if n > 1 else F.array().cast("array<bigint>")).first()[0]
+    if n == 1:
+        return []
+    cuts = df.select(F.percentile_approx("doc_id", [i / n for i in range(1, n)], 10 * most)).first()[0]
     return sorted(set(cuts or []))
 
 

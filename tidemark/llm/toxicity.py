@@ -46,7 +46,7 @@ LOOKS_LIKE = {
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c",
 }
 SEPARATORS = " .-_*"
-LOOK_COST, NOISE_COST, REPEAT_COST, SEPARATOR_COST = 1.0, 4.0, 0.5, 0.0
+LOOK_COST, NOISE_COST, REPEAT_COST, SEPARATOR_COST = 1.0, 9.0, 0.5, 0.0
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
@@ -74,8 +74,9 @@ def char_counts(docs: DataFrame) -> np.ndarray:
         for batch in batches:
             for _, _, data, offsets in text_slices(batch.column(0)):
                 low = lower_bytes(data)
-                low = low[(low < 0x80) | (low >= 0xC0)]  # one byte for each character
-                c = np.concatenate([[0, 0], _CLASS[low].astype(np.int64), [0, 0]])
+                lead = (low < 0x80) | (low >= 0xC0)  # one byte for each character
+                edges = np.concatenate([[0], np.cumsum(lead)])[offsets]
+                c = np.insert(_CLASS[low[lead]].astype(np.int64), np.repeat(edges, 2), 0)
                 total += np.bincount((c[:-2] * CLASSES + c[1:-1]) * CLASSES + c[2:], minlength=CLASSES**3)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "n"])

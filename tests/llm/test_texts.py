@@ -150,8 +150,8 @@ def test_prefix_filter_is_exact(spark):
         t = base.copy()
         t[rng.integers(0, 60, rng.integers(0, 14))] = rng.integers(-(2**31), 2**31)
         texts.append((i, [int(x) for x in t[: rng.integers(40, 61)]]))
-    df = spark.createDataFrame(texts, "id long, kmers array<int>")
-    got = {tuple(r) for r in neardup.prefix_pairs(df).collect()}
+    df = spark.createDataFrame([(i, i, t) for i, t in texts], "id long, class long, kmers array<int>")
+    got = {tuple(r) for r in neardup.prefix_pairs(df, neardup.frequent_kmers(df)).collect()}
     for i, a in texts:
         for j, b in texts[:i]:
             both = sum((Counter(a) & Counter(b)).values())

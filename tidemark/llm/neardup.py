@@ -9,12 +9,12 @@ threshold a pair shares no band with a chance of about 6e-5.
 
 Texts with equal words are one node from the start. In a band, small groups give all pairs;
 a larger group gives a link of each member to its first member. Where that leaves several
-classes in a group, as a passage in very many texts does, one text of each class goes through
-an exact prefix filter (``prefix_pairs``), so no large group is expanded into its pairs.
-Candidates are verified by alignment: the longest chain of equal labelled k-mers in the same order,
-inside a band about the diagonal as wide as the threshold allows. Similarity is the chain's
-length over all k-mers of the two texts together; 0.8 and more is a link. Classes are
-connected components.
+classes in a group, as a passage in very many texts or many edits of one text do, its texts go
+through an exact prefix filter between classes (``prefix_pairs``), so no large group is
+expanded into its pairs. Candidates are verified by alignment: the longest chain of equal
+labelled k-mers in the same order, inside a band about the diagonal as wide as the threshold
+allows. Similarity is the chain's length over all k-mers of the two texts together; 0.8 and
+more is a link. Classes are connected components.
 
 Cases. Null or empty text, or no words: alike only to byte-equal texts. Under five words: one
 k-mer. Null doc_id: class_id null, class_size 1. Rows with equal ids are one document. Repeated
@@ -198,23 +198,32 @@ def frequent_kmers(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return found.column("kmer").to_numpy()[order], found.column("n").to_numpy()[order]
 
 
-def prefix_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Every pair (a, b) of the texts (id, kmers) that can be as similar as ``least``: an exact filter.
+def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, id, class) of the groups whose members are in several classes."""
+    classed = members.join(roots, members["id"] == roots["node"], "left").select("key", "id", F.coalesce("root", "id").alias("class"))
+    classed = stored(classed, "neardup-classed")
+    several = classed.groupBy("key").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high")
+    return stored(classed.join(several, "key", "left_semi"), "neardup-unsettled")
 
-    All texts sort their labelled k-mers in one order. Let x be the smaller text of a pair, with
-    n k-mers, and y the larger one, with m. If they share so many k-mers that the similarity is t,
-    one of the first n - ceil(2t / (1 + t) n) + 1 of x is one of the first m - ceil(t m) + 1 of y.
-    Any order is right; this one puts k-mers known to be frequent last, so that texts which
-    differ in their own ways from a common one make no pair.
+
+def prefix_pairs(texts: DataFrame, order: tuple[np.ndarray, np.ndarray], least: float = SIMILARITY) -> DataFrame:
+    """Every pair (a, b) of the texts (id, class, kmers) of different classes that can be as similar as ``least``.
+
+    An exact filter. All texts sort their labelled k-mers in one order. Let x be the smaller text
+    of a pair, with n k-mers, and y the larger one, with m. If their similarity is t or more, they
+    share s = t / (1 + t) (n + m) k-mers at least; so the first one that they share stands where
+    both have s left, which is among the first n - ceil(2t / (1 + t) n) + 1 of x and the first
+    m - ceil(t m) + 1 of y. Any order is right; that of ``frequent_kmers`` puts frequent ones
+    last, so that texts which differ in their own ways from a common one make no pair.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(frequent_kmers(texts))
+    shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = shared.value
         for batch in batches:
-            ids, sizes, keys, own = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+            found = []
             for i in range(batch.num_rows):
-                raw = batch.column(1)[i].values.to_numpy()
+                raw = batch.column(2)[i].values.to_numpy()
                 n = len(raw)
                 if not n:
                     continue
@@ -224,20 +233,19 @@ def prefix_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
                     at = np.minimum(np.searchsorted(known, raw), len(known) - 1)
                     often = np.where(known[at] == raw, times[at], 0)
                 long = n - int(np.ceil(least * n - 1e-9)) + 1
-                keys.append(h[np.lexsort((h, often))[:long]])
-                own.append(np.arange(long) < n - int(np.ceil(2 * least / (1 + least) * n - 1e-9)) + 1)
-                ids.append(np.full(long, batch.column(0)[i].as_py(), np.int64))
-                sizes.append(np.full(long, n, np.int64))
-            columns = [np.concatenate(keys).view(np.int64), np.concatenate(ids), np.concatenate(sizes), np.concatenate(own)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["key", "id", "n", "own"])
-
-    firsts = stored(texts.select("id", "kmers").mapInArrow(prefixes, "key bigint, id bigint, n bigint, own boolean"), "neardup-prefixes")
-    smaller = firsts.where("own").select("key", F.col("id").alias("i"), F.col("n").alias("ni"))
-    larger = firsts.select("key", F.col("id").alias("j"), F.col("n").alias("nj"))
-    ordered = (F.col("ni") < F.col("nj")) | ((F.col("ni") == F.col("nj")) & (F.col("i") < F.col("j")))
-    fits = F.col("ni") >= F.col("nj") * (least - 1e-9)
-    met = smaller.join(larger, (smaller["key"] == larger["key"]) & ordered & fits)
-    return met.select(F.greatest("i", "j").alias("a"), F.least("i", "j").alias("b")).distinct()
+                first = h[np.lexsort((h, often))[:long]].view(np.int64)
+                found.append(np.column_stack([first, np.arange(long), np.tile([batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), n], (long, 1))]))
+            rows = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], ["key", "p", "id", "class", "n"])
+
+    schema = "key bigint, p bigint, id bigint, class bigint, n bigint"
+    firsts = stored(texts.select("id", "class", "kmers").mapInArrow(prefixes, schema), "neardup-prefixes")
+    smaller = firsts.where(F.col("p") <= F.col("n") - F.ceil(2 * least / (1 + least) * F.col("n") - 1e-6)).select("key", *[F.col(c).alias(f"{c}_i") for c in ("p", "id", "class", "n")])
+    larger = firsts.select("key", *[F.col(c).alias(f"{c}_j") for c in ("p", "id", "class", "n")])
+    ordered = (F.col("n_i") < F.col("n_j")) | ((F.col("n_i") == F.col("n_j")) & (F.col("id_i") < F.col("id_j")))
+    enough = F.least(F.col("n_i") - F.col("p_i"), F.col("n_j") - F.col("p_j")) >= least / (1 + least) * (F.col("n_i") + F.col("n_j")) - 1e-6
+    met = smaller.join(larger, (smaller["key"] == larger["key"]) & (F.col("class_i") != F.col("class_j")) & ordered & enough)
+    return met.select(F.greatest("id_i", "id_j").alias("a"), F.least("id_i", "id_j").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -257,14 +265,11 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     links = stored(verified(pairs, cut, least), "neardup-links")
     roots = components(links)
 
-    # Larger groups: what is still in different classes, one member for each class.
-    large = members.where(F.col("n") > SMALL_GROUP).select("key", "id")
-    classed = large.join(roots, large["id"] == roots["node"], "left").select("key", F.coalesce("root", "id").alias("class"), "id")
-    left = stored(classed.groupBy("key", "class").agg(F.min("id").alias("id")), "neardup-left")
-    several = left.groupBy("key").agg(F.count("*").alias("classes")).where("classes > 1")
-    rest = stored(left.join(several, "key", "left_semi").select("id").distinct(), "neardup-rest")
-    if rest.take(1):
-        more = stored(verified(prefix_pairs(cut.join(rest, "id"), least), cut, least), "neardup-more")
+    # Larger groups whose members are in several classes: an exact search between the classes.
+    left = _unsettled(members.where(F.col("n") > SMALL_GROUP).select("key", "id"), roots)
+    if left.take(1):
+        held = stored(cut.join(left.select("id", "class").distinct(), "id"), "neardup-held")
+        more = stored(verified(prefix_pairs(held, frequent_kmers(held), least), held, least), "neardup-more")
         if more.take(1):
             roots = components(links.unionByName(more))
 

@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from tidemark.plans.queries import QUERIES
 from tests.conftest import DATA
 
 FOLDER = DATA / os.environ.get("TIDEMARK_SF", "sf0.01")
@@ -32,7 +33,7 @@ def normal(rows, columns):
     return sorted((tuple(cell(row[i]) for i in order) for row in rows), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_sql(spark, db, name):
     df = contract.queries()[name](spark, str(FOLDER))
     result = db.execute(contract.oracle_sql()[name])
@@ -46,5 +47,9 @@ def test_query_equals_sql(spark, db, name):
     assert expected
 
 
+def test_every_query_has_sql():
+    assert set(QUERIES) <= set(contract.queries()) and set(QUERIES) <= set(contract.oracle_sql())
+
+
 def test_entry(spark):
     assert contract.entry(spark).count() == 1

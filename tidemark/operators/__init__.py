@@ -1,11 +1,18 @@
 """DataFrame to DataFrame operators."""
 
 from tidemark.operators.grids import flatten_grid, project_variable
-from tidemark.operators.links import extract_links, filter_links, sorted_distinct, tokens
+from tidemark.operators.links import (
+    distinct_tokens,
+    extract_links,
+    filter_links,
+    sorted_distinct,
+    tokens,
+)
 from tidemark.operators.measures import MEASURES, avg_measures, max_partitions, row_count
 from tidemark.operators.ordering import (
     assign_file_ord,
     order_cutoffs,
+    running_before,
     with_row_index,
     with_scan_position,
 )
@@ -41,6 +48,7 @@ __all__ = [
     "coalesce_to",
     "complete_grid",
     "distinct_scales",
+    "distinct_tokens",
     "extract_links",
     "file_prefixes",
     "filter_links",
@@ -63,6 +71,7 @@ __all__ = [
     "row_budget_files",
     "row_count",
     "row_prefixes",
+    "running_before",
     "skip_cells",
     "sorted_distinct",
     "tokens",

@@ -13,6 +13,8 @@ def flatten_grid(
     dims: Mapping[str, str | None],
     variables: Mapping[str, Sequence[str]],
     keep: Sequence[str] = (),
+    *,
+    positions: bool = False,
 ) -> DataFrame:
     """One row per grid point: ``keep``, one column per dimension, then the variables.
 
@@ -21,7 +23,8 @@ def flatten_grid(
     its dimensions in the same order: a value for none, an array for one, an array of
     arrays for two. A variable is repeated along the dimensions it lacks, so the
     output has as many rows as the product of the dimension sizes; choose the
-    variables first (``project_variable``) to keep it small.
+    variables first (``project_variable``) to keep it small. ``positions`` adds ``pos_DIM``,
+    the place along each dimension, whose order is that of the grid.
 
     Dimensions are unrolled one after the other. Each step zips the coordinates with
     all variables led by that dimension and explodes the zip, so the arrays are
@@ -58,6 +61,7 @@ def flatten_grid(
         grid = grid.select(
             *others,
             where.alias(f"__dim_{dim}"),
+            *([F.col(f"__pos_{dim}").alias(f"__place_{dim}")] if positions else []),
             *[F.col(f"__point.__v_{name}").alias(f"__v_{name}") for name in leading],
         )
         for name in leading:
@@ -67,6 +71,7 @@ def flatten_grid(
         *keep,
         *[F.col(f"__dim_{dim}").alias(dim) for dim in done],
         *[F.col(f"__v_{name}").alias(name) for name in variables],
+        *([F.col(f"__place_{dim}").alias(f"pos_{dim}") for dim in done] if positions else []),
     )
 
 

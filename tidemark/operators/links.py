@@ -36,7 +36,16 @@ def filter_links(
 
 def tokens(text: DataFrame, column: str = "value", name: str = "link") -> DataFrame:
     """One row per whitespace-separated word."""
-    return _unroll(text, word_array(F.col(column)), name).filter(F.col(name) != "")
+    return tokens_of(text, word_array(F.col(column)), name)
+
+
+def tokens_of(text: DataFrame, words: Column, name: str) -> DataFrame:
+    return _unroll(text, words, name).filter(F.col(name) != "")
+
+
+def distinct_tokens(text: DataFrame, column: str = "value", name: str = "link") -> DataFrame:
+    """Each whitespace-separated word once; repeats in a text go before it is unrolled."""
+    return tokens_of(text, F.array_distinct(word_array(F.col(column))), name).distinct()
 
 
 def sorted_distinct(df: DataFrame, column: str = "link") -> DataFrame:

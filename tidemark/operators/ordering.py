@@ -10,11 +10,11 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import small_side, written_side
+from tidemark.session import written_side
 
 FILE, BLOCK = "scan_file", "scan_block"
 
@@ -28,22 +28,61 @@ def with_scan_position(scan: DataFrame) -> DataFrame:
     )
 
 
+def running_before(
+    df: DataFrame, order: Sequence[Column | str], value: Column, name: str
+) -> DataFrame:
+    """Add ``name``: the sum of ``value`` over the rows before each row in ``order``.
+
+    The rows are range partitioned and written, each partition adds up its own rows, and
+    starts at the sum of the partitions before it, of which the driver sees one number
+    each. So no task sees more than a partition, however many rows there are.
+    """
+    ranged = df.repartitionByRange(*order).withColumns(
+        {"__part": F.spark_partition_id(), "__value": value}
+    )
+    held = written_side(ranged, name)
+    sums = held.groupBy("__part").agg(F.sum("__value").alias("total")).orderBy("__part").collect()
+    starts, total = [], 0
+    for row in sums:
+        starts.append((row["__part"], total))
+        total += row.total or 0
+    spark = df.sparkSession
+    first = F.broadcast(spark.createDataFrame(starts, "__part int, __start bigint"))
+    within = (
+        Window.partitionBy("__part")
+        .orderBy(*order)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    return (
+        held.withColumn(name, F.coalesce(F.sum("__value").over(within), F.lit(0)))
+        .join(first, "__part")
+        .withColumn(name, (F.col(name) + F.col("__start")).cast("bigint"))
+        .drop("__part", "__value", "__start")
+    )
+
+
+def part_number(path: Column) -> Column:
+    """The number of a part file; part files follow each other by it, not by their text."""
+    return F.coalesce(F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).try_cast("bigint"), F.lit(0))
+
+
 def with_row_index(
     scan: DataFrame, datasets: DataFrame | None = None, name: str = "row_index"
 ) -> DataFrame:
     """Number the rows of a scan from 0, in file order and line order.
 
     ``scan`` comes from ``with_scan_position`` and has not been shuffled since. Files go
-    by path, or in the order of a dataset list (``dataset, file_ord``) if the scan has a
-    ``dataset`` column to find them by; rows of datasets not listed are left out then.
+    by path (part files by their number), or in the order of a dataset list (``dataset,
+    file_ord``) if the scan has a ``dataset`` column to find them by; rows of datasets not
+    listed are left out then.
 
     The rows of a split sit next to each other in one task, so their number is an offset
     per split plus their distance from the first row of the split. Only the table of
     splits is sorted; no row is shuffled. It comes from an earlier pass over the same
-    files, so both passes must cut them alike: the cut, which otherwise follows the number
-    of cores of the moment, is pinned, and a row that does not fit its split is an error.
+    files, so both passes must cut them alike. A row that does not fit its split is an
+    error; where the number of cores changes under way, ``spark.sql.files.minPartitionNum``
+    keeps the cut from following it.
     """
-    pin_splits(scan.sparkSession)
     rows = scan.withColumn("__id", F.monotonically_increasing_id())
     sizes = [F.min("__id").alias("__first"), F.count("*").alias("__rows")]
     if datasets is None:
@@ -52,20 +91,11 @@ def with_row_index(
         named = rows.groupBy(FILE, BLOCK, "dataset").agg(*sizes)
         splits = assign_file_ord(named, datasets, how="left")
     listed = F.col("file_ord").isNotNull()
-    before = (
-        Window.partitionBy(listed)
-        .orderBy("file_ord", FILE, BLOCK)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    offsets = splits.select(
-        FILE,
-        BLOCK,
-        "__first",
-        "__rows",
-        listed.alias("__listed"),
-        F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"),
-    )
-    known = rows.join(written_side(offsets, "splits"), [FILE, BLOCK], "left")
+    folder = F.regexp_extract(FILE, r"^(.*)/[^/]*$", 1)
+    order = [F.col("file_ord").asc_nulls_last(), folder, part_number(F.col(FILE)), FILE, BLOCK]
+    placed = running_before(splits, order, F.when(listed, F.col("__rows")).otherwise(0), "__before")
+    offsets = placed.select(FILE, BLOCK, "__first", "__rows", listed.alias("__listed"), "__before")
+    known = rows.join(offsets, [FILE, BLOCK], "left")
     place = F.col("__id") - F.col("__first")
     index = F.when(place.between(0, F.col("__rows") - 1), F.col("__before") + place).otherwise(
         F.raise_error(F.lit("the files were split differently when their rows were counted"))
@@ -77,18 +107,17 @@ def with_row_index(
     )
 
 
-def pin_splits(spark: SparkSession) -> None:
-    """Keep the size of file splits from following the cluster size in this session."""
-    setting = "spark.sql.files.minPartitionNum"
-    if spark.conf.get(setting, None) is None:
-        spark.conf.set(setting, str(spark.sparkContext.defaultParallelism))
-
-
 def assign_file_ord(
     df: DataFrame, datasets: DataFrame, column: str = "dataset", how: str = "inner"
 ) -> DataFrame:
-    """Add ``file_ord`` of the dataset list to the rows of its datasets."""
-    return df.join(small_side(datasets.select("file_ord", column)), column, how)
+    """Add ``file_ord`` of the dataset list to the rows of its datasets.
+
+    Names must be unique in the list, as a name listed twice would repeat its rows.
+    """
+    twice = datasets.groupBy(column).count().filter("count > 1").take(3)
+    if twice:
+        raise ValueError(f"listed more than once: {[row[column] for row in twice]}")
+    return df.join(datasets.select("file_ord", column), column, how)
 
 
 INTEGER_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)

@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import as_measure
-from tidemark.operators.ordering import order_cutoffs
+from tidemark.operators.ordering import order_cutoffs, running_before
 
 # The fractions of the data that are measured, ascending.
 FRACTIONS = (
@@ -64,7 +64,8 @@ def prefix_sizes(entries: DataFrame, target: int = 5) -> DataFrame:
     )
 
 
-def first_n_files(datasets: DataFrame, n: int = 12) -> DataFrame:
+def first_n_files(datasets: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` of the dataset list."""
     return datasets.filter(F.col("file_ord") < n)
 
 
@@ -79,16 +80,13 @@ def prefix_rows(df: DataFrame, num: int, den: int, order_by: str) -> DataFrame:
     return df.filter(_within(F.col(order_by), prefix.last))
 
 
-def row_budget_files(counts: DataFrame, budget: int = 10_000) -> DataFrame:
+def row_budget_files(counts: DataFrame, budget: int) -> DataFrame:
     """Files in order until more than ``budget`` rows are in; the crossing file counts.
 
     ``counts`` has one row ``file_ord, rows`` per file, so the running sum is over files.
     """
-    before = Window.orderBy("file_ord").rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        counts.withColumn("rows_before", F.coalesce(F.sum("rows").over(before), F.lit(0)))
-        .filter(F.col("rows_before") <= budget)
-    )
+    placed = running_before(counts, ["file_ord"], F.col("rows"), "rows_before")
+    return placed.filter(F.col("rows_before") <= budget)
 
 
 @dataclass(frozen=True)

@@ -7,10 +7,9 @@ columns for the measures; ``events`` by user and day for timing records.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
-from math import ceil
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import operators as op
@@ -18,8 +17,9 @@ from tidemark import sources as src
 from tidemark.functions import dataset_name, with_suffix
 from tidemark.plans.catalog import build_dataset_list
 from tidemark.plans.ingest import ingest_grids
+from tidemark.plans.study import partition_study
 from tidemark.plans.sweep import Case, partition_sweep
-from tidemark.session import scratch_dir, small_side
+from tidemark.session import scratch_dir, written_side
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -40,8 +40,10 @@ LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 # partitioning, and the more so the larger they are.
 DIGITS = 9
 FEWER_DIGITS = {"l_extendedprice": 3}
-ROWS_PER_PARTITION = 10_000_000
-SWEEP_STEPS = (1, 2, 4)
+#: Partition counts tried on the rows of ``events``.
+ROW_COUNTS = (1, 2, 3, 4)
+SPREAD = 8
+ROW_BUDGET = 10_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -93,8 +95,8 @@ def avg_sql(names=LINE_MEASURES, source: str = "{}") -> str:
 
 
 def years_of(lines: DataFrame) -> DataFrame:
-    """The dataset list of ``lines``: one row per ship year, kept on the driver."""
-    return small_side(src.list_datasets(lines))
+    """The dataset list of ``lines``: one row per ship year."""
+    return src.list_datasets(lines)
 
 
 YEARS_SQL = f"""
@@ -156,45 +158,53 @@ def rows_to_table_avg(spark, folder):
 # CSV files
 
 
-def staged_csv(spark: SparkSession, folder: str) -> tuple[str, list[str]]:
-    """``lineitem`` as CSV by ship year; in odd years the columns lie the other way round."""
-    lines = lines_by_year(spark, folder)
-    odd = F.col("dataset").cast("int") % 2 == 1
+ORDERS = (LINE_MEASURES, LINE_MEASURES[::-1], LINE_MEASURES[2:] + LINE_MEASURES[:2])
+
+
+def staged_csv(spark: SparkSession, folder: str) -> str:
+    """``lineitem`` as CSV by ship year, in one folder; the columns lie in three orders."""
+    lines = written_side(lines_by_year(spark, folder), "lines")
     root = scratch_dir(spark, "csv")
-    roots = [f"{root}/even", f"{root}/odd"]
-    src.write_measurements(lines.filter(~odd), roots[0])
-    src.write_measurements(lines.filter(odd).select("dataset", *LINE_MEASURES[::-1]), roots[1])
-    return root, roots
+    for i, order in enumerate(ORDERS):
+        some = lines.filter(F.col("dataset").cast("int") % len(ORDERS) == i)
+        src.write_measurements(some.select("dataset", *order), root, mode="append")
+    return root
 
 
-def csv_by_year(spark: SparkSession, folder: str, **options) -> DataFrame:
-    _, roots = staged_csv(spark, folder)
-    even, odd = (src.read_measurements(spark, [r], base_path=r, **options) for r in roots)
-    return even.unionByName(odd)
+def year_paths(spark: SparkSession, root: str) -> list[str]:
+    """The folders of the staged ship years, in order."""
+    years = src.list_datasets(spark.read.format("binaryFile").load(root).select("dataset"))
+    named = years.select("file_ord", F.col("dataset").cast("string"), F.lit("").alias("file"))
+    return src.dataset_paths(named, root, "folders")
 
 
 @query(f"SELECT {avg_sql()} FROM lineitem")
 def avg_measures_csv(spark, folder):
-    _, roots = staged_csv(spark, folder)
-    return rounded(op.avg_measures(src.read_measurements(spark, roots), LINE_MEASURES))
+    root = staged_csv(spark, folder)
+    return rounded(op.avg_measures(src.read_measurements(spark, [root]), LINE_MEASURES))
+
+
+ORDER_SQL = " ".join(f"WHEN {i} THEN '{','.join(order)}'" for i, order in enumerate(ORDERS))
 
 
 @query(
-    f"""SELECT CASE WHEN year(l_shipdate) % 2 = 1 THEN '{",".join(LINE_MEASURES[::-1])}'
-    ELSE '{",".join(LINE_MEASURES)}' END AS header, count(DISTINCT year(l_shipdate)) AS datasets,
-    count(*) AS rows FROM lineitem GROUP BY 1"""
+    f"""SELECT CASE year(l_shipdate) % {len(ORDERS)} {ORDER_SQL} END AS header,
+    count(DISTINCT year(l_shipdate)) AS datasets, count(*) AS rows FROM lineitem GROUP BY 1"""
 )
 def header_groups(spark, folder):
-    _, roots = staged_csv(spark, folder)
-    counted = [
-        src.read_measurements(spark, group, base_path=group[0]).agg(
-            F.lit(",".join(header)).alias("header"),
-            F.count_distinct("dataset").alias("datasets"),
-            F.count("*").alias("rows"),
+    root = staged_csv(spark, folder)
+    headers = src.file_headers(spark, [root])
+    counted = []
+    for header, files in src.header_groups(spark, [root], headers).items():
+        own = {root: [(file, header) for file in files]}
+        counted.append(
+            src.read_measurements(spark, [root], base_path=root, headers=own).agg(
+                F.lit(",".join(header)).alias("header"),
+                F.count_distinct("dataset").alias("datasets"),
+                F.count("*").alias("rows"),
+            )
         )
-        for header, group in src.header_groups(spark, roots).items()
-    ]
-    return counted[0].unionByName(counted[1])
+    return reduce(DataFrame.unionByName, counted)
 
 
 @query(
@@ -205,14 +215,73 @@ def header_groups(spark, folder):
 )
 def csv_prefix_rows(spark, folder):
     # Rows in list order over all files: the boundary falls inside a file.
-    scan = csv_by_year(spark, folder, with_position=True)
-    years = years_of(lines_by_year(spark, folder))
-    rows = op.with_row_index(scan, years)
-    return (
-        rows.filter(F.col("row_index") < op.prefix_size(scan.count(), 1, 2))
-        .groupBy("dataset")
-        .agg(F.count("*").alias("rows"))
+    root = staged_csv(spark, folder)
+    paths = year_paths(spark, root)
+    counted = list(zip(paths, src.row_counts(spark, paths)))
+    size = op.prefix_size(sum(rows for _, rows in counted), 1, 2)
+    prefix = src.read_row_prefix(spark, counted, size, base_path=root)
+    return prefix.groupBy("dataset").agg(F.count("*").alias("rows"))
+
+
+@query(
+    f"""WITH {YEARS_SQL}, sums AS (
+      SELECT *, sum(rows) OVER (ORDER BY file_ord) - rows AS before FROM years)
+    SELECT sums.dataset, count(*) AS rows, {avg_sql()} FROM sums
+    JOIN lineitem ON CAST(year(l_shipdate) AS VARCHAR) = sums.dataset
+    WHERE before <= {ROW_BUDGET} GROUP BY 1"""
+)
+def row_budget_read(spark, folder):
+    root = staged_csv(spark, folder)
+    chosen = src.read_row_budget(spark, year_paths(spark, root), ROW_BUDGET, base_path=root)
+    averages = [F.avg(F.col(m).try_cast("double")).alias(f"avg_{m}") for m in LINE_MEASURES]
+    return rounded(chosen.groupBy("dataset").agg(F.count("*").alias("rows"), *averages))
+
+
+def dirty_csv(spark: SparkSession, folder: str) -> str:
+    """Text cells that are empty, malformed or NaN; files of odd years lack the last column."""
+    line = table(spark, folder, "lineitem")
+    odd = F.year("l_shipdate") % 2 == 1
+    quantity = (
+        F.when(F.col("l_linenumber") == 2, "")
+        .when(F.col("l_linenumber") == 3, "n/a")
+        .otherwise(F.col("l_quantity").cast("string"))
+    )
+    discount = F.when(F.col("l_linenumber") == 4, "NaN").otherwise(F.col("l_discount").cast("string"))
+    cells = line.select(
+        F.year("l_shipdate").cast("string").alias("dataset"),
+        quantity.alias("l_quantity"),
+        discount.alias("l_discount"),
+        F.col("l_tax").cast("string").alias("l_tax"),
+        odd.alias("odd"),
     )
+    root = scratch_dir(spark, "dirty")
+    src.write_measurements(cells.filter(~F.col("odd")).drop("odd"), root)
+    src.write_measurements(cells.filter("odd").drop("odd", "l_tax"), root, mode="append")
+    return root
+
+
+DIRTY = ("l_quantity", "l_discount", "l_tax")
+DIRTY_SQL = """
+  avg(CASE WHEN l_linenumber IN (2, 3) THEN NULL ELSE l_quantity END)"""
+
+
+@query(
+    f"""SELECT round({DIRTY_SQL}, {DIGITS}) AS avg_l_quantity, round(avg(l_tax)
+    FILTER (WHERE year(l_shipdate) % 2 = 0), {DIGITS}) AS avg_l_tax, count(*) AS rows FROM lineitem"""
+)
+def avg_measures_dirty(spark, folder):
+    cells = src.read_measurements(spark, [dirty_csv(spark, folder)])
+    return rounded(op.avg_measures(cells, ("l_quantity", "l_tax"), with_rows=True))
+
+
+@query(
+    f"""SELECT round({DIRTY_SQL}, {DIGITS}) AS avg_l_quantity,
+    round(avg(l_discount) FILTER (WHERE l_linenumber <> 4), {DIGITS}) AS avg_l_discount,
+    round(avg(l_tax) FILTER (WHERE year(l_shipdate) % 2 = 0), {DIGITS}) AS avg_l_tax FROM lineitem"""
+)
+def avg_measures_nan_as_null(spark, folder):
+    cells = src.read_measurements(spark, [dirty_csv(spark, folder)])
+    return rounded(op.avg_measures(cells, DIRTY, nan_as_null=True))
 
 
 # Links and dataset lists
@@ -232,8 +301,8 @@ def filter_links(spark, folder):
 @query(r"""SELECT DISTINCT token FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS token
            FROM documents) WHERE token <> ''""")
 def sorted_tokens(spark, folder):
-    words = op.tokens(table(spark, folder, "documents"), "text", "token")
-    return op.sorted_distinct(words, "token")
+    words = op.distinct_tokens(table(spark, folder, "documents"), "text", "token")
+    return words.orderBy("token")
 
 
 @query(f"WITH {LINKS_SQL} SELECT DISTINCT link FROM links")
@@ -282,10 +351,9 @@ def first_files(spark, folder):
     return op.first_n_files(src.list_datasets(lines_by_year(spark, folder)), 3)
 
 
-def year_prefix(spark: SparkSession, folder: str, num: int, den: int) -> DataFrame:
-    lines = lines_by_year(spark, folder)
-    years = years_of(lines)
-    return op.assign_file_ord(lines, op.prefix_files(years, num, den))
+def year_bound(last: int) -> Column:
+    """The rows up to a ship year: years ascend, so a prefix ends at a date, which the scan prunes by."""
+    return F.col("l_shipdate") < F.lit(f"{last + 1}-01-01").cast("timestamp_ntz")
 
 
 @query(
@@ -293,7 +361,10 @@ def year_prefix(spark: SparkSession, folder: str, num: int, den: int) -> DataFra
     WHERE file_ord < round_even(files * (2.0::DOUBLE / 5), 0)"""
 )
 def prefix_files(spark, folder):
-    prefix = year_prefix(spark, folder, 2, 5)
+    years = op.prefix_files(years_of(lines_by_year(spark, folder)), 2, 5)
+    last = years.agg(F.max(F.col("dataset").cast("int"))).first()[0]
+    lineitem = table(spark, folder, "lineitem")
+    prefix = lineitem.filter(F.lit(False) if last is None else year_bound(last))
     return rounded(op.avg_measures(prefix, LINE_MEASURES, with_rows=True))
 
 
@@ -341,55 +412,49 @@ def prefix_averages_rows(spark, folder):
     f"""WITH {YEARS_SQL}, sums AS (
       SELECT file_ord, dataset, rows, sum(rows) OVER (ORDER BY file_ord) - rows AS before FROM years)
     SELECT file_ord, dataset, rows, CAST(before AS BIGINT) AS rows_before FROM sums
-    WHERE before <= 10000"""
+    WHERE before <= {ROW_BUDGET}"""
 )
 def row_budget_files(spark, folder):
     lines = lines_by_year(spark, folder)
-    counts = lines.groupBy("dataset").agg(F.count("*").alias("rows"))
+    counts = written_side(lines.groupBy("dataset").agg(F.count("*").alias("rows")), "counts")
     listed = op.assign_file_ord(counts, src.list_datasets(counts))
-    return op.row_budget_files(listed.select("file_ord", "dataset", "rows"), 10_000)
+    return op.row_budget_files(listed.select("file_ord", "dataset", "rows"), ROW_BUDGET)
 
 
 # Partition counts
 
 
-def sized(prefix: op.Prefix, rows: int, build: Callable[[], DataFrame]) -> Case:
-    """The prefix at 1, 2 and 4 times the partitions its rows need."""
-    needed = max(1, ceil(rows / ROWS_PER_PARTITION))
-    return Case(prefix.size, build, [needed * step for step in SWEEP_STEPS])
+def staged_years(spark: SparkSession, folder: str) -> list[str]:
+    """``lineitem`` as one Parquet folder per ship year, in order."""
+    root = scratch_dir(spark, "years")
+    lines = lines_by_year(spark, folder)
+    lines.repartition("dataset").write.partitionBy("dataset").parquet(root)
+    return year_paths(spark, root)
 
 
 def sweep(spark: SparkSession, folder: str, mode: str, skipped=None) -> DataFrame:
-    """Every prefix of the ship years at a few partition counts."""
-    lines = lines_by_year(spark, folder)
-    years = years_of(lines)
-    names = [row.dataset for row in years.orderBy("file_ord").collect()]
-    prefixes = op.file_prefixes(len(names))
-    counted = op.prefix_averages(op.assign_file_ord(lines, years), "file_ord", prefixes, [])
-    rows = {row.fraction_ord: row.rows for row in counted.collect()}
-
-    def build(prefix: op.Prefix) -> DataFrame:
-        # The years ascend, so a prefix ends at a date, and that filter reaches the scan.
-        end = int(names[prefix.last]) + 1 if prefix.size else int(names[0])
-        lineitem = table(spark, folder, "lineitem")
-        return lineitem.filter(F.col("l_shipdate") < F.lit(f"{end}-01-01").cast("timestamp_ntz"))
-
-    cases = [sized(p, rows[i], partial(build, p)) for i, p in enumerate(prefixes)]
-    return rounded(partition_sweep(spark, cases, mode, LINE_MEASURES, skipped=skipped))
+    """Every prefix of the files of the ship years at every partition count up to its files."""
+    paths = staged_years(spark, folder)
+    schema = ", ".join(f"{m} double" for m in LINE_MEASURES)
 
+    def build(size: int) -> DataFrame:
+        # A scan for each file, so that a file is a partition at least.
+        files = [spark.read.schema(schema).parquet(path) for path in paths[:size]]
+        return reduce(DataFrame.union, files)
 
-STEPS_SQL = f"CAST(greatest(ceil(rows / {ROWS_PER_PARTITION}.0), 1) * step AS INT)"
-STEP_ROWS = f"steps(step) AS (VALUES {', '.join(f'({s})' for s in SWEEP_STEPS)})"
+    prefixes = op.file_prefixes(len(paths))
+    cases = [Case(p.size, partial(build, p.size), range(1, p.size + 1)) for p in prefixes if p.size]
+    return rounded(partition_sweep(spark, cases, mode, LINE_MEASURES, skipped=skipped))
 
 
 def sweep_sql(mode: str, where: str = "TRUE") -> str:
-    return f"""WITH {YEARS_SQL}, {LADDER_SQL}, {STEP_ROWS}, sizes AS (
+    return f"""WITH {YEARS_SQL}, {LADDER_SQL}, sizes AS (
       SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM years)")} AS scale FROM ladder),
     averaged AS (SELECT fraction_ord, scale, count(lines.file_ord) AS rows, {avg_sql()}
       FROM sizes LEFT JOIN lines ON lines.file_ord < scale GROUP BY fraction_ord, scale),
-    cells AS (SELECT *, {STEPS_SQL} AS partitions FROM averaged CROSS JOIN steps)
-    SELECT '{mode}' AS mode, fraction_ord, scale, partitions, rows,
-           {", ".join(f"avg_{m}" for m in LINE_MEASURES)} FROM cells WHERE {where}"""
+    cells AS (SELECT *, CAST(unnest(range(1, scale + 1)) AS INT) AS partitions FROM averaged)
+    SELECT '{mode}' AS mode, fraction_ord, scale, partitions, partitions AS actual_partitions,
+           rows, {", ".join(f"avg_{m}" for m in LINE_MEASURES)} FROM cells WHERE {where}"""
 
 
 @query(sweep_sql("repartition"))
@@ -402,39 +467,36 @@ def sweep_coalesce(spark, folder):
     return sweep(spark, folder, "coalesce").drop("create_s", "avg_s")
 
 
-@query(sweep_sql("coalesce", "NOT (fraction_ord = 0 AND partitions > 2)"))
+@query(sweep_sql("coalesce", "NOT (fraction_ord = 6 AND partitions > 2)"))
 def sweep_skip_cells(spark, folder):
-    skipped = (F.col("fraction_ord") == 0) & (F.col("partitions") > 2)
+    skipped = (F.col("fraction_ord") == 6) & (F.col("partitions") > 2)
     return sweep(spark, folder, "coalesce", skipped).drop("create_s", "avg_s")
 
 
 @query(
-    f"""WITH {LADDER_SQL}, {STEP_ROWS}, numbered AS (
+    f"""WITH {LADDER_SQL}, numbered AS (
       SELECT value, row_number() OVER (ORDER BY event_id) AS n FROM events), sizes AS (
       SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM events)")} AS scale FROM ladder),
     averaged AS (SELECT fraction_ord, scale, count(n) AS rows, {avg_sql(["value"])}
-      FROM sizes LEFT JOIN numbered ON n <= scale GROUP BY fraction_ord, scale)
-    SELECT 'repartition' AS mode, fraction_ord, scale, {STEPS_SQL} AS partitions, rows, avg_value
-    FROM averaged CROSS JOIN steps"""
+      FROM sizes LEFT JOIN numbered ON n <= scale GROUP BY fraction_ord, scale),
+    cells AS (SELECT *, CAST(unnest(range(1, {len(ROW_COUNTS)} + 1)) AS INT) AS partitions FROM averaged)
+    SELECT 'repartition' AS mode, fraction_ord, scale, partitions,
+           partitions AS actual_partitions, rows, avg_value FROM cells"""
 )
 def sweep_rows(spark, folder):
     # The same study with rows instead of files as the unit.
     events = table(spark, folder, "events")
     cases = [
-        sized(p, p.size, partial(events.filter, F.col("event_id") <= p.last))
+        Case(p.size, partial(events.filter, F.col("event_id") <= p.last), ROW_COUNTS)
         for p in op.row_prefixes(events, "event_id")
     ]
     timed = partition_sweep(spark, cases, "repartition", ["value"])
     return rounded(timed).drop("create_s", "avg_s")
 
 
-@query(
-    f"""SELECT 8 * greatest(CAST(ceil(count(*) / {ROWS_PER_PARTITION}.0) AS BIGINT), 1)
-    AS partitions, count(*) AS rows FROM events"""
-)
+@query(f"SELECT CAST({SPREAD} AS BIGINT) AS partitions, count(*) AS rows FROM events")
 def partition_sizes(spark, folder):
-    events = table(spark, folder, "events").select("event_id")
-    spread = op.repartition_to(events, 8 * max(1, ceil(events.count() / ROWS_PER_PARTITION)))
+    spread = op.repartition_to(table(spark, folder, "events").select("event_id"), SPREAD)
     return op.partition_sizes(spread).agg(
         F.count("*").alias("partitions"), F.sum("rows").alias("rows")
     )
@@ -567,3 +629,59 @@ def ingest_grids_avg(spark, folder):
         F.count("*").alias("rows"),
         F.round(F.avg(F.col("embedding").try_cast("double")), DIGITS).alias("avg_embedding"),
     )
+
+
+STUDY_HOST = "https://h.example/auto"
+
+
+def ingested(spark: SparkSession, folder: str) -> str:
+    """The vectors as CSV by label, in the order of their ids, with falling coordinates."""
+    root = scratch_dir(spark, "grids")
+    falling = F.transform("embedding", lambda _, i: F.size("embedding") - i)
+    grids = table(spark, folder, "embeddings").withColumn("at", falling)
+    grids = grids.withColumnRenamed("label", "dataset")
+    variables = {"embedding": ("point",)}
+    ingest_grids(grids, {"point": "at"}, variables, root, order_by=["vec_id"])
+    return root
+
+
+@query(
+    f"""WITH {POINTS_SQL}, {LADDER_SQL}, listed AS (
+      SELECT CAST(label AS VARCHAR) AS dataset, row_number() OVER (ORDER BY CAST(label AS VARCHAR) || '.nc') AS n
+      FROM (SELECT DISTINCT label FROM embeddings)),
+    sizes AS (SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM listed)")} AS scale FROM ladder)
+    SELECT fraction_ord - first AS fraction_ord, scale, count(*) AS rows, {avg_sql(["embedding"])}
+    FROM (SELECT *, min(fraction_ord) OVER () AS first FROM sizes WHERE scale > 0)
+    JOIN listed ON n <= scale JOIN points ON CAST(points.label AS VARCHAR) = dataset
+    GROUP BY ALL"""
+)
+def study_chain(spark, folder):
+    # Grids to CSV, addresses to a list, and the study of what the list names.
+    root, listed = ingested(spark, folder), scratch_dir(spark, "list")
+    labels = table(spark, folder, "embeddings").select("label").distinct()
+    url = F.concat(F.lit(f"{STUDY_HOST}/"), F.col("label").cast("string"), F.lit(".nc"))
+    src.write_sorted_links(labels.select(url.alias("link")), listed)
+    study = partition_study(
+        spark, listed, root, scratch_dir(spark, "study"), mode="repartition",
+        measures=["embedding"], counts=[1], layout="folders",
+    )
+    return rounded(study.timings).select("fraction_ord", "scale", "rows", "avg_embedding")
+
+
+@query(
+    f"""WITH {POINTS_SQL}, numbered AS (
+      SELECT *, row_number() OVER (ORDER BY CAST(label AS VARCHAR), vec_id, point) AS n,
+             max(point) OVER (PARTITION BY vec_id) + 1 - point AS falling, count(*) OVER () AS entries FROM points)
+    SELECT CAST(label AS VARCHAR) AS dataset, count(*) AS rows, round(avg(falling), {DIGITS}) AS avg_point,
+           round(avg(embedding), {DIGITS}) AS avg_embedding
+    FROM numbered WHERE n <= round_even(entries * (1.0::DOUBLE / 3), 0) GROUP BY 1"""
+)
+def ingest_row_prefix(spark, folder):
+    # Row prefixes of ingested grids follow the grids, whatever their coordinates are.
+    root = ingested(spark, folder)
+    paths = year_paths(spark, root)
+    counted = list(zip(paths, src.row_counts(spark, paths)))
+    size = op.prefix_size(sum(rows for _, rows in counted), 1, 3)
+    prefix = src.read_row_prefix(spark, counted, size, base_path=root)
+    averages = [F.avg(F.col(m).try_cast("double")).alias(f"avg_{m}") for m in ("point", "embedding")]
+    return rounded(prefix.groupBy("dataset").agg(F.count("*").alias("rows"), *averages))

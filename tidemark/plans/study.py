@@ -1,6 +1,6 @@
 """The whole partition study: list, prefixes, sweep, timing table, grid and series.
 
-    python -m tidemark.plans.study LIST DATA OUT --mode repartition --files 12
+    python -m tidemark.plans.study LIST DATA OUT --mode repartition
 """
 
 from __future__ import annotations
@@ -11,16 +11,21 @@ from functools import partial
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.operators.measures import MEASURES
-from tidemark.operators.ordering import with_row_index
 from tidemark.operators.prefix import FRACTIONS, first_n_files, prefix_size
 from tidemark.operators.reports import complete_grid, pivot_series, report_lines
 from tidemark.plans.sweep import MODES, Case, partition_sweep
 from tidemark.session import get_session
 from tidemark.sources.datasets import read_dataset_list
-from tidemark.sources.measurements import dataset_paths, read_measurements, read_row_budget
+from tidemark.sources.measurements import (
+    LAYOUTS,
+    dataset_paths,
+    file_headers,
+    read_measurements,
+    read_row_prefix,
+    row_budget_paths,
+)
 from tidemark.sources.timings import write_timings
 
 
@@ -33,29 +38,42 @@ class Study(NamedTuple):
 
 
 def file_cases(
-    spark: SparkSession, paths: Sequence[str], fractions: Sequence[tuple[int, int]]
+    spark: SparkSession,
+    paths: Sequence[str],
+    fractions: Sequence[tuple[int, int]],
+    base_path: str | None = None,
 ) -> list[Case]:
-    """Prefixes of the file list, each read by itself."""
+    """Prefixes of the file list, each read by itself; the headers are read once for all."""
     sizes = [prefix_size(len(paths), num, den) for num, den in fractions]
+    headers = file_headers(spark, paths)
+    options = {"headers": headers, "base_path": base_path}
     return [
-        Case(size, partial(read_measurements, spark, paths[:size])) for size in sizes if size
+        Case(size, partial(read_measurements, spark, paths[:size], **options))
+        for size in sizes
+        if size
     ]
 
 
 def row_cases(
     spark: SparkSession,
-    datasets: DataFrame,
     paths: Sequence[str],
     fractions: Sequence[tuple[int, int]],
     budget: int,
+    base_path: str | None = None,
 ) -> list[Case]:
-    """Prefixes of the rows, in list order, of the files within the row budget."""
-    scan = read_row_budget(spark, paths, budget, with_dataset=True, with_position=True)
-    rows = with_row_index(scan, datasets)
-    entries = scan.count()
+    """Prefixes of the rows, in list order, of the files within the row budget.
+
+    Each reads only the files it needs; the index of the last one is made when it is built.
+    """
+    counted = row_budget_paths(spark, paths, budget)
+    headers = file_headers(spark, [path for path, _ in counted])
+    entries = sum(rows for _, rows in counted)
     sizes = [prefix_size(entries, num, den) for num, den in fractions]
+    options = {"headers": headers, "base_path": base_path}
     return [
-        Case(size, partial(rows.filter, F.col("row_index") < size)) for size in sizes if size
+        Case(size, partial(read_row_prefix, spark, counted, size, **options))
+        for size in sizes
+        if size
     ]
 
 
@@ -66,27 +84,30 @@ def partition_study(
     out_folder: str,
     *,
     mode: str,
-    files: int | None = 12,
+    files: int | None = None,
     row_budget: int | None = None,
     fractions: Sequence[tuple[int, int]] = FRACTIONS,
     measures: Sequence[str] = MEASURES,
     counts: Sequence[int] | None = None,
+    layout: str = "files",
 ) -> Study:
     """Average the measures over growing prefixes and partition counts.
 
-    The prefixes count files, of the first ``files`` of the dataset list (None: of all).
+    The prefixes count files, of the whole dataset list or of its first ``files``.
     With ``row_budget`` they count rows, of the first files that exceed that many rows.
     ``counts`` are the partition counts to try, by default 1 up to those of each scan.
+    ``layout`` tells how the data lie in their folder (see ``dataset_paths``).
     Empty prefixes (of a very short list) have nothing to scan and are left out.
     """
     datasets = read_dataset_list(spark, list_path)
     if files is not None:
         datasets = first_n_files(datasets, files)
-    paths = dataset_paths(datasets, data_folder)
+    paths = dataset_paths(datasets, data_folder, layout)
+    base = data_folder if layout == "folders" else None
     if row_budget is None:
-        cases = file_cases(spark, paths, fractions)
+        cases = file_cases(spark, paths, fractions, base)
     else:
-        cases = row_cases(spark, datasets, paths, fractions, row_budget)
+        cases = row_cases(spark, paths, fractions, row_budget, base)
     cases = [case._replace(counts=counts) for case in cases]
     timings = partition_sweep(spark, cases, mode, measures)
     record = ["scale", "partitions", "create_s", "avg_s"]
@@ -105,11 +126,12 @@ def partition_study(
 def main() -> None:
     parser = argparse.ArgumentParser(description="Time averages over prefixes and partitions.")
     parser.add_argument("list", help="dataset list, one address per line")
-    parser.add_argument("data", help="folder with one NAME.csv per dataset")
+    parser.add_argument("data", help="folder with NAME.csv or dataset=NAME for each dataset")
     parser.add_argument("out", help="folder for the timing table")
     parser.add_argument("--mode", choices=sorted(MODES), default="repartition")
-    parser.add_argument("--files", type=int, default=12, help="0 for the whole list")
+    parser.add_argument("--files", type=int, help="only the first so many of the list")
     parser.add_argument("--row-budget", type=int, help="prefixes of rows, of about this many")
+    parser.add_argument("--layout", choices=LAYOUTS, default="files", help="how the data lie")
     parser.add_argument("--counts", type=int, nargs="+", help="partition counts to try")
     args = parser.parse_args()
     spark = get_session()
@@ -119,7 +141,8 @@ def main() -> None:
         args.data,
         args.out,
         mode=args.mode,
-        files=args.files or None,
+        files=args.files,
+        layout=args.layout,
         row_budget=args.row_budget,
         counts=args.counts,
     )

@@ -57,8 +57,10 @@ def partition_sweep(
     out. Nothing is cached and cells run one by one, so each pays for its own scan and
     has the cluster to itself.
 
-    One row per cell: ``mode, fraction_ord, scale, partitions, rows, avg_*, create_s,
-    avg_s``, times in seconds.
+    ``coalesce`` cannot give more partitions than there are, so a larger count is refused.
+
+    One row per cell: ``mode, fraction_ord, scale, partitions, actual_partitions, rows,
+    avg_*, create_s, avg_s``, times in seconds.
     """
     change = MODES[mode]
     built = [timed(case.build) for case in cases]
@@ -75,12 +77,17 @@ def partition_sweep(
         df, create_s = built[i]
         # As doubles before the shuffle: a number is smaller there than its text.
         numbers = df.select(*[as_measure(m).alias(m) for m in measures])
-        averages = avg_measures(change(numbers, n), measures, with_rows=True)
+        changed = change(numbers, n)
+        actual = partition_count(changed)
+        if mode == "coalesce" and actual != n:
+            raise ValueError(f"a scan of {actual} partitions cannot be coalesced to {n}")
+        averages = avg_measures(changed, measures, with_rows=True)
         (row,), avg_s = timed(averages.collect)
-        records.append((mode, i, scale, n, *row, create_s, avg_s))
+        records.append((mode, i, scale, n, actual, *row, create_s, avg_s))
     schema = ", ".join(
         [
-            "mode string, fraction_ord int, scale bigint, partitions int, rows bigint",
+            "mode string, fraction_ord int, scale bigint, partitions int",
+            "actual_partitions int, rows bigint",
             *[f"`avg_{m}` double" for m in measures],
             "create_s double, avg_s double",
         ]

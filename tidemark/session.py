@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def get_session(app_name: str = "tidemark", **conf: str) -> SparkSession:
@@ -34,30 +33,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-SMALL_SIDE_ROWS = 100_000
-BROADCAST_ROWS = 1_000_000
+def written_side(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back.
 
-
-def small_side(df: DataFrame, max_rows: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """``df`` as a local broadcast table if it has at most ``max_rows`` rows.
-
-    Tables with one row per dataset nearly always do. A larger one is given back as it
-    is, and Spark joins it by shuffle.
-    """
-    rows = df.take(max_rows + 1)
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def written_side(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` written to the shared folder, and broadcast if its row count allows it.
-
-    For tables that cost a scan to make and may have a row per split of a large scan:
-    they are computed once, and their size is known before the join is planned.
+    For tables with a row per dataset, file or split, which cost a scan to make: they are
+    made once, and Spark knows their size in bytes when it plans a join with them.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     df.write.parquet(path)
-    table = spark.read.schema(df.schema).parquet(path)
-    return F.broadcast(table) if table.count() <= max_rows else table
+    return spark.read.schema(df.schema).parquet(path)

@@ -9,9 +9,13 @@ from tidemark.sources.datasets import (
 )
 from tidemark.sources.measurements import (
     dataset_paths,
+    file_headers,
     header_groups,
     read_measurements,
     read_row_budget,
+    read_row_prefix,
+    row_budget_paths,
+    row_counts,
     rows_to_table,
     write_columnar,
     write_measurements,
@@ -22,6 +26,7 @@ from tidemark.sources.timings import read_timings, write_timings
 __all__ = [
     "append_links",
     "dataset_paths",
+    "file_headers",
     "header_groups",
     "list_datasets",
     "read_dataset_list",
@@ -29,7 +34,10 @@ __all__ = [
     "read_measurements",
     "read_pages",
     "read_row_budget",
+    "read_row_prefix",
     "read_timings",
+    "row_budget_paths",
+    "row_counts",
     "rows_to_table",
     "write_columnar",
     "write_measurements",

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions import dataset_name, with_suffix
-from tidemark.operators.ordering import with_row_index, with_scan_position
+from tidemark.operators.ordering import running_before, with_row_index, with_scan_position
 
 
 def append_links(links: DataFrame, path: str, column: str = "link") -> None:
@@ -39,10 +39,6 @@ def read_dataset_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def list_datasets(df: DataFrame, column: str = "dataset") -> DataFrame:
-    """``file_ord`` and the distinct values of ``column``, ascending.
-
-    The window runs over one row per dataset, never over the measurements.
-    """
+    """``file_ord`` and the distinct values of ``column``, ascending."""
     distinct = df.select(column).distinct()
-    position = F.row_number().over(Window.orderBy(column)) - 1
-    return distinct.select(position.cast("bigint").alias("file_ord"), column)
+    return running_before(distinct, [column], F.lit(1), "file_ord").select("file_ord", column)

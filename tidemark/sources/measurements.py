@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import csv
+import re
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,31 +12,55 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_measure, dataset_of_file
-from tidemark.operators.ordering import with_scan_position
+from tidemark.operators.ordering import with_row_index, with_scan_position
 
-HEADER_READERS = 16
+HEADER_BATCH = 128
 COUNT_BATCH = 64
 
+Headers = Mapping[str, Sequence[tuple[str, tuple[str, ...]]]]
 
-def header_groups(spark: SparkSession, paths: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
-    """The paths, grouped by the column names in their first line.
 
-    A path is a file, or a folder whose files share one header. Each read is a
-    one-task job that stops after the first line, and several run at once, so the
-    cost grows with the number of paths and not with the bytes in them. A path
-    without any line has no columns and is left out.
-    """
-
-    def columns(path: str) -> tuple[str, ...]:
-        scan = spark.read.option("header", True).option("recursiveFileLookup", True)
-        return tuple(scan.csv(path).columns)
+def file_headers(spark: SparkSession, paths: Sequence[str]) -> Headers:
+    """For each path the files in it, each with the column names in its first line.
 
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        headers = list(pool.map(columns, paths))
+    One job lists the files; another one reads the first lines of ``HEADER_BATCH`` files,
+    and stops in each file after that line. Files without any line are left out.
+    """
+    if not paths:
+        return {}
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
+    files = sorted(row.path for row in listing.select("path").distinct().toLocalIterator())
+    plain = {_plain(path): path for path in paths}
+    found: dict[str, list[tuple[str, tuple[str, ...]]]] = {path: [] for path in paths}
+    for at in range(0, len(files), HEADER_BATCH):
+        batch = files[at : at + HEADER_BATCH]
+        firsts = [
+            spark.read.text(file).filter(F.trim("value") != "").limit(1).select(F.lit(i).alias("i"), "value")
+            for i, file in enumerate(batch)
+        ]
+        for row in reduce(DataFrame.union, firsts).orderBy("i").collect():
+            header = tuple(next(csv.reader([row.value.removeprefix("\ufeff")])))
+            at_path = _plain(batch[row.i])
+            while at_path not in plain and "/" in at_path:
+                at_path = at_path.rpartition("/")[0]
+            found[plain[at_path]].append((batch[row.i], header))
+    return found
+
+
+def _plain(path: str) -> str:
+    """A path without the local scheme and a slash at its end, as listings differ in both."""
+    return re.sub(r"^file:/+", "/", path).rstrip("/")
+
+
+def header_groups(
+    spark: SparkSession, paths: Sequence[str], headers: Headers | None = None
+) -> dict[tuple[str, ...], list[str]]:
+    """The files of the paths, grouped by the column names in their first line."""
+    known = file_headers(spark, paths) if headers is None else headers
     groups: dict[tuple[str, ...], list[str]] = {}
-    for path, header in zip(paths, headers):
-        if header:
-            groups.setdefault(header, []).append(path)
+    for path in paths:
+        for file, header in known[path]:
+            groups.setdefault(header, []).append(file)
     return groups
 
 
@@ -48,6 +73,7 @@ def read_measurements(
     with_position: bool = False,
     one_header: bool = False,
     check_headers: bool = True,
+    headers: Headers | None = None,
 ) -> DataFrame:
     """All files as one table, matched by column *name*; every column is text.
 
@@ -56,9 +82,10 @@ def read_measurements(
     distinct header; columns a file lacks are null. With ``check_headers`` the scan
     also compares every file's header with its group's and fails on a difference.
 
-    ``one_header`` reads only the first header and leaves the others to that check, which
-    spares a small job per path where the files are known to agree. Without the check,
-    all files are then taken by position, as a single CSV scan does.
+    ``one_header`` reads only the headers of the first path and leaves the others to that
+    check, which spares reading them where the files are known to agree. Without the check,
+    all files are then taken by position, as a single CSV scan does. ``headers`` are those
+    of ``file_headers``, of these paths or more, for many reads that need them once.
 
     ``base_path`` is the root that ``write_measurements`` wrote to, if the paths lie
     below one; its folders then give a ``dataset`` column that prunes files.
@@ -66,18 +93,15 @@ def read_measurements(
     ``with_position`` adds the scan position that ``with_row_index`` needs.
     """
 
-    def scan(columns: Sequence[str] | None, group: list[str]) -> DataFrame:
+    def scan(columns: Sequence[str], group: list[str]) -> DataFrame:
         reader = spark.read.option("header", True).option("enforceSchema", not check_headers)
         if base_path is not None:
             reader = reader.option("basePath", base_path)
         else:
             reader = reader.option("recursiveFileLookup", True)
-        if columns is not None:
-            names = [*columns, "dataset"] if base_path is not None else columns
-            reader = reader.schema(
-                T.StructType([T.StructField(name, T.StringType()) for name in names])
-            )
-        df = reader.csv(group)
+        names = [*columns, "dataset"] if base_path is not None else columns
+        schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
+        df = reader.schema(schema).csv(group)
         if with_position:
             df = with_scan_position(df)
         if with_dataset and base_path is None:
@@ -87,24 +111,34 @@ def read_measurements(
     paths = list(paths)
     if not paths:
         raise ValueError("no paths to read")
-    if len(paths) == 1 and base_path is None:
-        return scan(None, paths)
-    groups = header_groups(spark, paths[:1] if one_header else paths)
+    groups = header_groups(spark, paths[:1] if one_header else paths, headers)
     if not groups:
         raise ValueError("no header line found")
     if one_header:
-        groups = {columns: paths for columns in groups}
+        groups = {next(iter(groups)): paths}
     scans = [scan(columns, group) for columns, group in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
-def dataset_paths(datasets: DataFrame, folder: str) -> list[str]:
+#: Fixed value: what Spark writes as %XX in the name of a partition folder.
+ESCAPED = re.compile("[\x00-\x1f\"#%'*/:=?\\\\\x7f{}\\[\\]^]")
+LAYOUTS = ("files", "folders")
+
+
+def dataset_paths(datasets: DataFrame, folder: str, layout: str = "files") -> list[str]:
     """CSV paths of a dataset list, in list order.
 
-    The list names the files of a scan, and the driver plans a scan from its paths.
+    ``files`` are ``FOLDER/NAME.csv``, ``folders`` the ones that ``write_measurements``
+    makes. The list names the files of a scan, and the driver plans a scan from its paths.
     """
-    rows = datasets.select("file_ord", "file").orderBy("file_ord").toLocalIterator()
-    return [f"{folder.rstrip('/')}/{row.file}" for row in rows]
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    root = folder.rstrip("/")
+    rows = datasets.select("file_ord", "dataset", "file").orderBy("file_ord").toLocalIterator()
+    if layout == "files":
+        return [f"{root}/{row.file}" for row in rows]
+    escape = lambda name: ESCAPED.sub(lambda c: f"%{ord(c[0]):02X}", name)
+    return [f"{root}/dataset={escape(row.dataset)}" for row in rows]
 
 
 def write_measurements(
@@ -113,21 +147,26 @@ def write_measurements(
     *,
     dataset: str = "dataset",
     sort_by: Sequence[str] = (),
+    drop: Sequence[str] = (),
     rebalance: bool = True,
+    mode: str = "overwrite",
 ) -> None:
     """CSV with header lines, one folder ``dataset=NAME`` per dataset.
 
     The rebalance brings the rows of a dataset together, so that small datasets do not
     end in one file per task, and lets Spark cut a dataset that holds much of the
     table into several tasks. Leave it out for rows that already lie by dataset.
-    ``sort_by`` orders the rows within each file.
+    With ``sort_by`` the rows of a dataset are in that order, through all its part files:
+    they are range partitioned by it. ``drop`` leaves out columns that only order.
     """
     out = df.withColumnRenamed(dataset, "dataset")
-    if rebalance:
-        out = out.hint("rebalance", F.col("dataset"))
     if sort_by:
+        if rebalance:
+            out = out.repartitionByRange("dataset", *sort_by)
         out = out.sortWithinPartitions("dataset", *sort_by)
-    out.write.partitionBy("dataset").option("header", True).mode("overwrite").csv(path)
+    elif rebalance:
+        out = out.hint("rebalance", F.col("dataset"))
+    out.drop(*drop).write.partitionBy("dataset").option("header", True).mode(mode).csv(path)
 
 
 def write_columnar(df: DataFrame, path: str, measures: Sequence[str]) -> None:
@@ -147,27 +186,59 @@ def rows_to_table(
     return spark.createDataFrame(list(rows), columns)
 
 
-def read_row_budget(
-    spark: SparkSession, paths: Sequence[str], budget: int, **options: bool
-) -> DataFrame:
-    """Whole files in list order until more than ``budget`` rows are in.
+def row_budget_paths(spark: SparkSession, paths: Sequence[str], budget: int) -> list[tuple[str, int]]:
+    """(path, rows) in list order until more than ``budget`` rows are in.
 
     Files are counted in growing batches, all files of a batch in one job, and no
-    batch is opened once the budget is exceeded. ``options`` go to ``read_measurements``.
+    batch is opened once the budget is exceeded.
     """
-    paths = list(paths)
-    total, chosen, size = 0, 0, 1
-    while chosen < len(paths) and total <= budget:
-        for rows in _row_counts(spark, paths[chosen : chosen + size]):
+    total, chosen, size = 0, [], 1
+    while len(chosen) < len(paths) and total <= budget:
+        batch = list(paths[len(chosen) : len(chosen) + size])
+        for path, rows in zip(batch, row_counts(spark, batch)):
             total += rows
-            chosen += 1
+            chosen.append((path, rows))
             if total > budget:
                 break
         size = min(2 * size, COUNT_BATCH)
-    return read_measurements(spark, paths[:chosen], **options)
+    return chosen
+
 
+def read_row_budget(spark: SparkSession, paths: Sequence[str], budget: int, **options) -> DataFrame:
+    """Whole files in list order until more than ``budget`` rows are in.
+
+    ``options`` go to ``read_measurements``.
+    """
+    chosen = row_budget_paths(spark, list(paths), budget)
+    return read_measurements(spark, [path for path, _ in chosen], **options)
 
-def _row_counts(spark: SparkSession, paths: Sequence[str]) -> list[int]:
+
+def read_row_prefix(
+    spark: SparkSession, counted: Sequence[tuple[str, int]], size: int, **options
+) -> DataFrame:
+    """The first ``size`` rows of the files (path, rows), in list order and line order.
+
+    Files that end before the last row are read as they are, the one it lies in by row
+    index, and no other is opened. ``options`` go to ``read_measurements``.
+    """
+    whole, left, parts = [], size, []
+    for path, rows in counted:
+        if rows > left:
+            if left:
+                edge = read_measurements(spark, [path], with_position=True, **options)
+                indexed = with_row_index(edge, name="__index")
+                parts.append(indexed.filter(F.col("__index") < left).drop("__index"))
+            break
+        whole.append(path)
+        left -= rows
+    if whole or not parts:
+        first = read_measurements(spark, whole or [counted[0][0]], **options)
+        parts.insert(0, first if whole else first.limit(0))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def row_counts(spark: SparkSession, paths: Sequence[str]) -> list[int]:
+    """Rows of each path, from one job."""
     # Counting needs no names: the header is skipped and no cell is parsed.
     reader = spark.read.schema("cell string").option("header", True)
     scans = [

@@ -11,9 +11,12 @@ STAMP_FORMAT = "%Y%m%d-%H%M%S"
 
 
 def write_timings(df: DataFrame, folder: str, mode: str) -> str:
-    """Write ``df`` with a header below ``folder`` and give back the path."""
+    """Write ``df`` with a header below ``folder`` and give back the path.
+
+    The name holds the second of writing. A table already there is not replaced.
+    """
     path = f"{folder.rstrip('/')}/{mode}_raw{datetime.now().strftime(STAMP_FORMAT)}.csv"
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("errorifexists").option("header", True).csv(path)
     return path
 
 

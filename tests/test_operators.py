@@ -352,3 +352,11 @@ def test_plans(spark, tmp_path):
     prefix = plan_of(op.prefix_rows(events, 1, 3, "id"))
     assert "PushedFilters: [IsNotNull(id), LessThanOrEqual(id,332)]" in prefix
     assert "Exchange" not in prefix
+
+
+def test_running_sums_pass_no_single_task(spark):
+    df = spark.range(500).select((F.col("id") * 7 % 500).alias("k"), F.lit(2).alias("v"))
+    got = op.running_before(df, ["k"], F.col("v"), "before")
+    assert sorted((r.k, r.before) for r in got.collect()) == [(k, 2 * k) for k in range(500)]
+    assert "SinglePartition" not in got._jdf.queryExecution().toString()
+    assert op.running_before(df.limit(0), ["k"], F.col("v"), "before").collect() == []

@@ -53,7 +53,7 @@ def test_study(spark, tmp_path, mode):
     stage_piers(tmp_path)
     study = partition_study(
         spark, str(tmp_path / "list.txt"), str(tmp_path), str(tmp_path / "out"), mode=mode,
-        fractions=((1, 5), (1, 2), (1, 1)), counts=(1, 2),
+        fractions=((1, 5), (1, 2), (1, 1)), counts=(1, 2), files=12,
     )
     rows = study.timings.orderBy("fraction_ord", "partitions").collect()
     assert [(r.mode, r.scale, r.partitions, r.rows) for r in rows] == [
@@ -75,7 +75,7 @@ def test_study_by_rows(spark, tmp_path, mode):
     stage_piers(tmp_path)
     study = partition_study(
         spark, str(tmp_path / "list.txt"), str(tmp_path), str(tmp_path / "out"),
-        mode=mode, row_budget=11, fractions=((1, 5), (1, 2), (1, 1)), counts=(2,),
+        mode=mode, row_budget=11, fractions=((1, 5), (1, 2), (1, 1)), counts=(1,),
     )
     rows = study.timings.orderBy("fraction_ord").collect()
     # Three files of five rows pass the budget of eleven; 7.5 rounds to 8.
@@ -85,6 +85,45 @@ def test_study_by_rows(spark, tmp_path, mode):
         assert r.avg_temperature == pytest.approx(sum(values[: r.scale]) / r.scale)
 
 
+def test_study_takes_the_whole_list(spark, tmp_path):
+    stage_piers(tmp_path)
+    study = partition_study(
+        spark, str(tmp_path / "list.txt"), str(tmp_path), str(tmp_path / "out"), mode="repartition",
+        fractions=((1, 1),), counts=(1,),
+    )
+    assert [(r.scale, r.rows) for r in study.timings.collect()] == [(13, 65)]
+
+
+def test_study_reads_what_ingest_wrote(spark, tmp_path):
+    grids = spark.createDataFrame(
+        [(f"p-{i}", [30, 10, 20], [float(i), float(i + 1), float(i + 2)]) for i in range(14)],
+        "dataset string, at array<int>, temperature array<double>",
+    )
+    root = str(tmp_path / "csv")
+    ingest_grids(grids, {"time": "at"}, {"temperature": ("time",)}, root)
+    (tmp_path / "list.txt").write_text("".join(f"{HOST}/p-{i}.nc\n" for i in range(14)))
+    options = dict(mode="repartition", measures=["time", "temperature"], counts=(1,), layout="folders")
+    study = partition_study(spark, str(tmp_path / "list.txt"), root, str(tmp_path / "out"), **options)
+    rows = study.timings.orderBy("fraction_ord").collect()
+    assert [r.scale for r in rows] == [3, 4, 5, 6, 7, 8, 9, 10, 11, 14]
+    assert [r.rows for r in rows] == [3 * r.scale for r in rows]
+    assert rows[-1].avg_temperature == pytest.approx(7.5)
+    # Row prefixes follow the grid: the coordinates are 30, 10, 20 in each dataset.
+    by_rows = partition_study(
+        spark, str(tmp_path / "list.txt"), root, str(tmp_path / "out2"), row_budget=1,
+        fractions=((1, 3), (2, 3)), **options,
+    )
+    assert [r.avg_time for r in by_rows.timings.orderBy("fraction_ord").collect()] == [30.0, 20.0]
+
+
+def test_coalesce_beyond_the_scan_is_refused(spark):
+    narrow = spark.range(0, 10, 1, 2).select((F.col("id") * 1.0).alias("v"))
+    with pytest.raises(ValueError, match="cannot be coalesced"):
+        partition_sweep(spark, [Case(1, lambda: narrow, [3])], "coalesce", ["v"])
+    rows = partition_sweep(spark, [Case(1, lambda: narrow)], "coalesce", ["v"]).collect()
+    assert [(r.partitions, r.actual_partitions) for r in rows] == [(1, 1), (2, 2)]
+
+
 def test_sweep_tries_every_count_up_to_the_scan(spark):
     wide = spark.range(0, 90, 1, 3).select((F.col("id") * 1.0).alias("v"))
     narrow = spark.range(0, 10, 1, 1).select((F.col("id") * 1.0).alias("v"))

@@ -1,21 +1,27 @@
 import csv
 import math
 import re
+import uuid
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import MEASURES, avg_measures, with_row_index
+from tidemark.operators import MEASURES, assign_file_ord, avg_measures, with_row_index
 from tidemark.session import scratch_dir
 from tidemark.sources import (
     append_links,
     dataset_paths,
+    file_headers,
     header_groups,
     read_dataset_list,
     read_links,
     read_measurements,
     read_row_budget,
+    read_row_prefix,
+    row_budget_paths,
+    row_counts,
     rows_to_table,
     write_columnar,
     write_measurements,
@@ -78,7 +84,8 @@ def test_header_only_gives_one_row_of_nulls(spark, tmp_path):
 def test_header_groups_skip_empty_files(spark, tmp_path, two_orders):
     empty = write(tmp_path / "z.csv")
     groups = header_groups(spark, [*two_orders, empty])
-    assert groups == {
+    plain = {h: [f.removeprefix("file:") for f in files] for h, files in groups.items()}
+    assert plain == {
         tuple(HEADER_A.split(",")): [two_orders[0]],
         tuple(HEADER_B.split(",")): [two_orders[1]],
     }
@@ -88,10 +95,101 @@ def test_header_groups_skip_empty_files(spark, tmp_path, two_orders):
         read_measurements(spark, [])
 
 
-def test_a_folder_of_mixed_headers_fails_instead_of_mixing_columns(spark, two_orders, tmp_path):
-    df = read_measurements(spark, [str(tmp_path)])
-    with pytest.raises(Exception, match="(?i)failed_read_file|header"):
-        avg_measures(df).collect()
+def test_a_folder_of_mixed_headers_is_read_by_name(spark, two_orders, tmp_path):
+    write(tmp_path / "c.csv", "time,salinity", "t9,40.0")
+    folder, files = read_measurements(spark, [str(tmp_path)]), read_measurements(spark, two_orders)
+    assert len(header_groups(spark, [str(tmp_path)])) == 3
+    row, before = (avg_measures(df, nan_as_null=True).first() for df in (folder, files))
+    assert row.avg_temperature == pytest.approx(before.avg_temperature)
+    assert folder.count() == files.count() + 1
+
+
+def jobs(spark, run):
+    """How many Spark jobs ``run`` starts, and its result."""
+    group = f"jobs-{uuid.uuid4().hex}"
+    spark.sparkContext.setJobGroup(group, "count")
+    try:
+        result = run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), result
+
+
+def test_headers_take_as_many_jobs_for_many_files(spark, tmp_path):
+    for i in range(12):
+        write(tmp_path / f"h{i:02d}.csv", HEADER_A if i % 2 else HEADER_B, "t,1,2,3,4")
+    few, _ = jobs(spark, lambda: file_headers(spark, [str(tmp_path / f"h{i:02d}.csv") for i in range(3)]))
+    many, headers = jobs(spark, lambda: file_headers(spark, [str(tmp_path)]))
+    assert many <= few + 1 and len(headers[str(tmp_path)]) == 12
+    # Known headers are not read again.
+    none, df = jobs(spark, lambda: read_measurements(spark, [str(tmp_path)], headers=headers))
+    assert none == 0 and df.count() == 12
+
+
+def test_row_prefix_opens_only_its_files(spark, tmp_path):
+    paths = [write(tmp_path / f"{n}.csv", "key", *[f"{n}{j}" for j in range(5)]) for n in "cab"]
+    counted = list(zip(paths, row_counts(spark, paths)))
+    assert [rows for _, rows in counted] == [5, 5, 5]
+    for size, files in ((0, 0), (3, 1), (5, 1), (7, 2), (10, 2), (15, 3)):
+        df = read_row_prefix(spark, counted, size)
+        assert sum(f.endswith(".csv") for f in df.inputFiles()) == files
+        expected = [f"{n}{j}" for n in "cab" for j in range(5)][:size]
+        assert sorted(r.key for r in df.collect()) == sorted(expected)
+
+
+def test_later_files_are_not_opened_for_a_row_budget(spark, tmp_path):
+    paths = [write(tmp_path / f"{i}.csv", "key", "a", "b") for i in range(3)]
+    chosen = row_budget_paths(spark, [*paths, str(tmp_path / "missing.csv")], 3)
+    assert chosen == [(paths[0], 2), (paths[1], 2)]
+
+
+def test_part_files_go_by_their_number(spark, tmp_path):
+    folder = tmp_path / "parts"
+    folder.mkdir()
+    for n in (99999, 100000, 20000):
+        write(folder / f"part-{n:05d}-x.txt", f"https://h/{n}.nc")
+    rows = read_dataset_list(spark, str(folder)).orderBy("file_ord").collect()
+    assert [r.dataset for r in rows] == ["20000", "99999", "100000"]
+
+
+def test_names_listed_twice_are_refused(spark):
+    df = spark.createDataFrame([("a", 1)], "dataset string, v int")
+    listed = spark.createDataFrame([(0, "a"), (1, "a")], "file_ord int, dataset string")
+    with pytest.raises(ValueError, match="more than once"):
+        assign_file_ord(df, listed)
+
+
+def test_timings_are_not_replaced(spark, tmp_path, monkeypatch):
+    df = spark.createDataFrame([(2, 1, 0.5, 0.5)], "scale int, partitions int, create_s double, avg_s double")
+    monkeypatch.setattr("tidemark.sources.timings.STAMP_FORMAT", "%Y")
+    write_timings(df, str(tmp_path), "coalesce")
+    with pytest.raises(Exception, match="(?i)exists"):
+        write_timings(df, str(tmp_path), "coalesce")
+
+
+def test_folders_of_odd_names_are_found(spark, tmp_path):
+    names = ["a b", "x:y", "50%", "p/q", "é=1", "[z]"]
+    data = spark.createDataFrame([(n, i) for i, n in enumerate(names)], "dataset string, v int")
+    write_measurements(data, str(tmp_path))
+    listed = spark.createDataFrame([(i, n, "") for i, n in enumerate(names)], "file_ord int, dataset string, file string")
+    paths = dataset_paths(listed, str(tmp_path), "folders")
+    assert all(Path(p).is_dir() for p in paths)
+
+
+def test_a_large_dataset_is_cut_into_files_in_order(spark, tmp_path):
+    data = spark.range(40_000).select(F.lit("big").alias("dataset"), (-F.col("id")).alias("at"), "id", F.lit("x" * 50).alias("pad"))
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "200000", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "100000"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        write_measurements(data, str(tmp_path), sort_by=["id"], drop=["id"])
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    files = sorted((tmp_path / "dataset=big").glob("part-*.csv"))
+    assert len(files) > 1
+    values = [int(line.split(",")[0]) for f in files for line in f.read_text().splitlines()[1:]]
+    assert values == [-i for i in range(40_000)]
 
 
 def test_one_header_for_all_files(spark, tmp_path, two_orders):

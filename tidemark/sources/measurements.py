@@ -34,11 +34,16 @@ def file_headers(spark: SparkSession, paths: Sequence[str]) -> Headers:
     found: dict[str, list[tuple[str, tuple[str, ...]]]] = {path: [] for path in paths}
     for at in range(0, len(files), HEADER_BATCH):
         batch = files[at : at + HEADER_BATCH]
+        # In one partition the limit needs no shuffle, and so no job of its own.
         firsts = [
-            spark.read.text(file).filter(F.trim("value") != "").limit(1).select(F.lit(i).alias("i"), "value")
+            spark.read.text(file)
+            .filter(F.trim("value") != "")
+            .coalesce(1)
+            .limit(1)
+            .select(F.lit(i).alias("i"), "value")
             for i, file in enumerate(batch)
         ]
-        for row in reduce(DataFrame.union, firsts).orderBy("i").collect():
+        for row in sorted(reduce(DataFrame.union, firsts).collect()):
             header = tuple(next(csv.reader([row.value.removeprefix("\ufeff")])))
             at_path = _plain(batch[row.i])
             while at_path not in plain and "/" in at_path:

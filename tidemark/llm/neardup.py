@@ -41,6 +41,8 @@ MINIMA, ROWS, BANDS = 2, 3, 32
 SMALL_GROUP = 8
 #: Texts looked at, and k-mers kept, to find a good order for the exact filter.
 ORDER_TEXTS, ORDER_KMERS = 500, 200_000
+#: K-mers before the one that two texts meet at, by which a second meeting is told.
+EARLIER = 64
 _PLACE = np.uint64((1 << 24) - 1)
 
 
@@ -221,7 +223,7 @@ def prefix_pairs(texts: DataFrame, order: tuple[np.ndarray, np.ndarray], least:
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, times = shared.value
         for batch in batches:
-            found = []
+            found, earlier, sizes = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i in range(batch.num_rows):
                 raw = batch.column(2)[i].values.to_numpy()
                 n = len(raw)
@@ -235,16 +237,24 @@ def prefix_pairs(texts: DataFrame, order: tuple[np.ndarray, np.ndarray], least:
                 long = n - int(np.ceil(least * n - 1e-9)) + 1
                 first = h[np.lexsort((h, often))[:long]].view(np.int64)
                 found.append(np.column_stack([first, np.arange(long), np.tile([batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), n], (long, 1))]))
+                some = np.minimum(np.arange(long), EARLIER)
+                within = np.arange(some.sum()) - np.repeat(np.cumsum(some) - some, some)
+                earlier.append(first[np.repeat(np.arange(long) - some, some) + within])
+                sizes.append(some)
             rows = np.concatenate(found) if found else np.zeros((0, 5), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in rows.T], ["key", "p", "id", "class", "n"])
+            lists = lists_of(np.concatenate(earlier), np.concatenate(sizes), pa.int64())
+            yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(c)) for c in rows.T], lists], ["key", "p", "id", "class", "n", "earlier"])
 
-    schema = "key bigint, p bigint, id bigint, class bigint, n bigint"
+    schema = "key bigint, p bigint, id bigint, class bigint, n bigint, earlier array<bigint>"
     firsts = stored(texts.select("id", "class", "kmers").mapInArrow(prefixes, schema), "neardup-prefixes")
-    smaller = firsts.where(F.col("p") <= F.col("n") - F.ceil(2 * least / (1 + least) * F.col("n") - 1e-6)).select("key", *[F.col(c).alias(f"{c}_i") for c in ("p", "id", "class", "n")])
-    larger = firsts.select("key", *[F.col(c).alias(f"{c}_j") for c in ("p", "id", "class", "n")])
+    kept = ("p", "id", "class", "n", "earlier")
+    smaller = firsts.where(F.col("p") <= F.col("n") - F.ceil(2 * least / (1 + least) * F.col("n") - 1e-6)).select("key", *[F.col(c).alias(f"{c}_i") for c in kept])
+    larger = firsts.select("key", *[F.col(c).alias(f"{c}_j") for c in kept])
     ordered = (F.col("n_i") < F.col("n_j")) | ((F.col("n_i") == F.col("n_j")) & (F.col("id_i") < F.col("id_j")))
     enough = F.least(F.col("n_i") - F.col("p_i"), F.col("n_j") - F.col("p_j")) >= least / (1 + least) * (F.col("n_i") + F.col("n_j")) - 1e-6
-    met = smaller.join(larger, (smaller["key"] == larger["key"]) & (F.col("class_i") != F.col("class_j")) & ordered & enough)
+    # A pair is met at the first k-mer it shares; further ones, if any, go with distinct().
+    first = ~F.arrays_overlap("earlier_i", "earlier_j")
+    met = smaller.join(larger, (smaller["key"] == larger["key"]) & (F.col("class_i") != F.col("class_j")) & ordered & enough & first)
     return met.select(F.greatest("id_i", "id_j").alias("a"), F.least("id_i", "id_j").alias("b")).distinct()
 
 

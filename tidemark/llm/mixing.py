@@ -17,6 +17,8 @@ text hash or are interchangeable. Empty table: no rows. Extra columns: ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +30,6 @@ CEILING = 3
 #: Tiers of size: so many for each doubling.
 TIERS = 16
 NEWTON_STEPS = 60
-#: Documents of a tier are numbered inside chunks of about this many.
-CHUNKS = 4096
 OFFSET = 0.381966
 
 
@@ -94,7 +94,9 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling:
     sized = stored(sized, "mix-sizes")
     targets = stored(entropy_rates(source_targets(sized, weights, ceiling)), "mix-targets")
     tier = F.floor(F.log2(F.col("size").cast("double")) * TIERS).cast("int")
-    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(CHUNKS)).cast("int")
+    # Documents of a tier are numbered inside chunks: as many chunks as a chunk of all has rows.
+    chunks_n = math.isqrt(sized.count()) + 1
+    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks_n)).cast("int")
     placed = sized.where("size > 0").withColumns({"tier": tier, "chunk": chunk, "src": F.col("source"), "has": F.col("source").isNull()})
     placed = placed.withColumn("key", F.coalesce("src", F.lit("")))
 
@@ -122,7 +124,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling:
         .select("has", "key", F.explode(F.aggregate("tiers", start, plan)["out"]).alias("p"))
         .select("has", "key", "p.tier", "p.copies")
     )
-    # Where each chunk starts in its tier: at most CHUNKS rows for a tier.
+    # Where each chunk starts in its tier.
     earlier = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         chunks.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0)))

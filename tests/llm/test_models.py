@@ -17,7 +17,7 @@ import corpus_pipeline
 from tests.conftest import DATA
 from tests.llm.test_texts import brute_classes, brute_removal
 from tidemark.llm import extract, language, mixing, quality, toxicity, warc
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import QUERIES, SQL
 
 FOLDER = str(DATA / "sf0.01")
 
@@ -337,11 +337,13 @@ def test_registered_queries():
     assert len(QUERIES) == 10
 
 
-def test_archive_query_equals_sql(spark):
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{FOLDER}/pages.parquet'")
-    df = QUERIES["op8_member_archives"](spark, FOLDER)
-    result = con.execute(warc.SQL)
+    for table in ("documents", "pages"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
+    df = QUERIES[name](spark, FOLDER)
+    result = con.execute(SQL[name])
     assert df.columns == [d[0] for d in result.description]
     assert sorted(map(tuple, df.collect()), key=repr) == sorted(result.fetchall(), key=repr)
 

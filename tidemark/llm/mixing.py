@@ -31,6 +31,7 @@ CEILING = 3
 TIERS = 16
 NEWTON_STEPS = 60
 OFFSET = 0.381966
+TIER_POWER = "length(bin(size)) - 1"
 
 
 def word_count(text: Column) -> Column:
@@ -93,10 +94,14 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling:
     sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
     sized = stored(sized, "mix-sizes")
     targets = stored(entropy_rates(source_targets(sized, weights, ceiling)), "mix-targets")
-    tier = F.floor(F.log2(F.col("size").cast("double")) * TIERS).cast("int")
+    # The power of two below the size, and which of TIERS equal parts of the way to the next.
+    power = F.length(F.bin("size")) - 1
+    part = F.floor((F.col("size") - F.expr(f"shiftleft(1L, {TIER_POWER})")) * TIERS / F.expr(f"shiftleft(1L, {TIER_POWER})"))
+    tier = (power * TIERS + part).cast("int")
     # Documents of a tier are numbered inside chunks: as many chunks as a chunk of all has rows.
     chunks_n = math.isqrt(sized.count()) + 1
-    chunk = F.pmod(F.xxhash64("doc_id"), F.lit(chunks_n)).cast("int")
+    digest = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 12), 16, 10)
+    chunk = F.pmod(digest.cast("bigint"), F.lit(chunks_n)).cast("int")
     placed = sized.where("size > 0").withColumns({"tier": tier, "chunk": chunk, "src": F.col("source"), "has": F.col("source").isNull()})
     placed = placed.withColumn("key", F.coalesce("src", F.lit("")))
 
@@ -154,3 +159,51 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document."""
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SQL = rf"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size,
+         [{", ".join(f"{w}::DOUBLE" for w in WEIGHTS)}][((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % {len(WEIGHTS)} + 1)::INT] AS w
+  FROM d GROUP BY source
+), l AS (
+  SELECT *, source_size * {CEILING} AS most, row_number() OVER (ORDER BY source_size * {CEILING} / w, source IS NULL, encode(source)) AS i FROM s
+), f AS (
+  SELECT a.*, ((SELECT sum(source_size) FROM l) - coalesce((SELECT sum(most) FROM l b WHERE b.i < a.i), 0))
+              / ((SELECT sum(w) FROM l) - coalesce((SELECT sum(w) FROM l b WHERE b.i < a.i), 0)) AS level
+  FROM l a
+), t AS (
+  SELECT source, source_size, CASE WHEN source_size = 0 THEN 0 ELSE least(most::DOUBLE,
+    coalesce(w * (SELECT level FROM f g WHERE g.most >= g.w * g.level ORDER BY i LIMIT 1), most::DOUBLE)) END AS target
+  FROM f
+), p AS (
+  SELECT *, CAST((length(bin(size)) - 1) * {TIERS} + ((size - (1::BIGINT << (length(bin(size)) - 1)::INT)) * {TIERS} // (1::BIGINT << (length(bin(size)) - 1)::INT)) AS INT) AS tier,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT % (floor(sqrt((SELECT count(*) FROM d)))::BIGINT + 1) AS chunk
+  FROM d WHERE size > 0
+), n AS (
+  SELECT source, tier, count(*) AS n, sum(size)::BIGINT AS words FROM p GROUP BY ALL
+), u AS (
+  SELECT n.source, {{'tier': 0, 'n': 0::BIGINT, 'words': 0::BIGINT, 'rate': 0::DOUBLE, 'due': 0::DOUBLE, 'got': 0::DOUBLE, 'out': [{{'tier': -1, 'copies': 0::BIGINT}}]}} AS start,
+         list({{'tier': tier, 'n': n, 'words': words, 'rate': CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END, 'due': 0::DOUBLE, 'got': 0::DOUBLE,
+               'out': [{{'tier': -1, 'copies': 0::BIGINT}}]}} ORDER BY tier DESC) AS tiers
+  FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source GROUP BY ALL
+), v AS (
+  SELECT source, unnest(list_reduce(list_prepend(start, tiers), lambda a, x: {{
+    'tier': x.tier, 'n': x.n, 'words': x.words, 'rate': x.rate, 'due': a.due + x.words * x.rate,
+    'got': a.got + greatest(0, least(floor((a.due + x.words * x.rate - a.got) / (x.words / x.n) + 0.5), x.n * {CEILING})) * (x.words / x.n),
+    'out': a.out || [{{'tier': x.tier, 'copies': greatest(0, least(floor((a.due + x.words * x.rate - a.got) / (x.words / x.n) + 0.5), x.n * {CEILING}))::BIGINT}}]
+  }}).out) AS o FROM u
+), q AS (
+  SELECT p.doc_id, p.source, p.size, v.o.copies / n.n AS per,
+         row_number() OVER (PARTITION BY p.source, p.tier ORDER BY chunk, doc_id NULLS FIRST) AS k
+  FROM p JOIN n ON p.source IS NOT DISTINCT FROM n.source AND p.tier = n.tier
+  JOIN v ON v.source IS NOT DISTINCT FROM p.source AND v.o.tier = p.tier
+)
+SELECT doc_id, size, source_size, target,
+       CAST(least({CEILING}, floor(k * per + {OFFSET}) - floor((k - 1) * per + {OFFSET})) * size AS BIGINT) AS taken
+FROM q JOIN t ON q.source IS NOT DISTINCT FROM t.source
+UNION ALL
+SELECT doc_id, size, source_size, target, 0::BIGINT AS taken FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source WHERE size = 0
+"""

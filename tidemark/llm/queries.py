@@ -6,6 +6,7 @@ from tidemark.llm.decontaminate import op3_simhash_decontaminate
 from tidemark.llm.extract import op4_tag_path_ratio
 from tidemark.llm.fingerprints import op1_threshold_sketch
 from tidemark.llm.language import op2_string_kernel_language
+from tidemark.llm.mixing import SQL as MIX_SQL
 from tidemark.llm.mixing import op10_entropy_mix
 from tidemark.llm.neardup import op5_order_minhash
 from tidemark.llm.quality import op6_fourier_quality
@@ -26,4 +27,4 @@ QUERIES = {
     "op9_difference_cover": op9_difference_cover,
     "op10_entropy_mix": op10_entropy_mix,
 }
-SQL: dict[str, str] = {"op8_member_archives": WARC_SQL}
+SQL: dict[str, str] = {"op8_member_archives": WARC_SQL, "op10_entropy_mix": MIX_SQL}

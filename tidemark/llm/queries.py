@@ -10,6 +10,7 @@ from tidemark.llm.mixing import SQL as MIX_SQL
 from tidemark.llm.mixing import op10_entropy_mix
 from tidemark.llm.neardup import op5_order_minhash
 from tidemark.llm.quality import op6_fourier_quality
+from tidemark.llm.suffix import SQL as SUFFIX_SQL
 from tidemark.llm.suffix import op9_difference_cover
 from tidemark.llm.toxicity import op7_noisy_channel_toxicity
 from tidemark.llm.warc import SQL as WARC_SQL
@@ -27,4 +28,8 @@ QUERIES = {
     "op9_difference_cover": op9_difference_cover,
     "op10_entropy_mix": op10_entropy_mix,
 }
-SQL: dict[str, str] = {"op8_member_archives": WARC_SQL, "op10_entropy_mix": MIX_SQL}
+SQL: dict[str, str] = {
+    "op8_member_archives": WARC_SQL,
+    "op9_difference_cover": SUFFIX_SQL,
+    "op10_entropy_mix": MIX_SQL,
+}

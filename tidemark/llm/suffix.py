@@ -436,3 +436,34 @@ def op9_difference_cover(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_ranges(docs).select("doc_id", "text", "__ranges").mapInArrow(
         digest, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
     )
+
+
+#: Every window of every document, in hexadecimal, so that bytes can be cut.
+SQL = """
+WITH d AS (
+  SELECT doc_id, hex(coalesce(text, '')) AS h, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes FROM documents
+), blocks AS (
+  -- Short pieces that overlap by a window, as cutting from a long text reads all of it.
+  SELECT doc_id, n_bytes, k, substr(h, 2000 * k + 1, 2200) AS block
+  FROM (SELECT doc_id, h, n_bytes, unnest(range(0, (n_bytes + 900) // 1000)) AS k FROM d)
+), w AS (
+  SELECT doc_id, 1000 * k + j AS i, md5(substr(block, 2 * j + 1, 200)) AS s
+  FROM (SELECT doc_id, k, block, unnest(range(0, least(1000, n_bytes - 99 - 1000 * k))) AS j FROM blocks)
+), later AS (
+  SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, i) > 1
+), edges AS (
+  SELECT doc_id, i, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 100, true) AS new FROM later
+), runs AS (
+  SELECT doc_id, min(i) AS a, max(i) + 100 AS b FROM (
+    SELECT doc_id, i, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edges) GROUP BY doc_id, run
+), pieces AS (
+  SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs
+), kept AS (
+  SELECT p.doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+         string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS head
+  FROM pieces p JOIN d ON d.doc_id = p.doc_id GROUP BY p.doc_id
+)
+SELECT d.doc_id, n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(CASE WHEN last IS NULL THEN h ELSE head || substr(h, 2 * last + 1) END)) AS kept_sha256
+FROM d LEFT JOIN kept ON kept.doc_id = d.doc_id
+"""

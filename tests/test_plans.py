@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import MEASURES, avg_measures
 from tidemark.plans import build_dataset_list, ingest_grids, partition_study, partition_sweep
+from tidemark.plans.study import file_cases
 from tidemark.plans.sweep import Case
 from tidemark.sources import read_measurements
 
@@ -116,6 +117,19 @@ def test_study_reads_what_ingest_wrote(spark, tmp_path):
     assert [r.avg_time for r in by_rows.timings.orderBy("fraction_ord").collect()] == [30.0, 20.0]
 
 
+def test_creation_reads_no_headers_again(spark, tmp_path):
+    stage_piers(tmp_path)
+    paths = [str(tmp_path / f"pier-{2005 + i}.csv") for i in range(13)]
+    cases = file_cases(spark, paths, ((1, 5), (1, 1)))
+    spark.sparkContext.setJobGroup("creation", "creation")
+    try:
+        built = [case.build() for case in cases]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup("creation") == []
+    assert [len(df.inputFiles()) for df in built] == [3, 13]
+
+
 def test_coalesce_beyond_the_scan_is_refused(spark):
     narrow = spark.range(0, 10, 1, 2).select((F.col("id") * 1.0).alias("v"))
     with pytest.raises(ValueError, match="cannot be coalesced"):

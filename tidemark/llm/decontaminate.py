@@ -121,7 +121,6 @@ def build_index(ids: list, texts: list[str | None], radius: int = RADIUS) -> Ite
 
 def windows(index: ItemIndex, h: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Distinct (text, first word, words) of the item-sized windows around shared shingles."""
-    first = np.concatenate([[0], np.cumsum(counts)])
     found = []
     for k, (bits, flat, item, place) in index.probes.items():
         s, n = shingles_of(h, counts, k)

@@ -21,7 +21,6 @@ equal scores; of equal paths the first candidate wins. Extra columns: ignored.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 

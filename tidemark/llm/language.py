@@ -89,7 +89,6 @@ def fit_language(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, landmarks: in
         return None
     column = sample.column("text").combine_chunks()
     column = column.chunk(0) if isinstance(column, pa.ChunkedArray) else column
-    x = np.concatenate([presence(data, offsets) for _, _, data, offsets in text_slices(column)])
     names = sample.column("lang").to_pylist()
     langs = tuple(sorted(set(names)))
     y = np.where(np.array(names)[:, None] == np.array(langs)[None, :], 1.0, -1.0)
@@ -99,12 +98,15 @@ def fit_language(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, landmarks: in
     for name in names:
         turn.append(place[name])
         place[name] += 1
-    marks = x[np.argsort(turn, kind="stable")[:landmarks]]
+    chosen = column.take(pa.array(np.argsort(turn, kind="stable")[:landmarks]))
+    marks = np.concatenate([presence(data, offsets) for _, _, data, offsets in text_slices(chosen)])
     values, vectors = np.linalg.eigh((marks @ marks.T).astype(np.float64))
     good = values > 1e-6 * values[-1]
     root = vectors[:, good] / np.sqrt(values[good])
-    phi = (x @ marks.T).astype(np.float64) @ root
-    solved = np.linalg.solve(phi.T @ phi + ridge * len(x) * np.eye(phi.shape[1]), phi.T @ y)
+    # Slice by slice: the driver holds the landmarks, never the presence of the whole sample.
+    kernel = np.concatenate([presence(data, offsets) @ marks.T for _, _, data, offsets in text_slices(column)])
+    phi = kernel.astype(np.float64) @ root
+    solved = np.linalg.solve(phi.T @ phi + ridge * len(y) * np.eye(phi.shape[1]), phi.T @ y)
     return LanguageModel(langs, marks.astype(np.float32), (root @ solved).astype(np.float32))
 
 

@@ -218,6 +218,29 @@ def test_rows_of_one_id_do_not_cover_each_other(make_docs):
     assert all(r.n_chars == len(r.text) for r in kept if r.text is not None)
 
 
+@pytest.mark.parametrize("large", [suffix.LARGE, 1])
+def test_different_texts_without_or_of_one_id(spark, make_docs, large, monkeypatch):
+    """Texts of different lengths, with passages at equal and at other places."""
+    monkeypatch.setattr(suffix, "LARGE", large)
+    rng = random.Random(5)
+    passage, other = prose(rng, 60), prose(rng, 60)
+    texts = [passage + " " + prose(rng, 200), passage + " " + prose(rng, 30), prose(rng, 300) + " " + passage, "short", prose(rng, 80), ""]
+    texts += [other[:130], other[:150] + prose(rng, 5), prose(rng, 90) + other]
+    rows = [(i, t) for i in (None, 8) for t in (*texts, f"{prose(rng, 40)} {passage} {i}")] + [(9, passage), (None, texts[0])]
+    docs = make_docs(rows)
+    digest = {r.text: r.h for r in docs.selectExpr("text", "xxhash64(text) AS h").distinct().collect()}
+    order = sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0, digest[r[1]]))
+    expected = dict(zip(order, brute_removal(list(enumerate(t for _, t in order))).values(), strict=True))
+    kept = suffix.with_ranges(docs).collect()
+    assert len(kept) == len(rows)
+    for r in kept:
+        gone = {p for a, b in r["__ranges"] or [] for p in range(a, b)}
+        data = r.text.encode()
+        assert max(gone, default=0) <= len(data)
+        left = bytes(c for p, c in enumerate(data) if p not in gone)
+        assert (len(data), len(gone), hashlib.sha256(left).hexdigest()) == tuple(expected[r.doc_id, r.text][i] for i in (0, 1, 3))
+
+
 def test_cut_characters_go(make_docs):
     text = "é" * 120
     kept = {r.doc_id: r.text for r in suffix.without_repeats(make_docs([(1, text), (2, "a" + text + "b")])).collect()}

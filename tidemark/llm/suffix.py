@@ -2,7 +2,8 @@
 
 A byte goes if a string of ``WINDOW`` bytes that covers it starts earlier too: in a document
 with a smaller id, or in the same one at an earlier place. Strings are judged on the input and
-never cross documents.
+never cross documents. A document is all rows of the same id and text; those of one id are in the
+order of a hash of their text.
 
 1. Suffix buckets. Each window belongs to the smallest hash of the ``GRAM``-byte strings in it.
    Equal windows have that string at the same place, so a bucket is the hash of that string,
@@ -19,9 +20,11 @@ never cross documents.
 3. Covered ranges are merged for each document, and the text without them is made.
 
 Cases. Null or empty text, or under ``WINDOW`` bytes: nothing removed. Very long texts: whole;
-a text is held by one task. Null doc_id: before all ids. Rows with equal ids: one document
-given twice, which does not cover itself; both lose what the document loses. Repeated texts:
-the first stays. Empty table: no rows. Extra columns: ignored, or kept by ``without_repeats``.
+a text is held by one task. Null doc_id: before all ids, as if all such rows had one id. Rows with
+equal ids (or none) and equal texts: one document given twice, which does not cover itself; both
+lose what the document loses. Rows with equal ids and different texts: different documents.
+Repeated texts: the first stays. Empty table: no rows. Extra columns: ignored, or kept by
+``without_repeats``.
 """
 
 from __future__ import annotations
@@ -46,7 +49,7 @@ HELD = 2_000_000
 CHUNK = 1 << 20
 FIRST_ID = -(1 << 63)
 _PLACE = np.uint64((1 << 28) - 1)
-_FOUND = "kind int, key bigint, id bigint, a bigint, b bigint, large boolean"
+_FOUND = "kind int, key bigint, id bigint, digest bigint, a bigint, b bigint, large boolean"
 
 
 def difference_cover(period: int = PERIOD) -> np.ndarray:
@@ -106,18 +109,23 @@ def merge_ranges(ids: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[
     return ids[at], start[at], reach[np.append(at[1:], len(ids)) - 1]
 
 
-def _rows(kind: int, key: np.ndarray, ids: np.ndarray, a: np.ndarray, b: np.ndarray, large: np.ndarray | bool = False) -> pa.RecordBatch:
+def _rows(kind: int, key: np.ndarray, ids: np.ndarray, digest: np.ndarray, a: np.ndarray, b: np.ndarray, large: np.ndarray | bool = False) -> pa.RecordBatch:
     n = len(ids)
+    flags = pa.array(np.broadcast_to(np.array(large), n))
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(n, kind, np.int32)), pa.array(key.view(np.int64)), pa.array(ids), pa.array(a), pa.array(b), pa.array(np.broadcast_to(np.array(large), n))],
-        ["kind", "key", "id", "a", "b", "large"],
+        [pa.array(np.full(n, kind, np.int32)), pa.array(key.view(np.int64)), pa.array(ids), pa.array(digest), pa.array(a), pa.array(b), flags],
+        ["kind", "key", "id", "digest", "a", "b", "large"],
     )
 
 
-def _covered(ids: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+def _covered(ids: np.ndarray, digest: np.ndarray, a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
     """Rows of kind 1: bytes a to b of a document are covered."""
-    ids, a, b = merge_ranges(ids, a, b)
-    return _rows(1, mix(ids.view(np.uint64)), ids, a, b)
+    doc = _group_ids([ids, digest])
+    example = np.empty(int(doc.max()) + 1, np.int64)
+    example[doc] = np.arange(len(doc))
+    doc, a, b = merge_ranges(doc, a, b)
+    ids, digest = ids[example[doc]], digest[example[doc]]
+    return _rows(1, mix(ids.view(np.uint64) ^ mix(digest.view(np.uint64))), ids, digest, a, b)
 
 
 def _cut(docs: DataFrame) -> DataFrame:
@@ -127,31 +135,31 @@ def _cut(docs: DataFrame) -> DataFrame:
         held: list[tuple[np.ndarray, ...]] = []
 
         def give() -> Iterator[pa.RecordBatch]:
-            key, seg, ids, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((a, ids, seg, key))
-            key, seg, ids, a, b = key[order], seg[order], ids[order], a[order], b[order]
+            key, seg, ids, digest, a, b = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((a, digest, ids, seg, key))
+            key, seg, ids, digest, a, b = key[order], seg[order], ids[order], digest[order], a[order], b[order]
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (seg[1:] != seg[:-1])
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            later = (ids != ids[lead]) | (a != a[lead])
+            later = (ids != ids[lead]) | (digest != digest[lead]) | (a != a[lead])
             if later.any():
-                covered = _covered(ids[later], a[later], b[later] + WINDOW)
+                covered = _covered(ids[later], digest[later], a[later], b[later] + WINDOW)
                 yield covered.append_column("seg", pa.array(np.zeros(covered.num_rows, np.int64)))
-            out = _rows(0, key[new], ids[new], a[new], b[new])
+            out = _rows(0, key[new], ids[new], digest[new], a[new], b[new])
             yield out.append_column("seg", pa.array(seg[new].view(np.int64)))
 
         for batch in batches:
-            given = batch.column(0).to_numpy(zero_copy_only=False)
-            for first, _, data, offsets in text_slices(batch.column(1)):
+            ids, digest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            for first, _, data, offsets in text_slices(batch.column(2)):
                 key, seg, row, a, b = segments(data, offsets)
-                held.append((key, seg, given[first + row], a, b))
+                held.append((key, seg, ids[first + row], digest[first + row], a, b))
                 if sum(len(x[0]) for x in held) >= HELD:
                     yield from give()
                     held.clear()
         if held:
             yield from give()
 
-    return docs.select("id", "text").mapInArrow(cut, f"{_FOUND}, seg bigint")
+    return docs.select("id", "digest", "text").mapInArrow(cut, f"{_FOUND}, seg bigint")
 
 
 def by_key(batches: Iterator[pa.RecordBatch], limit: Callable[[pa.RecordBatch], int] | None = None) -> Iterator[pa.RecordBatch]:
@@ -183,29 +191,29 @@ def _compare(cut: DataFrame) -> DataFrame:
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in by_key(batches):
-            kind, key, ids, a, b, seg = (batch.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 6))
+            kind, key, ids, digest, a, b, seg = (batch.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 5, 7))
             given = kind == 1
             if given.any():
-                yield _rows(1, key[given], ids[given], a[given], b[given])
-            key, ids, a, b, seg = key[~given], ids[~given], a[~given], b[~given], seg[~given]
+                yield _covered(ids[given], digest[given], a[given], b[given])
+            key, ids, digest, a, b, seg = key[~given], ids[~given], digest[~given], a[~given], b[~given], seg[~given]
             if not len(key):
                 continue
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (seg[1:] != seg[:-1])
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            later = (ids != ids[lead]) | (a != a[lead])
+            later = (ids != ids[lead]) | (digest != digest[lead]) | (a != a[lead])
             if later.any():
-                yield _covered(ids[later], a[later], b[later] + WINDOW)
-            key, ids, a, b = key[new], ids[new], a[new], b[new]
+                yield _covered(ids[later], digest[later], a[later], b[later] + WINDOW)
+            key, ids, digest, a, b = key[new], ids[new], digest[new], a[new], b[new]
             bucket = np.ones(len(key), bool)
             bucket[1:] = key[1:] != key[:-1]
             which = np.cumsum(bucket) - 1
             size = np.bincount(which)[which]
             ask = size > 1
             if ask.any():
-                yield _rows(2, key[ask], ids[ask], a[ask], b[ask], size[ask] > LARGE)
+                yield _rows(2, key[ask], ids[ask], digest[ask], a[ask], b[ask], size[ask] > LARGE)
 
-    dealt = cut.repartition("key").sortWithinPartitions("key", "seg", "id", "a")
+    dealt = cut.repartition("key").sortWithinPartitions("key", "seg", "id", "digest", "a")
     return dealt.mapInArrow(compare, _FOUND)
 
 
@@ -276,14 +284,14 @@ def first_equal(data: np.ndarray, start: np.ndarray, bucket: np.ndarray, rank: n
 
 
 def _sort_buckets(parts: DataFrame) -> DataFrame:
-    """Covered ranges from the text of segments (key, id, a, part), bucket by bucket."""
+    """Covered ranges from the text of segments (key, id, digest, a, part), bucket by bucket."""
 
     def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept: list[pa.RecordBatch] = []
         for batch in by_key(batches):
             keys, at = batch.column(0).to_numpy(), 0
             edges = np.append(np.flatnonzero(keys[1:] != keys[:-1]) + 1, len(keys))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in batch.column(3).to_pylist()])])
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in batch.column(4).to_pylist()])])
             for edge in edges.tolist():
                 if offsets[edge] - offsets[at] >= CHUNK or edge == len(keys):
                     kept.append(batch.slice(at, edge - at))
@@ -296,47 +304,49 @@ def _sort_buckets(parts: DataFrame) -> DataFrame:
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
-            key, ids, a = (batch.column(i).to_numpy() for i in range(3))
-            raw = [x.as_py() for x in batch.column(3)]
+            key, ids, digest, a = (batch.column(i).to_numpy() for i in range(4))
+            raw = [x.as_py() for x in batch.column(4)]
             size = np.array([len(x) for x in raw])
             data = np.frombuffer(b"".join(raw), np.uint8)
             base = np.concatenate([[0], np.cumsum(size)])[:-1]
             count = size - WINDOW + 1
             owner = np.repeat(np.arange(len(raw)), count)
             within = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-            who, place = ids[owner], a[owner] + within
-            # Places in the order of the documents; equal places of equal ids are one.
-            rank = _group_ids([who, place])
+            who, which, place = ids[owner], digest[owner], a[owner] + within
+            # Places in the order of the documents; equal places of equal documents are one.
+            rank = _group_ids([who, which, place])
             least = first_equal(data, base[owner] + within, key[owner], rank)
             later = least < rank
             if later.any():
-                yield _covered(who[later], place[later], place[later] + WINDOW)
+                yield _covered(who[later], which[later], place[later], place[later] + WINDOW)
 
-    dealt = parts.repartition("key").sortWithinPartitions("key", "id", "a")
+    dealt = parts.repartition("key").sortWithinPartitions("key", "id", "digest", "a")
     return dealt.mapInArrow(sort, _FOUND)
 
 
 def _fetch(docs: DataFrame, asked: DataFrame) -> DataFrame:
-    """(key, id, a, part, large): the bytes of the segments asked for."""
-    wanted = asked.groupBy("id").agg(F.collect_list(F.struct("key", "a", "b", "large")).alias("asked"))
+    """(key, id, digest, a, part, large): the bytes of the segments asked for."""
+    wanted = asked.groupBy("id", "digest").agg(F.collect_list(F.struct("key", "a", "b", "large")).alias("asked"))
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                text = (batch.column(1)[i].as_py() or "").encode()
-                rows = batch.column(2)[i].as_py()
+                text = (batch.column(2)[i].as_py() or "").encode()
+                rows = batch.column(3)[i].as_py()
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([r["key"] for r in rows], pa.int64()),
                         pa.array([batch.column(0)[i].as_py()] * len(rows), pa.int64()),
+                        pa.array([batch.column(1)[i].as_py()] * len(rows), pa.int64()),
                         pa.array([r["a"] for r in rows], pa.int64()),
                         pa.array([text[r["a"] : r["b"] + WINDOW] for r in rows], pa.binary()),
                         pa.array([r["large"] for r in rows], pa.bool_()),
                     ],
-                    ["key", "id", "a", "part", "large"],
+                    ["key", "id", "digest", "a", "part", "large"],
                 )
 
-    return docs.select("id", "text").join(wanted, "id").mapInArrow(fetch, "key bigint, id bigint, a bigint, part binary, large boolean")
+    found = docs.join(wanted, ["id", "digest"]).select("id", "digest", "text", "asked")
+    return found.mapInArrow(fetch, "key bigint, id bigint, digest bigint, a bigint, part binary, large boolean")
 
 
 def _group_windows(parts: DataFrame) -> DataFrame:
@@ -344,39 +354,40 @@ def _group_windows(parts: DataFrame) -> DataFrame:
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, who, a, part in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for key, who, which, a, part in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 data = np.frombuffer(part, np.uint8)
                 at = np.arange(len(data) - WINDOW + 1)
                 h = prefix_hash(data)
                 one, two = span_hash(h, at, at + WINDOW), span_hash(prefix_hash(data[::-1]), len(data) - WINDOW - at, len(data) - at)
                 n = len(at)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, key)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(np.full(n, who)), pa.array(a + at)],
-                    ["key", "w1", "w2", "id", "p"],
+                    [pa.array(x) for x in (np.full(n, key), one.view(np.int64), two.view(np.int64), np.full(n, who), np.full(n, which), a + at)],
+                    ["key", "w1", "w2", "id", "digest", "p"],
                 )
 
-    found = stored(parts.mapInArrow(spread, "key bigint, w1 bigint, w2 bigint, id bigint, p bigint"), "suffix-windows")
-    first = stored(found.groupBy("key", "w1", "w2").agg(F.min(F.struct("id", "p")).alias("f"), F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-first")
-    later = found.join(first, ["key", "w1", "w2"]).where((F.col("id") != F.col("f.id")) | (F.col("p") != F.col("f.p")))
-    return later.select(F.lit(1).alias("kind"), "key", "id", F.col("p").alias("a"), (F.col("p") + WINDOW).alias("b"), F.lit(False).alias("large"))
+    found = stored(parts.mapInArrow(spread, "key bigint, w1 bigint, w2 bigint, id bigint, digest bigint, p bigint"), "suffix-windows")
+    first = stored(found.groupBy("key", "w1", "w2").agg(F.min(F.struct("id", "digest", "p")).alias("f"), F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-first")
+    later = found.join(first, ["key", "w1", "w2"]).where(F.struct("id", "digest", "p") != F.col("f"))
+    return later.select(F.lit(1).alias("kind"), "key", "id", "digest", F.col("p").alias("a"), (F.col("p") + WINDOW).alias("b"), F.lit(False).alias("large"))
 
 
 def covered_ranges(docs: DataFrame) -> DataFrame:
-    """(id, ranges): covered byte ranges of each document that has any, not merged."""
+    """(id, digest, ranges): covered byte ranges of each document that has any, not merged."""
     found = stored(_compare(_cut(docs)), "suffix-found")
-    asked = found.where("kind = 2").select("id", "key", "a", "b", "large")
+    asked = found.where("kind = 2").select("id", "digest", "key", "a", "b", "large")
     parts = stored(_fetch(docs, asked), "suffix-parts")
     ranges = found.where("kind = 1").unionByName(_sort_buckets(parts.where("not large").drop("large")))
     if parts.where("large").take(1):
         ranges = ranges.unionByName(_group_windows(parts.where("large").drop("large")))
-    return ranges.groupBy("id").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
+    return ranges.groupBy("id", "digest").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
 
 
 def with_ranges(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` and their covered ranges in ``__ranges``, null for none."""
-    keyed = docs.withColumn("__id", F.coalesce("doc_id", F.lit(FIRST_ID)))
-    ranges = covered_ranges(keyed.select(F.col("__id").alias("id"), "text"))
-    return keyed.join(ranges.select(F.col("id").alias("__id"), F.col("ranges").alias("__ranges")), "__id", "left").drop("__id")
+    keyed = docs.withColumns({"__id": F.coalesce("doc_id", F.lit(FIRST_ID)), "__digest": F.xxhash64("text")})
+    ranges = covered_ranges(keyed.select(F.col("__id").alias("id"), F.col("__digest").alias("digest"), "text"))
+    ranges = ranges.select(F.col("id").alias("__id"), F.col("digest").alias("__digest"), F.col("ranges").alias("__ranges"))
+    return keyed.join(ranges, ["__id", "__digest"], "left").drop("__id", "__digest")
 
 
 def kept_bytes(text: str | None, ranges: pa.Scalar) -> tuple[bytes, int, int, int]:

@@ -180,6 +180,33 @@ def test_main_text(html, text):
     assert extract.main_text(html) == text
 
 
+MUCH = "".join(f"{LONG}{i}. " for i in range(12)).strip()
+PARTS = MUCH.replace(". A ", ".|A ").split("|")
+INTRO = "An introduction, with a few words, before the rest of it."
+
+
+@pytest.mark.parametrize("outer", ["article", "main", "div"])
+@pytest.mark.parametrize(
+    "most",
+    [
+        "<ul>" + "".join(f"<li>{x}</li>" for x in PARTS) + "</ul>",
+        "<table>" + "".join(f"<tr><td>{x}</td></tr>" for x in PARTS) + "</table>",
+        "<section>" + "".join(f"<p>{x}</p>" for x in PARTS) + "</section>",
+        "<div>" + "".join(f"<p>{x}</p>" for x in PARTS) + "</div>",
+        "<blockquote>" + "".join(f"<p>{x}</p>" for x in PARTS) + "</blockquote>",
+        f"<pre>{MUCH}</pre>",
+    ],
+)
+def test_one_part_with_most_of_the_text(outer, most):
+    html = page(f"<nav><a href=/>One</a></nav><{outer}><h1>T</h1><p>{INTRO}</p>{most}<p>{INTRO}</p></{outer}><footer>f</footer>")
+    assert extract.main_text(html) == f"T {INTRO} {MUCH} {INTRO}"
+
+
+def test_small_article_beside_a_large_one():
+    html = page(f"<main><article><h2>One</h2><p>{LONG}</p></article><article><h2>Two</h2><p>{MUCH}</p></article></main>")
+    assert extract.main_text(html) == f"One {LONG}Two {MUCH}"
+
+
 def test_every_page_gives_its_article(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
     got = QUERIES["op4_tag_path_ratio"](spark, FOLDER).collect()

@@ -4,8 +4,10 @@ A page becomes a list of text blocks, each with its path of block tags from the
 path the length of its text (without links), its punctuation and the number of its blocks are
 summed over the page. Text per block is the ratio of the path, punctuation per block another;
 both are smoothed over the blocks in page order and fused by their product. Paths above a part
-of the page's mean make the content; the smallest element that holds nearly all of it is the
-article, and the blocks inside it that are not mostly links are the result.
+of the page's mean make the content. The smallest element that holds nearly all of it is the
+article; it is never less than the article or main element around it, and grows while content
+stands right beside it. The result is all content, and the blocks in the article whose path is not
+mostly links, such as headings and short items.
 
 What is boilerplate by its markup (navigation, footers, asides, forms, scripts, elements named
 as adverts, notices, comments and the like) never gets a path. Character references are
@@ -68,6 +70,7 @@ NAMES = {
 }
 #: These name page furniture only outside of the article.
 OUTER_NAMES = {"header", "heading"}
+WHOLE = {"article", "main"}
 PUNCTUATION = ".,;:!?。，¡¿…"
 
 _TOKEN = re.compile(
@@ -226,24 +229,43 @@ def main_text(page: str | None) -> str:
         return ""
     held: dict[int, float] = defaultdict(float)
     depth: dict[int, int] = {}
+    tag: dict[int, str] = {}
     for (block, _), w in zip(found, weight, strict=True):
-        for d, element in enumerate(block.path):
+        for d, (element, label) in enumerate(zip(block.path, block.tags.split("/"), strict=False)):
             held[element] += w
             depth[element] = d
+            tag[element] = label.split(".", 1)[0]
     enough = [e for e, w in held.items() if w >= COVER * weight.sum()]
     article = max(enough, key=lambda e: (depth[e], e), default=None)
     deepest = max((b.path for b, _ in found if article in b.path), key=len, default=())
     # A paragraph is not an article: what stands beside it belongs to it.
     if article is not None and article == deepest[-1] and len(deepest) > 1 and held[deepest[-2]] >= held[article]:
         article = deepest[-2]
+    if article is not None:
+        chain = deepest[: depth[article] + 1]
+        whole = [d for d, element in enumerate(chain) if tag[element] in WHOLE]
+        if whole:
+            chain = chain[: whole[-1] + 1]
+        paths = {block.path for (block, _), is_content in zip(found, content, strict=True) if is_content}
+        while len(chain) > 1 and any(_beside(path, chain, tag) for path in paths):
+            chain = chain[:-1]
+        article = chain[-1]
     kept = [
         text
-        for block, text in found
-        if (article is None or article in block.path) and linked[block.tags] <= LINK_SHARE * plain[block.tags]
+        for (block, text), is_content in zip(found, content, strict=True)
+        if is_content or ((article is None or article in block.path) and linked[block.tags] <= LINK_SHARE * plain[block.tags])
     ]
     return " ".join(kept)
 
 
+def _beside(path: tuple[int, ...], chain: tuple[int, ...], tag: dict[int, str]) -> bool:
+    """Whether a block is a neighbour of the last element of ``chain``, or in an article that is one."""
+    n = len(chain)
+    if path[: n - 1] != chain[:-1] or path[:n] == chain:
+        return False
+    return len(path) <= n or tag[path[n - 1]] in WHOLE
+
+
 def extract_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
 

@@ -321,6 +321,26 @@ def test_items_in_parts_give_the_same(spark, make_docs):
     assert len(indexes) > 2 and sorted(i for x in indexes for i in x.ids) == list(range(12))
 
 
+def test_items_in_parts_give_the_same_hits(spark):
+    """Items with common passages, and documents with edits of them."""
+    rng = random.Random(9)
+    common = [prose(rng, 12) for _ in range(3)]
+    items = [prose(rng, 20) + " " + common[i % 3] + " " + prose(rng, 8) for i in range(12)] + [None, ""]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [prose(rng, 30) + " " + edited(rng, item, n) + " " + prose(rng, 30) for item in items[:12] for n in range(3)]
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+
+    def hits(part_bytes):
+        indexes = list(decontaminate.item_indexes(bench, part_bytes=part_bytes))
+        found = [(row, x.ids[item], round(got, 12)) for x in indexes for row, item, got, *_ in decontaminate.search(x, data, offsets, 0.3)]
+        return len(indexes), sorted(found)
+
+    one, many = hits(1 << 20), hits(500)
+    assert one[0] == 1 and many[0] > 2 and len(one[1]) >= 12
+    assert one[1] == many[1]
+
+
 def test_every_mark_within_the_radius_is_found():
     rng = np.random.default_rng(1)
     index = decontaminate.build_index(list(range(30)), [prose(random.Random(i), 30) for i in range(30)])

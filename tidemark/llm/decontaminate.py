@@ -9,7 +9,9 @@ found within the radius are verified by the weighted Jaccard similarity of the s
 shingle weighing 1 + ln(items / items that have it).
 
 Benchmarks larger than ``ITEM_BYTES`` are taken in parts of that size, each against all
-documents, so what is sent to the executors is bounded.
+documents. Weights are counted over the whole benchmark all the same: each part is given the
+counts of all shingles that several items have, which is little unless items repeat each other.
+The windows of a part are those around the shingles of its own items.
 
 Shingles are five words; an item of fewer words has one shingle, all its words.
 
@@ -88,7 +90,28 @@ class ItemIndex:
         return both / every if every else 0.0
 
 
-def build_index(ids: list, texts: list[str | None], radius: int = RADIUS) -> ItemIndex:
+def shingle_counts(benchmark: DataFrame) -> tuple[int, dict[int, int]]:
+    """Items with words, and how many of them have each shingle that several have."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text in batch.column(0):
+                raw = np.frombuffer((text.as_py() or "").encode(), np.uint8)
+                h, _ = word_hashes(raw, np.array([0, len(raw)]))
+                if len(h):
+                    found = np.unique(shingles_of(h, np.array([len(h)]), K)[0]).view(np.int64)
+                    # The null stands for the item itself.
+                    yield pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array([None], pa.int64()), pa.array(found)])], ["s"])
+
+    counted = benchmark.select("text").mapInArrow(each, "s bigint").groupBy("s").agg(F.count("*").alias("n"))
+    rows = counted.where("s is null or n > 1").toArrow()
+    known = dict(zip(rows.column("s").to_pylist(), rows.column("n").to_pylist(), strict=True))
+    items = known.pop(None, 0)
+    return items, {s % (1 << 64): n for s, n in known.items()}
+
+
+def build_index(ids: list, texts: list[str | None], radius: int = RADIUS, known: tuple[int, dict[int, int]] | None = None) -> ItemIndex:
+    """``known``: ``shingle_counts`` of the whole benchmark, if these are not all of its items."""
     words, lengths, counts, keep = [], [], [], []
     for i, text in zip(ids, texts, strict=True):
         raw = np.frombuffer((text or "").encode(), np.uint8)
@@ -99,9 +122,9 @@ def build_index(ids: list, texts: list[str | None], radius: int = RADIUS) -> Ite
             lengths.append(len(h))
             counts.append(shingles_of(h, np.array([len(h)]), K)[0])
     shingles = [Counter(c.tolist()) for c in counts]
-    spread = Counter(s for c in shingles for s in c)
-    weights = {s: 1 + float(np.log(len(keep) / n)) for s, n in spread.items()}
-    index = ItemIndex(keep, lengths, shingles, weights, 1 + float(np.log(max(1, len(keep)))), [simhash(h) for h in words], radius)
+    items, spread = known or (len(keep), Counter(s for c in shingles for s in c))
+    weights = {s: 1 + float(np.log(items / n)) for s, n in spread.items()}
+    index = ItemIndex(keep, lengths, shingles, weights, 1 + float(np.log(max(1, items))), [simhash(h) for h in words], radius)
     for shift, width in block_cuts(radius + 1):
         rows: dict[int, list[int]] = defaultdict(list)
         for i, mark in enumerate(index.marks):
@@ -165,10 +188,11 @@ def item_indexes(benchmark: DataFrame, radius: int = RADIUS, part_bytes: int = I
     """Indexes over parts of the benchmark, each of about ``part_bytes`` of text."""
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(size // part_bytes) + 1
+    known = shingle_counts(benchmark) if parts > 1 else None
     dealt = benchmark.select("item_id", "text").withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)))
     for part in range(parts):
         rows = dealt.where(F.col("part") == part).orderBy("item_id", "text").toArrow()
-        yield build_index(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), radius)
+        yield build_index(rows.column("item_id").to_pylist(), rows.column("text").to_pylist(), radius, known)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:

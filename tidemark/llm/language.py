@@ -137,7 +137,8 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 def with_language(docs: DataFrame, model: LanguageModel | None, least: float = LEAST_SCORE) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is known with ``least`` score.
 
-    Texts that are ``und`` go; without a model nothing can be told and only texts without a
+    Texts that are ``und`` go. The score of a text unlike all landmarks is near 0.5, so ``least``
+    rejects hardly any: in effect only texts without a letter go. Without a model nothing can be told and only texts without a
     letter go.
     """
     place = docs.columns.index("text")

@@ -13,6 +13,8 @@ from tidemark.llm.quality import op6_fourier_quality
 from tidemark.llm.suffix import SQL as SUFFIX_SQL
 from tidemark.llm.suffix import op9_difference_cover
 from tidemark.llm.toxicity import op7_noisy_channel_toxicity
+from tidemark.llm.trie import SQL as TRIE_SQL
+from tidemark.llm.trie import op11_prefix_trie
 from tidemark.llm.warc import SQL as WARC_SQL
 from tidemark.llm.warc import op8_member_archives
 
@@ -27,9 +29,11 @@ QUERIES = {
     "op8_member_archives": op8_member_archives,
     "op9_difference_cover": op9_difference_cover,
     "op10_entropy_mix": op10_entropy_mix,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 SQL: dict[str, str] = {
     "op8_member_archives": WARC_SQL,
     "op9_difference_cover": SUFFIX_SQL,
     "op10_entropy_mix": MIX_SQL,
+    "op11_prefix_trie": TRIE_SQL,
 }

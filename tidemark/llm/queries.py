@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tidemark.llm.decontaminate import op3_simhash_decontaminate
+from tidemark.llm.divergence import SQL as AUDIT_SQL
+from tidemark.llm.divergence import op12_source_audit
 from tidemark.llm.extract import op4_tag_path_ratio
 from tidemark.llm.fingerprints import op1_threshold_sketch
 from tidemark.llm.language import op2_string_kernel_language
@@ -30,10 +32,12 @@ QUERIES = {
     "op9_difference_cover": op9_difference_cover,
     "op10_entropy_mix": op10_entropy_mix,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_source_audit": op12_source_audit,
 }
 SQL: dict[str, str] = {
     "op8_member_archives": WARC_SQL,
     "op9_difference_cover": SUFFIX_SQL,
     "op10_entropy_mix": MIX_SQL,
     "op11_prefix_trie": TRIE_SQL,
+    "op12_source_audit": AUDIT_SQL,
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm.bpe import op13_transducer_bpe
 from tidemark.llm.decontaminate import op3_simhash_decontaminate
 from tidemark.llm.divergence import SQL as AUDIT_SQL
 from tidemark.llm.divergence import op12_source_audit
@@ -33,6 +34,7 @@ QUERIES = {
     "op10_entropy_mix": op10_entropy_mix,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_source_audit": op12_source_audit,
+    "op13_transducer_bpe": op13_transducer_bpe,
 }
 SQL: dict[str, str] = {
     "op8_member_archives": WARC_SQL,

@@ -1,5 +1,6 @@
 """DataFrame to DataFrame operators."""
 
+from tidemark.operators.blocks import cut_into_blocks, flatten_blocks
 from tidemark.operators.grids import flatten_grid, project_variable
 from tidemark.operators.links import (
     distinct_tokens,
@@ -47,12 +48,14 @@ __all__ = [
     "avg_measures",
     "coalesce_to",
     "complete_grid",
+    "cut_into_blocks",
     "distinct_scales",
     "distinct_tokens",
     "extract_links",
     "file_prefixes",
     "filter_links",
     "first_n_files",
+    "flatten_blocks",
     "flatten_grid",
     "fraction_ladder",
     "max_partitions",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,8 +20,9 @@ def flatten_grid(
 
     ``dims`` names, outermost first, the array column with the coordinates of each
     dimension, or None to number its points from 0. ``variables`` maps each variable to
-    its dimensions in the same order: a value for none, an array for one, an array of
-    arrays for two. A variable is repeated along the dimensions it lacks, so the
+    its dimensions, outermost first: a value for none, an array for one, an array of
+    arrays for two. They may stand in another order than in ``dims``; the arrays are then turned
+    around first. A variable is repeated along the dimensions it lacks, so the
     output has as many rows as the product of the dimension sizes; choose the
     variables first (``project_variable``) to keep it small. ``positions`` adds ``pos_DIM``,
     the place along each dimension, whose order is that of the grid.
@@ -32,16 +33,19 @@ def flatten_grid(
     """
     order = list(dims)
     for name, own in variables.items():
-        if [d for d in order if d in own] != list(own):
-            raise ValueError(f"dimensions of {name} must be among {order}, in that order")
+        if len(set(own)) != len(own) or not set(own) <= set(order):
+            raise ValueError(f"dimensions of {name} must be different ones of {order}")
 
     coordinates = {dim: source for dim, source in dims.items() if source}
     grid = df.select(
         *keep,
         *[F.col(source).alias(f"__at_{dim}") for dim, source in coordinates.items()],
-        *[F.col(name).alias(f"__v_{name}") for name in variables],
+        *[
+            _turned(F.col(name), own, [d for d in order if d in own]).alias(f"__v_{name}")
+            for name, own in variables.items()
+        ],
     )
-    left = {name: list(own) for name, own in variables.items()}
+    left = {name: [d for d in order if d in own] for name, own in variables.items()}
     done: list[str] = []
     for dim in order:
         leading = [name for name, own in left.items() if own and own[0] == dim]
@@ -75,6 +79,33 @@ def flatten_grid(
     )
 
 
+def _turned(value: Column, own: Sequence[str], order: Sequence[str]) -> Column:
+    """Nested arrays over the dimensions ``own``, nested in ``order`` instead.
+
+    The extent of a dimension is that of its first array; points that a ragged array lacks
+    are null.
+    """
+    if list(own) == list(order):
+        return value
+    extent, first = {}, value
+    for dim in own:
+        extent[dim] = F.size(first)
+        first = F.get(first, F.lit(0))
+
+    def build(left: Sequence[str], places: Mapping[str, Column]) -> Column:
+        if not left:
+            found = value
+            for dim in own:
+                found = F.get(found, places[dim])
+            return found
+        dim, size = left[0], extent[left[0]]
+        # A sequence has one place at least, which an empty dimension has not.
+        every = F.sequence(F.lit(0), F.greatest(size, F.lit(1)) - 1)
+        return F.slice(F.transform(every, lambda i: build(left[1:], {**places, dim: i})), F.lit(1), size)
+
+    return build(list(order), {})
+
+
 def project_variable(
     df: DataFrame,
     dims: Mapping[str, str | None],

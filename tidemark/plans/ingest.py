@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
+from tidemark.operators.blocks import flatten_blocks
 from tidemark.operators.grids import flatten_grid
 from tidemark.sources.measurements import write_measurements
 
@@ -32,3 +33,17 @@ def ingest_grids(
     write_measurements(
         flat, path, dataset=dataset, sort_by=order, drop=order, rebalance=rebalance
     )
+
+
+def ingest_blocks(
+    blocks: DataFrame,
+    dims: Mapping[str, str | None],
+    variables: Mapping[str, Sequence[str]],
+    path: str,
+    *,
+    dataset: str = "dataset",
+) -> None:
+    """Flatten datasets that are kept as blocks and write their rows, in grid order, as CSV."""
+    flat = flatten_blocks(blocks, dims, variables, dataset=dataset, positions=True)
+    order = [f"pos_{dim}" for dim in dims]
+    write_measurements(flat, path, dataset=dataset, sort_by=order, drop=order)

@@ -631,6 +631,48 @@ def ingest_grids_avg(spark, folder):
     )
 
 
+BLOCK_DIMS = {"depth": "depths", "column": None}
+BLOCK_VARIABLES = {"value": ("column", "depth"), "double": ("depth", "column"), "surface": ("column",), "label": ()}
+BLOCK_SIDE = 8
+
+
+def plane_blocks(spark: SparkSession, folder: str) -> DataFrame:
+    """The vectors, one below the other, as one array, kept as blocks of several cuts.
+
+    A vector is eight rows of eight. The array has a variable with its dimensions the other way
+    round, another one in other blocks, and some of fewer dimensions.
+    """
+    vectors = table(spark, folder, "embeddings").select("vec_id", F.lit("all").alias("dataset"), "embedding", "label")
+    numbers = F.col("embedding").cast("array<double>")
+    rows = F.slice(numbers, 1, BLOCK_SIDE * BLOCK_SIDE)
+    turned = F.transform(
+        F.sequence(F.lit(0), F.lit(BLOCK_SIDE * BLOCK_SIDE - 1)),
+        lambda k: F.get(numbers, k % BLOCK_SIDE * BLOCK_SIDE + F.floor(k / BLOCK_SIDE).cast("int")),
+    )
+    at = F.col("vec_id") * BLOCK_SIDE
+    size, zero = [BLOCK_SIDE, BLOCK_SIDE], F.lit(0)
+    depths = F.transform(F.sequence(F.lit(0), F.lit(BLOCK_SIDE - 1)), lambda i: (at + i) * 10.0)
+    first = vectors.filter("vec_id = 0")
+    parts = [
+        op.cut_into_blocks(vectors, "value", turned, size, [3, 8], origin=[zero, at]),
+        op.cut_into_blocks(vectors, "double", F.transform(rows, lambda x: x * 2), size, [8, 5], origin=[at, zero]),
+        op.cut_into_blocks(vectors, "depths", depths, [BLOCK_SIDE], [BLOCK_SIDE], origin=[at]),
+        op.cut_into_blocks(first, "surface", F.slice(numbers, 1, BLOCK_SIDE), [BLOCK_SIDE], [4], origin=[zero]),
+        op.cut_into_blocks(first, "label", F.array(F.col("label").cast("double")), [], [], origin=[]),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query(
+    f"""WITH {POINTS_SQL}, first AS (SELECT * FROM points WHERE vec_id = 0)
+    SELECT 'all' AS dataset, (p.vec_id * 8 + p.point // 8) * 10.0::DOUBLE AS depth, p.point % 8 AS "column",
+    p.embedding AS value, p.embedding * 2 AS double, s.embedding AS surface, CAST(s.label AS DOUBLE) AS label
+    FROM points p LEFT JOIN first s ON s.point = p.point % 8"""
+)
+def flatten_blocks(spark, folder):
+    return op.flatten_blocks(plane_blocks(spark, folder), BLOCK_DIMS, BLOCK_VARIABLES)
+
+
 STUDY_HOST = "https://h.example/auto"
 
 

@@ -12,6 +12,8 @@ from tidemark.operators.links import (
 from tidemark.operators.measures import MEASURES, avg_measures, max_partitions, row_count
 from tidemark.operators.ordering import (
     assign_file_ord,
+    file_order,
+    first_rows,
     order_cutoffs,
     running_before,
     with_row_index,
@@ -52,9 +54,11 @@ __all__ = [
     "distinct_scales",
     "distinct_tokens",
     "extract_links",
+    "file_order",
     "file_prefixes",
     "filter_links",
     "first_n_files",
+    "first_rows",
     "flatten_blocks",
     "flatten_grid",
     "fraction_ladder",

@@ -19,11 +19,18 @@ from tidemark.session import written_side
 FILE, BLOCK = "scan_file", "scan_block"
 
 
+def plain_file(file_path: Column) -> Column:
+    """A path from ``_metadata``, which is URL-encoded, as it is written, without the local scheme."""
+    # url_decode reads "+" as a space, but in a path it stands for itself.
+    decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(decoded, "^file:/+", "/")
+
+
 def with_scan_position(scan: DataFrame) -> DataFrame:
     """Add the file and the split each row of a file scan comes from."""
     return scan.select(
         "*",
-        F.col("_metadata.file_path").alias(FILE),
+        plain_file(F.col("_metadata.file_path")).alias(FILE),
         F.col("_metadata.file_block_start").alias(BLOCK),
     )
 
@@ -66,6 +73,11 @@ def part_number(path: Column) -> Column:
     return F.coalesce(F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).try_cast("bigint"), F.lit(0))
 
 
+def file_order(path: Column) -> list[Column]:
+    """What files are sorted by: folder, number of the part file, path."""
+    return [F.regexp_extract(path, r"^(.*)/[^/]*$", 1), part_number(path), path]
+
+
 def with_row_index(
     scan: DataFrame, datasets: DataFrame | None = None, name: str = "row_index"
 ) -> DataFrame:
@@ -76,35 +88,50 @@ def with_row_index(
     file_ord``) if the scan has a ``dataset`` column to find them by; rows of datasets not
     listed are left out then.
 
-    The rows of a split sit next to each other in one task, so their number is an offset
-    per split plus their distance from the first row of the split. Only the table of
-    splits is sorted; no row is shuffled. It comes from an earlier pass over the same
-    files, so both passes must cut them alike. A row that does not fit its split is an
-    error; where the number of cores changes under way, ``spark.sql.files.minPartitionNum``
-    keeps the cut from following it.
+    A row's number is the sum of the rows in the splits before its own, and its place in that
+    split, where the rows follow each other in one task. Rows are grouped by split for it, which
+    is as evenly as the scan was cut. Read the scan in a ``pinned`` session, so that it is cut the
+    same way whatever happens between the pass that counts and the one that numbers.
     """
     rows = scan.withColumn("__id", F.monotonically_increasing_id())
-    sizes = [F.min("__id").alias("__first"), F.count("*").alias("__rows")]
+    count = F.count("*").alias("__rows")
     if datasets is None:
-        splits = rows.groupBy(FILE, BLOCK).agg(*sizes).withColumn("file_ord", F.lit(0))
+        splits = rows.groupBy(FILE, BLOCK).agg(count).withColumn("file_ord", F.lit(0))
     else:
-        named = rows.groupBy(FILE, BLOCK, "dataset").agg(*sizes)
+        named = rows.groupBy(FILE, BLOCK, "dataset").agg(count)
         splits = assign_file_ord(named, datasets, how="left")
     listed = F.col("file_ord").isNotNull()
-    folder = F.regexp_extract(FILE, r"^(.*)/[^/]*$", 1)
-    order = [F.col("file_ord").asc_nulls_last(), folder, part_number(F.col(FILE)), FILE, BLOCK]
+    order = [F.col("file_ord").asc_nulls_last(), *file_order(F.col(FILE)), BLOCK]
     placed = running_before(splits, order, F.when(listed, F.col("__rows")).otherwise(0), "__before")
-    offsets = placed.select(FILE, BLOCK, "__first", "__rows", listed.alias("__listed"), "__before")
-    known = rows.join(offsets, [FILE, BLOCK], "left")
-    place = F.col("__id") - F.col("__first")
-    index = F.when(place.between(0, F.col("__rows") - 1), F.col("__before") + place).otherwise(
-        F.raise_error(F.lit("the files were split differently when their rows were counted"))
-    )
-    return (
-        known.filter(F.coalesce("__listed", F.lit(True)))
-        .withColumn(name, index.cast("bigint"))
-        .drop("__id", "__first", "__rows", "__listed", "__before", FILE, BLOCK)
+    offsets = placed.filter(listed).select(FILE, BLOCK, "__rows", "__before")
+    place = F.row_number().over(Window.partitionBy(FILE, BLOCK).orderBy("__id")) - 1
+    known = rows.withColumn("__place", place).join(offsets, [FILE, BLOCK])
+    # More rows than were counted: the file is another one by now.
+    index = F.when(F.col("__place") < F.col("__rows"), F.col("__before") + F.col("__place")).otherwise(
+        F.raise_error(F.lit("a file has changed since its rows were counted"))
     )
+    return known.withColumn(name, index.cast("bigint")).drop("__id", "__place", "__rows", "__before", FILE, BLOCK)
+
+
+def first_rows(scan: DataFrame, counts: DataFrame, size: int) -> DataFrame:
+    """The first ``size`` rows of a scan from ``with_scan_position``, in file and line order.
+
+    ``counts`` has ``file, start, rows, rows_before`` of its splits (``row_ranks``). Splits that
+    end before the last row pass as they are; only the rows of the one in which it lies are
+    numbered, and these are no more than a split holds.
+    """
+    inside = counts.filter((F.col("rows_before") < size) & (F.col("rows") > 0))
+    edge = inside.filter(F.col("rows_before") + F.col("rows") > size).select("file", "start", "rows_before").first()
+    whole = inside.filter(F.col("rows_before") + F.col("rows") <= size)
+    splits = whole.select(F.col("file").alias(FILE), F.col("start").alias(BLOCK))
+    passed = scan.join(splits, [FILE, BLOCK], "left_semi").drop(FILE, BLOCK)
+    if edge is None:
+        return passed
+    last = scan.filter((F.col(FILE) == edge.file) & (F.col(BLOCK) == edge.start))
+    order = Window.partitionBy(FILE, BLOCK).orderBy("__id")
+    numbered = last.withColumn("__id", F.monotonically_increasing_id()).withColumn("__place", F.row_number().over(order))
+    within = numbered.filter(F.col("__place") <= size - edge.rows_before)
+    return passed.unionByName(within.drop("__id", "__place", FILE, BLOCK))
 
 
 def assign_file_ord(

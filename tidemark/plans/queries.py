@@ -207,6 +207,37 @@ def header_groups(spark, folder):
     return reduce(DataFrame.unionByName, counted)
 
 
+@query(
+    f"""SELECT CAST(year(l_shipdate) AS VARCHAR) AS dataset,
+    CASE year(l_shipdate) % {len(ORDERS)} {ORDER_SQL} END AS header, count(*) AS rows,
+    CAST(0 AS BIGINT) AS opened_again FROM lineitem GROUP BY ALL"""
+)
+def file_catalog(spark, folder):
+    # Some files first, then all of them; what is known by then is not opened again.
+    root, catalog = staged_csv(spark, folder), scratch_dir(spark, "catalog")
+    src.refresh_catalog(spark, year_paths(spark, root)[:3], catalog)
+    now = src.refresh_catalog(spark, [root], catalog)
+    entered = spark.read.parquet(catalog).groupBy("file").agg(F.count("*").alias("entries"))
+    name = F.regexp_extract("file", "/dataset=([^/]*)/", 1).alias("dataset")
+    return now.join(entered, "file").groupBy(name, "header").agg(
+        F.sum("rows").alias("rows"), F.sum(F.col("entries") - 1).alias("opened_again")
+    )
+
+
+@query(
+    f"""WITH {YEARS_SQL}, sums AS (
+      SELECT *, sum(rows) OVER (ORDER BY file_ord) - rows AS before FROM years)
+    SELECT file_ord, dataset, rows, CAST(before AS BIGINT) AS rows_before FROM sums
+    WHERE before <= {ROW_BUDGET}"""
+)
+def row_budget_catalog(spark, folder):
+    root = staged_csv(spark, folder)
+    catalog = src.refresh_catalog(spark, [root], scratch_dir(spark, "catalog"))
+    listed = years_of(lines_by_year(spark, folder)).withColumn("file", F.lit(""))
+    counts = src.known_row_counts(catalog, listed, "folders")
+    return op.row_budget_files(counts, ROW_BUDGET)
+
+
 @query(
     f"""WITH {YEARS_SQL}, sums AS (
       SELECT dataset, rows, sum(rows) OVER (ORDER BY file_ord) - rows AS before,

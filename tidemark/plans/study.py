@@ -13,18 +13,19 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.operators.measures import MEASURES
-from tidemark.operators.prefix import FRACTIONS, first_n_files, prefix_size
+from tidemark.operators.prefix import FRACTIONS, first_n_files, prefix_size, row_budget_files
 from tidemark.operators.reports import complete_grid, pivot_series, report_lines
 from tidemark.plans.sweep import MODES, Case, partition_sweep
 from tidemark.session import get_session
 from tidemark.sources.datasets import read_dataset_list
+from tidemark.sources.file_catalog import Headers, catalog_headers, refresh_catalog
 from tidemark.sources.measurements import (
     LAYOUTS,
     dataset_paths,
     file_headers,
+    known_row_counts,
     read_measurements,
     read_row_prefix,
-    row_budget_paths,
 )
 from tidemark.sources.timings import write_timings
 
@@ -42,10 +43,11 @@ def file_cases(
     paths: Sequence[str],
     fractions: Sequence[tuple[int, int]],
     base_path: str | None = None,
+    headers: Headers | None = None,
 ) -> list[Case]:
     """Prefixes of the file list, each read by itself; the headers are read once for all."""
     sizes = [prefix_size(len(paths), num, den) for num, den in fractions]
-    headers = file_headers(spark, paths)
+    headers = file_headers(spark, paths) if headers is None else headers
     options = {"headers": headers, "base_path": base_path}
     return [
         Case(size, partial(read_measurements, spark, paths[:size], **options))
@@ -56,17 +58,16 @@ def file_cases(
 
 def row_cases(
     spark: SparkSession,
-    paths: Sequence[str],
+    counted: Sequence[tuple[str, int]],
     fractions: Sequence[tuple[int, int]],
-    budget: int,
     base_path: str | None = None,
+    headers: Headers | None = None,
 ) -> list[Case]:
-    """Prefixes of the rows, in list order, of the files within the row budget.
+    """Prefixes of the rows of the files (path, rows), in list order.
 
     Each reads only the files it needs; the index of the last one is made when it is built.
     """
-    counted = row_budget_paths(spark, paths, budget)
-    headers = file_headers(spark, [path for path, _ in counted])
+    headers = file_headers(spark, [path for path, _ in counted]) if headers is None else headers
     entries = sum(rows for _, rows in counted)
     sizes = [prefix_size(entries, num, den) for num, den in fractions]
     options = {"headers": headers, "base_path": base_path}
@@ -98,16 +99,23 @@ def partition_study(
     ``counts`` are the partition counts to try, by default 1 up to those of each scan.
     ``layout`` tells how the data lie in their folder (see ``dataset_paths``).
     Empty prefixes (of a very short list) have nothing to scan and are left out.
+
+    What the files hold is kept in a catalog below ``out_folder``, so a later study opens only
+    files that are new or have changed to learn it.
     """
     datasets = read_dataset_list(spark, list_path)
     if files is not None:
         datasets = first_n_files(datasets, files)
     paths = dataset_paths(datasets, data_folder, layout)
     base = data_folder if layout == "folders" else None
+    catalog = refresh_catalog(spark, paths, f"{out_folder.rstrip('/')}/catalog")
     if row_budget is None:
-        cases = file_cases(spark, paths, fractions, base)
+        cases = file_cases(spark, paths, fractions, base, catalog_headers(catalog, paths))
     else:
-        cases = row_cases(spark, paths, fractions, row_budget, base)
+        rows = row_budget_files(known_row_counts(catalog, datasets, layout), row_budget)
+        counted = [(paths[row.file_ord], row.rows) for row in rows.orderBy("file_ord").toLocalIterator()]
+        headers = catalog_headers(catalog, [path for path, _ in counted])
+        cases = row_cases(spark, counted, fractions, base, headers)
     cases = [case._replace(counts=counts) for case in cases]
     timings = partition_sweep(spark, cases, mode, measures)
     record = ["scale", "partitions", "create_s", "avg_s"]

@@ -7,10 +7,21 @@ from tidemark.sources.datasets import (
     read_links,
     write_sorted_links,
 )
+from tidemark.sources.file_catalog import (
+    catalog_headers,
+    catalog_rows,
+    describe_files,
+    list_files,
+    pinned,
+    refresh_catalog,
+    row_ranks,
+)
 from tidemark.sources.measurements import (
+    block_ranks,
     dataset_paths,
     file_headers,
     header_groups,
+    known_row_counts,
     read_measurements,
     read_row_budget,
     read_row_prefix,
@@ -25,10 +36,17 @@ from tidemark.sources.timings import read_timings, write_timings
 
 __all__ = [
     "append_links",
+    "block_ranks",
+    "catalog_headers",
+    "catalog_rows",
     "dataset_paths",
+    "describe_files",
     "file_headers",
     "header_groups",
+    "known_row_counts",
     "list_datasets",
+    "list_files",
+    "pinned",
     "read_dataset_list",
     "read_links",
     "read_measurements",
@@ -36,8 +54,10 @@ __all__ = [
     "read_row_budget",
     "read_row_prefix",
     "read_timings",
+    "refresh_catalog",
     "row_budget_paths",
     "row_counts",
+    "row_ranks",
     "rows_to_table",
     "write_columnar",
     "write_measurements",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import dataset_name, with_suffix
 from tidemark.operators.ordering import running_before, with_row_index, with_scan_position
+from tidemark.sources.file_catalog import pinned
 
 
 def append_links(links: DataFrame, path: str, column: str = "link") -> None:
@@ -29,7 +30,7 @@ def write_sorted_links(links: DataFrame, path: str, column: str = "link") -> Non
 
 def read_dataset_list(spark: SparkSession, path: str) -> DataFrame:
     """``file_ord, url, dataset, file``: one row per line, numbered from 0 in file order."""
-    lines = with_scan_position(spark.read.text(path))
+    lines = with_scan_position(pinned(spark).read.text(path))
     return with_row_index(lines, name="file_ord").select(
         "file_ord",
         F.col("value").alias("url"),

@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-import csv
 import re
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,51 +11,63 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_measure, dataset_of_file
-from tidemark.operators.ordering import with_row_index, with_scan_position
-
+from tidemark.operators.ordering import first_rows, plain_file, with_scan_position
+from tidemark.sources.file_catalog import (
+    FileHeader,
+    Headers,
+    catalog_rows,
+    describe_files,
+    list_files,
+    literal_path,
+    owner_of,
+    parsed_header,
+    pinned,
+    plain_path,
+    row_ranks,
+)
+
+#: Up to so many files, only their first lines are read.
 HEADER_BATCH = 128
 COUNT_BATCH = 64
-
-Headers = Mapping[str, Sequence[tuple[str, tuple[str, ...]]]]
+#: A scan by name has so many files at most; their places are sent to every executor.
+ROUTED_FILES = 1 << 20
 
 
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> Headers:
     """For each path the files in it, each with the column names in its first line.
 
-    One job lists the files; another one reads the first lines of ``HEADER_BATCH`` files,
-    and stops in each file after that line. Files without any line are left out.
+    One job lists the files. Another one reads the first lines of up to ``HEADER_BATCH`` files, and
+    stops in each file after that line; more files are read in one scan, which a catalog
+    (``refresh_catalog``) spares the next time. Files without any line are left out.
     """
     if not paths:
         return {}
-    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(list(paths))
-    files = sorted(row.path for row in listing.select("path").distinct().toLocalIterator())
-    plain = {_plain(path): path for path in paths}
-    found: dict[str, list[tuple[str, tuple[str, ...]]]] = {path: [] for path in paths}
-    for at in range(0, len(files), HEADER_BATCH):
-        batch = files[at : at + HEADER_BATCH]
+    files = sorted(tuple(row) for row in list_files(spark, paths).toLocalIterator())
+    plain = {plain_path(path): path for path in paths}
+    found: dict[str, list[FileHeader]] = {path: [] for path in paths}
+    if not files:
+        return found
+    if len(files) <= HEADER_BATCH:
         # In one partition the limit needs no shuffle, and so no job of its own.
         firsts = [
-            spark.read.text(file)
+            spark.read.text(literal_path(file))
             .filter(F.trim("value") != "")
             .coalesce(1)
             .limit(1)
-            .select(F.lit(i).alias("i"), "value")
-            for i, file in enumerate(batch)
+            .select(F.lit(file).alias("file"), F.col("value").alias("header"))
+            for file, *_ in files
         ]
-        for row in sorted(reduce(DataFrame.union, firsts).collect()):
-            header = tuple(next(csv.reader([row.value.removeprefix("\ufeff")])))
-            at_path = _plain(batch[row.i])
-            while at_path not in plain and "/" in at_path:
-                at_path = at_path.rpartition("/")[0]
-            found[plain[at_path]].append((batch[row.i], header))
+        lines = reduce(DataFrame.union, firsts)
+    else:
+        lines = describe_files(spark, [file for file, *_ in files]).select("file", "header")
+    headers = {row.file: row.header for row in lines.toLocalIterator()}
+    for file, size, modified, uri in files:
+        if headers.get(file) is not None:
+            entry = FileHeader(file, parsed_header(headers[file]), size, modified, uri)
+            found[owner_of(file, plain)].append(entry)
     return found
 
 
-def _plain(path: str) -> str:
-    """A path without the local scheme and a slash at its end, as listings differ in both."""
-    return re.sub(r"^file:/+", "/", path).rstrip("/")
-
-
 def header_groups(
     spark: SparkSession, paths: Sequence[str], headers: Headers | None = None
 ) -> dict[tuple[str, ...], list[str]]:
@@ -64,8 +75,8 @@ def header_groups(
     known = file_headers(spark, paths) if headers is None else headers
     groups: dict[tuple[str, ...], list[str]] = {}
     for path in paths:
-        for file, header in known[path]:
-            groups.setdefault(header, []).append(file)
+        for entry in known[path]:
+            groups.setdefault(entry[1], []).append(entry[0])
     return groups
 
 
@@ -79,50 +90,114 @@ def read_measurements(
     one_header: bool = False,
     check_headers: bool = True,
     headers: Headers | None = None,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All files as one table, matched by column *name*; every column is text.
 
-    One CSV scan takes its names from one file and applies them to the others by
-    position, which mixes up columns when the files differ. So there is one scan per
-    distinct header; columns a file lacks are null. With ``check_headers`` the scan
-    also compares every file's header with its group's and fails on a difference.
+    A CSV scan takes its names from one file and applies them to the others by position, which
+    mixes up columns when the files differ. Files that agree are read by one scan with their
+    names. Files that differ are read by one scan too, whose cells are numbered, and each
+    name takes the cell that the header of the row's file gives it, so the plan does not
+    grow with the number of headers. Columns a file lacks are null.
 
-    ``one_header`` reads only the headers of the first path and leaves the others to that
-    check, which spares reading them where the files are known to agree. Without the check,
-    all files are then taken by position, as a single CSV scan does. ``headers`` are those
-    of ``file_headers``, of these paths or more, for many reads that need them once.
+    With ``check_headers`` a file that has changed since its header was read is an error.
+    ``one_header`` reads only the headers of the first path and takes them for all files; the
+    scan then compares every file's header with it, unless ``check_headers`` is off. ``headers``
+    are those of ``file_headers`` or ``catalog_headers``, of these paths or more, for many
+    reads that need them once.
 
     ``base_path`` is the root that ``write_measurements`` wrote to, if the paths lie
     below one; its folders then give a ``dataset`` column that prunes files.
     ``with_dataset`` takes that column from the file names instead (``NAME.csv``).
     ``with_position`` adds the scan position that ``with_row_index`` needs.
+    ``multi_line`` allows quoted cells that go over line breaks; files are then not cut.
     """
-
-    def scan(columns: Sequence[str], group: list[str]) -> DataFrame:
-        reader = spark.read.option("header", True).option("enforceSchema", not check_headers)
-        if base_path is not None:
-            reader = reader.option("basePath", base_path)
-        else:
-            reader = reader.option("recursiveFileLookup", True)
+    own = pinned(spark) if with_position else spark
+    reader = own.read.option("header", True).option("multiLine", multi_line)
+    if base_path is not None:
+        reader = reader.option("basePath", base_path)
+    else:
+        reader = reader.option("recursiveFileLookup", True)
+
+    def scan(columns: Sequence[str], files: Sequence[str], by_place: bool) -> DataFrame:
         names = [*columns, "dataset"] if base_path is not None else columns
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
-        df = reader.schema(schema).csv(group)
-        if with_position:
-            df = with_scan_position(df)
-        if with_dataset and base_path is None:
-            df = df.withColumn("dataset", dataset_of_file(F.col("_metadata.file_name")))
-        return df
+        df = reader.option("enforceSchema", by_place or not check_headers).schema(schema).csv(files)
+        return with_scan_position(df) if with_position else df
+
+    def file_dataset(df: DataFrame) -> DataFrame:
+        if not with_dataset or base_path is not None:
+            return df
+        return df.withColumn("dataset", dataset_of_file(F.col("_metadata.file_name")))
 
     paths = list(paths)
     if not paths:
         raise ValueError("no paths to read")
-    groups = header_groups(spark, paths[:1] if one_header else paths, headers)
+    first = paths[:1] if one_header else paths
+    known = file_headers(spark, first) if headers is None else headers
+    groups = header_groups(spark, first, known)
     if not groups:
         raise ValueError("no header line found")
-    if one_header:
-        groups = {next(iter(groups)): paths}
-    scans = [scan(columns, group) for columns, group in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
+    if len(groups) == 1 or one_header:
+        (columns, files), *_ = groups.items()
+        return file_dataset(scan(columns, paths if one_header else [literal_path(f) for f in files], False))
+    entries = [FileHeader(*entry) for path in paths for entry in known[path]]
+    parts = []
+    for at in range(0, len(entries), ROUTED_FILES):
+        routed = entries[at : at + ROUTED_FILES]
+        cells = [f"__cell{i}" for i in range(max(len(entry.header) for entry in routed))]
+        cut = file_dataset(scan(cells, [literal_path(entry.file) for entry in routed], True))
+        parts.append(_by_name(cut, cells, routed, check_headers))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
+def _by_name(
+    cut: DataFrame, cells: Sequence[str], entries: Sequence[FileHeader], check: bool
+) -> DataFrame:
+    """The numbered cells of a scan of several headers, under their names.
+
+    Two small tables say which header a file has and where that header has each name. Files are
+    found by a hash of their path, so a file takes a few bytes, less than the scan's own list of
+    files holds of it.
+    """
+    spark = cut.sparkSession
+    exact = spark.conf.get("spark.sql.caseSensitive") == "true"
+    same = (lambda name: name) if exact else str.lower
+    names: dict[str, str] = {}
+    for header in dict.fromkeys(entry.header for entry in entries):
+        for name in header:
+            names.setdefault(same(name), name)
+    numbers: dict[tuple[str, ...], int] = {}
+    for entry in entries:
+        numbers.setdefault(entry.header, len(numbers))
+    folded = {header: [same(name) for name in header] for header in numbers}
+    # For each name the cells that hold it in some file; a header tells which of these it is.
+    held = {key: sorted({h.index(key) for h in folded.values() if key in h}) for key in names}
+    place_rows = [
+        (number, [held[key].index(folded[h].index(key)) if key in folded[h] else None for key in names])
+        for h, number in numbers.items()
+    ]
+    places = spark.createDataFrame(place_rows, "__header int, __places array<int>")
+    # A path is known by two hashes of it, 128 bits together.
+    keys = lambda uri: {"__k1": F.xxhash64(uri), "__k2": F.xxhash64(F.lit(1), uri)}
+    route_rows = {e.uri: (e.uri, numbers[e.header], e.size, e.modified) for e in entries}
+    routes = spark.createDataFrame(list(route_rows.values()), "uri string, __header int, __size bigint, __modified bigint")
+    routes = routes.withColumns(keys("uri")).drop("uri")
+    scanned = cut.withColumns(
+        keys(F.col("_metadata.file_path"))
+        | {"__now": F.struct(F.col("_metadata.file_size"), F.unix_micros("_metadata.file_modification_time"))}
+    )
+    joined = scanned.join(F.broadcast(routes), ["__k1", "__k2"]).join(F.broadcast(places), "__header")
+    if check:
+        changed = F.raise_error(F.lit("a file has changed since its header was read")).cast("boolean")
+        same_file = F.col("__now") == F.struct("__size", "__modified")
+        joined = joined.filter(F.when(same_file, True).otherwise(changed))
+    columns = [
+        F.get(F.array(*[F.col(cells[i]) for i in held[key]]), F.get("__places", F.lit(j))).alias(name)
+        for j, (key, name) in enumerate(names.items())
+    ]
+    extra = [c for c in cut.columns if c not in cells]
+    return joined.select(*columns, *extra)
 
 
 #: Fixed value: what Spark writes as %XX in the name of a partition folder.
@@ -191,11 +266,31 @@ def rows_to_table(
     return spark.createDataFrame(list(rows), columns)
 
 
+def known_row_counts(catalog: DataFrame, datasets: DataFrame, layout: str = "files") -> DataFrame:
+    """``file_ord, dataset, rows`` of a dataset list, out of a catalog of its files.
+
+    ``layout`` tells how the data lie (see ``dataset_paths``). A dataset without a file has 0 rows.
+    """
+    if layout not in LAYOUTS:
+        raise ValueError(f"layout must be one of {LAYOUTS}")
+    # The name of the file, or of the folder around it with the signs that Spark escapes.
+    own = F.regexp_extract("file", r"/([^/]*)$", 1)
+    if layout == "folders":
+        folder = F.regexp_extract("file", r"/dataset=([^/]*)/[^/]*$", 1)
+        own = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    rows = catalog.select(own.alias("__own"), "rows").groupBy("__own").agg(F.sum("rows").alias("rows"))
+    key = "dataset" if layout == "folders" else "file"
+    return datasets.join(rows, F.col(key) == F.col("__own"), "left").select(
+        "file_ord", "dataset", F.coalesce("rows", F.lit(0)).alias("rows")
+    )
+
+
 def row_budget_paths(spark: SparkSession, paths: Sequence[str], budget: int) -> list[tuple[str, int]]:
     """(path, rows) in list order until more than ``budget`` rows are in.
 
-    Files are counted in growing batches, all files of a batch in one job, and no
-    batch is opened once the budget is exceeded.
+    Files are counted in growing batches, all files of a batch in one scan, and no batch is opened
+    once the budget is exceeded. For files of a catalog, ``row_budget_files`` over
+    ``known_row_counts`` answers without opening any.
     """
     total, chosen, size = 0, [], 1
     while len(chosen) < len(paths) and total <= budget:
@@ -223,16 +318,15 @@ def read_row_prefix(
 ) -> DataFrame:
     """The first ``size`` rows of the files (path, rows), in list order and line order.
 
-    Files that end before the last row are read as they are, the one it lies in by row
-    index, and no other is opened. ``options`` go to ``read_measurements``.
+    Files that end before the last row are read as they are, the one it lies in up to the block of
+    that row, and no other is opened. ``options`` go to ``read_measurements``.
     """
     whole, left, parts = [], size, []
     for path, rows in counted:
         if rows > left:
             if left:
                 edge = read_measurements(spark, [path], with_position=True, **options)
-                indexed = with_row_index(edge, name="__index")
-                parts.append(indexed.filter(F.col("__index") < left).drop("__index"))
+                parts.append(first_rows(edge, block_ranks(spark, [path]), left))
             break
         whole.append(path)
         left -= rows
@@ -242,13 +336,16 @@ def read_row_prefix(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
+def block_ranks(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """``file, start, rows, rows_before`` of the blocks of the paths, from a scan of them."""
+    files = [row.file for row in list_files(spark, paths).toLocalIterator()]
+    return row_ranks(describe_files(spark, files))
+
+
 def row_counts(spark: SparkSession, paths: Sequence[str]) -> list[int]:
-    """Rows of each path, from one job."""
-    # Counting needs no names: the header is skipped and no cell is parsed.
-    reader = spark.read.schema("cell string").option("header", True)
-    scans = [
-        reader.csv(path).select(F.lit(i).alias("position")) for i, path in enumerate(paths)
-    ]
-    counts = reduce(DataFrame.union, scans).groupBy("position").count().collect()
-    by_position = {row["position"]: row["count"] for row in counts}
-    return [by_position.get(i, 0) for i in range(len(paths))]
+    """Rows of each path, from one scan of them all."""
+    paths = list(paths)
+    if not paths:
+        return []
+    # Lines are counted and no cell is parsed.
+    return catalog_rows(describe_files(spark, paths), paths)

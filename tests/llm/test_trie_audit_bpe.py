@@ -270,3 +270,11 @@ def test_bpe_equals_the_library(spark, make_docs, library, words, monkeypatch):
 @needs_file
 def test_bpe_of_no_documents(spark, make_docs, folder):
     assert bpe.op13_transducer_bpe(spark, folder(documents=make_docs([])), FILE).collect() == []
+
+
+@needs_file
+def test_merging_side_by_side_equals_merging_one_by_one(own):
+    rng = random.Random(3)
+    words = ["".join(rng.choice("etaoinshrdlé日x'") for _ in range(rng.randint(1, 50))) for _ in range(6000)]
+    words += ["<|endoftext|>", "a"]
+    assert own.merge_many(words) == [own.merge(w) for w in words] and own.merge_many([]) == []

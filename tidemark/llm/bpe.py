@@ -30,6 +30,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame, SparkSession
@@ -39,12 +40,16 @@ from tidemark.llm.common import stored, table
 from tidemark.session import scratch_dir
 
 #: So many of the most frequent words are compiled ...
-LEXICON_WORDS = 50_000
+LEXICON_WORDS = 200_000
 #: ... of those with so many bytes at most.
 WORD_BYTES = 48
 #: Characters worked on at a time, and distinct words that a task holds before it hands out counts.
 SLICE_CHARS = 1 << 20
 HELD = 300_000
+#: Words of up to so many bytes are merged side by side, in matrices of these widths.
+WIDTHS = (4, 6, 8, 10, 12, 16, 24, 32, 64)
+#: Larger than any rank of a merge.
+NO_MERGE = np.int32(1 << 30)
 
 
 class Tokenizer:
@@ -64,6 +69,13 @@ class Tokenizer:
         self.last = [vocab[c + end] for c in shown]
         pairs = (m if isinstance(m, list) else m.split(" ") for m in model["merges"])
         self.merges = {(vocab[a], vocab[b]): (rank, vocab[a + b]) for rank, (a, b) in enumerate(pairs)}
+        # The merges again, sorted by pair, for many lookups at once.
+        keys = np.array([a << 32 | b for a, b in self.merges], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], order.astype(np.int32)
+        self.made = np.array([new for _, new in self.merges.values()], np.int32)
+        self.inner_ids, self.last_ids = np.array(self.inner, np.int32), np.array(self.last, np.int32)
+        self.token_texts = pa.array([self.tokens.get(i) for i in range(max(self.tokens) + 1)], pa.string())
         self.special = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.specials, key=len, reverse=True)) + ")") if self.specials else None
         self._library = None
 
@@ -120,10 +132,71 @@ class Tokenizer:
             offer(at)
         return [i for i in ids if i >= 0]
 
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The rank of each pair of ids, ``NO_MERGE`` for pairs that do not merge."""
+        keys = left.astype(np.int64) << 32 | right.astype(np.int64)
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where((self.pair_keys[at] == keys) & (left >= 0) & (right >= 0), self.pair_ranks[at], NO_MERGE)
+
+    def merge_many(self, words: Sequence[str]) -> list[list[int]]:
+        """``merge`` of each word. Words of like length take their next merge together."""
+        out: list[list[int]] = [[]] * len(words)
+        encoded = [w.encode() for w in words]
+        groups: dict[int, list[int]] = {}
+        for i, data in enumerate(encoded):
+            width = next((w for w in WIDTHS if len(data) <= w), 0)
+            if not width or words[i] in self.specials:
+                out[i] = self.merge(words[i])
+            else:
+                groups.setdefault(width, []).append(i)
+        for width, members in groups.items():
+            for first in range(0, len(members), 4096):
+                self._merge_group(encoded, members[first : first + 4096], width, out)
+        return out
+
+    def _merge_group(self, encoded: list[bytes], members: list[int], width: int, out: list[list[int]]) -> None:
+        lengths = np.array([len(encoded[i]) for i in members])
+        data = np.frombuffer(b"".join(encoded[i].ljust(width, b"\0") for i in members), np.uint8).reshape(-1, width)
+        place = np.arange(width)
+        ids = np.where(place < lengths[:, None] - 1, self.inner_ids[data], np.where(place == lengths[:, None] - 1, self.last_ids[data], -1))
+        # A column more, which stays empty, so that a row can move up by one.
+        ids = np.pad(ids, ((0, 0), (0, 1)), constant_values=-1)
+        ranks = np.pad(self._ranks(ids[:, :-1], ids[:, 1:]), ((0, 0), (0, 1)), constant_values=NO_MERGE)
+        own = np.array(members)
+        place = np.arange(width + 1)
+        while len(own):
+            at = ranks.argmin(axis=1)
+            best = ranks[np.arange(len(own)), at]
+            live = best < NO_MERGE
+            if not live.all():
+                for i, row in zip(own[~live].tolist(), ids[~live].tolist()):
+                    out[i] = [t for t in row if t >= 0]
+                own, ids, ranks, at, best = own[live], ids[live], ranks[live], at[live], best[live]
+                if not len(own):
+                    break
+            rows = np.arange(len(own))
+            moved = np.minimum(place + (place > at[:, None]), width)
+            ids, ranks = np.take_along_axis(ids, moved, 1), np.take_along_axis(ranks, moved, 1)
+            ids[rows, at] = self.made[best]
+            ids[:, width] = -1
+            ranks[:, width] = NO_MERGE
+            ranks[rows, at] = self._ranks(ids[rows, at], ids[rows, np.minimum(at + 1, width)])
+            inner = at > 0
+            ranks[rows[inner], at[inner] - 1] = self._ranks(ids[rows[inner], at[inner] - 1], ids[rows[inner], at[inner]])
+
     def decode(self, ids: Iterable[int]) -> str:
         """The tokens with a space between them, as a file without a decoder is read."""
         return " ".join(map(self.tokens.__getitem__, ids))
 
+    def decode_lists(self, lists: pa.ListArray) -> pa.Array:
+        """``decode`` of each list of ids; null is empty."""
+        texts = self.token_texts.take(lists.flatten())
+        if texts.null_count:
+            raise ValueError("an id without a token")
+        ends = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
+        held = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), texts)
+        return pc.binary_join(held, " ")
+
 
 def byte_letters() -> list[str]:
     """The letter that byte-level tokenizers show for each byte: itself where it prints."""
@@ -318,7 +391,7 @@ def fit_encoder(docs: DataFrame, path: str, text: str = "text", words: int = LEX
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(content)
         for batch in batches:
-            ids = [own.merge(w) for w in batch.column(0).to_pylist()]
+            ids = own.merge_many(batch.column(0).to_pylist())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["word", "ids"])
 
     top = count_words(docs, content, text).orderBy(F.col("n").desc(), "word").limit(words).select("word")
@@ -342,7 +415,7 @@ def _encode_slice(own: Tokenizer, lexicon: Lexicon, pieces: list[str]) -> tuple[
     index = {w: i for i, w in enumerate(distinct)}
     places = lexicon.places([w.encode() for w in distinct])
     unseen = np.flatnonzero(places < 0).tolist()
-    merged = [own.merge(distinct[i]) for i in unseen]
+    merged = own.merge_many([distinct[i] for i in unseen])
     seen = np.maximum(places, 0)
     start = np.array(lexicon.starts[seen]) if len(lexicon.starts) > 1 else np.zeros(len(distinct), np.int64)
     count = np.array(lexicon.starts[seen + 1]) - start if len(lexicon.starts) > 1 else np.zeros(len(distinct), np.int64)
@@ -407,16 +480,14 @@ def decode(encoded: DataFrame, encoder: Encoder, ids: str = "ids", name: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = tokenizer(encoder.content)
         for batch in batches:
-            at = batch.schema.get_field_index(ids)
+            column = batch.column(batch.schema.get_field_index(ids))
+            lengths = pc.fill_null(pc.list_value_length(column), 0).to_numpy()
             first = 0
             while first < batch.num_rows:
-                last, texts, size = first, [], 0
-                while last < batch.num_rows and size < SLICE_CHARS:
-                    texts.append(own.decode(batch.column(at)[last].as_py() or []))
-                    size += len(texts[-1])
-                    last += 1
+                many = np.searchsorted(np.cumsum(lengths[first:]), SLICE_CHARS, "right")
+                last = min(first + max(1, int(many)), batch.num_rows)
                 part = batch.slice(first, last - first)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], [*part.schema.names, name])
+                yield pa.RecordBatch.from_arrays([*part.columns, own.decode_lists(column.slice(first, last - first))], [*part.schema.names, name])
                 first = last
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema)

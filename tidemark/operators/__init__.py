@@ -40,6 +40,7 @@ from tidemark.operators.prefix import (
     row_budget_files,
     row_prefixes,
 )
+from tidemark.operators.ranks import prefix_rows_by, prefixes_by, rank_bounds, with_row_address
 from tidemark.operators.reports import complete_grid, distinct_scales, pivot_series, report_lines
 
 __all__ = [
@@ -70,9 +71,12 @@ __all__ = [
     "prefix_averages",
     "prefix_files",
     "prefix_rows",
+    "prefix_rows_by",
     "prefix_size",
     "prefix_sizes",
+    "prefixes_by",
     "project_variable",
+    "rank_bounds",
     "repartition_to",
     "report_lines",
     "row_budget_files",
@@ -82,6 +86,7 @@ __all__ = [
     "skip_cells",
     "sorted_distinct",
     "tokens",
+    "with_row_address",
     "with_row_index",
     "with_scan_position",
 ]

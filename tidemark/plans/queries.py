@@ -409,6 +409,36 @@ def prefix_rows_avg(spark, folder):
     return rounded(op.avg_measures(prefix, ["value"], with_rows=True))
 
 
+def prefix_by_sql(order: str) -> str:
+    return f"""WITH {LADDER_SQL}, numbered AS (
+      SELECT value, event_id, row_number() OVER (ORDER BY {order}) AS n FROM events), sizes AS (
+      SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM events)")} AS size FROM ladder)
+    SELECT fraction_ord, count(n) AS rows, CAST(sum(event_id) AS BIGINT) AS ids, {avg_sql(["value"])}
+    FROM sizes LEFT JOIN numbered ON n <= size GROUP BY fraction_ord"""
+
+
+def prefixes_of_events(spark: SparkSession, folder: str, order: list[str]) -> DataFrame:
+    events = table(spark, folder, "events")
+    averaged = [
+        prefix.agg(
+            F.lit(i).alias("fraction_ord"), F.count("*").alias("rows"),
+            F.sum("event_id").alias("ids"), F.avg("value").alias("avg_value"),
+        )
+        for i, prefix in enumerate(op.prefixes_by(events, order))
+    ]
+    return rounded(reduce(DataFrame.unionByName, averaged))
+
+
+@query(prefix_by_sql("ts, event_id"))
+def prefix_rows_by_time(spark, folder):
+    return prefixes_of_events(spark, folder, ["ts", "event_id"])
+
+
+@query(prefix_by_sql("event_type, user_id, value, event_id"))
+def prefix_rows_by_columns(spark, folder):
+    return prefixes_of_events(spark, folder, ["event_type", "user_id", "value", "event_id"])
+
+
 @query(
     f"""WITH {YEARS_SQL}, {LADDER_SQL}, sizes AS (
       SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM years)")} AS size FROM ladder)

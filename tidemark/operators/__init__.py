@@ -1,6 +1,12 @@
 """DataFrame to DataFrame operators."""
 
 from tidemark.operators.blocks import cut_into_blocks, flatten_blocks
+from tidemark.operators.exact import (
+    exact_averages,
+    measure_state,
+    merged_state,
+    prefix_state_averages,
+)
 from tidemark.operators.grids import flatten_grid, project_variable
 from tidemark.operators.links import (
     distinct_tokens,
@@ -54,6 +60,7 @@ __all__ = [
     "cut_into_blocks",
     "distinct_scales",
     "distinct_tokens",
+    "exact_averages",
     "extract_links",
     "file_order",
     "file_prefixes",
@@ -64,6 +71,8 @@ __all__ = [
     "flatten_grid",
     "fraction_ladder",
     "max_partitions",
+    "measure_state",
+    "merged_state",
     "order_cutoffs",
     "partition_count",
     "partition_sizes",
@@ -74,6 +83,7 @@ __all__ = [
     "prefix_rows_by",
     "prefix_size",
     "prefix_sizes",
+    "prefix_state_averages",
     "prefixes_by",
     "project_variable",
     "rank_bounds",

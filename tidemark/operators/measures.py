@@ -22,7 +22,8 @@ def avg_measures(
 ) -> DataFrame:
     """One row with ``avg_NAME`` per measure; cells that are no number are skipped.
 
-    ``with_rows`` puts the row count in front.
+    ``with_rows`` puts the row count in front. The last digits depend on the order in which the
+    rows are added; ``exact_averages`` over ``measure_state`` gives the same ones always.
     """
     rows = [F.count("*").alias("rows")] if with_rows else []
     return df.agg(*rows, *[F.avg(as_measure(m, nan_as_null)).alias(f"avg_{m}") for m in measures])

@@ -149,3 +149,49 @@ def test_sweep_tries_every_count_up_to_the_scan(spark):
         spark, cases, "coalesce", ["v"], skipped=(F.col("scale") == 3) & (F.col("partitions") > 2)
     )
     assert [(r.fraction_ord, r.partitions) for r in skipped.collect()] == [(0, 1), (1, 1), (1, 2)]
+
+
+def test_a_cell_runs_its_query_once(spark):
+    from tests.test_sources import jobs
+
+    df = spark.range(0, 4000, 1, 4).select(F.col("id").cast("double").alias("x"))
+    for mode in ("repartition", "coalesce"):
+        change = {"repartition": df.repartition, "coalesce": df.coalesce}[mode]
+        alone, _ = jobs(spark, lambda: [avg_measures(change(n), ["x"]).collect() for n in (1, 2, 3)])
+        swept, _ = jobs(spark, lambda: partition_sweep(spark, [Case(1, lambda: df, [1, 2, 3])], mode, ["x"]))
+        assert swept == alone
+
+
+def test_repeated_cells_have_a_median_and_a_spread(spark):
+    df = spark.range(0, 1000, 1, 3).select((F.col("id") / 7).alias("x"))
+    cells = partition_sweep(spark, [Case(5, lambda: df)], "repartition", ["x"], repeats=3, exact=True).collect()
+    assert [c.partitions for c in cells] == [1, 2, 3] and len({c.avg_x for c in cells}) == 1
+    for c in cells:
+        assert c.repeats == 3 and 0 < c.avg_s_low <= c.avg_s_median <= c.avg_s_high and c.avg_s == c.avg_s_median
+    with pytest.raises(ValueError):
+        partition_sweep(spark, [Case(5, lambda: df)], "repartition", ["x"], repeats=0)
+
+
+def test_states_of_files_are_kept(spark, tmp_path):
+    from tests.test_sources import HEADER_A, HEADER_B, jobs, write
+    from tidemark.operators import exact_averages
+    from tidemark.sources import refresh_measure_states
+
+    data, folder = tmp_path / "data", str(tmp_path / "states")
+    data.mkdir()
+    write(data / "a.csv", HEADER_A, "t,1.0,2,3,4", "t,,2,x,4")
+    write(data / "b.csv", HEADER_B, "t,1,7.0,2,3")
+    write(data / "c.csv", HEADER_A)
+    refresh = lambda: refresh_measure_states(spark, [str(data)], folder, MEASURES)
+
+    def averages():
+        return tuple(exact_averages(refresh(), MEASURES).first())
+
+    assert averages() == (3, 4.0, 2.0, 3.0, 3.0)
+    write(data / "d.csv", "time,temperature", "t,10.0")
+    assert averages() == (4, 6.0, 2.0, 3.0, 3.0)
+    assert {r.file.rsplit("/", 1)[-1] for r in spark.read.parquet(f"{folder}/states").select("file").collect()} == {"a.csv", "b.csv", "c.csv", "d.csv"}
+    before = spark.read.parquet(f"{folder}/states").count()
+    assert averages() == (4, 6.0, 2.0, 3.0, 3.0) and spark.read.parquet(f"{folder}/states").count() == before
+    (data / "a.csv").unlink()
+    assert averages() == (2, 8.5, 2.0, 3.0, 1.0)

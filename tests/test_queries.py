@@ -11,7 +11,7 @@ from tidemark.plans.queries import QUERIES
 from tests.conftest import DATA
 
 FOLDER = DATA / os.environ.get("TIDEMARK_SF", "sf0.01")
-TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string"}
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "BOOLEAN": "boolean"}
 
 
 @pytest.fixture(scope="module")

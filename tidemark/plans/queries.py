@@ -40,8 +40,7 @@ LINE_MEASURES = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
 # partitioning, and the more so the larger they are.
 DIGITS = 9
 FEWER_DIGITS = {"l_extendedprice": 3}
-#: Partition counts tried on the rows of ``events``.
-ROW_COUNTS = (1, 2, 3, 4)
+REPEATS = 3
 SPREAD = 8
 ROW_BUDGET = 10_000
 
@@ -125,6 +124,12 @@ def avg_measures(spark, folder):
     return rounded(op.avg_measures(table(spark, folder, "lineitem"), LINE_MEASURES))
 
 
+@query(f"SELECT count(*) AS rows, {avg_sql()} FROM lineitem")
+def avg_measures_exact(spark, folder):
+    lines = table(spark, folder, "lineitem")
+    return rounded(op.exact_averages(op.measure_state(lines, LINE_MEASURES), LINE_MEASURES))
+
+
 @query("SELECT count(*) AS rows FROM lineitem")
 def row_count(spark, folder):
     return op.row_count(table(spark, folder, "lineitem"))
@@ -469,6 +474,23 @@ def prefix_averages_rows(spark, folder):
     return rounded(op.prefix_averages(events, "event_id", prefixes, ["value"]))
 
 
+@query(
+    f"""WITH {YEARS_SQL}, {LADDER_SQL}, sizes AS (
+      SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM years)")} AS size FROM ladder)
+    SELECT fraction_ord, num, den, size, count(lines.file_ord) AS rows, {avg_sql()}
+    FROM sizes LEFT JOIN lines ON lines.file_ord < size GROUP BY fraction_ord, num, den, size"""
+)
+def prefix_state(spark, folder):
+    # The state of some files first, then of all; the ten prefixes are answered from it.
+    root, kept = staged_csv(spark, folder), scratch_dir(spark, "states")
+    src.refresh_measure_states(spark, year_paths(spark, root)[:4], kept, LINE_MEASURES, base_path=root)
+    states = src.refresh_measure_states(spark, [root], kept, LINE_MEASURES, base_path=root)
+    years = years_of(lines_by_year(spark, folder))
+    named = states.withColumn("dataset", F.regexp_extract("file", "/dataset=([^/]*)/", 1))
+    prefixes = op.file_prefixes(years.count())
+    return rounded(op.prefix_state_averages(op.assign_file_ord(named, years), prefixes, LINE_MEASURES))
+
+
 @query(
     f"""WITH {YEARS_SQL}, sums AS (
       SELECT file_ord, dataset, rows, sum(rows) OVER (ORDER BY file_ord) - rows AS before FROM years)
@@ -540,21 +562,48 @@ def sweep_skip_cells(spark, folder):
       SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM events)")} AS scale FROM ladder),
     averaged AS (SELECT fraction_ord, scale, count(n) AS rows, {avg_sql(["value"])}
       FROM sizes LEFT JOIN numbered ON n <= scale GROUP BY fraction_ord, scale),
-    cells AS (SELECT *, CAST(unnest(range(1, {len(ROW_COUNTS)} + 1)) AS INT) AS partitions FROM averaged)
+    cells AS (SELECT *, CAST(unnest(range(1, (SELECT count(DISTINCT event_type) FROM events) + 1)) AS INT) AS partitions FROM averaged)
     SELECT 'repartition' AS mode, fraction_ord, scale, partitions,
            partitions AS actual_partitions, rows, avg_value FROM cells"""
 )
 def sweep_rows(spark, folder):
-    # The same study with rows instead of files as the unit.
-    events = table(spark, folder, "events")
-    cases = [
-        Case(p.size, partial(events.filter, F.col("event_id") <= p.last), ROW_COUNTS)
-        for p in op.row_prefixes(events, "event_id")
-    ]
+    # The same study with rows instead of files as the unit, over the files of the event
+    # types. Every count is tried, up to the partitions of the scan.
+    root = scratch_dir(spark, "types")
+    events = table(spark, folder, "events").select("event_id", "value", "event_type")
+    events.repartition("event_type").write.partitionBy("event_type").parquet(root)
+    types = spark.read.parquet(root)
+    names = [row[0] for row in types.select("event_type").distinct().collect()]
+    # A scan for each file, so that a file is a partition at least.
+    files = [types.filter(F.col("event_type") == name) for name in sorted(names)]
+
+    def build(last: int) -> DataFrame:
+        return reduce(DataFrame.union, [f.filter(F.col("event_id") <= last) for f in files])
+
+    cases = [Case(p.size, partial(build, p.last)) for p in op.row_prefixes(types, "event_id")]
     timed = partition_sweep(spark, cases, "repartition", ["value"])
     return rounded(timed).drop("create_s", "avg_s")
 
 
+@query(
+    f"""WITH {YEARS_SQL} SELECT CAST(n AS INT) AS partitions, (SELECT count(*) FROM lineitem) AS rows, {REPEATS} AS repeats,
+    TRUE AS ordered, TRUE AS same_bits FROM (SELECT unnest(range(1, count(*) + 1)) AS n FROM years)"""
+)
+def sweep_repeats(spark, folder):
+    # Median and spread of repeated cells; exact sums agree to the last bit over all counts.
+    paths = staged_years(spark, folder)
+    files = [spark.read.parquet(path) for path in paths]
+    whole = Case(len(paths), lambda: reduce(DataFrame.union, files))
+    cells = partition_sweep(spark, [whole], "repartition", LINE_MEASURES, repeats=REPEATS, exact=True)
+    averages = F.struct(*[f"avg_{m}" for m in LINE_MEASURES])
+    sets = cells.agg(F.count_distinct(averages).alias("sets"))
+    return cells.select(
+        "partitions", "rows", "repeats",
+        ((F.col("avg_s_low") <= F.col("avg_s_median")) & (F.col("avg_s_median") <= F.col("avg_s_high"))).alias("ordered"),
+        (sets.scalar() == 1).alias("same_bits"),
+    )
+
+
 @query(f"SELECT CAST({SPREAD} AS BIGINT) AS partitions, count(*) AS rows FROM events")
 def partition_sizes(spark, folder):
     spread = op.repartition_to(table(spark, folder, "events").select("event_id"), SPREAD)
@@ -753,7 +802,7 @@ def ingested(spark: SparkSession, folder: str) -> str:
       SELECT CAST(label AS VARCHAR) AS dataset, row_number() OVER (ORDER BY CAST(label AS VARCHAR) || '.nc') AS n
       FROM (SELECT DISTINCT label FROM embeddings)),
     sizes AS (SELECT *, {SIZE_SQL.format(n="(SELECT count(*) FROM listed)")} AS scale FROM ladder)
-    SELECT fraction_ord - first AS fraction_ord, scale, count(*) AS rows, {avg_sql(["embedding"])}
+    SELECT fraction_ord - first AS fraction_ord, scale, count(*) AS rows, {avg_sql(["embedding"])}, TRUE AS every_count
     FROM (SELECT *, min(fraction_ord) OVER () AS first FROM sizes WHERE scale > 0)
     JOIN listed ON n <= scale JOIN points ON CAST(points.label AS VARCHAR) = dataset
     GROUP BY ALL"""
@@ -766,9 +815,12 @@ def study_chain(spark, folder):
     src.write_sorted_links(labels.select(url.alias("link")), listed)
     study = partition_study(
         spark, listed, root, scratch_dir(spark, "study"), mode="repartition",
-        measures=["embedding"], counts=[1], layout="folders",
+        measures=["embedding"], layout="folders",
     )
-    return rounded(study.timings).select("fraction_ord", "scale", "rows", "avg_embedding")
+    # Every count up to the partitions of the scan gives the same averages.
+    cells = rounded(study.timings).groupBy("fraction_ord", "scale", "rows", "avg_embedding")
+    tried = cells.agg((F.count("*") == F.max("partitions")).alias("every_count"))
+    return tried.select("fraction_ord", "scale", "rows", "avg_embedding", "every_count")
 
 
 @query(

@@ -91,6 +91,7 @@ def partition_study(
     measures: Sequence[str] = MEASURES,
     counts: Sequence[int] | None = None,
     layout: str = "files",
+    repeats: int = 1,
 ) -> Study:
     """Average the measures over growing prefixes and partition counts.
 
@@ -98,6 +99,7 @@ def partition_study(
     With ``row_budget`` they count rows, of the first files that exceed that many rows.
     ``counts`` are the partition counts to try, by default 1 up to those of each scan.
     ``layout`` tells how the data lie in their folder (see ``dataset_paths``).
+    ``repeats`` measures each cell so many times (see ``partition_sweep``).
     Empty prefixes (of a very short list) have nothing to scan and are left out.
 
     What the files hold is kept in a catalog below ``out_folder``, so a later study opens only
@@ -117,7 +119,7 @@ def partition_study(
         headers = catalog_headers(catalog, [path for path, _ in counted])
         cases = row_cases(spark, counted, fractions, base, headers)
     cases = [case._replace(counts=counts) for case in cases]
-    timings = partition_sweep(spark, cases, mode, measures)
+    timings = partition_sweep(spark, cases, mode, measures, repeats=repeats)
     record = ["scale", "partitions", "create_s", "avg_s"]
     path = write_timings(timings.select(record), out_folder, mode)
     # Prefixes of equal size are separate measurements, so their position is the row key.
@@ -141,6 +143,7 @@ def main() -> None:
     parser.add_argument("--row-budget", type=int, help="prefixes of rows, of about this many")
     parser.add_argument("--layout", choices=LAYOUTS, default="files", help="how the data lie")
     parser.add_argument("--counts", type=int, nargs="+", help="partition counts to try")
+    parser.add_argument("--repeats", type=int, default=1, help="measure each cell so many times")
     args = parser.parse_args()
     spark = get_session()
     study = partition_study(
@@ -153,6 +156,7 @@ def main() -> None:
         layout=args.layout,
         row_budget=args.row_budget,
         counts=args.counts,
+        repeats=args.repeats,
     )
     for row in report_lines(study.timings).toLocalIterator():
         print(row.line)

@@ -32,6 +32,7 @@ from tidemark.sources.measurements import (
     write_measurements,
 )
 from tidemark.sources.pages import read_pages
+from tidemark.sources.states import read_measure_states, refresh_measure_states
 from tidemark.sources.timings import read_timings, write_timings
 
 __all__ = [
@@ -49,12 +50,14 @@ __all__ = [
     "pinned",
     "read_dataset_list",
     "read_links",
+    "read_measure_states",
     "read_measurements",
     "read_pages",
     "read_row_budget",
     "read_row_prefix",
     "read_timings",
     "refresh_catalog",
+    "refresh_measure_states",
     "row_budget_paths",
     "row_counts",
     "row_ranks",

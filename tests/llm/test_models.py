@@ -207,6 +207,54 @@ def test_small_article_beside_a_large_one():
     assert extract.main_text(html) == f"One {LONG}Two {MUCH}"
 
 
+MENU = "<nav><a href=/>Home</a></nav>"
+BODY = f"<h1>Head</h1><p>{LONG}</p><p>{LONG}</p>"
+READ = f"Head {LONG}{LONG}".strip()
+
+
+@pytest.mark.parametrize("inner", [f"<article>{BODY}</article>", BODY])
+@pytest.mark.parametrize("wrapper", ['class="overflow-hidden"', 'class="content has-sidebar"', 'id="page" class="no-sidebar"', 'class="comments-off ad-free"'])
+def test_a_name_around_the_article_loses_nothing(wrapper, inner):
+    assert extract.main_text(page(f"{MENU}<div {wrapper}>{inner}</div><footer>f</footer>")) == READ
+
+
+@pytest.mark.parametrize("wrapper", ['id="search"', 'class="widget"', 'class="modal content"'])
+@pytest.mark.parametrize("inner", [f"<main>{BODY}</main>", f"<article>{BODY}</article>", BODY])
+def test_a_misleading_name_around_the_article_loses_nothing(wrapper, inner):
+    assert extract.main_text(page(f"{MENU}<div {wrapper}>{inner}</div><p>Small print.</p>")).startswith(READ)
+
+
+@pytest.mark.parametrize(
+    "part, text",
+    [
+        ('<h2><a href="/s">A linked title</a></h2>', "A linked title"),
+        ('<h2>Sources</h2><ul><li><a href="/1">One, a book</a></li><li><a href="/2">Two, a paper</a></li></ul>', "Sources One, a book Two, a paper"),
+        (f'<section id="related-work"><h2>Related work</h2><p>{LONG}</p></section>', f"Related work {LONG}".strip()),
+        (f'<div class="search-and-rescue"><p>{LONG}</p></div>', LONG.strip()),
+        ('<div class="ad-slot"><p>Buy a thing, now.</p></div>', ""),
+        ('<div class="cookie-banner">We use cookies.</div>', ""),
+        ('<div class="post-comments"><p>A reader says so.</p></div>', ""),
+        ('<ul class="share-buttons"><li>Share</li></ul>', ""),
+    ],
+)
+def test_parts_inside_an_article(part, text):
+    got = extract.main_text(page(f"{MENU}<article>{BODY}{part}<p>{LONG}</p></article>"))
+    assert got == " ".join(x for x in (READ, text, LONG.strip()) if x)
+
+
+def test_linked_title_of_a_page_without_an_article_element():
+    html = page(f'{MENU}<div class="post"><h1><a href="/x">Head</a></h1><p>{LONG}</p><p>{LONG}</p></div>')
+    assert extract.main_text(html) == READ
+
+
+@pytest.mark.parametrize("remarks", [f"<p>{LONG}</p>" * 3, f"<article><p>{LONG}</p></article>" * 3])
+def test_comments_longer_than_the_article_go(remarks):
+    html = page(f'{MENU}<article>{BODY}</article><section class="comments">{remarks}</section>')
+    assert extract.main_text(html) == READ
+    html = page(f'{MENU}<div class="story">{BODY}</div><div id="comments">{remarks}</div>')
+    assert extract.main_text(html) == READ
+
+
 def test_every_page_gives_its_article(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{FOLDER}/pages.parquet").collect()}
     got = QUERIES["op4_tag_path_ratio"](spark, FOLDER).collect()

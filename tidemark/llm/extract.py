@@ -9,8 +9,13 @@ article; it is never less than the article or main element around it, and grows
 stands right beside it. The result is all content, and the blocks in the article whose path is not
 mostly links, such as headings and short items.
 
-What is boilerplate by its markup (navigation, footers, asides, forms, scripts, elements named
-as adverts, notices, comments and the like) never gets a path. Character references are
+What is boilerplate by its markup (navigation, footers, asides, forms, scripts) never gets a path.
+Names are weighed. A class, id or role that names an advert, a notice, comments and the like as a
+whole, such as ``cookie-banner``, takes its element out, but never an element around the article:
+one that holds the main element, or most of the page's unlinked text. A name that such a word is
+only a part of, such as ``has-sidebar`` or ``related-work``, lowers the scores of its path outside
+of an article, and no more. Inside the article headings stay though they are linked, and in an
+article element lists of links do. Character references are
 decoded, white space inside a block becomes one space, blocks are joined by one space.
 
 Cases. Null, empty or text-free html: empty text. Tags that are not closed, or closed without
@@ -70,7 +75,22 @@ NAMES = {
 }
 #: These name page furniture only outside of the article.
 OUTER_NAMES = {"header", "heading"}
+#: Words that say where such a thing stands or what it is made of, not what it is.
+NEUTRAL = {
+    "left", "right", "top", "bottom", "main", "site", "page", "box", "block", "container", "wrapper", "wrap", "area", "section", "list", "item", "items", "inner", "outer",
+    "bar", "panel", "content", "slot", "unit", "link", "links", "button", "buttons", "post", "posts", "icon", "icons", "text", "title", "body", "row", "column", "columns",
+    "global", "primary", "secondary", "header", "heading", "default", "module", "component", "region", "zone", "group", "holder", "frame", "mobile", "desktop", "sticky",
+    "fixed", "large", "small", "wide", "inline", "center", "first", "last", "thread", "count", "toggle", "dropdown", "policy", "user", "media", "network", "networks",
+    "article", "articles", "story", "stories", "entry", "message", "site", "web", "layer", "window", "section", "reader", "readers", "blog",
+}
+#: Comments may be articles of their own, and so are no sign of the page's.
+REMARKS = {"comment", "comments", "commentlist", "disqus", "respond", "replies", "reply"}
+#: Parts of the unlinked text that speak for an element with such a name, with and without an article or title.
+MOST, NEARLY_ALL = 0.5, 0.8
+#: What a name with such a word in it does to the scores of a path outside of an article.
+NAMED_WEIGHT = 0.5
 WHOLE = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 PUNCTUATION = ".,;:!?。，¡¿…"
 
 _TOKEN = re.compile(
@@ -91,22 +111,43 @@ class Block:
     tags: str
     pieces: list[str]
     linked: int = 0
+    doubtful: bool = False
 
     def text(self) -> str:
         return " ".join(entities.unescape("".join(self.pieces)).split())
 
 
-def _names(attributes: str) -> set[str]:
-    found = set()
-    for groups in _NAMED.findall(attributes):
-        found.update(_WORD.findall(_CAMEL.sub(" ", "".join(groups)).lower()))
-    return found
+@dataclass
+class Suspect:
+    """An element whose name says that it is not the article, and what speaks for it."""
+
+    words: set[str]
+    holds: set[str]
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page that are not boilerplate by their markup, in order."""
+def _names(attributes: str) -> list[list[str]]:
+    """The words of each class, id and role."""
+    return [
+        words
+        for groups in _NAMED.findall(attributes)
+        for name in "".join(groups).split()
+        if (words := _WORD.findall(_CAMEL.sub(" ", name).lower()))
+    ]
+
+
+def _told(names: list[list[str]], words: set[str]) -> set[str]:
+    """Those of ``words`` that stand in a name with nothing but neutral words beside them."""
+    return {w for name in names if all(x in words or x in NEUTRAL for x in name) for w in name if w in words}
+
+
+def blocks_of(page: str) -> tuple[list[Block], dict[int, Suspect], list[int]]:
+    """The text blocks of a page that are not boilerplate by their tags, in order, the elements
+    under suspicion by their names, and the article and main elements."""
     stack: list[tuple[str, int, str, bool]] = []  # tag, number, label, skipped
     out: list[Block] = []
+    suspects: dict[int, Suspect] = {}
+    wholes: list[int] = []
+    doubts: list[int] = []  # open elements with a doubtful name outside of an article
     now: Block | None = None
     links = number = 0
     inside = 0  # open article or main elements
@@ -116,7 +157,9 @@ def blocks_of(page: str) -> list[Block]:
     def close(upto: int) -> None:
         nonlocal now, inside
         for tag, *_ in stack[upto:]:
-            inside -= tag in ("article", "main")
+            inside -= tag in WHOLE
+        while doubts and doubts[-1] >= stack[upto][1]:
+            doubts.pop()
         del stack[upto:]
         now = None
 
@@ -133,7 +176,7 @@ def blocks_of(page: str) -> list[Block]:
             if now is None:
                 if not text.strip():
                     continue
-                now = Block(tuple(n for _, n, _, _ in stack), "/".join(label for _, _, label, _ in stack), [])
+                now = Block(tuple(n for _, n, _, _ in stack), "/".join(label for _, _, label, _ in stack), [], doubtful=bool(doubts) and not inside)
                 out.append(now)
             now.pieces.append(text)
             if links:
@@ -152,7 +195,7 @@ def blocks_of(page: str) -> list[Block]:
             if skipped_inline:
                 if name == skipped_inline[0] and name not in VOID:
                     skipped_inline.pop() if closing else skipped_inline.append(name)
-            elif not closing and name not in VOID and attributes and (_HIDDEN.search(attributes) or _names(attributes) & NAMES):
+            elif not closing and name not in VOID and attributes and (_HIDDEN.search(attributes) or _told(_names(attributes), NAMES)):
                 skipped_inline.append(name)
             continue
         if skipped_inline:
@@ -182,16 +225,56 @@ def blocks_of(page: str) -> list[Block]:
                         break
                 elif stack[i][0] in walls:
                     break
-        named = _names(attributes) if attributes else set()
-        skip = bool(stack and stack[-1][3]) or name in SKIPPED or (name not in ("html", "body", "article", "main") and bool(named & NAMES))
-        skip = skip or bool(attributes and _HIDDEN.search(attributes)) or (not inside and (name == "header" or bool(named & OUTER_NAMES)))
-        inside += name in ("article", "main")
-        number += 1
-        label = name + ("." + ".".join(sorted(named)) if named else "")
+        names = _names(attributes) if attributes else []
+        skip = bool(stack and stack[-1][3]) or name in SKIPPED or (not inside and name == "header")
+        skip = skip or bool(attributes and _HIDDEN.search(attributes))
         if attributes.rstrip().endswith("/") and name in ("svg", "math"):
             continue
-        stack.append((name, number, label, skip))
-    return out
+        number += 1
+        if name in WHOLE or name == "h1":
+            for _, element, *_ in stack:
+                if element in suspects:
+                    suspects[element].holds.add(name)
+        if names and not skip and name not in ("html", "body", "article", "main"):
+            told = _told(names, NAMES) or (set() if inside else _told(names, OUTER_NAMES))
+            if told:
+                suspects[number] = Suspect(told, set())
+            elif not inside and any(w in NAMES for words in names for w in words):
+                doubts.append(number)
+        if name in WHOLE and not skip:
+            wholes.append(number)
+        inside += name in WHOLE
+        words = sorted({w for own in names for w in own})
+        stack.append((name, number, name + ("." + ".".join(words) if words else ""), skip))
+    return out, suspects, wholes
+
+
+def without_suspects(found: list[tuple[Block, str]], suspects: dict[int, Suspect], wholes: list[int]) -> list[tuple[Block, str]]:
+    """The blocks that are in no element whose name takes it out."""
+    if not suspects:
+        return found
+    held: dict[int, int] = defaultdict(int)
+    around: dict[int, set[int]] = {}
+    total = 0
+    for block, text in found:
+        own = max(0, len(text) - block.linked)
+        total += own
+        for element in block.path:
+            held[element] += own
+            if element in wholes:
+                around[element] = set(block.path[: block.path.index(element)])
+
+    def stays(element: int, suspect: Suspect) -> bool:
+        if "main" in suspect.holds:
+            return True
+        signs = suspect.holds - ({"article"} if suspect.words & REMARKS else set())
+        if signs and held[element] >= MOST * total:
+            return True
+        others = any(element not in above for above in around.values())
+        return held[element] >= NEARLY_ALL * total and not others
+
+    gone = {element for element, suspect in suspects.items() if not stays(element, suspect)}
+    return [(block, text) for block, text in found if gone.isdisjoint(block.path)]
 
 
 def smoothed(values: np.ndarray, width: int = 2) -> np.ndarray:
@@ -203,8 +286,9 @@ def smoothed(values: np.ndarray, width: int = 2) -> np.ndarray:
 
 def main_text(page: str | None) -> str:
     """The article of a page."""
-    found = [(block, block.text()) for block in blocks_of(page or "")]
-    found = [(block, text) for block, text in found if text]
+    blocks, suspects, wholes = blocks_of(page or "")
+    found = [(block, block.text()) for block in blocks]
+    found = without_suspects([(block, text) for block, text in found if text], suspects, wholes)
     if not found:
         return ""
     length, marks, count, linked, plain = (defaultdict(float) for _ in range(5))
@@ -221,7 +305,7 @@ def main_text(page: str | None) -> str:
     for (block, _), value in zip(found, np.sqrt(ratio * pointed), strict=True):
         fused[block.tags] = max(fused[block.tags], value)
     own = np.array([max(0, len(text) - block.linked) for block, text in found], float)
-    scores = np.array([fused[block.tags] for block, _ in found])
+    scores = np.array([fused[block.tags] * (NAMED_WEIGHT if block.doubtful else 1.0) for block, _ in found])
     mean = float((scores * own).sum() / own.sum()) if own.sum() else 0.0
     content = (scores >= THRESHOLD * mean) & np.array([linked[b.tags] <= LINK_SHARE * plain[b.tags] for b, _ in found])
     weight = np.where(content, own, 0.0)
@@ -250,12 +334,15 @@ def main_text(page: str | None) -> str:
         while len(chain) > 1 and any(_beside(path, chain, tag) for path in paths):
             chain = chain[:-1]
         article = chain[-1]
-    kept = [
-        text
-        for (block, text), is_content in zip(found, content, strict=True)
-        if is_content or ((article is None or article in block.path) and linked[block.tags] <= LINK_SHARE * plain[block.tags])
-    ]
-    return " ".join(kept)
+
+    def belongs(block: Block) -> bool:
+        if article is not None and article not in block.path:
+            return False
+        if linked[block.tags] <= LINK_SHARE * plain[block.tags] or block.tags.rsplit("/", 1)[-1].split(".", 1)[0] in HEADINGS:
+            return True
+        return any(tag[element] == "article" for element in block.path)
+
+    return " ".join(text for (block, text), is_content in zip(found, content, strict=True) if is_content or belongs(block))
 
 
 def _beside(path: tuple[int, ...], chain: tuple[int, ...], tag: dict[int, str]) -> bool:

@@ -25,30 +25,54 @@ TOKENS = "|".join(
 )
 # One attribute: its name, and its value if it has one.
 ATTRIBUTE = rf"(?s)([^\s/=]++)(?:\s*+=\s*+({VALUE}))?+"
-ENTITY_PIECES = r"(&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);|[^&]+|&)"
+ENTITY_PIECES = r"(&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)|[^&]+|&)"
 
-# All named references as one text, which Spark folds into one map literal.
-ENTITY_TABLE = "\x01".join(f"&{name}\x02{text}" for name, text in html5.items() if name[-1] == ";")
+# All named references as one text, which Spark folds into one map literal. Some names also
+# stand without a semicolon, and then the longest one that the text starts with counts.
+ENTITY_TABLE = "\x01".join(f"&{name}\x02{text}" for name, text in html5.items())
+LEGACY = "|".join(sorted((name for name in html5 if name[-1] != ";"), key=len, reverse=True))
 MAX_CODE_POINT = 0x10FFFF
+# What the numbers 0x80 to 0x9F were meant as: windows-1252, or themselves where it has nothing.
+C1 = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))
+
+
+def _from_code_point(number: Column) -> Column:
+    return F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
 
 
 def _code_point(number: Column) -> Column:
-    # Out of range or surrogate gives U+FFFD, as HTML asks for.
-    valid = number.between(1, 0xD7FF) | number.between(0xE000, MAX_CODE_POINT)
-    bytes4 = F.unhex(F.lpad(F.hex(F.when(valid, number).otherwise(F.lit(0xFFFD))), 8, "0"))
-    return F.decode(bytes4, "UTF-32")
+    """The character of a numeric reference, as HTML asks for."""
+    c1 = number.between(0x80, 0x9F)
+    outside = (number == 0) | number.between(0xD800, 0xDFFF) | (number > MAX_CODE_POINT)
+    # Control characters and what is no character at all go.
+    dropped = (
+        number.between(0x1, 0x8) | (number == 0xB) | number.between(0xE, 0x1F) | (number == 0x7F)
+        | number.between(0xFDD0, 0xFDEF) | ((number % 0x10000) >= 0xFFFE)
+    )
+    return (
+        F.when(outside, F.lit("�"))
+        .when(c1, F.substr(F.lit(C1), (number - 0x80 + 1).cast("int"), F.lit(1)))
+        .when(dropped, F.lit(""))
+        .otherwise(_from_code_point(F.when(outside, F.lit(0xFFFD)).otherwise(number)))
+    )
 
 
 def _decode_piece(piece: Column) -> Column:
     named = F.str_to_map(F.lit(ENTITY_TABLE), F.lit("\x01"), F.lit("\x02"))
-    digits = F.regexp_extract(piece, r"^&#[xX]?([0-9a-fA-F]+);$", 1)
-    decimal = F.coalesce(digits.try_cast("bigint"), F.lit(0))
-    hexadecimal = F.coalesce(F.conv(digits, 16, 10).try_cast("bigint"), F.lit(0))
+    digits = F.regexp_extract(piece, r"^&#[xX]?0*([0-9a-fA-F]*);?$", 1)
+    # Nine digits are beyond every character, and more would not fit a number.
+    short = F.when(F.length(digits) > 9, F.lit("999999999")).otherwise(digits)
+    decimal = F.coalesce(short.try_cast("bigint"), F.lit(0))
+    hexadecimal = F.coalesce(F.conv(short, 16, 10).try_cast("bigint"), F.lit(0))
+    legacy = F.regexp_extract(piece, f"^&({LEGACY})", 1)
+    rest = F.substr(piece, F.length(legacy) + 2)
     return (
-        F.when(~(piece.startswith("&") & piece.endswith(";")), piece)
+        F.when(~piece.startswith("&") | (F.length(piece) < 2), piece)
         .when(piece.rlike(r"^&#[0-9]"), _code_point(decimal))
         .when(piece.startswith("&#"), _code_point(hexadecimal))
-        .otherwise(F.coalesce(F.element_at(named, piece), piece))
+        .when(F.element_at(named, piece).isNotNull(), F.element_at(named, piece))
+        .when(legacy != "", F.concat(F.element_at(named, F.concat(F.lit("&"), legacy)), rest))
+        .otherwise(piece)
     )
 
 

@@ -10,6 +10,7 @@ import duckdb
 import numpy as np
 import pyarrow.fs as fs
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -362,11 +363,48 @@ def test_mix(make_docs):
     assert mixing.mix_sources(make_docs([])).collect() == []
 
 
-def test_newton_solves_the_dual(spark):
-    rows = [("a", 100, 300.0), ("b", 1000, 10.0), ("c", 7, 0.0), ("d", 50, 50.0), ("e", 0, 0.0)]
-    got = mixing.entropy_rates(spark.createDataFrame(rows, "source string, source_size long, target double")).collect()
-    for r in got:
-        assert r.rate * r.source_size == pytest.approx(r.target, rel=1e-12)
+def solved_by_numpy(sizes, target):
+    """Rates min(3, exp(lam * size)) that add up to the target, by bisection."""
+    low, high = -50.0, 50.0
+    for _ in range(300):
+        lam = (low + high) / 2
+        rates = np.minimum(3.0, np.exp(np.minimum(lam * sizes, 5.0)))
+        low, high = (lam, high) if (rates * sizes).sum() < target else (low, lam)
+    return rates
+
+
+def test_rates_solve_the_dual(spark, make_docs):
+    rng = random.Random(11)
+    rows = [(i, "w " * int(rng.lognormvariate(3, 1.2) + 1), None, rng.choice("aaaaabbcd")) for i in range(700)]
+    got = defaultdict(list)
+    for r in mixing.mix_sources(make_docs(rows)).collect():
+        got[r.source].append((r.size, r.rate, r.target))
+    tilted = 0
+    for source, held in got.items():
+        sizes, rates, target = (np.array(x, float) for x in zip(*held))
+        if target[0] >= 3 * sizes.sum():
+            assert (rates == 3).all()
+            continue
+        assert (rates * sizes).sum() == pytest.approx(target[0], rel=1e-6)
+        assert rates == pytest.approx(solved_by_numpy(sizes, target[0]), rel=1e-6)
+        # The tilt differs by document, always the same way.
+        order = np.argsort(sizes)
+        steps = np.diff(rates[order])
+        assert (steps >= 0).all() or (steps <= 0).all()
+        tilted += rates.max() - rates.min() > 0.01
+    assert tilted >= 2
+
+
+def test_reruns_of_repeated_and_missing_ids_agree(spark, make_docs):
+    rng = random.Random(6)
+    texts = ["w " * rng.randint(1, 40) + str(i % 9) for i in range(600)]
+    rows = [(rng.choice([None, 1, 2, 3, i // 40]), t, None, rng.choice(["a", "a", "b"])) for i, t in enumerate(texts)]
+    runs = []
+    for n in (1, 3, 7):
+        docs = make_docs(rows).repartition(n, "n_chars") if n > 1 else make_docs(rows).coalesce(1)
+        got = mixing.mix_sources(docs.orderBy(F.rand(n)) if n > 1 else docs)
+        runs.append(sorted(map(str, got.collect())))
+    assert runs[0] == runs[1] == runs[2]
 
 
 # --- pipeline and registration ---

@@ -1,18 +1,24 @@
 """Mixing sources to target weights by entropy balancing. DataFrame expressions only.
 
-The mix takes document d at rate r_d >= 0. Of all rates that give each source its target
-number of words, the one nearest to taking every word once, in relative entropy over words,
-is r_d = exp(lambda_s): the dual is convex and has one multiplier for each constraint.
-``entropy_rates`` finds the multipliers by Newton steps on sums taken over the documents.
+Document d is taken at a rate r_d between 0 and a ceiling. Of all rates that give each source its
+target number of words, those are wanted that stay nearest to taking every document once, by
+the sum of r log r - r + 1 over the documents. The dual of this problem is convex; it has one
+multiplier for each constraint, and the rates are r_d = min(ceiling, exp(lambda_s * size_d)): where a
+source must give more words than it has, longer documents are taken more often than short ones.
+``entropy_multipliers`` finds the multipliers by Newton steps. The gradient and the Hessian of a step
+are sums over all documents, by way of the counts of each size, so a step is one aggregation.
+All sums are of decimals, and so are the same in any order.
 
 Rates become whole copies without a random draw. The documents of a source are put into
 narrow tiers of size, largest first. Each tier is given the number of copies that brings the
-words taken so far nearest to what the rate asks for, so that smaller documents make up for
+words taken so far nearest to what the rates ask for, so that smaller documents make up for
 what larger ones could not meet. Inside a tier copies are spread evenly.
 
 Cases. Null or empty text: size 0, nothing taken. Null source: a source of its own, last in
-order. Ties and repeated rows: each row counts; rows with equal ids are told apart by their
-text hash or are interchangeable. Empty table: no rows. Extra columns: ignored.
+order. Null ids come first. Ties and repeated rows: each row counts; rows with equal ids are told
+apart by size and a digest of the text, and rows with equal ids and texts are interchangeable. Empty
+table: no rows. Extra columns: ignored. A source that cannot reach its target is taken at
+the ceiling.
 """
 
 from __future__ import annotations
@@ -29,7 +35,11 @@ WEIGHTS = (5.0, 2.0, 1.0)
 CEILING = 3
 #: Tiers of size: so many for each doubling.
 TIERS = 16
-NEWTON_STEPS = 60
+NEWTON_STEPS = 80
+#: Steps end when every source has its words but for this part.
+TOLERANCE = 1e-12
+#: Decimals of a multiplier, in units of one over the mean size of the source.
+DECIMALS = 9
 OFFSET = 0.381966
 TIER_POWER = "length(bin(size)) - 1"
 
@@ -72,50 +82,98 @@ def source_targets(sized: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceili
     return filled.select("source", "source_size", target.alias("target"))
 
 
-def entropy_rates(targets: DataFrame, steps: int = NEWTON_STEPS) -> DataFrame:
-    """Adds ``rate`` = exp(lambda), lambda by Newton on size * exp(lambda) - target * lambda.
+def _rate(scaled: Column, ceiling: int) -> Column:
+    """The rate of a document whose size times the multiplier is ``scaled``."""
+    # Beyond the ceiling the exponent does not matter, and must not overflow.
+    return F.least(F.lit(float(ceiling)), F.exp(F.least(scaled, F.lit(math.log(ceiling) + 1))))
 
-    The dual splits by source because each document has one source, so its Hessian is
-    diagonal and a step needs only the sums per source, already taken over all documents.
-    A step is held to one unit, which keeps the iteration from leaving the domain.
-    """
-    size, target = F.col("source_size").cast("double"), F.col("target")
 
-    def step(lam: Column, _: Column) -> Column:
-        move = (size * F.exp(lam) - target) / (size * F.exp(lam))
-        return lam - F.greatest(F.lit(-1.0), F.least(F.lit(1.0), move))
+def _exact(value: Column) -> Column:
+    """A number whose sums do not depend on the order."""
+    return F.round(value, 6).cast("decimal(38,6)")
+
 
-    solved = F.aggregate(F.sequence(F.lit(1), F.lit(steps)), F.lit(0.0), step)
-    return targets.withColumn("rate", F.when((F.col("source_size") > 0) & (F.col("target") > 0), F.exp(solved)).otherwise(0.0))
+def entropy_multipliers(sizes: DataFrame, targets: DataFrame, ceiling: int = CEILING, steps: int = NEWTON_STEPS) -> DataFrame:
+    """``has, key, unit, theta`` of each source with words: its multiplier times its mean size.
+
+    ``sizes`` counts the documents of each source and size. A step sums, over all of them, what the
+    rates give (the gradient of the dual) and how that changes (its Hessian). The dual splits by
+    source, and a source's gradient grows with its multiplier, so a Newton step that leaves the
+    interval in which the sign changes is replaced by its middle. ``theta`` is null where
+    the target cannot be reached below the ceiling. The driver sees how many sources are left.
+    """
+    keys = ["has", "key"]
+    documents = sizes.groupBy(*keys).agg(F.sum("n").alias("docs"))
+    state = documents.join(targets, keys).where("source_size > 0 and target > 0")
+    none = F.lit(None).cast("double")
+    state = state.select(
+        *keys, (F.col("source_size") / F.col("docs")).alias("unit"), "target",
+        (F.col("target") >= F.col("source_size") * ceiling).alias("full"),
+        F.lit(0.0).alias("theta"), none.alias("low"), none.alias("high"), F.lit(False).alias("done"),
+    )
+    state = stored(state, "mix-state")
+    for step in range(steps):
+        left = state.where("not full and not done")
+        if not left.take(1):
+            break
+        scaled = F.col("size") / F.col("unit")
+        rate = _rate(F.col("theta") * scaled, ceiling)
+        given = F.col("n") * F.col("size") * rate
+        changes = F.when(rate < ceiling, given * scaled).otherwise(0.0)
+        sums = sizes.join(left, keys).groupBy(*keys).agg(F.sum(_exact(given)).alias("given"), F.sum(_exact(changes)).alias("changes"))
+        off = F.col("given").cast("double") - F.col("target")
+        low = F.when(off < 0, F.col("theta")).otherwise(F.col("low"))
+        high = F.when(off > 0, F.col("theta")).otherwise(F.col("high"))
+        newton = F.col("theta") - F.try_divide(off, F.col("changes").cast("double"))
+        # Without a bound on one side the step may be long, but not longer than this.
+        reach = F.lit(2.0**step)
+        from_low, to_high = F.coalesce("lo", F.col("theta") - reach), F.coalesce("hi", F.col("theta") + reach)
+        inside = (newton > from_low) & (newton < to_high)
+        moved = F.when(F.coalesce(inside, F.lit(False)), newton).otherwise((from_low + to_high) / 2)
+        settled = (F.abs(off) <= TOLERANCE * F.col("target")) | (F.abs(moved - F.col("theta")) <= 10.0 ** -(DECIMALS + 4))
+        stepped = left.join(sums, keys).withColumns({"lo": low, "hi": high, "off": off}).select(
+            *keys, "unit", "target", "full",
+            F.when(off == 0, F.col("theta")).otherwise(moved).alias("theta"),
+            F.col("lo").alias("low"), F.col("hi").alias("high"), settled.alias("done"),
+        )
+        state = stored(stepped.unionByName(state.where("full or done")), "mix-state")
+    return state.select(*keys, "unit", F.when(~F.col("full"), F.round("theta", DECIMALS)).alias("theta"))
 
 
 def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: int = CEILING) -> DataFrame:
     """doc_id, source, size, source_size, target, rate, copies, taken for every document."""
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest.alias("digest"))
+    sized = sized.withColumns({"has": F.col("source").isNull(), "key": F.coalesce("source", F.lit(""))})
     sized = stored(sized, "mix-sizes")
-    targets = stored(entropy_rates(source_targets(sized, weights, ceiling)), "mix-targets")
+    keyed = {"has": F.col("source").isNull(), "key": F.coalesce("source", F.lit(""))}
+    targets = stored(source_targets(sized, weights, ceiling).withColumns(keyed).drop("source"), "mix-targets")
+    sizes = stored(sized.where("size > 0").groupBy("has", "key", "size").agg(F.count("*").alias("n")), "mix-counts")
+    solved = stored(entropy_multipliers(sizes, targets, ceiling), "mix-solved")
+    rate = F.when(F.col("theta").isNull(), float(ceiling)).otherwise(_rate(F.col("theta") * (F.col("size") / F.col("unit")), ceiling))
+
     # The power of two below the size, and which of TIERS equal parts of the way to the next.
     power = F.length(F.bin("size")) - 1
     part = F.floor((F.col("size") - F.expr(f"shiftleft(1L, {TIER_POWER})")) * TIERS / F.expr(f"shiftleft(1L, {TIER_POWER})"))
     tier = (power * TIERS + part).cast("int")
     # Documents of a tier are numbered inside chunks: as many chunks as a chunk of all has rows.
     chunks_n = math.isqrt(sized.count()) + 1
-    digest = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), 1, 12), 16, 10)
-    chunk = F.pmod(digest.cast("bigint"), F.lit(chunks_n)).cast("int")
-    placed = sized.where("size > 0").withColumns({"tier": tier, "chunk": chunk, "src": F.col("source"), "has": F.col("source").isNull()})
-    placed = placed.withColumn("key", F.coalesce("src", F.lit("")))
+    name = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("digest"))
+    number = F.conv(F.substring(F.md5(name.cast("binary")), 1, 12), 16, 10)
+    chunk = F.pmod(number.cast("bigint"), F.lit(chunks_n)).cast("int")
+    placed = sized.where("size > 0").withColumns({"tier": tier, "chunk": chunk})
 
     # Copies for each tier, largest first, with the error so far carried along.
     keys = ["has", "key", "tier"]
-    chunks = stored(placed.groupBy(*keys, "chunk").agg(F.count("*").alias("n"), F.sum("size").alias("words")), "mix-chunks")
-    tiers = chunks.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
-    listed = tiers.groupBy("has", "key").agg(F.sort_array(F.collect_list(F.struct("tier", "n", "words")), asc=False).alias("tiers"))
-    rates = targets.select(F.col("source").isNull().alias("has"), F.coalesce("source", F.lit("")).alias("key"), "rate")
+    asked = sizes.join(solved, ["has", "key"]).withColumns({"tier": tier, "due": _exact(F.col("n") * F.col("size") * rate)})
+    tiers = asked.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("size")).alias("words"), F.sum("due").cast("double").alias("due"))
+    tiers = stored(tiers, "mix-tiers")
+    listed = tiers.groupBy("has", "key").agg(F.sort_array(F.collect_list(F.struct("tier", "n", "words", "due")), asc=False).alias("tiers"))
     start = F.struct(F.lit(0.0).alias("due"), F.lit(0.0).alias("got"), F.array().cast("array<struct<tier:int,copies:bigint>>").alias("out"))
 
     def plan(state: Column, t: Column) -> Column:
         mean = t["words"] / t["n"]
-        due = state["due"] + t["words"] * F.col("rate")
+        due = state["due"] + t["due"]
         copies = F.floor((due - state["got"]) / mean + 0.5)
         copies = F.greatest(F.lit(0), F.least(copies, t["n"] * ceiling)).cast("bigint")
         return F.struct(
@@ -124,34 +182,34 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling:
             F.concat(state["out"], F.array(F.struct(t["tier"].alias("tier"), copies.alias("copies")))).alias("out"),
         )
 
-    planned = (
-        listed.join(rates, ["has", "key"])
-        .select("has", "key", F.explode(F.aggregate("tiers", start, plan)["out"]).alias("p"))
-        .select("has", "key", "p.tier", "p.copies")
-    )
+    planned = listed.select("has", "key", F.explode(F.aggregate("tiers", start, plan)["out"]).alias("p")).select("has", "key", "p.tier", "p.copies")
     # Where each chunk starts in its tier.
+    chunks = stored(placed.groupBy(*keys, "chunk").agg(F.count("*").alias("n")), "mix-chunks")
     earlier = Window.partitionBy(*keys).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         chunks.withColumn("first", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
-        .join(tiers.withColumnRenamed("n", "tier_n").drop("words"), keys)
+        .join(tiers.select(*keys, F.col("n").alias("tier_n")), keys)
         .join(planned, keys)
         .select(*keys, "chunk", "first", (F.col("copies") / F.col("tier_n")).alias("per"))
     )
-    place = F.row_number().over(Window.partitionBy(*keys, "chunk").orderBy("doc_id"))
+    place = F.row_number().over(Window.partitionBy(*keys, "chunk").orderBy("doc_id", "size", "digest"))
     cum = lambda k: F.floor(k * F.col("per") + OFFSET)
     nth = F.col("first") + F.col("__k")
+    columns = ["doc_id", "source", "has", "key", "size", "copies"]
     counted = (
         placed.withColumn("__k", place)
         .join(starts, [*keys, "chunk"])
         .withColumn("copies", F.least(F.lit(ceiling), (cum(nth) - cum(nth - 1)).cast("int")))
-        .select("doc_id", "src", "has", "key", "size", "copies")
+        .select(*columns)
     )
-    empty = sized.where("size = 0").select("doc_id", F.col("source").alias("src"), F.col("source").isNull().alias("has"), F.coalesce("source", F.lit("")).alias("key"), "size", F.lit(0).alias("copies"))
-    info = targets.select(F.col("source").isNull().alias("has"), F.coalesce("source", F.lit("")).alias("key"), "source_size", "target", "rate")
+    empty = sized.where("size = 0").withColumn("copies", F.lit(0)).select(*columns)
+    # A row a source, written, so Spark knows its bytes when it decides how to join it.
+    info = stored(targets.join(solved, ["has", "key"], "left"), "mix-info")
+    own_rate = F.when(F.col("size") == 0, 0.0).otherwise(rate)
     return (
         counted.unionByName(empty)
-        .join(F.broadcast(info) if targets.count() <= 100_000 else info, ["has", "key"])
-        .select("doc_id", F.col("src").alias("source"), "size", "source_size", "target", "rate", "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+        .join(info, ["has", "key"])
+        .select("doc_id", "source", "size", "source_size", "target", own_rate.alias("rate"), "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
     )
 
 
@@ -161,9 +219,10 @@ def op10_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+BISECTIONS = 90
 SQL = rf"""
 WITH d AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size,
          [{", ".join(f"{w}::DOUBLE" for w in WEIGHTS)}][((row_number() OVER (ORDER BY source IS NULL, encode(source)) - 1) % {len(WEIGHTS)} + 1)::INT] AS w
@@ -178,26 +237,42 @@ WITH d AS (
   SELECT source, source_size, CASE WHEN source_size = 0 THEN 0 ELSE least(most::DOUBLE,
     coalesce(w * (SELECT level FROM f g WHERE g.most >= g.w * g.level ORDER BY i LIMIT 1), most::DOUBLE)) END AS target
   FROM f
+), h AS (
+  SELECT source, size, count(*) AS n FROM d WHERE size > 0 GROUP BY ALL
+), b AS (
+  SELECT h.source, any_value(target) AS target, any_value(source_size) AS source_size, any_value(source_size) / sum(n) AS unit,
+         list({{'z': size / (source_size / docs), 'w': (n * size)::DOUBLE}}) AS sizes
+  FROM (SELECT *, sum(n) OVER (PARTITION BY source) AS docs FROM h) h JOIN t ON h.source IS NOT DISTINCT FROM t.source GROUP BY h.source
+), m AS (
+  SELECT source, unit, CASE WHEN target < source_size * {CEILING} THEN round((list_reduce(
+    list_prepend({{'lo': -4000::DOUBLE, 'hi': 4000::DOUBLE}}, list_transform(range({BISECTIONS}), lambda i: {{'lo': 0::DOUBLE, 'hi': 0::DOUBLE}})),
+    lambda a, x: CASE WHEN list_sum(list_transform(sizes, lambda e: e.w * least({CEILING}, exp(least((a.lo + a.hi) / 2 * e.z, {math.log(CEILING) + 1}))))) < target
+      THEN {{'lo': (a.lo + a.hi) / 2, 'hi': a.hi}} ELSE {{'lo': a.lo, 'hi': (a.lo + a.hi) / 2}} END)).lo, {DECIMALS}) END AS theta
+  FROM b
+), r AS (
+  SELECT h.*, CAST((length(bin(size)) - 1) * {TIERS} + ((size - (1::BIGINT << (length(bin(size)) - 1)::INT)) * {TIERS} // (1::BIGINT << (length(bin(size)) - 1)::INT)) AS INT) AS tier,
+         n * size * CASE WHEN theta IS NULL THEN {CEILING} ELSE least({CEILING}, exp(least(theta * (size / unit), {math.log(CEILING) + 1}))) END AS due
+  FROM h JOIN m ON h.source IS NOT DISTINCT FROM m.source
+), n AS (
+  SELECT source, tier, sum(n)::BIGINT AS n, sum(n * size)::BIGINT AS words, sum(CAST(round(due, 6) AS DECIMAL(38, 6)))::DOUBLE AS due FROM r GROUP BY ALL
 ), p AS (
   SELECT *, CAST((length(bin(size)) - 1) * {TIERS} + ((size - (1::BIGINT << (length(bin(size)) - 1)::INT)) * {TIERS} // (1::BIGINT << (length(bin(size)) - 1)::INT)) AS INT) AS tier,
-         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 12))::BIGINT % (floor(sqrt((SELECT count(*) FROM d)))::BIGINT + 1) AS chunk
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || digest), 1, 12))::BIGINT % (floor(sqrt((SELECT count(*) FROM d)))::BIGINT + 1) AS chunk
   FROM d WHERE size > 0
-), n AS (
-  SELECT source, tier, count(*) AS n, sum(size)::BIGINT AS words FROM p GROUP BY ALL
 ), u AS (
-  SELECT n.source, {{'tier': 0, 'n': 0::BIGINT, 'words': 0::BIGINT, 'rate': 0::DOUBLE, 'due': 0::DOUBLE, 'got': 0::DOUBLE, 'out': [{{'tier': -1, 'copies': 0::BIGINT}}]}} AS start,
-         list({{'tier': tier, 'n': n, 'words': words, 'rate': CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END, 'due': 0::DOUBLE, 'got': 0::DOUBLE,
+  SELECT n.source, {{'tier': 0, 'n': 0::BIGINT, 'words': 0::BIGINT, 'add': 0::DOUBLE, 'due': 0::DOUBLE, 'got': 0::DOUBLE, 'out': [{{'tier': -1, 'copies': 0::BIGINT}}]}} AS start,
+         list({{'tier': tier, 'n': n, 'words': words, 'add': due, 'due': 0::DOUBLE, 'got': 0::DOUBLE,
                'out': [{{'tier': -1, 'copies': 0::BIGINT}}]}} ORDER BY tier DESC) AS tiers
-  FROM n JOIN t ON n.source IS NOT DISTINCT FROM t.source GROUP BY ALL
+  FROM n GROUP BY ALL
 ), v AS (
   SELECT source, unnest(list_reduce(list_prepend(start, tiers), lambda a, x: {{
-    'tier': x.tier, 'n': x.n, 'words': x.words, 'rate': x.rate, 'due': a.due + x.words * x.rate,
-    'got': a.got + greatest(0, least(floor((a.due + x.words * x.rate - a.got) / (x.words / x.n) + 0.5), x.n * {CEILING})) * (x.words / x.n),
-    'out': a.out || [{{'tier': x.tier, 'copies': greatest(0, least(floor((a.due + x.words * x.rate - a.got) / (x.words / x.n) + 0.5), x.n * {CEILING}))::BIGINT}}]
+    'tier': x.tier, 'n': x.n, 'words': x.words, 'add': x.add, 'due': a.due + x.add,
+    'got': a.got + greatest(0, least(floor((a.due + x.add - a.got) / (x.words / x.n) + 0.5), x.n * {CEILING})) * (x.words / x.n),
+    'out': a.out || [{{'tier': x.tier, 'copies': greatest(0, least(floor((a.due + x.add - a.got) / (x.words / x.n) + 0.5), x.n * {CEILING}))::BIGINT}}]
   }}).out) AS o FROM u
 ), q AS (
   SELECT p.doc_id, p.source, p.size, v.o.copies / n.n AS per,
-         row_number() OVER (PARTITION BY p.source, p.tier ORDER BY chunk, doc_id NULLS FIRST) AS k
+         row_number() OVER (PARTITION BY p.source, p.tier ORDER BY chunk, doc_id NULLS FIRST, size, digest) AS k
   FROM p JOIN n ON p.source IS NOT DISTINCT FROM n.source AND p.tier = n.tier
   JOIN v ON v.source IS NOT DISTINCT FROM p.source AND v.o.tier = p.tier
 )

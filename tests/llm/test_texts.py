@@ -344,7 +344,7 @@ def test_items_in_parts_give_the_same_hits(spark):
 def test_every_mark_within_the_radius_is_found():
     rng = np.random.default_rng(1)
     index = decontaminate.build_index(list(range(30)), [prose(random.Random(i), 30) for i in range(30)])
-    for item, mark in enumerate(index.marks):
+    for item, mark in enumerate(index.marks.tolist()):
         for bits in range(decontaminate.RADIUS + 1):
             other = mark
             for b in rng.choice(64, bits, replace=False):
@@ -352,6 +352,70 @@ def test_every_mark_within_the_radius_is_found():
             assert item in index.near(other)
 
 
+def brute_hits(index, texts, least):
+    """Every window of every item's size in every text."""
+    best = {}
+    for row, text in enumerate(texts):
+        raw = np.frombuffer(text.encode(), np.uint8)
+        words, _ = decontaminate.word_hashes(raw, np.array([0, len(raw)]))
+        for item, length in enumerate(index.lengths.tolist()):
+            size = min(length, len(words))
+            for start in range(len(words) - size + 1 if size else 0):
+                part = words[start : start + size]
+                bits = np.unpackbits(decontaminate.mix(part).view(np.uint8).reshape(-1, 8), axis=1).sum(axis=0)
+                mark = int.from_bytes(np.packbits(2 * bits >= size).tobytes(), "big")
+                apart = (mark ^ int(index.marks[item])).bit_count()
+                if apart > index.radius:
+                    continue
+                own = dict(zip(index.shingles[index.starts[item] : index.starts[item + 1]].tolist(), range(index.starts[item], index.starts[item + 1])))
+                found = Counter(shingles_of(part, np.array([size]), decontaminate.K)[0].tolist())
+                weigh = lambda s: index.weights[own[s]] if s in own else index.heaviest
+                both = sum(min(n, index.counts[own[s]]) * weigh(s) for s, n in found.items() if s in own)
+                every = sum(n * weigh(s) for s, n in found.items()) + sum(index.counts[p] * index.weights[p] for p in own.values()) - both
+                if both / every >= least - 1e-12 and both / every > best.get((row, item), (0, 0, 0))[0] + 1e-12:
+                    best[row, item] = (both / every, start, apart)
+    return {k: (round(v[0], 9), *v[1:]) for k, v in best.items()}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_search_equals_all_windows(seed):
+    rng = random.Random(seed)
+    shared = prose(rng, 12)
+    items = [prose(rng, rng.choice([3, 5, 12, 30, 60])) for _ in range(10)] + [prose(rng, 20) + " " + shared, shared + " " + prose(rng, 25)]
+    texts = ["", "a b"]
+    for item in items:
+        words = item.split()
+        half, third = len(words) // 2, len(words) // 3
+        moved = " ".join(words[half:] + words[:half])
+        inserted = " ".join(words[:third] + [rng.choice(WORDS) + "q"] + words[third:])
+        repeated = " ".join(words[:third] + words[:third] + words[third:])
+        for block in (item, moved, inserted, repeated, edited(rng, item, 1), edited(rng, item, 3), " ".join(words[:-2])):
+            texts.append(prose(rng, rng.randint(0, 30)) + " " + block + " " + prose(rng, rng.randint(0, 30)))
+    index = decontaminate.build_index(list(range(len(items))), items)
+    offsets = np.concatenate([[0], np.cumsum([len(t.encode()) for t in texts])])
+    got = decontaminate.search(index, np.frombuffer("".join(texts).encode(), np.uint8), offsets, 0.6)
+    assert {(row, item): (round(s, 9), start, apart) for row, item, s, start, apart in got} == brute_hits(index, texts, 0.6)
+    assert len(got) > 40
+
+
+def test_a_moved_block_is_found():
+    rng = random.Random(21)
+    a, b = prose(rng, 30), prose(rng, 30)
+    index = decontaminate.build_index([0], [f"{a} {b}"])
+    text = f"{prose(rng, 40)} {b} {a} {prose(rng, 40)}"
+    ((row, item, similarity, start, _),) = decontaminate.search(index, np.frombuffer(text.encode(), np.uint8), np.array([0, len(text.encode())]))
+    assert similarity > 0.8 and start == 40
+
+
+def test_few_items_are_compared_with_a_window():
+    rng = np.random.default_rng(2)
+    items = [prose(random.Random(i), 25) for i in range(4000)]
+    index = decontaminate.build_index(list(range(4000)), items)
+    marks = rng.integers(0, 1 << 63, 300, np.uint64) << np.uint64(1)
+    *_, compared = index.near_pairs(marks)
+    assert compared / (300 * 4000) < 0.05
+
+
 # --- byte helpers ---
 
 

@@ -4,6 +4,8 @@ import gzip
 import hashlib
 import random
 import re
+import time
+import tracemalloc
 from collections import defaultdict
 
 import duckdb
@@ -416,6 +418,7 @@ def test_pipeline_stages(spark, make_docs, folder):
     rng = random.Random(1)
     items = [(i, " ".join(rng.choices(given_docs[i][1].split(), k=40))) for i in range(3)]
     odd = [(100_000, None, None, "x"), (100_001, "?? 12", None, "x"), (100_002, given_docs[0][1], None, "x"), (100_003, given_docs[5][1] + " " + items[0][1], "en", "x")]
+    odd += [(100_004, "привет мир это другой язык " * 9, None, "x"), (100_005, "".join(rng.choices("ABCDefgh0123+/xyzQWRTP", k=600)), None, "x")]
     path = folder(documents=make_docs(given_docs + odd, extra=False), benchmark=spark.createDataFrame(items, "item_id long, text string"))
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["language", "near_dedup", "suffix_dedup", "decontaminate", "mix"]
@@ -431,7 +434,7 @@ def test_pipeline_stages(spark, make_docs, folder):
         assert docs.columns == columns
         after = {r.doc_id: r.text for r in rows}
         if name == "language":
-            assert set(before) - set(after) == {100_000, 100_001}
+            assert set(before) - set(after) == {100_000, 100_001, 100_004, 100_005}
         elif name == "near_dedup":
             classes = brute_classes(list(before.items()))
             assert set(after) == set(classes.values())
@@ -445,15 +448,60 @@ def test_pipeline_stages(spark, make_docs, folder):
         before, last = after, [(r.text, r.source) for r in rows]
 
 
+def test_near_dedup_of_missing_and_shared_ids(spark, make_docs):
+    rng = random.Random(3)
+    words = ["".join(rng.choices("abcdefg", k=5)) for _ in range(300)]
+    a, b, c, d = (" ".join(rng.choices(words, k=60)) for _ in range(4))
+    near_a = a + " tail"
+    rows = [(None, a), (None, near_a), (None, b), (7, b), (5, c), (5, d), (5, d), (9, a), (None, None), (11, "")]
+    docs = make_docs(rows, extra=False)
+    got = corpus_pipeline.near_dedup(spark, docs, "")
+    assert got.columns == docs.columns
+    # a stays under 9 and b under 7, though others have no id; c and d share an id and both stay.
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted([(9, a), (7, b), (5, c), (5, d), (11, "")], key=repr)
+
+
+def test_pipeline_runs_on_empty_tables(spark, make_docs, folder):
+    path = folder(documents=make_docs([], extra=False), benchmark=spark.createDataFrame([], "item_id long, text string"))
+    assert corpus_pipeline.run(spark, path).collect() == []
+    some = folder(documents=make_docs([(1, "a text in no language that is known"), (2, None)], extra=False), benchmark=spark.createDataFrame([], "item_id long, text string"))
+    assert [r.doc_id for r in corpus_pipeline.run(spark, some).collect()] == [1]
+
+
+def test_many_short_texts_take_little_memory():
+    import pyarrow as pa
+
+    model = language.LanguageModel(("a", "b"), np.ones((4, sum(language.PLACES)), np.float32), np.ones((4, 2), np.float32))
+    column = pa.array(["ab"] * 10_000)
+    tracemalloc.start()
+    for _, _, data, offsets in language.text_slices(column, rows=language.SLICE_ROWS):
+        model.scores(data, offsets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
+def test_long_spans_are_restored_in_linear_time():
+    costs = toxicity.char_costs(np.ones((toxicity.CLASSES,) * 3))
+
+    def seconds(n):
+        start = time.perf_counter()
+        assert len(toxicity.restore("a1b2c3d4" * (n // 8), costs)) > n // 4
+        return time.perf_counter() - start
+
+    short, long = min(seconds(10_000) for _ in range(3)), min(seconds(80_000) for _ in range(2))
+    assert long < 16 * short + 0.2
+
+
 def test_registered_queries():
     assert sorted(QUERIES, key=lambda n: int(re.match(r"op(\d+)_", n)[1])) == list(QUERIES)
-    assert len(QUERIES) == 10
+    assert len(QUERIES) == 13
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages"):
+    for table in ("documents", "pages", "conversations"):
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{FOLDER}/{table}.parquet'")
     df = QUERIES[name](spark, FOLDER)
     result = con.execute(SQL[name])

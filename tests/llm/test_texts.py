@@ -10,6 +10,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from tidemark.llm import decontaminate, fingerprints, neardup, suffix
 from tidemark.llm.common import shingles_of, text_slices, words_of
 from tidemark.llm.components import components
@@ -85,6 +87,24 @@ def test_containment_of_unequal_texts(spark):
     assert got.c > 0.95 and got.l < 0.2
 
 
+def test_merged_sketches_are_those_of_both(spark):
+    rng = random.Random(12)
+    texts = [prose(rng, n) for n in (5, 5, 6, 7, 40, 400, 5)] + [""]
+    rows = [(a, b) for a in texts for b in texts]
+    df = spark.createDataFrame(rows, "a string, b string")
+    sketch = fingerprints.sketch_of
+    # A sketch of both texts, without the shingles across their border: the union of their hashes.
+    every = [F.col(c) for c in "ab"]
+    words = [F.filter(F.split(F.lower(c), " "), lambda w: w != "") for c in every]
+    hashes = lambda w: F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - 4, F.lit(1))), lambda i: F.xxhash64(F.slice(w, i, 5)))
+    whole = [F.when(F.size(w) > 0, hashes(w)).otherwise(F.array().cast("array<bigint>")) for w in words]
+    got = df.select(fingerprints.merged(*[sketch(c) for c in every]).alias("m"), F.array_union(*whole).alias("all")).collect()
+    limit = -(1 << 63) + (1 << 64) // fingerprints.ONE_IN
+    for r in got:
+        below = sorted(h for h in r["all"] if h < limit)
+        assert r.m == (below or sorted(r["all"])[:1])
+
+
 def test_fingerprint_plan_is_native(spark, make_docs, folder):
     df = fingerprints.op1_threshold_sketch(spark, folder(documents=make_docs([(1, "a")])))
     plan = df._jdf.queryExecution().toString()

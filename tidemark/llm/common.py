@@ -99,8 +99,11 @@ def lists_of(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Ar
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, kind))
 
 
-def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, last row + 1, bytes, offsets) of a string column; null counts as empty."""
+def text_slices(column: pa.Array, limit: int = SLICE_BYTES, rows: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, last row + 1, bytes, offsets) of a string column; null counts as empty.
+
+    A slice has ``limit`` bytes or one text, and ``rows`` texts at most.
+    """
     n = len(column)
     if n == 0:
         return
@@ -113,7 +116,7 @@ def text_slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[in
     first = 0
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1)
-        last = min(last, n)
+        last = min(last, n, n if rows is None else first + rows)
         yield first, last, data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
 

@@ -29,11 +29,15 @@ RANGE_ROWS = 250
 MOST_RANGES = 20_000
 
 
+def _limit(one_in: int) -> int:
+    return -(1 << 63) + (1 << 64) // one_in
+
+
 def sketch_of(text: Column, one_in: int = ONE_IN, k: int = K) -> Column:
     """Sorted array<long>: the distinct shingle hashes below 2**64 / one_in, as signed longs."""
     spaced = F.trim(F.translate(F.lower(F.coalesce(text, F.lit(""))), "\t\n\x0b\x0c\r", " " * 5))
     words = F.filter(F.split(spaced, " ", -1), lambda w: w != "")
-    limit = -(1 << 63) + (1 << 64) // one_in
+    limit = _limit(one_in)
 
     def shingles(w: Column) -> Column:
         # slice() past the end gives what is left, so a short text is one shingle.
@@ -65,9 +69,15 @@ def containment(small: Column, large: Column) -> Column:
     return (F.size(F.array_intersect(small, large)) / F.nullif(F.size(small), F.lit(0))).cast("double")
 
 
-def merged(a: Column, b: Column) -> Column:
-    """The sketch of two texts together, but for the shingles across their border."""
-    return F.sort_array(F.array_union(a, b))
+def merged(a: Column, b: Column, one_in: int = ONE_IN) -> Column:
+    """The sketch of two texts together, but for the shingles across their border.
+
+    A text without a hash below the threshold is kept by its smallest one; that one goes when the
+    other text has hashes below, as it would in a sketch of both.
+    """
+    every = F.array_union(a, b)
+    below = F.filter(every, lambda x: x < _limit(one_in))
+    return F.when(F.size(below) > 0, F.sort_array(below)).when(F.size(every) > 0, F.array(F.array_min(every))).otherwise(every)
 
 
 def id_ranges(df: DataFrame, rows: int = RANGE_ROWS, most: int = MOST_RANGES) -> list[int]:

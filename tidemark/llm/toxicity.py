@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fold, label_sample, lists_of, lower_bytes, mix, prefix_hash, span_hash, table, text_slices
+from tidemark.llm.common import fold, label_sample, lists_of, lower_bytes, mix, prefix_hash, span_hash, stored, table, text_slices
 from tidemark.llm.quality import runs
 
 SAMPLE_PER_LABEL = 6_000
@@ -101,9 +101,10 @@ def _place(c: str) -> int:
 def restore(span: str, costs: np.ndarray) -> str:
     """The Viterbi path through the lattice of one span.
 
-    A state is the last two characters kept, and what has been written so far.
+    A state is the last two characters kept. What has been written so far hangs on it as a chain of
+    characters, each with the one before it, so a step costs the same however long the span is.
     """
-    states = {("", ""): (0.0, "")}
+    states: dict[tuple[str, str], tuple[float, tuple | None]] = {("", ""): (0.0, None)}
     before = ""
     for c in span:
         options: list[tuple[str, float]] = []
@@ -115,20 +116,25 @@ def restore(span: str, costs: np.ndarray) -> str:
             options = [("", SEPARATOR_COST if c in SEPARATORS else NOISE_COST)]
         if c.isalpha() or c in LOOKS_LIKE:
             before = c
-        found: dict[tuple[str, str], tuple[float, str]] = {}
-        for (a, b), (cost, text) in states.items():
+        found: dict[tuple[str, str], tuple[float, tuple | None]] = {}
+        for (a, b), (cost, chain) in states.items():
             for x, more in options:
                 if x:
                     state = (b, x)
                     new = cost + more + costs[_place(a) if a else 0, _place(b) if b else 0, _place(x)]
-                    out = text + x
+                    out = (chain, x)
                 else:
-                    state, new, out = (a, b), cost + more, text
+                    state, new, out = (a, b), cost + more, chain
                 if state not in found or new < found[state][0]:
                     found[state] = (new, out)
         states = found
-    ends = ((cost + costs[_place(a) if a else 0, _place(b) if b else 0, 0], text) for (a, b), (cost, text) in states.items())
-    return min(ends, key=lambda e: e[0])[1]
+    ends = ((cost + costs[_place(a) if a else 0, _place(b) if b else 0, 0], chain) for (a, b), (cost, chain) in states.items())
+    chain = min(ends, key=lambda e: e[0])[1]
+    out = []
+    while chain is not None:
+        chain, x = chain
+        out.append(x)
+    return "".join(reversed(out))
 
 
 def suspects(low: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -240,6 +246,10 @@ def evidence(row: np.ndarray, place: np.ndarray, words: np.ndarray, odds: np.nda
     return np.column_stack([*sums, every / np.sqrt(words + 20.0), np.log1p(words)])
 
 
+#: Parts of the sample, and numbers that ``evidence`` gives for a text.
+PARTS, EVIDENCE = 4, 5
+
+
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(mean, scale, weights) of a logistic regression by Newton steps; the last weight is free."""
     mean, scale = x.mean(axis=0), x.std(axis=0)
@@ -291,31 +301,50 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER
             for first, last, data, offsets in text_slices(batch.column(1)):
                 row, place, words = features_of(*decoder.texts(data, offsets))
                 lists = lists_of(place.astype(np.int32), np.bincount(row, minlength=last - first), pa.int32())
-                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], lists, pa.array(words)], ["toxic", "places", "words"])
-
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select("toxic", "text")
-    found = texts.mapInArrow(features, "toxic int, places array<int>, words bigint").toArrow()
-    y = np.minimum(found.column("toxic").to_numpy(), 1)
-    if not len(y) or y.min() == y.max():
+                yield pa.RecordBatch.from_arrays([batch.column(0)[first:last], batch.column(2)[first:last], lists, pa.array(words)], ["toxic", "part", "places", "words"])
+
+    # A part for each row, by its id and text: odds that a row is judged by come from the others.
+    part = F.pmod(F.xxhash64("doc_id", "text", F.lit(7)), F.lit(PARTS)).cast("int").alias("part")
+    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").select(F.least("toxic", F.lit(1)).alias("toxic"), "text", part)
+    found = stored(texts.mapInArrow(features, "toxic int, part int, places array<int>, words bigint"), "toxicity-features")
+
+    # Texts and toxic texts of each part, and of each place and part; only places that may count
+    # come to the driver, which has a fixed number of them.
+    totals = np.zeros((PARTS, 2), np.int64)
+    for row in found.groupBy("part").agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).collect():
+        totals[row.part] = row.n, row.t
+    if not totals[:, 0].sum() or totals[:, 1].sum() in (0, totals[:, 0].sum()):
         return None
-    counts = np.array([len(p) for p in found.column("places")])
-    place = np.concatenate([p.values.to_numpy() for p in found.column("places")]) if counts.sum() else np.zeros(0, np.int64)
-    row, words = np.repeat(np.arange(len(y)), counts), found.column("words").to_numpy()
-    # Odds learned on the other half, so that the regression sees them as new texts would.
-    x = np.zeros((len(y), 5))
-    half = np.random.default_rng(7).integers(0, 4, len(y))
-    for h in range(4):
-        x_odds = _odds(row, place, y, half != h)
-        own = half[row] == h
-        x[half == h] = evidence(row[own], place[own], words, x_odds)[half == h]
-    return ToxicityModel(costs, _odds(row, place, y, np.ones(len(y), bool)), *logistic(x, y))
-
-
-def _odds(row: np.ndarray, place: np.ndarray, y: np.ndarray, use: np.ndarray) -> np.ndarray:
-    used = use[row]
-    every = np.bincount(place[used], minlength=PLACES)
-    toxic = np.bincount(place[used & (y[row] > 0)], minlength=PLACES)
-    return log_odds(every, toxic, int(use.sum()), int(y[use].sum()))
+    each = [c for p in range(PARTS) for c in (F.count_if(F.col("part") == p), F.count_if((F.col("part") == p) & (F.col("toxic") > 0)))]
+    sums = found.select("part", "toxic", F.explode("places").alias("place")).groupBy("place")
+    sums = sums.agg(F.sum("toxic").alias("all"), *[c.alias(f"c{i}") for i, c in enumerate(each)]).where(F.col("all") >= LEAST_TEXTS).toArrow()
+    by_place = np.zeros((PLACES, PARTS, 2), np.int32)
+    by_place[sums.column("place").to_numpy()] = np.stack([sums.column(f"c{i}").to_numpy() for i in range(2 * PARTS)], axis=1).reshape(-1, PARTS, 2)
+
+    def odds(use: np.ndarray) -> np.ndarray:
+        n, t = totals[use].sum(axis=0).tolist()
+        return log_odds(by_place[:, use, 0].sum(axis=1), by_place[:, use, 1].sum(axis=1), n, t)
+
+    apart = spark.sparkContext.broadcast([odds(np.arange(PARTS) != p) for p in range(PARTS)])
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists, own = batch.column(2), batch.column(1).to_numpy()
+            n = np.diff(lists.offsets.to_numpy())
+            row, place, words = np.repeat(np.arange(batch.num_rows), n), lists.flatten().to_numpy(), batch.column(3).to_numpy()
+            x = np.zeros((batch.num_rows, EVIDENCE))
+            for p in range(PARTS):
+                mine = own[row] == p
+                x[own == p] = evidence(row[mine], place[mine], words, apart.value[p])[own == p]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *[pa.array(c) for c in x.T.copy()]], ["toxic", *[f"x{i}" for i in range(EVIDENCE)]])
+
+    schema = ", ".join(["toxic int", *[f"x{i} double" for i in range(EVIDENCE)]])
+    seen = found.mapInArrow(judged, schema).toArrow()
+    x = np.column_stack([seen.column(f"x{i}").to_numpy() for i in range(EVIDENCE)])
+    # In one order, whatever tasks ended first, so that reruns agree.
+    y = seen.column("toxic").to_numpy()
+    order = np.lexsort((*x.T, y))
+    return ToxicityModel(costs, odds(np.ones(PARTS, bool)), *logistic(x[order], y[order]))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel | None, threshold: float = THRESHOLD) -> DataFrame:

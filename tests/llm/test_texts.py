@@ -171,7 +171,7 @@ def test_prefix_filter_is_exact(spark):
         t[rng.integers(0, 60, rng.integers(0, 14))] = rng.integers(-(2**31), 2**31)
         texts.append((i, [int(x) for x in t[: rng.integers(40, 61)]]))
     df = spark.createDataFrame([(i, i, t) for i, t in texts], "id long, class long, kmers array<int>")
-    got = {tuple(r) for r in neardup.prefix_pairs(df, neardup.frequent_kmers(df)).collect()}
+    got = {tuple(r) for r in neardup.prefix_pairs(df).collect()}
     for i, a in texts:
         for j, b in texts[:i]:
             both = sum((Counter(a) & Counter(b)).values())
@@ -219,12 +219,20 @@ def brute_removal(rows, window=suffix.WINDOW):
     return out
 
 
-@pytest.mark.parametrize("large", [suffix.LARGE, 1])
-def test_repeated_strings(spark, make_docs, folder, rows, large, monkeypatch):
+@pytest.mark.parametrize("large, frequent, batch", [(suffix.LARGE, suffix.FREQUENT, 10_000), (1, suffix.FREQUENT, 7), (suffix.LARGE, 1, 3), (1, 1, 10_000)])
+def test_repeated_strings(spark, make_docs, folder, rows, large, frequent, batch, monkeypatch):
+    """Buckets of any size, with and without hot ones, in batches that cut them anywhere."""
     monkeypatch.setattr(suffix, "LARGE", large)
+    monkeypatch.setattr(suffix, "FREQUENT", frequent)
+    if frequent == 1:
+        monkeypatch.setattr(suffix, "SAMPLED", 1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
     ids = Counter(r[0] for r in rows)
     some = [r for r in rows if r[0] is not None and ids[r[0]] == 1]
-    got = suffix.op9_difference_cover(spark, folder(documents=make_docs(some))).collect()
+    try:
+        got = suffix.op9_difference_cover(spark, folder(documents=make_docs(some))).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_removal(some)
 
 

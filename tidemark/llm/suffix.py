@@ -10,7 +10,8 @@ order of a hash of their text.
    and neighbouring windows with the same one are a segment. Only segments move between
    machines, about one for each 35 bytes, as two hashes and a place. Equal segments consist of
    equal windows: all but the first are covered, and one task keeps only its first of each, so
-   that a bucket never gets more than a row for each task and different segment.
+   that a bucket never gets more than a row for each task and different segment. Buckets that a
+   sample shows to be frequent are dealt out by segment.
 2. Segments that differ and share a bucket are parts at the border of a repeated passage. Their
    text is fetched and each bucket is sorted on its own: windows by their first ``PERIOD`` bytes,
    longer ties by the ranks of a difference-cover sample. For two windows there is a shift under
@@ -20,7 +21,7 @@ order of a hash of their text.
 3. Covered ranges are merged for each document, and the text without them is made.
 
 Cases. Null or empty text, or under ``WINDOW`` bytes: nothing removed. Very long texts: whole;
-a text is held by one task. Null doc_id: before all ids, as if all such rows had one id. Rows with
+a text is held by one task, and one of ``LONGEST`` bytes is an error. Null doc_id: before all ids, as if all such rows had one id. Rows with
 equal ids (or none) and equal texts: one document given twice, which does not cover itself; both
 lose what the document loses. Rows with equal ids and different texts: different documents.
 Repeated texts: the first stays. Empty table: no rows. Extra columns: ignored, or kept by
@@ -42,7 +43,12 @@ from tidemark.llm.common import INVERSE, mix, powers, prefix_hash, span_hash, st
 WINDOW = 100
 GRAM = 32
 PERIOD = 32
-LARGE = 20_000
+LARGE = 1_000
+#: The longest text, in bytes, whose places fit into the hashes that they are kept with.
+LONGEST = 1 << 28
+#: One in so many documents is looked at to find buckets that must not go to one task: those with
+#: so many of its segments at least, the most frequent first.
+SAMPLED, FREQUENT, MOST_HOT = 64, 16, 4096
 #: Segments that a task holds before it gives them on.
 HELD = 2_000_000
 #: Bytes of small buckets that are sorted together.
@@ -76,6 +82,8 @@ def segments(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     n = len(data)
     if n < WINDOW:
         return none.view(np.uint64), none.view(np.uint64), none, none, none
+    if n >= LONGEST:
+        raise ValueError(f"a text of {n} bytes; places are kept up to {LONGEST}")
     h = prefix_hash(data)
     gram = mix((h[GRAM:] - h[:-GRAM]) * powers(INVERSE, n - GRAM + 1))
     least = sliding_min((gram & ~_PLACE) | np.arange(len(gram), dtype=np.uint64), WINDOW - GRAM + 1)
@@ -186,34 +194,67 @@ def _joined(batches: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from whole.to_batches()
 
 
-def _compare(cut: DataFrame) -> DataFrame:
-    """Kind 1: covered ranges. Kind 2: segments of a bucket that has different ones."""
+def _hot(docs: DataFrame) -> DataFrame:
+    """``key`` of buckets that many documents have, out of a sample of them; bounded.
+
+    Any bucket may be in it without a change of the result: it only tells which ones are dealt
+    out by their segments.
+    """
+    some = docs.where(F.pmod(F.xxhash64("id", "digest", F.lit(3)), F.lit(SAMPLED)) == 0)
+    counts = _cut(some).where("kind = 0").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= FREQUENT)
+    return stored(counts.orderBy(F.desc("n"), "key").limit(MOST_HOT).select("key", F.lit(True).alias("hot")), "suffix-hot")
+
+
+def _compare(cut: DataFrame, hot: DataFrame) -> DataFrame:
+    """Kind 1: covered ranges. Kind 2: the first of each segment of a bucket with different ones.
+
+    Rows stream by in order, and a task holds a batch of them. The segments of a hot bucket are
+    dealt over the tasks, equal ones to the same; such a task does not know whether there are
+    others, and gives all of them on.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in by_key(batches):
-            kind, key, ids, digest, a, b, seg = (batch.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 5, 7))
+        # The last first segment, as (key, seg, id, digest, a, b, hot), and whether it was given on.
+        held, told = None, False
+        for batch in batches:
+            kind = batch.column(0).to_numpy()
             given = kind == 1
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 7, 2, 3, 4, 5, 8)]
             if given.any():
-                yield _covered(ids[given], digest[given], a[given], b[given])
-            key, ids, digest, a, b, seg = key[~given], ids[~given], digest[~given], a[~given], b[~given], seg[~given]
-            if not len(key):
+                key, seg, ids, digest, a, b, _ = (c[given] for c in columns)
+                yield _covered(ids, digest, a, b)
+            columns = [c[~given] for c in columns]
+            if not len(columns[0]):
                 continue
+            if held is not None:
+                columns = [np.concatenate([[x], c]).astype(c.dtype) for x, c in zip(held, columns)]
+            key, seg, ids, digest, a, b, is_hot = columns
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (seg[1:] != seg[:-1])
-            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+            first = np.flatnonzero(new)
+            lead = first[np.cumsum(new) - 1]
             later = (ids != ids[lead]) | (digest != digest[lead]) | (a != a[lead])
             if later.any():
                 yield _covered(ids[later], digest[later], a[later], b[later] + WINDOW)
-            key, ids, digest, a, b = key[new], ids[new], digest[new], a[new], b[new]
-            bucket = np.ones(len(key), bool)
-            bucket[1:] = key[1:] != key[:-1]
-            which = np.cumsum(bucket) - 1
-            size = np.bincount(which)[which]
-            ask = size > 1
-            if ask.any():
-                yield _rows(2, key[ask], ids[ask], digest[ask], a[ask], b[ask], size[ask] > LARGE)
-
-    dealt = cut.repartition("key").sortWithinPartitions("key", "seg", "id", "digest", "a")
+            keys = key[first]
+            before, after = np.zeros(len(first), bool), np.zeros(len(first), bool)
+            before[1:] = after[:-1] = keys[1:] == keys[:-1]
+            give = before | after | is_hot[first]
+            if held is not None:
+                before[0] |= told
+                give[0] = give[0] and not told
+            # What comes after the last one is not known yet.
+            last = len(first) - 1
+            held = tuple(c[first[last]] for c in columns)
+            was_told = told and held is not None and last == 0
+            told = bool(give[last]) or was_told or (last > 0 and bool(before[last]))
+            if give.any():
+                at = first[give]
+                yield _rows(2, key[at], ids[at], digest[at], a[at], b[at])
+
+    deal = F.when(F.col("hot"), F.xxhash64("key", "seg")).otherwise(F.col("key"))
+    marked = cut.join(F.broadcast(hot), "key", "left").select(*cut.columns, F.coalesce("hot", F.lit(False)).alias("hot"))
+    dealt = marked.repartition(deal).sortWithinPartitions("key", "seg", "id", "digest", "a")
     return dealt.mapInArrow(compare, _FOUND)
 
 
@@ -373,8 +414,10 @@ def _group_windows(parts: DataFrame) -> DataFrame:
 
 def covered_ranges(docs: DataFrame) -> DataFrame:
     """(id, digest, ranges): covered byte ranges of each document that has any, not merged."""
-    found = stored(_compare(_cut(docs)), "suffix-found")
-    asked = found.where("kind = 2").select("id", "digest", "key", "a", "b", "large")
+    found = stored(_compare(_cut(docs), _hot(docs)), "suffix-found")
+    # Counted before the shuffle and after it, whatever the size of a bucket.
+    sizes = stored(found.where("kind = 2").groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "suffix-sizes")
+    asked = found.where("kind = 2").drop("large").join(sizes, "key").select("id", "digest", "key", "a", "b", (F.col("n") > LARGE).alias("large"))
     parts = stored(_fetch(docs, asked), "suffix-parts")
     ranges = found.where("kind = 1").unionByName(_sort_buckets(parts.where("not large").drop("large")))
     if parts.where("large").take(1):

@@ -14,7 +14,8 @@ the largest page_id; the others are revisit records without a payload that name
 Cases. Null html: empty payload. Null url: empty target. Line breaks in a url: blanks. Null
 page_id: read back as null; never the one referred to, unless all equal ones are null. Equal
 page_ids: told apart by nothing, each has its record; among equal largest ids all are responses.
-Very long pages: a record is held whole by one task, an archive is not. Empty table: no rows.
+Very long pages: a record is held whole by one task; an archive is read and written piece by piece,
+and never held by one. Empty table: no rows.
 Extra columns: ignored. A task that runs again writes the same bytes to the same name, by way of
 a name of its own.
 """
@@ -99,13 +100,11 @@ def write_archives(pages: DataFrame, path: str) -> None:
     records.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
-def inflate(content: memoryview) -> Iterator[bytes]:
+def inflate(pieces: Iterator[bytes]) -> Iterator[bytes]:
     """The bytes of one or several gzip members, piece by piece."""
-    at, inner = 0, zlib.decompressobj(31)
-    while at < len(content):
-        piece = content[at : at + PIECE]
-        at += len(piece)
-        while len(piece):
+    inner = zlib.decompressobj(31)
+    for piece in pieces:
+        while piece:
             out = inner.decompress(piece)
             if out:
                 yield out
@@ -114,6 +113,12 @@ def inflate(content: memoryview) -> Iterator[bytes]:
                 inner = zlib.decompressobj(31)
 
 
+def pieces_of(stream) -> Iterator[bytes]:
+    """What a file has, ``PIECE`` bytes at a time."""
+    while piece := stream.read(PIECE):
+        yield piece
+
+
 _LENGTH = re.compile(rb"\r\nContent-Length: *(\d+)", re.IGNORECASE)
 
 
@@ -148,19 +153,20 @@ def member(record: bytes) -> bytes:
 
 def normalise(spark: SparkSession, archives: str, path: str) -> DataFrame:
     """Rewrites every archive below ``path`` and returns the index, also kept in ``path``/index."""
-    system_path = f"{path.rstrip('/')}/archives"
+    system_path, given_path = f"{path.rstrip('/')}/archives", archives.rstrip("/")
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         system, folder = fs.FileSystem.from_uri(system_path)
+        given, given_folder = fs.FileSystem.from_uri(given_path)
+        system.create_dir(folder, recursive=True)
         for batch in batches:
-            for i in range(batch.num_rows):
-                source = batch.column(0)[i].as_py()
-                name = re.sub(r"(\.txt)?\.gz$", "", source.rsplit("/", 1)[-1]) + ".warc.gz"
+            for file in batch.column(0).to_pylist():
+                name = re.sub(r"(\.txt)?\.gz$", "", file) + ".warc.gz"
                 own = f"{folder}/.{name}-{uuid.uuid4().hex}"
-                system.create_dir(folder, recursive=True)
                 lengths = []
-                with system.open_output_stream(own, compression=None) as out:
-                    for record in split_records(inflate(memoryview(batch.column(1)[i].as_buffer()))):
+                # As stored: the stream is inflated here, a piece at a time.
+                with given.open_input_stream(f"{given_folder}/{file}", compression=None) as whole, system.open_output_stream(own, compression=None) as out:
+                    for record in split_records(inflate(pieces_of(whole))):
                         packed = member(record)
                         out.write(packed)
                         lengths.append(len(packed))
@@ -174,8 +180,10 @@ def normalise(spark: SparkSession, archives: str, path: str) -> DataFrame:
                     ["archive", "record", "offset", "length"],
                 )
 
-    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(archives).select("path", "content")
-    found.mapInArrow(rewrite, _INDEX).write.parquet(f"{path}/index")
+    # The names alone; the column of contents is not read.
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(archives).select(F.regexp_extract("path", "[^/]*$", 0).alias("file"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    found.repartition(parts, "file").mapInArrow(rewrite, _INDEX).write.parquet(f"{path}/index")
     return spark.read.schema(_INDEX).parquet(f"{path}/index")
 
 

@@ -18,8 +18,8 @@ more is a link. Classes are connected components.
 
 Cases. Null or empty text, or no words: alike only to byte-equal texts. Under five words: one
 k-mer. Null doc_id: class_id null, class_size 1. Rows with equal ids are one document. Repeated
-texts: one class. Empty table: no rows. Very long texts: whole; positions take 24 bits, so up
-to 16 million words. Ties: the smallest doc_id names the class. Extra columns: ignored.
+texts: one class. Empty table: no rows. Very long texts: whole; positions take 24 bits, so a text of
+more than 16 million words is an error. Ties: the smallest doc_id names the class. Extra columns: ignored.
 """
 
 from __future__ import annotations
@@ -39,8 +39,6 @@ K = 5
 SIMILARITY = 0.8
 MINIMA, ROWS, BANDS = 2, 3, 32
 SMALL_GROUP = 8
-#: Texts looked at, and k-mers kept, to find a good order for the exact filter.
-ORDER_TEXTS, ORDER_KMERS = 500, 200_000
 #: K-mers before the one that two texts meet at, by which a second meeting is told.
 EARLIER = 64
 _PLACE = np.uint64((1 << 24) - 1)
@@ -72,6 +70,8 @@ def order_minhash(h: np.ndarray, counts: np.ndarray, bands: int = BANDS, rows: i
     keys = np.zeros((len(counts), bands), np.uint64)
     if not len(full):
         return keys
+    if int(counts.max()) > int(_PLACE):
+        raise ValueError(f"a text of {counts.max()} words; places are kept up to {_PLACE}")
     start = np.concatenate([[0], np.cumsum(counts)])[:-1][full]
     last = counts[full] - 1
     place = (np.arange(len(h)) - np.repeat(start, counts[full])).astype(np.uint64)
@@ -190,14 +190,16 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     return members.select("key", F.col("id").alias("a")).join(other, "key").where("a > b").select("a", "b").distinct()
 
 
-def frequent_kmers(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(k-mer, texts) of those found most often in some of the texts, by k-mer; bounded."""
-    part = min(1.0, ORDER_TEXTS / max(1, texts.count()))
-    some = texts.where(F.xxhash64("id", F.lit(5)) / F.lit(2.0**64) + 0.5 < part)
-    counts = some.select(F.explode(F.array_distinct("kmers")).alias("kmer")).groupBy("kmer").agg(F.count("*").alias("n"))
-    found = counts.where("n > 1").orderBy(F.desc("n"), "kmer").limit(ORDER_KMERS).toArrow()
-    order = np.argsort(found.column("kmer").to_numpy())
-    return found.column("kmer").to_numpy()[order], found.column("n").to_numpy()[order]
+def with_counts(texts: DataFrame) -> DataFrame:
+    """Adds ``often``: for each k-mer of a text, how many there are of it in all of them.
+
+    Counted over all texts by partial sums, and joined back, so nothing is sent to the driver.
+    """
+    each = texts.select("id", F.posexplode("kmers").alias("p", "kmer"))
+    counts = each.groupBy("kmer").agg(F.count("*").alias("n"))
+    counted = each.join(counts, "kmer").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("p", "n"))).alias("s"))
+    often = F.coalesce(F.col("s.n"), F.array().cast("array<bigint>"))
+    return texts.join(counted, "id", "left").select(*texts.columns, often.alias("often"))
 
 
 def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -208,20 +210,18 @@ def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
     return stored(classed.join(several, "key", "left_semi"), "neardup-unsettled")
 
 
-def prefix_pairs(texts: DataFrame, order: tuple[np.ndarray, np.ndarray], least: float = SIMILARITY) -> DataFrame:
+def prefix_pairs(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Every pair (a, b) of the texts (id, class, kmers) of different classes that can be as similar as ``least``.
 
     An exact filter. All texts sort their labelled k-mers in one order. Let x be the smaller text
     of a pair, with n k-mers, and y the larger one, with m. If their similarity is t or more, they
     share s = t / (1 + t) (n + m) k-mers at least; so the first one that they share stands where
     both have s left, which is among the first n - ceil(2t / (1 + t) n) + 1 of x and the first
-    m - ceil(t m) + 1 of y. Any order is right; that of ``frequent_kmers`` puts frequent ones
+    m - ceil(t m) + 1 of y. Any order is right; that by ``with_counts`` puts frequent ones
     last, so that texts which differ in their own ways from a common one make no pair.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(order)
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times = shared.value
         for batch in batches:
             found, earlier, sizes = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for i in range(batch.num_rows):
@@ -230,10 +230,7 @@ def prefix_pairs(texts: DataFrame, order: tuple[np.ndarray, np.ndarray], least:
                 if not n:
                     continue
                 h = labelled(raw.astype(np.uint64), np.array([n]))
-                often = np.zeros(n, np.int64)
-                if len(known):
-                    at = np.minimum(np.searchsorted(known, raw), len(known) - 1)
-                    often = np.where(known[at] == raw, times[at], 0)
+                often = batch.column(3)[i].values.to_numpy()
                 long = n - int(np.ceil(least * n - 1e-9)) + 1
                 first = h[np.lexsort((h, often))[:long]].view(np.int64)
                 found.append(np.column_stack([first, np.arange(long), np.tile([batch.column(0)[i].as_py(), batch.column(1)[i].as_py(), n], (long, 1))]))
@@ -246,7 +243,8 @@ def prefix_pairs(texts: DataFrame, order: tuple[np.ndarray, np.ndarray], least:
             yield pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(c)) for c in rows.T], lists], ["key", "p", "id", "class", "n", "earlier"])
 
     schema = "key bigint, p bigint, id bigint, class bigint, n bigint, earlier array<bigint>"
-    firsts = stored(texts.select("id", "class", "kmers").mapInArrow(prefixes, schema), "neardup-prefixes")
+    counted = with_counts(texts.select("id", "class", "kmers"))
+    firsts = stored(counted.mapInArrow(prefixes, schema), "neardup-prefixes")
     kept = ("p", "id", "class", "n", "earlier")
     smaller = firsts.where(F.col("p") <= F.col("n") - F.ceil(2 * least / (1 + least) * F.col("n") - 1e-6)).select("key", *[F.col(c).alias(f"{c}_i") for c in kept])
     larger = firsts.select("key", *[F.col(c).alias(f"{c}_j") for c in kept])
@@ -279,7 +277,7 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     left = _unsettled(members.where(F.col("n") > SMALL_GROUP).select("key", "id"), roots)
     if left.take(1):
         held = stored(cut.join(left.select("id", "class").distinct(), "id"), "neardup-held")
-        more = stored(verified(prefix_pairs(held, frequent_kmers(held), least), held, least), "neardup-more")
+        more = stored(verified(prefix_pairs(held, least), held, least), "neardup-more")
         if more.take(1):
             roots = components(links.unionByName(more))
 

@@ -46,6 +46,13 @@ def _interval(key: Column, edges: Column, steps: Sequence[int]) -> Column:
     )
 
 
+def interval_of(keyed: DataFrame, edges: DataFrame, size: int) -> DataFrame:
+    """Adds ``b``, how many of the ``size`` sorted edges, the one row of ``edges``, are not above ``k``."""
+    steps = [1 << i for i in reversed(range(max(1, size.bit_length())))]
+    with_edges = keyed.withColumn("__edges", edges.scalar())
+    return with_edges.withColumn("b", _interval(F.col("k"), F.col("__edges"), steps)).drop("__edges")
+
+
 class _Cut:
     """One round: sorted edges, as a stored row, and the interval of a key among them."""
 
@@ -62,12 +69,10 @@ class _Cut:
             edges = F.array_sort(F.array_union("edges", "bounds"))
             thinned = thinned.withColumn("bounds", bounds.scalar()).select(edges.alias("edges"))
         self.row = written_side(thinned, "edges")
-        size = self.row.select(F.size("edges")).first()[0]
-        self.steps = [1 << i for i in reversed(range(max(1, size.bit_length())))]
+        self.size = self.row.select(F.size("edges")).first()[0]
 
     def placed(self, keyed: DataFrame) -> DataFrame:
-        with_edges = keyed.withColumn("__edges", self.row.scalar())
-        return with_edges.withColumn("b", _interval(F.col("k"), F.col("__edges"), self.steps)).drop("__edges")
+        return interval_of(keyed, self.row, self.size)
 
     def bounds(self, intervals: Sequence[int]) -> DataFrame:
         """The edges on both sides of the intervals."""

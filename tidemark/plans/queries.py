@@ -359,6 +359,17 @@ def link_list_roundtrip(spark, folder):
     return build_dataset_list(spark, pages, path, prefix="^/", suffix=".$")
 
 
+@query(f"WITH {LINKS_SQL} SELECT row_number() OVER (ORDER BY link) - 1 AS file_ord, link FROM (SELECT DISTINCT link FROM links)")
+def merged_link_list(spark, folder):
+    # The links of most pages, and then those of the others, merged range by range.
+    links = written_side(extract_links(spark, folder), "links")
+    path = scratch_dir(spark, "merged")
+    late = F.col("page_id") % 10 == 0
+    src.merge_links(links.filter(~late), path)
+    src.merge_links(links.filter(late), path)
+    return src.read_merged_links(spark, path)
+
+
 @query(r"""SELECT url || '.nc' AS url, regexp_extract(url || '.nc', '([^/]*)\.[^./]*$', 1) AS dataset,
            regexp_extract(url || '.nc', '([^/]*)\.[^./]*$', 1) || '.csv' AS file FROM pages""")
 def dataset_names(spark, folder):

@@ -16,6 +16,7 @@ from tidemark.sources.file_catalog import (
     refresh_catalog,
     row_ranks,
 )
+from tidemark.sources.link_ranges import merge_links, read_manifest, read_merged_links
 from tidemark.sources.measurements import (
     block_ranks,
     dataset_paths,
@@ -47,11 +48,14 @@ __all__ = [
     "known_row_counts",
     "list_datasets",
     "list_files",
+    "merge_links",
     "pinned",
     "read_dataset_list",
     "read_links",
+    "read_manifest",
     "read_measure_states",
     "read_measurements",
+    "read_merged_links",
     "read_pages",
     "read_row_budget",
     "read_row_prefix",

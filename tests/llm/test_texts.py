@@ -58,6 +58,7 @@ def test_fingerprints(spark, make_docs, folder, rows):
         assert by_id[i].n_chars == len(text)
         assert by_id[i].edited_sha256 == hashlib.sha256((text[: len(text) - n] + after[:n]).encode()).hexdigest()
         assert 0 <= by_id[i].near_edited <= 1 and 0 <= by_id[i].near_next <= 1
+        assert by_id[i].in_edited is None if not by_id[i].fingerprint else by_id[i].near_edited <= by_id[i].in_edited <= 1
     assert by_id[7].fingerprint == by_id[3].fingerprint != by_id[12].fingerprint
     assert by_id[20].fingerprint == by_id[21].fingerprint == ""
     assert by_id[23].fingerprint and by_id[81].near_edited == pytest.approx(0.5, abs=0.15)

@@ -130,7 +130,7 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 
 def op1_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every text and of its edit, with their likeness."""
+    """Fingerprints of every text and of its edit, their likeness, and what the edit keeps."""
     pairs = with_next(table(spark, sf_dir, "documents")).withColumn("n_chars", F.char_length("text").cast("long"))
     third = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(
@@ -146,4 +146,5 @@ def op1_threshold_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
         fingerprint(F.col("ed_sketch")).alias("edited_fingerprint"),
         likeness(F.col("sketch"), F.col("ed_sketch")).alias("near_edited"),
         likeness(F.col("sketch"), F.col("nx_sketch")).alias("near_next"),
+        containment(F.col("sketch"), F.col("ed_sketch")).alias("in_edited"),
     )

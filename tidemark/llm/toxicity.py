@@ -317,7 +317,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER
         return None
     each = [c for p in range(PARTS) for c in (F.count_if(F.col("part") == p), F.count_if((F.col("part") == p) & (F.col("toxic") > 0)))]
     sums = found.select("part", "toxic", F.explode("places").alias("place")).groupBy("place")
-    sums = sums.agg(F.sum("toxic").alias("all"), *[c.alias(f"c{i}") for i, c in enumerate(each)]).where(F.col("all") >= LEAST_TEXTS).toArrow()
+    enough = max(LEAST_TEXTS, LEAST_SHARE * int(min(totals[:, 1].sum() - totals[:, 1])))
+    sums = sums.agg(F.sum("toxic").alias("all"), *[c.alias(f"c{i}") for i, c in enumerate(each)]).where(F.col("all") >= enough).toArrow()
     by_place = np.zeros((PLACES, PARTS, 2), np.int32)
     by_place[sums.column("place").to_numpy()] = np.stack([sums.column(f"c{i}").to_numpy() for i in range(2 * PARTS)], axis=1).reshape(-1, PARTS, 2)
 

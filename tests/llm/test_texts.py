@@ -172,6 +172,11 @@ def test_prefix_filter_is_exact(spark):
         t[rng.integers(0, 60, rng.integers(0, 14))] = rng.integers(-(2**31), 2**31)
         texts.append((i, [int(x) for x in t[: rng.integers(40, 61)]]))
     df = spark.createDataFrame([(i, i, t) for i, t in texts], "id long, class long, kmers array<int>")
+    # Whichever counts are sent and whichever are joined, they are all there.
+    often = Counter(x for _, t in texts for x in t)
+    for most in (1, 50, 100_000):
+        for r in neardup.with_counts(df, most).collect():
+            assert r.often == [often[x] for x in r.kmers]
     got = {tuple(r) for r in neardup.prefix_pairs(df).collect()}
     for i, a in texts:
         for j, b in texts[:i]:

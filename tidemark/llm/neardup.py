@@ -39,6 +39,8 @@ K = 5
 SIMILARITY = 0.8
 MINIMA, ROWS, BANDS = 2, 3, 32
 SMALL_GROUP = 8
+#: K-mers whose counts are sent to all tasks, at most.
+HEAVY = 100_000
 #: K-mers before the one that two texts meet at, by which a second meeting is told.
 EARLIER = 64
 _PLACE = np.uint64((1 << 24) - 1)
@@ -190,14 +192,21 @@ def _all_pairs(members: DataFrame) -> DataFrame:
     return members.select("key", F.col("id").alias("a")).join(other, "key").where("a > b").select("a", "b").distinct()
 
 
-def with_counts(texts: DataFrame) -> DataFrame:
+def with_counts(texts: DataFrame, most: int = HEAVY) -> DataFrame:
     """Adds ``often``: for each k-mer of a text, how many there are of it in all of them.
 
-    Counted over all texts by partial sums, and joined back, so nothing is sent to the driver.
+    Counted over all texts by partial sums. No more than ``most`` k-mers can make up more than one in
+    ``most`` of all: the counts of those are sent to every task. The others are joined, and none
+    of them has more rows than that, so no task gets a frequent k-mer.
     """
     each = texts.select("id", F.posexplode("kmers").alias("p", "kmer"))
-    counts = each.groupBy("kmer").agg(F.count("*").alias("n"))
-    counted = each.join(counts, "kmer").groupBy("id").agg(F.sort_array(F.collect_list(F.struct("p", "n"))).alias("s"))
+    counts = stored(each.groupBy("kmer").agg(F.count("*").alias("n")), "neardup-counts")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    heavy = counts.where(F.col("n") > total / most).select("kmer", F.col("n").alias("heavy"))
+    marked = each.join(F.broadcast(heavy), "kmer", "left")
+    light = marked.where("heavy is null").join(counts.where(F.col("n") <= total / most), "kmer").select("id", "p", "n")
+    known = marked.where("heavy is not null").select("id", "p", F.col("heavy").alias("n")).unionByName(light)
+    counted = known.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("p", "n"))).alias("s"))
     often = F.coalesce(F.col("s.n"), F.array().cast("array<bigint>"))
     return texts.join(counted, "id", "left").select(*texts.columns, often.alias("often"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_measure, dataset_of_file
-from tidemark.operators.ordering import first_rows, plain_file, with_scan_position
+from tidemark.operators.ordering import first_rows, with_scan_position
 from tidemark.sources.file_catalog import (
     FileHeader,
     Headers,
@@ -160,6 +160,8 @@ def _by_name(
     found by a hash of their path, so a file takes a few bytes, less than the scan's own list of
     files holds of it.
     """
+    if any(entry.uri is None for entry in entries):
+        raise ValueError("headers must come from file_headers or catalog_headers")
     spark = cut.sparkSession
     exact = spark.conf.get("spark.sql.caseSensitive") == "true"
     same = (lambda name: name) if exact else str.lower
@@ -187,11 +189,14 @@ def _by_name(
         keys(F.col("_metadata.file_path"))
         | {"__now": F.struct(F.col("_metadata.file_size"), F.unix_micros("_metadata.file_modification_time"))}
     )
-    joined = scanned.join(F.broadcast(routes), ["__k1", "__k2"]).join(F.broadcast(places), "__header")
+    refuse = lambda why: F.raise_error(F.lit(why)).cast("boolean")
+    sound = F.when(F.col("__header").isNull(), refuse("a file is not among those whose headers are known"))
     if check:
-        changed = F.raise_error(F.lit("a file has changed since its header was read")).cast("boolean")
         same_file = F.col("__now") == F.struct("__size", "__modified")
-        joined = joined.filter(F.when(same_file, True).otherwise(changed))
+        sound = sound.when(~same_file, refuse("a file has changed since its header was read"))
+    # No row is lost for a file that is not found: that is an error.
+    routed = scanned.join(F.broadcast(routes), ["__k1", "__k2"], "left").filter(sound.otherwise(True))
+    joined = routed.join(F.broadcast(places), "__header")
     columns = [
         F.get(F.array(*[F.col(cells[i]) for i in held[key]]), F.get("__places", F.lit(j))).alias(name)
         for j, (key, name) in enumerate(names.items())

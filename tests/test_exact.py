@@ -95,3 +95,24 @@ def test_prefixes_from_a_state_equal_one_scan(spark):
         prefix_state_averages(state, [], ["a"], "g")
     with pytest.raises(ValueError):
         prefix_state_averages(state, file_prefixes(12)[::-1], ["a"], "g")
+
+
+def longest_method(spark, df):
+    """Bytes of the longest method that Spark generates for the plan of ``df``."""
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    made = debug.codegenStringSeq(df._jdf.queryExecution().executedPlan())
+    return max(made.apply(i)._3().maxMethodCodeSize() for i in range(made.size()))
+
+
+def test_the_code_of_a_row_is_short_enough_to_be_compiled(spark):
+    # The JVM interprets methods of over 8,000 bytes, which made 600,000 rows take over a minute.
+    df = spark.createDataFrame([(1, 1.0, 2.0)], SCHEMA)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        state = measure_state(df, ["a", "b"], ["g"])
+        assert longest_method(spark, state) < 8000
+        assert longest_method(spark, exact_averages(state, ["a", "b"], ["g"])) < 8000
+        text = measure_state(df.select(*[df[c].cast("string").alias(c) for c in df.columns]), ["g", "a", "b"])
+        assert longest_method(spark, text) < 8000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -38,17 +38,13 @@ def _scaled(x: Column, places: Column) -> Column:
     return x * _power(places) * _power(places)
 
 
-def _limbs(x: Column, place: Column) -> list[Column]:
-    """The limbs of a finite double whose highest limb stands at ``place``."""
-    rest = F.abs(_scaled(x, TOP - place))
-    sign = F.signum(x).cast("bigint")
-    limbs = []
-    for j in reversed(range(len(LIMBS))):
-        weight = BASE**j
-        limb = F.floor(rest / weight) if j else rest
-        limbs.append((limb.cast("bigint") * sign).alias(LIMBS[j]))
-        rest = rest - F.floor(rest / weight) * weight
-    return limbs[::-1]
+def _limbs(high: Column, low: Column) -> list[Column]:
+    """The limbs of a size that is ``high`` times the square of the base, and ``low``; lowest first."""
+    mask = F.lit((1 << BITS) - 1)
+    return [
+        low.bitwiseAND(mask), F.shiftright(low, BITS),
+        high.bitwiseAND(mask), F.shiftright(high, BITS).bitwiseAND(mask), F.shiftright(high, 2 * BITS),
+    ]
 
 
 def measure_state(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -63,11 +59,17 @@ def measure_state(df: DataFrame, measures: Sequence[str], keys: Sequence[str] =
     has_bits = finite & (F.col("x") != 0)
     # Any place near the highest bit will do, as the limbs tell what is left exactly.
     place = F.when(has_bits, F.floor(F.log2(F.abs(x)) / BITS).cast("int"))
-    long = df.select(*keys, cells).withColumn("place", place)
-    parts = long.select(
+    # Each step is a projection of its own: as one expression the earlier ones would be written out
+    # again for every use, and the code of a row would be too long for the JVM to compile.
+    sized = df.select(*keys, cells).withColumn("place", place).withColumn("__power", _power(TOP - F.col("place")))
+    sized = sized.withColumn("__size", F.abs(x) * F.col("__power") * F.col("__power"))
+    sized = sized.withColumn("__high", F.floor(F.col("__size") / BASE**2))
+    sized = sized.withColumn("__low", (F.col("__size") - F.col("__high") * BASE**2).cast("bigint"))
+    sign = F.when(x < 0, F.lit(-1).cast("bigint")).otherwise(F.lit(1).cast("bigint"))
+    parts = sized.select(
         *keys, "measure", "place", "x",
         F.when(x.isNotNull() & ~finite, x).alias("__odd"),
-        *[F.when(F.col("place").isNotNull(), limb).otherwise(0).alias(name) for name, limb in zip(LIMBS, _limbs(x, F.col("place")))],
+        *[F.coalesce(limb * sign, F.lit(0)).alias(name) for name, limb in zip(LIMBS, _limbs(F.col("__high"), F.col("__low")))],
     )
     return parts.groupBy(*keys, "measure", "place").agg(
         F.count("*").alias("rows"),
@@ -97,10 +99,13 @@ def _normal(values: Column) -> Column:
     return F.aggregate(values, start, step)
 
 
-def _total(entries: Column) -> Column:
-    """The double next to the sum of ``entries`` (place and limbs), always found the same way."""
+def _with_total(df: DataFrame) -> DataFrame:
+    """``df`` with ``total``: the double next to the sum of its ``entries`` (place and limbs), 0 for none.
+
+    Always found the same way. What is used more than once is a column of its own, as in ``measure_state``.
+    """
+    entries, high = F.col("entries"), F.col("__high")
     places = F.transform(entries, lambda e: e["place"])
-    low, high = F.array_min(places) - TOP, F.array_max(places)
 
     def at(i: Column) -> Column:
         def add(total: Column, e: Column) -> Column:
@@ -109,18 +114,23 @@ def _total(entries: Column) -> Column:
 
         return F.aggregate(entries, F.lit(0).cast("bigint"), add)
 
-    values = F.transform(F.sequence(low, high), at)
-    up, down = _normal(values), _normal(F.transform(values, lambda v: -v))
-    negative = up["above"] < 0
-    found = F.when(negative, down).otherwise(up)
+    out = df.withColumns({"__low": F.array_min(places) - TOP, "__high": F.array_max(places)})
+    out = out.withColumn("__values", F.transform(F.sequence("__low", "__high"), at))
+    up, down = _normal(F.col("__values")), _normal(F.transform("__values", lambda v: -v))
+    out = out.withColumns({"__up": up, "__down": down})
+    negative = F.col("__up")["above"] < 0
+    out = out.withColumn("__found", F.when(negative, F.col("__down")).otherwise(F.col("__up")))
     # Highest first; leading zeros go.
-    digits = F.concat(F.array(found["above"]), found["limbs"])
-    first = F.array_position(F.transform(digits, lambda d: d != 0), True)
-    leading = F.slice(digits, F.greatest(first, F.lit(1)).cast("int"), LEADING)
-    size = F.aggregate(leading, F.lit(0.0), lambda total, d: total * BASE + d)
-    lowest = high + 1 - (F.greatest(first, F.lit(1)) - 1) - (F.size(leading) - 1)
-    value = _scaled(size, lowest.cast("double"))
-    return F.when(first == 0, 0.0).when(negative, -value).otherwise(value)
+    out = out.withColumn("__digits", F.concat(F.array(F.col("__found")["above"]), F.col("__found")["limbs"]))
+    out = out.withColumn("__first", F.array_position(F.transform("__digits", lambda d: d != 0), True))
+    leading = F.slice("__digits", F.greatest("__first", F.lit(1)).cast("int"), LEADING)
+    out = out.withColumn("__leading", leading)
+    size = F.aggregate("__leading", F.lit(0.0), lambda total, d: total * BASE + d)
+    lowest = high + 1 - (F.greatest("__first", F.lit(1)) - 1) - (F.size("__leading") - 1)
+    out = out.withColumns({"__size": size, "__lowest": lowest.cast("double")})
+    out = out.withColumn("__value", _scaled(F.col("__size"), F.col("__lowest")))
+    value = F.when(F.col("__first") == 0, 0.0).when(negative, -F.col("__value")).otherwise(F.col("__value"))
+    return out.select(*df.columns, F.when(F.size("entries") > 0, value).otherwise(0.0).alias("total"))
 
 
 def exact_averages(state: DataFrame, measures: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -133,9 +143,8 @@ def exact_averages(state: DataFrame, measures: Sequence[str], keys: Sequence[str
         F.sum("odd").alias("odd"),
         F.collect_list(F.when(F.col("place").isNotNull(), limbs)).alias("entries"),
     )
-    total = F.when(F.size("entries") > 0, _total(F.col("entries"))).otherwise(0.0)
-    average = F.try_divide(F.coalesce(F.col("odd"), total), F.col("n"))
-    averaged = one.select(*keys, "measure", "rows", average.alias("average"))
+    average = F.try_divide(F.coalesce("odd", "total"), F.col("n"))
+    averaged = _with_total(one).select(*keys, "measure", "rows", average.alias("average"))
     columns = [F.max(F.when(F.col("measure") == m, F.col("average"))).alias(f"avg_{m}") for m in measures]
     return averaged.groupBy(*keys).agg(F.coalesce(F.max("rows"), F.lit(0)).alias("rows"), *columns)
 

@@ -252,6 +252,27 @@ def test_rows_of_one_id_do_not_cover_each_other(make_docs):
     assert all(r.n_chars == len(r.text) for r in kept if r.text is not None)
 
 
+def test_windows_of_large_buckets_are_reduced_in_each_task(make_docs, monkeypatch):
+    rng = random.Random(31)
+    common = "".join(rng.choice("abcdefghij klmn") for _ in range(600))
+    rows = [(i, common + "".join(rng.choice("opqrst") for _ in range(30))) for i in range(60)]
+    monkeypatch.setattr(suffix, "LARGE", 20)
+    kept, store = {}, suffix.stored
+
+    def recorded(df, name):
+        kept[name] = store(df, name)
+        return kept[name]
+
+    monkeypatch.setattr(suffix, "stored", recorded)
+    left = {r.doc_id: r.text for r in suffix.without_repeats(make_docs(rows)).collect()}
+    assert {i: hashlib.sha256(t.encode()).hexdigest() for i, t in left.items()} == {i: r[3] for i, r in brute_removal(rows).items()}
+    windows = kept["suffix-parts"].where("large").selectExpr(f"sum(length(part) - {suffix.WINDOW - 1})").first()[0]
+    given = kept["suffix-windows"].where("kind = 0").count()
+    different = kept["suffix-windows"].where("kind = 0").select("key", "w1", "w2").distinct().count()
+    # Some are in each of the three portions; no task gives a window twice.
+    assert different <= given <= different + 2 * (windows - different) / 57 and given < windows
+
+
 @pytest.mark.parametrize("large", [suffix.LARGE, 1])
 def test_different_texts_without_or_of_one_id(spark, make_docs, large, monkeypatch):
     """Texts of different lengths, with passages at equal and at other places."""

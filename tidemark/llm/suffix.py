@@ -51,8 +51,10 @@ LONGEST = 1 << 28
 SAMPLED, FREQUENT, MOST_HOT = 64, 16, 4096
 #: Segments that a task holds before it gives them on.
 HELD = 2_000_000
-#: Bytes of small buckets that are sorted together.
-CHUNK = 1 << 20
+#: Windows of large buckets that a task holds before it gives them on.
+HELD_WINDOWS = 500_000
+#: Bytes of small buckets that are sorted together; sorting takes some hundred times as many.
+CHUNK = 1 << 18
 FIRST_ID = -(1 << 63)
 _PLACE = np.uint64((1 << 28) - 1)
 _FOUND = "kind int, key bigint, id bigint, digest bigint, a bigint, b bigint, large boolean"
@@ -390,10 +392,32 @@ def _fetch(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return found.mapInArrow(fetch, "key bigint, id bigint, digest bigint, a bigint, part binary, large boolean")
 
 
-def _group_windows(parts: DataFrame) -> DataFrame:
-    """Covered ranges of large buckets: the first of each window by partial minima, joined back."""
+def _group_windows(parts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Covered ranges of large buckets: the first of each window by partial minima, joined back.
+
+    A bucket is dealt out in portions of about ``LARGE`` segments. A task gives on its first of each
+    different window; equal ones after it are covered, and go as merged ranges.
+    """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+
+        def give() -> Iterator[pa.RecordBatch]:
+            key, one, two, ids, digest, p = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((p, digest, ids, two, one, key))
+            key, one, two, ids, digest, p = (x[order] for x in (key, one, two, ids, digest, p))
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
+            lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+            later = (ids != ids[lead]) | (digest != digest[lead]) | (p != p[lead])
+            if later.any():
+                covered = _covered(ids[later], digest[later], p[later], p[later] + WINDOW)
+                none = pa.array(np.zeros(covered.num_rows, np.int64))
+                yield covered.append_column("w1", none).append_column("w2", none)
+            first = _rows(0, key[new], ids[new], digest[new], p[new], p[new] + WINDOW)
+            yield first.append_column("w1", pa.array(one[new])).append_column("w2", pa.array(two[new]))
+
+        windows = 0
         for batch in batches:
             for key, who, which, a, part in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
                 data = np.frombuffer(part, np.uint8)
@@ -401,15 +425,25 @@ def _group_windows(parts: DataFrame) -> DataFrame:
                 h = prefix_hash(data)
                 one, two = span_hash(h, at, at + WINDOW), span_hash(prefix_hash(data[::-1]), len(data) - WINDOW - at, len(data) - at)
                 n = len(at)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (np.full(n, key), one.view(np.int64), two.view(np.int64), np.full(n, who), np.full(n, which), a + at)],
-                    ["key", "w1", "w2", "id", "digest", "p"],
-                )
+                held.append((np.full(n, key), one.view(np.int64), two.view(np.int64), np.full(n, who), np.full(n, which), a + at))
+                windows += n
+                if windows >= HELD_WINDOWS:
+                    yield from give()
+                    held.clear()
+                    windows = 0
+        if held:
+            yield from give()
 
-    found = stored(parts.mapInArrow(spread, "key bigint, w1 bigint, w2 bigint, id bigint, digest bigint, p bigint"), "suffix-windows")
-    first = stored(found.groupBy("key", "w1", "w2").agg(F.min(F.struct("id", "digest", "p")).alias("f"), F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-first")
-    later = found.join(first, ["key", "w1", "w2"]).where(F.struct("id", "digest", "p") != F.col("f"))
-    return later.select(F.lit(1).alias("kind"), "key", "id", "digest", F.col("p").alias("a"), (F.col("p") + WINDOW).alias("b"), F.lit(False).alias("large"))
+    portion = F.pmod(F.xxhash64("id", "digest", "a"), F.ceil(F.col("n") / LARGE))
+    dealt = parts.join(sizes.where(F.col("n") > LARGE), "key").withColumn("portion", portion)
+    dealt = dealt.repartition("key", "portion").sortWithinPartitions("key", "portion").select(*parts.columns)
+    found = stored(dealt.mapInArrow(spread, f"{_FOUND}, w1 bigint, w2 bigint"), "suffix-windows")
+    some = found.where("kind = 0")
+    window, place = ["key", "w1", "w2"], F.struct("id", "digest", "a")
+    first = stored(some.groupBy(*window).agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-first")
+    later = some.join(first, window).where(place != F.col("f")).withColumn("kind", F.lit(1))
+    names = ["kind", "key", "id", "digest", "a", "b", "large"]
+    return found.where("kind = 1").select(*names).unionByName(later.select(*names))
 
 
 def covered_ranges(docs: DataFrame) -> DataFrame:
@@ -421,7 +455,7 @@ def covered_ranges(docs: DataFrame) -> DataFrame:
     parts = stored(_fetch(docs, asked), "suffix-parts")
     ranges = found.where("kind = 1").unionByName(_sort_buckets(parts.where("not large").drop("large")))
     if parts.where("large").take(1):
-        ranges = ranges.unionByName(_group_windows(parts.where("large").drop("large")))
+        ranges = ranges.unionByName(_group_windows(parts.where("large").drop("large"), sizes))
     return ranges.groupBy("id", "digest").agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
 
 

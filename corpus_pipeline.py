@@ -20,8 +20,8 @@ from tidemark.session import scratch_dir
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language; those without a letter, in another script or of random
-    characters go. With no labelled rows only the letters count."""
+    """Documents in a known language, which becomes their ``lang``; those without a letter, in another script
+    or of random characters go. With no labelled rows only the letters count and ``lang`` stays as given."""
     return with_language(docs, fit_language(docs))
 
 
@@ -63,11 +63,12 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The words that the mix takes of each document; every row has one.
+    """The words that the mix takes of each document, and its language; every row has one.
 
     Empty texts have size 0 and a null source is a source. Ties go by the text's digest.
     """
-    return mix_sources(docs).select("doc_id", "source", "size", "source_size", "target", "copies", "taken")
+    names = ["doc_id", "source", "size", "source_size", "target", "copies", "taken"]
+    return mix_sources(docs, keep=("lang",)).select(*names, "lang")
 
 
 STAGES = [

@@ -60,6 +60,17 @@ def test_language_without_letters_or_labels(spark, make_docs):
     assert [r.doc_id for r in language.with_language(odd, model).collect()] == [4, 5, None, 5, 6]
     assert language.fit_language(make_docs([(1, "x")])) is None
     assert {r.lang_pred for r in language.predict_language(odd, None).collect()} == {"und"}
+
+
+def test_the_predicted_language_goes_on(make_docs):
+    rng = random.Random(1)
+    syllables = {"aa": ["ba", "lo", "mi"], "bb": ["xü", "ßt", "krö"]}
+    rows = [(i, " ".join("".join(rng.choices(syllables[x], k=3)) for _ in range(30)), x) for i, x in enumerate(["aa", "bb"] * 30)]
+    model = language.fit_language(make_docs(rows))
+    # The prediction goes on in ``lang``, whatever stood there, and without a model it stays.
+    labelled = make_docs([(4, "balomi lomiba", None), (5, "ßtxü krökrö", "aa"), (6, None, "bb")])
+    assert {r.doc_id: r.lang for r in language.with_language(labelled, model).collect()} == {4: "aa", 5: "bb"}
+    assert {r.doc_id: r.lang for r in language.with_language(labelled, None).collect()} == {4: None, 5: "aa"}
     assert language.predict_language(make_docs([]), model).collect() == []
 
 

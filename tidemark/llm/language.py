@@ -149,23 +149,29 @@ def predict_language(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
 
 def with_language(docs: DataFrame, model: LanguageModel | None, least: float = LEAST_FAMILIAR) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are in a known language.
+    """The rows of ``docs``, with all their columns, that are in a known language; ``lang`` is the predicted one.
 
     Texts without a letter go, and those of which less than ``least`` is ``familiar``: texts in
-    another script, random letters, encoded bytes. Without a model only the letters count.
+    another script, random letters, encoded bytes. Without a model only the letters count, and
+    ``lang`` stays as given.
     """
     place = docs.columns.index("text")
+    lang_at = docs.columns.index("lang") if "lang" in docs.columns else None
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
             good = np.zeros(batch.num_rows, bool)
+            names = np.full(batch.num_rows, "und", object)
             for first, last, data, offsets in text_slices(batch.column(place), rows=SLICE_ROWS):
                 known = has_letter(data, offsets)
                 if model:
                     known &= model.familiar(data, offsets) >= least
+                    names[first:last] = np.array(model.langs, object)[model.scores(data, offsets).argmax(axis=1)]
                 good[first:last] = known
+            if model and lang_at is not None:
+                batch = batch.set_column(lang_at, "lang", pa.array(names, batch.column(lang_at).type))
             yield batch.filter(pa.array(good))
 
     return docs.mapInArrow(keep, docs.schema)

@@ -140,10 +140,10 @@ def entropy_multipliers(sizes: DataFrame, targets: DataFrame, ceiling: int = CEI
     return state.select(*keys, "unit", F.when(~F.col("full"), F.round("theta", DECIMALS)).alias("theta"))
 
 
-def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: int = CEILING) -> DataFrame:
-    """doc_id, source, size, source_size, target, rate, copies, taken for every document."""
+def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling: int = CEILING, keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, source, size, source_size, target, rate, copies, taken and the columns ``keep`` for every document."""
     digest = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest.alias("digest"))
+    sized = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), digest.alias("digest"), *keep)
     sized = sized.withColumns({"has": F.col("source").isNull(), "key": F.coalesce("source", F.lit(""))})
     sized = stored(sized, "mix-sizes")
     keyed = {"has": F.col("source").isNull(), "key": F.coalesce("source", F.lit(""))}
@@ -195,7 +195,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling:
     place = F.row_number().over(Window.partitionBy(*keys, "chunk").orderBy("doc_id", "size", "digest"))
     cum = lambda k: F.floor(k * F.col("per") + OFFSET)
     nth = F.col("first") + F.col("__k")
-    columns = ["doc_id", "source", "has", "key", "size", "copies"]
+    columns = ["doc_id", "source", "has", "key", "size", "copies", *keep]
     counted = (
         placed.withColumn("__k", place)
         .join(starts, [*keys, "chunk"])
@@ -209,7 +209,7 @@ def mix_sources(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, ceiling:
     return (
         counted.unionByName(empty)
         .join(info, ["has", "key"])
-        .select("doc_id", "source", "size", "source_size", "target", own_rate.alias("rate"), "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"))
+        .select("doc_id", "source", "size", "source_size", "target", own_rate.alias("rate"), "copies", (F.col("copies") * F.col("size")).cast("long").alias("taken"), *keep)
     )
 
 

@@ -195,3 +195,21 @@ def test_states_of_files_are_kept(spark, tmp_path):
     assert averages() == (4, 6.0, 2.0, 3.0, 3.0) and spark.read.parquet(f"{folder}/states").count() == before
     (data / "a.csv").unlink()
     assert averages() == (2, 8.5, 2.0, 3.0, 1.0)
+
+
+def test_a_cell_deals_its_rows_without_a_sort(spark, monkeypatch):
+    from tidemark.plans import sweep
+
+    key, during, plain = "spark.sql.execution.sortBeforeRepartition", [], sweep.timed
+    before = spark.conf.get(key)
+
+    def timed(step):
+        during.append(spark.conf.get(key))
+        return plain(step)
+
+    monkeypatch.setattr(sweep, "timed", timed)
+    df = spark.range(0, 1000, 1, 3).select((F.col("id") / 7).alias("x"))
+    rows = partition_sweep(spark, [Case(1, lambda: df)], "repartition", ["x"]).collect()
+    assert [(r.partitions, r.rows) for r in rows] == [(1, 1000), (2, 1000), (3, 1000)]
+    # The first is the creation, and each cell is one more.
+    assert during[1:] == ["false"] * 3 and spark.conf.get(key) == before

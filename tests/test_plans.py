@@ -213,3 +213,29 @@ def test_a_cell_deals_its_rows_without_a_sort(spark, monkeypatch):
     assert [(r.partitions, r.rows) for r in rows] == [(1, 1000), (2, 1000), (3, 1000)]
     # The first is the creation, and each cell is one more.
     assert during[1:] == ["false"] * 3 and spark.conf.get(key) == before
+
+
+def test_a_large_year_is_staged_by_several_tasks(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from tidemark.plans.queries import LINE_MEASURES, staged_years
+
+    lines = spark.range(0, 60000, 1, 6).select(
+        F.make_date(F.when(F.col("id") % 50 == 0, 1996).otherwise(1995), F.lit(3), F.lit(4)).cast("timestamp_ntz").alias("l_shipdate"),
+        *[F.rand(i).alias(m) for i, m in enumerate(LINE_MEASURES)],
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        paths = staged_years(spark, str(tmp_path))
+    finally:
+        spark.conf.set(key, before)
+    assert [spark.read.parquet(path).count() for path in paths] == [58800, 1200]
+    files = glob.glob(f"{paths[0].removeprefix('file:')}/*.parquet")
+    assert len(files) > 1
+    # One task reads them all for a cell of one partition.
+    assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}

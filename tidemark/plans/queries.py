@@ -519,10 +519,14 @@ def row_budget_files(spark, folder):
 
 
 def staged_years(spark: SparkSession, folder: str) -> list[str]:
-    """``lineitem`` as one Parquet folder per ship year, in order."""
+    """``lineitem`` as one Parquet folder per ship year, in order.
+
+    Rebalanced, so that a year, or several that fall together, may be cut into several tasks. A cell of
+    one partition reads all files in one task, so they are made small.
+    """
     root = scratch_dir(spark, "years")
-    lines = lines_by_year(spark, folder)
-    lines.repartition("dataset").write.partitionBy("dataset").parquet(root)
+    lines = lines_by_year(spark, folder).hint("rebalance", F.col("dataset"))
+    lines.write.partitionBy("dataset").option("compression", "zstd").parquet(root)
     return year_paths(spark, root)
 
 

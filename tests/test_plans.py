@@ -197,6 +197,28 @@ def test_states_of_files_are_kept(spark, tmp_path):
     assert averages() == (2, 8.5, 2.0, 3.0, 1.0)
 
 
+def test_states_are_summed_without_the_names_of_files(spark, tmp_path, monkeypatch):
+    from tests.test_sources import HEADER_A, HEADER_B, write
+    from tidemark.operators import exact_averages, measure_state
+    from tidemark.sources import refresh_measure_states, states
+
+    data = tmp_path / "da ta+1"
+    data.mkdir()
+    write(data / "a%20.csv", HEADER_A, "t,1.0,2,3,4", "t,,2,x,4")
+    write(data / "b#.csv", HEADER_B, "t,1,7.0,2,3")
+    keys = []
+
+    def seen(df, measures, by=()):
+        keys.extend(dict(df.dtypes)[key] for key in by)
+        return measure_state(df, measures, by)
+
+    monkeypatch.setattr(states, "measure_state", seen)
+    found = refresh_measure_states(spark, [str(data)], str(tmp_path / "states"), MEASURES)
+    assert keys and "string" not in keys
+    by_file = {r.file.rsplit("/", 1)[-1]: tuple(r)[1:] for r in exact_averages(found, MEASURES, ["file"]).collect()}
+    assert by_file == {"a%20.csv": (2, 1.0, 2.0, 3.0, 4.0), "b#.csv": (1, 7.0, 2.0, 3.0, 1.0)}
+
+
 def test_a_cell_deals_its_rows_without_a_sort(spark, monkeypatch):
     from tidemark.plans import sweep
 

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from tidemark.session import written_side
 
-FILE, BLOCK = "scan_file", "scan_block"
+FILE, BLOCK, URI = "scan_file", "scan_block", "scan_uri"
 
 
 def plain_file(file_path: Column) -> Column:

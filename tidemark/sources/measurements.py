@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import as_measure, dataset_of_file
-from tidemark.operators.ordering import first_rows, with_scan_position
+from tidemark.operators.ordering import URI, first_rows, with_scan_position
 from tidemark.sources.file_catalog import (
     FileHeader,
     Headers,
@@ -87,6 +87,7 @@ def read_measurements(
     base_path: str | None = None,
     with_dataset: bool = False,
     with_position: bool = False,
+    with_uri: bool = False,
     one_header: bool = False,
     check_headers: bool = True,
     headers: Headers | None = None,
@@ -109,10 +110,11 @@ def read_measurements(
     ``base_path`` is the root that ``write_measurements`` wrote to, if the paths lie
     below one; its folders then give a ``dataset`` column that prunes files.
     ``with_dataset`` takes that column from the file names instead (``NAME.csv``).
-    ``with_position`` adds the scan position that ``with_row_index`` needs.
+    ``with_position`` adds the scan position that ``with_row_index`` needs. ``with_uri`` adds ``scan_uri``,
+    the path as the scan has it, which is the ``uri`` of a catalog.
     ``multi_line`` allows quoted cells that go over line breaks; files are then not cut.
     """
-    own = pinned(spark) if with_position else spark
+    own = pinned(spark) if with_position or with_uri else spark
     reader = own.read.option("header", True).option("multiLine", multi_line)
     if base_path is not None:
         reader = reader.option("basePath", base_path)
@@ -123,6 +125,8 @@ def read_measurements(
         names = [*columns, "dataset"] if base_path is not None else columns
         schema = T.StructType([T.StructField(name, T.StringType()) for name in names])
         df = reader.option("enforceSchema", by_place or not check_headers).schema(schema).csv(files)
+        if with_uri:
+            df = df.select("*", F.col("_metadata.file_path").alias(URI))
         return with_scan_position(df) if with_position else df
 
     def file_dataset(df: DataFrame) -> DataFrame:

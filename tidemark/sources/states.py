@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators.exact import STATE, STATE_SCHEMA, measure_state
-from tidemark.operators.ordering import FILE
+from tidemark.operators.ordering import URI
 from tidemark.session import written_side
 from tidemark.sources.file_catalog import KEY, catalog_headers, refresh_catalog
 from tidemark.sources.measurements import read_measurements
@@ -50,11 +50,15 @@ def refresh_measure_states(
     columns = [*KEY, "measure", "place", *STATE]
     if files:
         headers = catalog_headers(new, files)
-        rows = read_measurements(spark, files, headers=headers, base_path=base_path, with_position=True)
+        rows = read_measurements(spark, files, headers=headers, base_path=base_path, with_uri=True)
         lacking = [m for m in measures if m not in rows.columns]
         rows = rows.withColumns({m: F.lit(None).cast("string") for m in lacking})
-        made = measure_state(rows.withColumnRenamed(FILE, "file"), measures, ["file"])
-        made.join(new.select(*KEY), "file").select(*columns).write.mode("append").parquet(states)
+        # Summed under two hashes of the path, 128 bits together: the name of a file would be made anew,
+        # and compared as text, for every cell.
+        keys = lambda uri: {"__k1": F.xxhash64(uri), "__k2": F.xxhash64(F.lit(1), uri)}
+        made = measure_state(rows.withColumns(keys(URI)), measures, ["__k1", "__k2"])
+        known = new.select(*KEY, "uri").withColumns(keys("uri")).drop("uri")
+        made.join(known, ["__k1", "__k2"]).select(*columns).write.mode("append").parquet(states)
     # Files without rows have a state of nothing, so that they are not looked at again.
     none = new.filter("rows = 0").select(*KEY, F.lit(measures[0]).alias("measure"), F.lit(None).cast("int").alias("place"))
     if none.take(1):

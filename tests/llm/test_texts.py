@@ -273,6 +273,29 @@ def test_windows_of_large_buckets_are_reduced_in_each_task(make_docs, monkeypatc
     assert different <= given <= different + 2 * (windows - different) / 57 and given < windows
 
 
+def test_large_buckets_are_halved_not_spread_by_window(make_docs, monkeypatch):
+    """A passage in many texts that differ on both sides of it: few of its windows are given on."""
+    rng = random.Random(37)
+    common = "".join(rng.choice("abcdefghij klmn") for _ in range(130))
+    rows = [(i, "".join(rng.choice("opqrst") for _ in range(80)) + common + "".join(rng.choice("opqrst") for _ in range(80))) for i in range(60)]
+    monkeypatch.setattr(suffix, "LARGE", 20)
+    given, kept, store = [], {}, suffix.stored
+
+    def recorded(df, name):
+        kept[name] = store(df, name)
+        if name == "suffix-windows":
+            given.append(kept[name].where("kind = 0").count())
+        return kept[name]
+
+    monkeypatch.setattr(suffix, "stored", recorded)
+    left = {r.doc_id: r.text for r in suffix.without_repeats(make_docs(rows)).collect()}
+    assert {i: hashlib.sha256(t.encode()).hexdigest() for i, t in left.items()} == {i: r[3] for i, r in brute_removal(rows).items()}
+    segments, windows = kept["suffix-parts"].where("large").selectExpr("count(*)", f"sum(length(part) - {suffix.WINDOW - 1})").first()
+    assert windows > 20 * segments
+    # Only the two pieces at the ends of the passage are left each time, and give two rows each.
+    assert all(n <= 4 * segments for n in given) and 3 * sum(given) < windows
+
+
 @pytest.mark.parametrize("large", [suffix.LARGE, 1])
 def test_different_texts_without_or_of_one_id(spark, make_docs, large, monkeypatch):
     """Texts of different lengths, with passages at equal and at other places."""

@@ -17,7 +17,8 @@ order of a hash of their text.
    longer ties by the ranks of a difference-cover sample. For two windows there is a shift under
    ``PERIOD`` that takes both to sampled places; equal ranks there and equal ends make them equal.
    So memory is bounded by a bucket. A bucket of over ``LARGE`` segments, say of a passage in very
-   many documents, is not sorted in one task: its windows are grouped by hash instead.
+   many documents, is not sorted in one task: it is halved by the place of its string, and equal
+   pieces of segments are settled by hash, until buckets are small.
 3. Covered ranges are merged for each document, and the text without them is made.
 
 Cases. Null or empty text, or under ``WINDOW`` bytes: nothing removed. Very long texts: whole;
@@ -32,10 +33,11 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import INVERSE, mix, powers, prefix_hash, span_hash, stored, table, text_slices
@@ -51,8 +53,8 @@ LONGEST = 1 << 28
 SAMPLED, FREQUENT, MOST_HOT = 64, 16, 4096
 #: Segments that a task holds before it gives them on.
 HELD = 2_000_000
-#: Windows of large buckets that a task holds before it gives them on.
-HELD_WINDOWS = 500_000
+#: Segments or pieces of large buckets that a task holds before it gives their halves on.
+HELD_PARTS = 50_000
 #: Bytes of small buckets that are sorted together; sorting takes some hundred times as many.
 CHUNK = 1 << 18
 FIRST_ID = -(1 << 63)
@@ -392,58 +394,120 @@ def _fetch(docs: DataFrame, asked: DataFrame) -> DataFrame:
     return found.mapInArrow(fetch, "key bigint, id bigint, digest bigint, a bigint, part binary, large boolean")
 
 
-def _group_windows(parts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Covered ranges of large buckets: the first of each window by partial minima, joined back.
+def anchors(data: np.ndarray, offsets: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Where the string of its bucket, of hash ``key``, first stands in each segment."""
+    h = prefix_hash(data)
+    gram = mix((h[GRAM:] - h[:-GRAM]) * powers(INVERSE, len(data) - GRAM + 1))
+    owner = np.repeat(np.arange(len(key)), np.diff(offsets))[: len(gram)]
+    # One over the border of two segments comes after that of the first.
+    hit = np.flatnonzero(gram == key[owner])
+    _, first = np.unique(owner[hit], return_index=True)
+    return hit[first] - offsets[:-1]
 
-    A bucket is dealt out in portions of about ``LARGE`` segments. A task gives on its first of each
-    different window; equal ones after it are covered, and go as merged ranges.
+
+def _group_windows(parts: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Covered ranges of large buckets, which are halved by the place of their string in a window.
+
+    It stands ``lo`` to ``hi`` bytes from the start of a segment's windows, 0 to 68 at first. Each
+    segment is cut into a piece for each half of that range. All windows of a piece have the
+    ``lo`` bytes before the string and the 68 - ``hi`` after it, and so have windows equal to them:
+    these bytes tell the next, smaller bucket. A piece equal to an earlier one is covered, and goes;
+    buckets of up to ``LARGE`` pieces that are left are sorted, and larger ones halved again. After seven
+    times a piece is a window. Pieces inside a passage are equal and those beyond it alone in their
+    bucket, so of a segment only the two at the ends of the passage are left as a rule; each gives two rows.
+
+    A bucket is dealt out in portions of about ``LARGE`` pieces. A task gives on its first of each
+    different piece; equal ones after it go as merged ranges.
     """
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
+        raw: list[bytes] = []
+
+        def more(rows: pa.RecordBatch, *columns: pa.Array) -> pa.RecordBatch:
+            for name, column in zip(("w1", "w2", "at", "lo", "hi", "part"), columns, strict=True):
+                rows = rows.append_column(name, column)
+            return rows
 
         def give() -> Iterator[pa.RecordBatch]:
-            key, one, two, ids, digest, p = (np.concatenate(x) for x in zip(*held, strict=True))
-            order = np.lexsort((p, digest, ids, two, one, key))
-            key, one, two, ids, digest, p = (x[order] for x in (key, one, two, ids, digest, p))
+            columns = [np.concatenate(x) for x in zip(*held, strict=True)]
+            key, one, two, ids, digest, a = columns[:6]
+            order = np.lexsort((a, digest, ids, two, one, key))
+            key, one, two, ids, digest, a, b, at, lo, hi, row, skip = (x[order] for x in columns)
             new = np.ones(len(key), bool)
             new[1:] = (key[1:] != key[:-1]) | (one[1:] != one[:-1]) | (two[1:] != two[:-1])
             lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-            later = (ids != ids[lead]) | (digest != digest[lead]) | (p != p[lead])
+            later = (ids != ids[lead]) | (digest != digest[lead]) | (a != a[lead])
             if later.any():
-                covered = _covered(ids[later], digest[later], p[later], p[later] + WINDOW)
-                none = pa.array(np.zeros(covered.num_rows, np.int64))
-                yield covered.append_column("w1", none).append_column("w2", none)
-            first = _rows(0, key[new], ids[new], digest[new], p[new], p[new] + WINDOW)
-            yield first.append_column("w1", pa.array(one[new])).append_column("w2", pa.array(two[new]))
+                covered = _covered(ids[later], digest[later], a[later], b[later] + WINDOW)
+                none = np.zeros(covered.num_rows, np.int64)
+                yield more(covered, *[pa.array(none)] * 5, pa.nulls(covered.num_rows, pa.binary()))
+            some = zip(row[new].tolist(), skip[new].tolist(), (b - a)[new].tolist(), strict=True)
+            piece = pa.array([raw[r][s : s + n + WINDOW] for r, s, n in some], pa.binary())
+            first = _rows(0, key[new], ids[new], digest[new], a[new], b[new])
+            yield more(first, *(pa.array(x[new].astype(np.int64)) for x in (one.view(np.int64), two.view(np.int64), at, lo, hi)), piece)
 
-        windows = 0
         for batch in batches:
-            for key, who, which, a, part in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
-                data = np.frombuffer(part, np.uint8)
-                at = np.arange(len(data) - WINDOW + 1)
-                h = prefix_hash(data)
-                one, two = span_hash(h, at, at + WINDOW), span_hash(prefix_hash(data[::-1]), len(data) - WINDOW - at, len(data) - at)
-                n = len(at)
-                held.append((np.full(n, key), one.view(np.int64), two.view(np.int64), np.full(n, who), np.full(n, which), a + at))
-                windows += n
-                if windows >= HELD_WINDOWS:
+            columns = [batch.column(i).to_numpy() for i in (0, 1, 2, 3, 5, 6, 7)]
+            for first, last, data, offsets in text_slices(batch.column(4), rows=HELD_PARTS):
+                key, ids, digest, a, at, lo, hi = (c[first:last] for c in columns)
+                key = key.view(np.uint64)
+                at = np.where(at < 0, anchors(data, offsets, key), at) if (at < 0).any() else at
+                start, size, end = offsets[:-1], np.diff(offsets), len(data)
+                ahead, back = prefix_hash(data), prefix_hash(data[::-1])
+                middle = (lo + hi) // 2
+                for x, y in ((lo, middle), (middle + 1, hi)):
+                    # First and last window of the piece in its segment.
+                    s, e = np.maximum(at - y, 0), np.minimum(at - x, size - WINDOW)
+                    on = np.flatnonzero((x <= y) & (s <= e))
+                    begin, stop = (start + s)[on], (start + e + WINDOW)[on]
+                    inner = span_hash(ahead, (start + at - x)[on], (start + at + WINDOW - y)[on])
+                    held.append(
+                        (
+                            mix(mix(inner ^ key[on]) + x[on].astype(np.uint64)),
+                            span_hash(ahead, begin, stop),
+                            span_hash(back, end - stop, end - begin),
+                            *(c[on] for c in (ids, digest, a + s, a + e, at - s, x, y)),
+                            len(raw) + on,
+                            s[on],
+                        )
+                    )
+                raw += batch.column(4).slice(first, last - first).to_pylist()
+                if len(raw) >= HELD_PARTS:
                     yield from give()
                     held.clear()
-                    windows = 0
+                    raw.clear()
         if held:
             yield from give()
 
+    names = ["key", "id", "digest", "a", "part", "at", "lo", "hi"]
+    kinds = f"{_FOUND}, w1 bigint, w2 bigint, at bigint, lo bigint, hi bigint, part binary"
     portion = F.pmod(F.xxhash64("id", "digest", "a"), F.ceil(F.col("n") / LARGE))
-    dealt = parts.join(sizes.where(F.col("n") > LARGE), "key").withColumn("portion", portion)
-    dealt = dealt.repartition("key", "portion").sortWithinPartitions("key", "portion").select(*parts.columns)
-    found = stored(dealt.mapInArrow(spread, f"{_FOUND}, w1 bigint, w2 bigint"), "suffix-windows")
-    some = found.where("kind = 0")
-    window, place = ["key", "w1", "w2"], F.struct("id", "digest", "a")
-    first = stored(some.groupBy(*window).agg(F.min(place).alias("f"), F.count("*").alias("n")).where("n > 1").drop("n"), "suffix-first")
-    later = some.join(first, window).where(place != F.col("f")).withColumn("kind", F.lit(1))
-    names = ["kind", "key", "id", "digest", "a", "b", "large"]
-    return found.where("kind = 1").select(*names).unionByName(later.select(*names))
+    place = F.struct("id", "digest", "a")
+    # Rows of a piece: one for each portion at most, but for portions that are held in turns.
+    in_order = Window.partitionBy("key", "w1", "w2").orderBy("id", "digest", "a")
+    columns = ["kind", "key", "id", "digest", "a", "b", "large"]
+    parts = parts.withColumns({"at": F.lit(-1).cast("bigint"), "lo": F.lit(0).cast("bigint"), "hi": F.lit(WINDOW - GRAM).cast("bigint")})
+    many = sizes.where(F.col("n") > LARGE)
+    ranges, small = [], []
+    for _ in range((WINDOW - GRAM).bit_length()):
+        # There is one large bucket for each LARGE rows at most.
+        dealt = parts.join(F.broadcast(many), "key").withColumn("portion", portion)
+        dealt = dealt.repartition("key", "portion").sortWithinPartitions("key", "portion").select(*names)
+        found = stored(dealt.mapInArrow(spread, kinds), "suffix-windows")
+        ranked = found.where("kind = 0").withColumns({"nth": F.row_number().over(in_order), "f": F.first(place).over(in_order)})
+        ranked = stored(ranked, "suffix-pieces")
+        later = ranked.where(place != F.col("f")).withColumns({"kind": F.lit(1), "b": F.col("b") + WINDOW})
+        ranges += [found.where("kind = 1").select(*columns), later.select(*columns)]
+        parts = ranked.where("nth = 1").select(*names)
+        counts = stored(parts.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "suffix-piece-sizes")
+        many = counts.where(F.col("n") > LARGE)
+        rest = parts.join(F.broadcast(many.select("key")), "key", "left_anti")
+        small.append(rest.join(counts, "key", "left_semi").select("key", "id", "digest", "a", "part"))
+        if not many.take(1):
+            break
+    ranges.append(_sort_buckets(reduce(DataFrame.unionByName, small)))
+    return reduce(DataFrame.unionByName, ranges)
 
 
 def covered_ranges(docs: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import MEASURES, avg_measures
-from tidemark.plans import build_dataset_list, ingest_grids, partition_study, partition_sweep
+from tidemark.operators import MEASURES, avg_measures, partition_count, partition_sizes
+from tidemark.plans import build_dataset_list, ingest_grids, partition_study, partition_sweep, queries
+from tidemark.plans import study as study_plan
 from tidemark.plans.study import file_cases
 from tidemark.plans.sweep import Case
-from tidemark.sources import read_measurements
+from tidemark.sources import measurements, part_count, read_measurements
 
 HOST = "https://h/auto"
 
@@ -261,3 +262,77 @@ def test_a_large_year_is_staged_by_several_tasks(spark, tmp_path):
     assert len(files) > 1
     # One task reads them all for a cell of one partition.
     assert {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files} == {"ZSTD"}
+
+
+def test_parts_are_even_and_in_order(spark, tmp_path):
+    points = [("a", i, [float(i)] * 50) for i in range(160)] + [("b", i, [0.0] * 50) for i in range(40)]
+    grids = spark.createDataFrame(points, "dataset string, vec_id int, temperature array<double>").repartition(3)
+    root = str(tmp_path / "csv")
+    ingest_grids(grids, {"time": None}, {"temperature": ("time",)}, root, order_by=["vec_id"], parts=10)
+    df = read_measurements(spark, [root], base_path=root).withColumn("file", F.input_file_name())
+    part = F.regexp_extract("file", r"part-(\d+)", 1)
+    sizes = [r["count"] for r in df.groupBy(part.alias("part")).count().collect()]
+    assert len(sizes) == 10 and sum(sizes) == 10_000 and max(sizes) < 2_000
+    # A dataset goes on in its next part.
+    ends = df.filter("dataset = 'a'").groupBy(part.alias("part")).agg(
+        F.min(F.col("temperature").cast("double")).alias("low"), F.max(F.col("temperature").cast("double")).alias("high")
+    )
+    rows = ends.orderBy("part").collect()
+    assert len(rows) > 5 and all(a.high <= b.low for a, b in zip(rows, rows[1:]))
+    with pytest.raises(ValueError, match="parts"):
+        ingest_grids(grids, {"time": None}, {"temperature": ("time",)}, root, rebalance=False, parts=10)
+
+
+def test_part_count(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [part_count(spark, rows) for rows in (0, 1, 1 << 17, (1 << 17) + 1)] == [1, 1, 1, 2]
+    assert part_count(spark, 12 * cores << 20) == 12 * cores
+    assert part_count(spark, 100 * cores << 22) == 100 * cores
+
+
+def test_study_of_whole_files(spark, tmp_path):
+    (tmp_path / "list.txt").write_text("".join(f"{HOST}/p{i}.nc\n" for i in range(2)))
+    for i in range(2):
+        (tmp_path / f"p{i}.csv").write_text(f'note,depth\n"two\nlines",{i}\n,\nplain,4\n')
+    options = dict(mode="repartition", measures=["depth"], fractions=((1, 2), (1, 1)))
+    args = [spark, str(tmp_path / "list.txt"), str(tmp_path)]
+    with pytest.raises(ValueError, match="multi_line"):
+        partition_study(*args, str(tmp_path / "lines"), **options)
+    with pytest.raises(ValueError, match="rows"):
+        partition_study(*args, str(tmp_path / "rows"), row_budget=2, multi_line=True, **options)
+    study = partition_study(*args, str(tmp_path / "whole"), multi_line=True, **options)
+    cells = {(r.scale, r.rows, r.avg_depth) for r in study.timings.collect()}
+    assert cells == {(1, 3, 2.0), (2, 6, 2.25)}
+
+
+def test_study_chain_scans_even_whole_files(spark, tmp_path, monkeypatch):
+    vectors = spark.range(400).selectExpr(
+        "id AS vec_id", "transform(sequence(1, 20), i -> cast(id + i / 8 AS float)) AS embedding",
+        "cast(greatest(id % 8, 4) AS int) AS label",
+    )
+    vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
+    monkeypatch.setattr(measurements, "FEWEST_ROWS", 100)
+    scans = []
+
+    class Stop(Exception):
+        pass
+
+    def capture(spark, cases, *_, **__):
+        scans.extend(case.build() for case in cases)
+        raise Stop
+
+    monkeypatch.setattr(study_plan, "partition_sweep", capture)
+    with pytest.raises(Stop):
+        queries.study_chain(spark, str(tmp_path))
+    # Several files for each core, as many rows in one partition as in the other.
+    whole = scans[-1]
+    assert len(whole.inputFiles()) >= 8 * spark.sparkContext.defaultParallelism
+    sizes = [r.rows for r in partition_sizes(whole).collect()]
+    assert sum(sizes) == 8_000 and max(sizes) < 2 * sum(sizes) / len(sizes)
+    # No file is cut, however small the partitions of a scan.
+    own = spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "512")
+    del scans[:]
+    with pytest.raises(Stop):
+        queries.study_chain(own, str(tmp_path))
+    assert partition_count(scans[-1]) <= len(scans[-1].inputFiles())

@@ -20,18 +20,19 @@ def ingest_grids(
     dataset: str = "dataset",
     order_by: Sequence[str] = (),
     rebalance: bool = True,
+    parts: int | None = None,
 ) -> None:
     """Flatten every dataset of ``grids`` and write its rows, in grid order, as CSV.
 
     Grid order is that of the arrays, whatever their coordinates are. A dataset given as
     several rows of ``grids`` takes them in the order of the columns ``order_by``, which are
     not written. With one row per dataset, its points are together already, and
-    ``rebalance=False`` spares the shuffle.
+    ``rebalance=False`` spares the shuffle. ``parts`` is for ``write_measurements``.
     """
     flat = flatten_grid(grids, dims, variables, keep=[dataset, *order_by], positions=True)
     order = [*order_by, *[f"pos_{dim}" for dim in dims]]
     write_measurements(
-        flat, path, dataset=dataset, sort_by=order, drop=order, rebalance=rebalance
+        flat, path, dataset=dataset, sort_by=order, drop=order, rebalance=rebalance, parts=parts
     )
 
 

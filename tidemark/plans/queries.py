@@ -801,14 +801,14 @@ def flatten_blocks(spark, folder):
 STUDY_HOST = "https://h.example/auto"
 
 
-def ingested(spark: SparkSession, folder: str) -> str:
+def ingested(spark: SparkSession, folder: str, parts: int | None = None) -> str:
     """The vectors as CSV by label, in the order of their ids, with falling coordinates."""
     root = scratch_dir(spark, "grids")
     falling = F.transform("embedding", lambda _, i: F.size("embedding") - i)
     grids = table(spark, folder, "embeddings").withColumn("at", falling)
     grids = grids.withColumnRenamed("label", "dataset")
     variables = {"embedding": ("point",)}
-    ingest_grids(grids, {"point": "at"}, variables, root, order_by=["vec_id"])
+    ingest_grids(grids, {"point": "at"}, variables, root, order_by=["vec_id"], parts=parts)
     return root
 
 
@@ -824,13 +824,16 @@ def ingested(spark: SparkSession, folder: str) -> str:
 )
 def study_chain(spark, folder):
     # Grids to CSV, addresses to a list, and the study of what the list names.
-    root, listed = ingested(spark, folder), scratch_dir(spark, "list")
-    labels = table(spark, folder, "embeddings").select("label").distinct()
+    # Each cell parses its CSV again, so it is kept as even files that scans read whole.
+    vectors = table(spark, folder, "embeddings")
+    (points,) = vectors.agg(F.coalesce(F.sum(F.array_size("embedding")), F.lit(0))).first()
+    root, listed = ingested(spark, folder, src.part_count(spark, points)), scratch_dir(spark, "list")
+    labels = vectors.select("label").distinct()
     url = F.concat(F.lit(f"{STUDY_HOST}/"), F.col("label").cast("string"), F.lit(".nc"))
     src.write_sorted_links(labels.select(url.alias("link")), listed)
     study = partition_study(
         spark, listed, root, scratch_dir(spark, "study"), mode="repartition",
-        measures=["embedding"], layout="folders",
+        measures=["embedding"], layout="folders", multi_line=True,
     )
     # Every count up to the partitions of the scan gives the same averages.
     cells = rounded(study.timings).groupBy("fraction_ord", "scale", "rows", "avg_embedding")

@@ -44,11 +44,12 @@ def file_cases(
     fractions: Sequence[tuple[int, int]],
     base_path: str | None = None,
     headers: Headers | None = None,
+    multi_line: bool = False,
 ) -> list[Case]:
     """Prefixes of the file list, each read by itself; the headers are read once for all."""
     sizes = [prefix_size(len(paths), num, den) for num, den in fractions]
     headers = file_headers(spark, paths) if headers is None else headers
-    options = {"headers": headers, "base_path": base_path}
+    options = {"headers": headers, "base_path": base_path, "multi_line": multi_line}
     return [
         Case(size, partial(read_measurements, spark, paths[:size], **options))
         for size in sizes
@@ -92,6 +93,7 @@ def partition_study(
     counts: Sequence[int] | None = None,
     layout: str = "files",
     repeats: int = 1,
+    multi_line: bool = False,
 ) -> Study:
     """Average the measures over growing prefixes and partition counts.
 
@@ -101,10 +103,15 @@ def partition_study(
     ``layout`` tells how the data lie in their folder (see ``dataset_paths``).
     ``repeats`` measures each cell so many times (see ``partition_sweep``).
     Empty prefixes (of a very short list) have nothing to scan and are left out.
+    ``multi_line`` reads whole files as streams: quoted cells may go over line breaks, and a row
+    takes about half the time to parse than line by line, but files are not cut, so they should be several
+    for each core (see ``part_count``). Prefixes of rows are found by lines and refuse it.
 
     What the files hold is kept in a catalog below ``out_folder``, so a later study opens only
     files that are new or have changed to learn it.
     """
+    if multi_line and row_budget is not None:
+        raise ValueError("prefixes of rows are read by lines, not with multi_line")
     datasets = read_dataset_list(spark, list_path)
     if files is not None:
         datasets = first_n_files(datasets, files)
@@ -112,7 +119,8 @@ def partition_study(
     base = data_folder if layout == "folders" else None
     catalog = refresh_catalog(spark, paths, f"{out_folder.rstrip('/')}/catalog")
     if row_budget is None:
-        cases = file_cases(spark, paths, fractions, base, catalog_headers(catalog, paths))
+        headers = catalog_headers(catalog, paths, multi_line=multi_line)
+        cases = file_cases(spark, paths, fractions, base, headers, multi_line)
     else:
         rows = row_budget_files(known_row_counts(catalog, datasets, layout), row_budget)
         counted = [(paths[row.file_ord], row.rows) for row in rows.orderBy("file_ord").toLocalIterator()]
@@ -144,6 +152,7 @@ def main() -> None:
     parser.add_argument("--layout", choices=LAYOUTS, default="files", help="how the data lie")
     parser.add_argument("--counts", type=int, nargs="+", help="partition counts to try")
     parser.add_argument("--repeats", type=int, default=1, help="measure each cell so many times")
+    parser.add_argument("--multi-line", action="store_true", help="read whole files, never cut")
     args = parser.parse_args()
     spark = get_session()
     study = partition_study(
@@ -157,6 +166,7 @@ def main() -> None:
         row_budget=args.row_budget,
         counts=args.counts,
         repeats=args.repeats,
+        multi_line=args.multi_line,
     )
     for row in report_lines(study.timings).toLocalIterator():
         print(row.line)

@@ -23,6 +23,7 @@ from tidemark.sources.measurements import (
     file_headers,
     header_groups,
     known_row_counts,
+    part_count,
     read_measurements,
     read_row_budget,
     read_row_prefix,
@@ -49,6 +50,7 @@ __all__ = [
     "list_datasets",
     "list_files",
     "merge_links",
+    "part_count",
     "pinned",
     "read_dataset_list",
     "read_links",

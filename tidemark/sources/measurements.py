@@ -31,6 +31,11 @@ HEADER_BATCH = 128
 COUNT_BATCH = 64
 #: A scan by name has so many files at most; their places are sent to every executor.
 ROUTED_FILES = 1 << 20
+#: Parts of a table that is scanned over and over as whole files: so many for each core, unless
+#: they would have fewer or more rows than these.
+PARTS_PER_CORE = 12
+FEWEST_ROWS = 1 << 17
+MOST_ROWS = 1 << 22
 
 
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> Headers:
@@ -238,6 +243,7 @@ def write_measurements(
     sort_by: Sequence[str] = (),
     drop: Sequence[str] = (),
     rebalance: bool = True,
+    parts: int | None = None,
     mode: str = "overwrite",
 ) -> None:
     """CSV with header lines, one folder ``dataset=NAME`` per dataset.
@@ -246,18 +252,32 @@ def write_measurements(
     end in one file per task, and lets Spark cut a dataset that holds much of the
     table into several tasks. Leave it out for rows that already lie by dataset.
     With ``sort_by`` the rows of a dataset are in that order, through all its part files:
-    they are range partitioned by it. ``drop`` leaves out columns that only order.
+    they are range partitioned by it, into ``parts`` ranges of about as many rows (see ``part_count``)
+    or as many as Spark finds fit. ``drop`` leaves out columns that only order.
     """
+    if parts is not None and not (sort_by and rebalance):
+        raise ValueError("parts are ranges, so they need sort_by and rebalance")
     out = df.withColumnRenamed(dataset, "dataset")
     if sort_by:
         if rebalance:
-            out = out.repartitionByRange("dataset", *sort_by)
+            ranges = ["dataset", *sort_by] if parts is None else [parts, "dataset", *sort_by]
+            out = out.repartitionByRange(*ranges)
         out = out.sortWithinPartitions("dataset", *sort_by)
     elif rebalance:
         out = out.hint("rebalance", F.col("dataset"))
     out.drop(*drop).write.partitionBy("dataset").option("header", True).mode(mode).csv(path)
 
 
+def part_count(spark: SparkSession, rows: int) -> int:
+    """Into how many parts to write so many rows, for scans that do not cut files.
+
+    Such a scan puts whole files together into one partition for each core. They come out even
+    if there are several files for each, and a small file is not worth its opening.
+    """
+    even = PARTS_PER_CORE * spark.sparkContext.defaultParallelism
+    return max(min(even, -(-rows // FEWEST_ROWS)), -(-rows // MOST_ROWS), 1)
+
+
 def write_columnar(df: DataFrame, path: str, measures: Sequence[str]) -> None:
     """The table as Parquet with the measures as doubles.
 

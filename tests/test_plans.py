@@ -284,10 +284,15 @@ def test_parts_are_even_and_in_order(spark, tmp_path):
 
 
 def test_part_count(spark):
-    cores = spark.sparkContext.defaultParallelism
-    assert [part_count(spark, rows) for rows in (0, 1, 1 << 17, (1 << 17) + 1)] == [1, 1, 1, 2]
-    assert part_count(spark, 12 * cores << 20) == 12 * cores
-    assert part_count(spark, 100 * cores << 22) == 100 * cores
+    cores, own = spark.sparkContext.defaultParallelism, spark.newSession()
+    own.conf.set("spark.sql.files.maxPartitionBytes", "64m")
+    own.conf.set("spark.sql.files.openCostInBytes", "4194304")
+    assert [part_count(own, rows, 16) for rows in (0, 1, 1 << 17, (1 << 17) + 1)] == [1, 1, 1, 2]
+    assert part_count(own, 24 * cores << 20, 1) == 10 * cores
+    assert part_count(own, 16 * cores << 20, 1) == 8 * cores
+    # More files would give a scan more partitions.
+    assert part_count(own, 52 * cores << 20, 1) == 3 * cores
+    assert part_count(own, 62 * cores << 20, 1) is part_count(own, 500 * cores << 20, 1) is None
 
 
 def test_study_of_whole_files(spark, tmp_path):
@@ -311,7 +316,7 @@ def test_study_chain_scans_even_whole_files(spark, tmp_path, monkeypatch):
         "cast(greatest(id % 8, 4) AS int) AS label",
     )
     vectors.write.parquet(str(tmp_path / "embeddings.parquet"))
-    monkeypatch.setattr(measurements, "FEWEST_ROWS", 100)
+    monkeypatch.setattr(measurements, "FEWEST_BYTES", 1 << 10)
     scans = []
 
     class Stop(Exception):

@@ -799,6 +799,8 @@ def flatten_blocks(spark, folder):
 
 
 STUDY_HOST = "https://h.example/auto"
+# About the bytes of a point's line of CSV.
+POINT_BYTES = 16
 
 
 def ingested(spark: SparkSession, folder: str, parts: int | None = None) -> str:
@@ -827,7 +829,8 @@ def study_chain(spark, folder):
     # Each cell parses its CSV again, so it is kept as even files that scans read whole.
     vectors = table(spark, folder, "embeddings")
     (points,) = vectors.agg(F.coalesce(F.sum(F.array_size("embedding")), F.lit(0))).first()
-    root, listed = ingested(spark, folder, src.part_count(spark, points)), scratch_dir(spark, "list")
+    parts = src.part_count(spark, points, POINT_BYTES)
+    root, listed = ingested(spark, folder, parts), scratch_dir(spark, "list")
     labels = vectors.select("label").distinct()
     url = F.concat(F.lit(f"{STUDY_HOST}/"), F.col("label").cast("string"), F.lit(".nc"))
     src.write_sorted_links(labels.select(url.alias("link")), listed)

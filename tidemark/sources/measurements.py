@@ -31,11 +31,11 @@ HEADER_BATCH = 128
 COUNT_BATCH = 64
 #: A scan by name has so many files at most; their places are sent to every executor.
 ROUTED_FILES = 1 << 20
-#: Parts of a table that is scanned over and over as whole files: so many for each core, unless
-#: they would have fewer or more rows than these.
+#: Parts of a table that is scanned over and over as whole files: up to so many for each core, of
+#: so many bytes at least.
 PARTS_PER_CORE = 12
-FEWEST_ROWS = 1 << 17
-MOST_ROWS = 1 << 22
+FEWEST_BYTES = 2 << 20
+UNITS = {"": 0, "b": 0, "k": 10, "kb": 10, "m": 20, "mb": 20, "g": 30, "gb": 30}
 
 
 def file_headers(spark: SparkSession, paths: Sequence[str]) -> Headers:
@@ -268,14 +268,26 @@ def write_measurements(
     out.drop(*drop).write.partitionBy("dataset").option("header", True).mode(mode).csv(path)
 
 
-def part_count(spark: SparkSession, rows: int) -> int:
-    """Into how many parts to write so many rows, for scans that do not cut files.
+def _bytes(spark: SparkSession, key: str) -> int:
+    """A size among the settings of the session, such as ``16m``."""
+    number, unit = re.fullmatch(r"(\d+)([a-z]*)", spark.conf.get(key).strip().lower()).groups()
+    return int(number) << UNITS[unit]
+
+
+def part_count(spark: SparkSession, rows: int, row_bytes: int) -> int | None:
+    """Into how many parts to write rows of about so many bytes, for scans that do not cut files.
 
     Such a scan puts whole files together into one partition for each core. They come out even
-    if there are several files for each, and a small file is not worth its opening.
+    if there are several files for each. As Spark adds the cost of opening to each file, there are no more
+    than fit before a scan would have more partitions for it; None, as many as Spark finds fit, where
+    the bytes alone give more than one for each core.
     """
-    even = PARTS_PER_CORE * spark.sparkContext.defaultParallelism
-    return max(min(even, -(-rows // FEWEST_ROWS)), -(-rows // MOST_ROWS), 1)
+    cores, size = spark.sparkContext.defaultParallelism, rows * row_bytes
+    room = cores * _bytes(spark, "spark.sql.files.maxPartitionBytes") - size
+    fitting = room // max(_bytes(spark, "spark.sql.files.openCostInBytes"), 1)
+    if fitting < cores:
+        return None
+    return max(min(PARTS_PER_CORE * cores, fitting, -(-size // FEWEST_BYTES)), 1)
 
 
 def write_columnar(df: DataFrame, path: str, measures: Sequence[str]) -> None:

@@ -116,3 +116,54 @@ def test_the_code_of_a_row_is_short_enough_to_be_compiled(spark):
         assert longest_method(spark, text) < 8000
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def rows_summed(df):
+    """Rows that the lowest generator of the plan gave, once ``df`` has run."""
+    found, plans = [], [df._jdf.queryExecution().executedPlan()]
+    while plans:
+        plan = plans.pop()
+        if plan.nodeName() == "Generate":
+            found.append(plan.metrics().apply("numOutputRows").value())
+        children = plan.children()
+        plans += [children.apply(i) for i in range(children.size())]
+    return found[-1]
+
+
+def test_a_row_is_summed_once_for_all_measures(spark):
+    # It gave a row for each measure, which made 36 million rows 144 million.
+    names = ["a", "b", "c", "d"]
+    df = spark.range(1000).select(*[(F.col("id") * x).alias(name) for name, x in zip(names, (1.0, 0.01, -3.5, 0.0))])
+    odd = spark.createDataFrame([(1e300, 1.0, -1e-300, math.nan), (None, None, 2.0, None)], "a double, b double, c double, d double")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        state = measure_state(df.unionByName(odd), names)
+        assert {r.measure: r.n for r in state.groupBy("measure").agg(F.sum("n").alias("n")).collect()} == {"a": 1001, "b": 1001, "c": 1002, "d": 1001}
+        state.collect()
+        # Three numbers are out of the ordinary and get a row of their own.
+        assert rows_summed(state) == 1002 + 3
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_numbers_at_the_edges_of_the_frame(spark):
+    rng = random.Random(11)
+    edges = [2.0**e for e in (-1074, -1022, -73, -72, -64, -48, -32, -20, -16, 0, 16, 31, 32, 48, 64, 1000)]
+    near = [e * f for e in edges for f in (1.0, 1 - 2.0**-53, 1 + 2.0**-52, 1.5)]
+    # More measures than are summed side by side.
+    names = [f"m{i}" for i in range(6)]
+    cells = [None, *near, *[-x for x in near]]
+    rows = [(g, *[rng.choice(cells) for _ in names]) for g in range(3) for _ in range(300)]
+    df = spark.createDataFrame(rows, "g int, " + ", ".join(f"{m} double" for m in names))
+    state = measure_state(df, names, ["g"])
+    assert state.groupBy("g", "measure", "place").count().filter("count > 1").isEmpty()
+    got = {r.g: r for r in exact_averages(state, names, ["g"]).collect()}
+    for g in range(3):
+        assert got[g].rows == 300
+        for i, name in enumerate(names, 1):
+            right = exact([r[i] for r in rows if r[0] == g and r[i] is not None])
+            assert abs(Fraction(got[g][f"avg_{name}"]) - right) <= 2 * Fraction(math.ulp(float(right)))
+    # Numbers of one size, without any of another.
+    for x in (5e-324, 2.0**-48, 2.0**-20, 2.0**32 - 2.0**-21, 2.0**32, 1.5 * 2.0**1000):
+        one = spark.createDataFrame([(1, x, -x)], SCHEMA)
+        assert tuple(exact_averages(measure_state(one, ["a", "b"]), ["a", "b"]).first()) == (1, x, -x)

@@ -22,6 +22,19 @@ BASE = float(1 << BITS)
 #: A double covers so many limbs, the highest of which gives its group.
 LIMBS = [f"limb{j}" for j in range(5)]
 TOP = len(LIMBS) - 1
+#: Measures that are summed side by side.
+WIDTH = 4
+#: Numbers are summed in parts of 26 bits, which leaves room for 2 ** 37 rows, in a frame of four parts:
+#: from 2 ** 32 down to 2 ** -72. Its limbs stand at two places.
+PART_BITS = 26
+PARTS = 4
+FRAME = 1
+BELOW = -1
+TOO_LARGE = 2.0**32
+#: The last bit of a number that is no smaller lies in the frame.
+TOO_SMALL = 2.0**-20
+#: The lowest limb of the frame, and the bit of it at which the frame begins.
+LOWEST, BEGIN = -5, 8
 #: Limbs of a total that are put together; the others are far below its last bit.
 LEADING = 8
 STATE = ["rows", "n", "odd", *LIMBS]
@@ -38,13 +51,24 @@ def _scaled(x: Column, places: Column) -> Column:
     return x * _power(places) * _power(places)
 
 
-def _limbs(high: Column, low: Column) -> list[Column]:
-    """The limbs of a size that is ``high`` times the square of the base, and ``low``; lowest first."""
-    mask = F.lit((1 << BITS) - 1)
-    return [
-        low.bitwiseAND(mask), F.shiftright(low, BITS),
-        high.bitwiseAND(mask), F.shiftright(high, BITS).bitwiseAND(mask), F.shiftright(high, 2 * BITS),
-    ]
+def _outside(x: str) -> str:
+    """Whether the number ``x`` does not fit the frame; also what is no finite number."""
+    return f"(abs({x}) >= {TOO_LARGE!r}D OR abs({x}) < {TOO_SMALL!r}D AND {x} <> 0)"
+
+
+def _limbs(parts: Sequence[str]) -> list[str]:
+    """The limbs of the frame, lowest first, from the sums of its parts."""
+    limbs: list[list[str]] = [[] for _ in range(FRAME - LOWEST + 1)]
+    for i, part in enumerate(parts):
+        j, bits = divmod(BEGIN + i * PART_BITS, BITS)
+        limbs[j].append(f"shiftleft({part} & {(1 << BITS - bits) - 1}, {bits})")
+        limbs[j + 1].append(f"shiftright({part}, {BITS - bits})")
+    return [" + ".join(limb) or "0L" for limb in limbs]
+
+
+def _state_struct(measure: int | str, place: str, rows: str, n: str, odd: str, limbs: Sequence[str]) -> str:
+    values = zip(["__measure", "place", *STATE], [str(measure), place, rows, n, odd, *limbs])
+    return f"named_struct({', '.join(f"'{name}', {value}" for name, value in values)})"
 
 
 def measure_state(df: DataFrame, measures: Sequence[str], keys: Sequence[str] = ()) -> DataFrame:
@@ -53,30 +77,72 @@ def measure_state(df: DataFrame, measures: Sequence[str], keys: Sequence[str] =
     ``rows`` counts rows and ``n`` those with a number; both are split over the places. ``odd`` is
     the sum of what is no finite number. Combined before the shuffle, to a few rows for each
     measure and key.
+
+    A row is summed as it is, once for each ``WIDTH`` measures, for numbers that lie in the frame. Each other
+    number in it gets a row of its own, a cell, and is moved into the frame by whole places.
     """
-    cells = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), as_measure(m).alias("x")) for m in measures]))
-    x, finite = F.col("x"), F.abs("x") < float("inf")
-    has_bits = finite & (F.col("x") != 0)
-    # Any place near the highest bit will do, as the limbs tell what is left exactly.
-    place = F.when(has_bits, F.floor(F.log2(F.abs(x)) / BITS).cast("int"))
+    xs = [f"__x{i}" for i in range(len(measures))]
+    groups = [range(i, min(i + WIDTH, len(xs))) for i in range(0, len(xs), WIDTH)]
+    first = len(groups)  # The cell of the first measure; those before are the groups.
+    ys = [f"__y{j}" for j in range(min(WIDTH, len(xs)))]
+
+    def select(df: DataFrame, *columns: str) -> DataFrame:
+        return df.select(*keys, *[F.expr(c) for c in columns])
+
     # Each step is a projection of its own: as one expression the earlier ones would be written out
     # again for every use, and the code of a row would be too long for the JVM to compile.
-    sized = df.select(*keys, cells).withColumn("place", place).withColumn("__power", _power(TOP - F.col("place")))
-    sized = sized.withColumn("__size", F.abs(x) * F.col("__power") * F.col("__power"))
-    sized = sized.withColumn("__high", F.floor(F.col("__size") / BASE**2))
-    sized = sized.withColumn("__low", (F.col("__size") - F.col("__high") * BASE**2).cast("bigint"))
-    sign = F.when(x < 0, F.lit(-1).cast("bigint")).otherwise(F.lit(1).cast("bigint"))
-    parts = sized.select(
-        *keys, "measure", "place", "x",
-        F.when(x.isNotNull() & ~finite, x).alias("__odd"),
-        *[F.coalesce(limb * sign, F.lit(0)).alias(name) for name, limb in zip(LIMBS, _limbs(F.col("__high"), F.col("__low")))],
+    numbers = df.select(*keys, *[as_measure(m).alias(x) for m, x in zip(measures, xs)])
+    flags = [f"__outside{i}" for i in range(len(xs))]
+    numbers = select(numbers, *xs, *[f"coalesce({_outside(x)}, false) AS {flag}" for x, flag in zip(xs, flags)])
+    usual = ", ".join(str(i) for i in range(first))
+    others = ", ".join(f"CASE WHEN {flag} THEN {first + i} ELSE -1 END" for i, flag in enumerate(flags))
+    chosen = f"CASE WHEN {' OR '.join(flags)} THEN array_remove(array({usual}, {others}), -1) ELSE array({usual}) END"
+    cells = select(numbers, *xs, *flags, f"explode({chosen}) AS __cell")
+    own = " ".join(f"WHEN {first + i} THEN {x}" for i, x in enumerate(xs))
+    members = [
+        [f"{'' if first == 1 else f'__cell = {i} AND '}NOT {flags[g[j]]} THEN {xs[g[j]]}" for i, g in enumerate(groups) if j < len(g)]
+        for j in range(len(ys))
+    ]
+    cells = select(cells, "__cell", f"CASE __cell {own} END AS __x", *[f"CASE WHEN {' WHEN '.join(m)} END AS {y}" for m, y in zip(members, ys)])
+    place = f"CAST(floor(log2(abs(__x)) / {BITS}) AS INT)"
+    cells = select(
+        cells, "__cell", "__x", *ys,
+        # Any place near the highest bit will do, but for those of the frame.
+        f"""CASE WHEN __cell < {first} THEN {FRAME} WHEN NOT abs(__x) < DOUBLE('Infinity') THEN NULL
+            WHEN abs(__x) < 1 THEN least({place}, {BELOW - 1}) ELSE greatest({place}, {FRAME + 1}) END AS place""",
     )
-    return parts.groupBy(*keys, "measure", "place").agg(
-        F.count("*").alias("rows"),
-        F.count("x").alias("n"),
-        F.sum("__odd").alias("odd"),
-        *[F.sum(limb).alias(limb) for limb in LIMBS],
-    )
+    # Half of the way at a time, which neither over- nor underflows.
+    half = f"pow(2D, ({FRAME} - place) * {BITS // 2})"
+    cells = select(
+        cells, "__cell", "place", f"CASE WHEN __cell >= {first} AND place IS NULL THEN __x END AS __odd",
+        f"CASE WHEN __cell < {first} THEN {ys[0]} WHEN place IS NOT NULL THEN __x * {half} * {half} END AS {ys[0]}", *ys[1:],
+    )
+    # Two whole numbers of two parts each, the lower one of what is left of the other, so that no step rounds.
+    kept, unit, scale = ["__cell", "place", "__odd", *ys], f"{2.0 ** (2 * PART_BITS) / TOO_LARGE!r}D", f"{2.0 ** (2 * PART_BITS)!r}D"
+    cells = select(cells, *kept, *[f"coalesce({y}, 0D) * {unit} AS {y}_all" for y in ys])
+    cells = select(cells, *kept, *[f"{y}_all" for y in ys], *[f"rint({y}_all) AS {y}_top" for y in ys])
+    wholes = [f"floor({x}) AS {y}_{i}" for y in ys for i, x in enumerate([f"({y}_all - {y}_top) * {scale}", f"{y}_top"])]
+    cells = select(cells, *kept, *wholes)
+    whole_parts = lambda x: [f"{x} & {(1 << PART_BITS) - 1}", f"shiftright({x}, {PART_BITS})"]
+    parts = [f"sum({part}) AS {y}_part{i}" for y in ys for i, part in enumerate([*whole_parts(f"{y}_0"), *whole_parts(f"{y}_1")])]
+    counts = ["count(*) AS __rows", "count(__odd) AS __odds", "sum(__odd) AS odd", *[f"count({y}) AS {y}_n" for y in ys]]
+    sums = cells.groupBy(*keys, "__cell", "place").agg(*[F.expr(c) for c in (*counts, *parts)])
+
+    # The limbs of the frame that do not stand at its place, the lowest ones, stand at another.
+    limbs = {y: _limbs([f"{y}_part{i}" for i in range(PARTS)]) for y in ys}
+    top, none, states = slice(-len(LIMBS), None), "CAST(NULL AS DOUBLE)", []
+    for group in groups:
+        of_group = []
+        for i, y in zip(group, ys):
+            of_group.append(_state_struct(i, str(FRAME), "__rows", f"{y}_n", none, limbs[y][top]))
+            lower = [*limbs[y][: -len(LIMBS)], *["0L"] * len(LIMBS)][: len(LIMBS)]
+            of_group.append(_state_struct(i, str(BELOW), "0L", "0L", none, lower))
+        states.append(of_group)
+    branches = " ".join(f"WHEN __cell = {i} THEN array({', '.join(of_group)})" for i, of_group in enumerate(states))
+    moved = _state_struct(f"__cell - {first}", "place", "0L", f"{ys[0]}_n + __odds", "odd", limbs[ys[0]][top])
+    names = F.array(*[F.lit(m) for m in measures])
+    made = select(sums, f"inline(CASE {branches} ELSE array({moved}) END)")
+    return made.select(*keys, F.get(names, F.col("__measure")).alias("measure"), "place", *STATE)
 
 
 def merged_state(state: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
